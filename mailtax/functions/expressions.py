@@ -11,7 +11,8 @@ RATE_TYPE = "decimal(38,6)"
 def uuid_from(*parts: Column | str) -> Column:
     """Repeatable 128-bit id: md5 of the parts written as a UUID. NULL parts count as empty text."""
     text = F.md5(F.concat_ws("|", *[F.coalesce(_col(p).cast("string"), F.lit("")) for p in parts]))
-    return F.regexp_replace(text, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    return F.concat_ws("-", *[F.substring(text, start, length) for start, length in cuts])
 
 
 def blank(text: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mailtax.functions.expressions import RATE_TYPE, blank, nonzero, pro_rata_rate, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import FIXED_RATE_TYPES, HOST1, HOST2
-from mailtax.operators.lines import Tables, audit, category_transactions, flagged_activities, session_lines
+from mailtax.operators.lines import Tables, audit, category_transactions, flagged_activities
 
 ADDRESS = ["city", "state_region", "postal_code"]
 # Lines of a batch are ordered by postal code; the other columns make the order total.
@@ -20,59 +20,62 @@ BRIDGES = ("details", "taxable_line_item", "provenance_tag")
 
 def batch_addresses(
     t: Tables,
-    batches: DataFrame,
+    lines: DataFrame,
     *,
     bridge: str = "details",
-    sessions: DataFrame | None = None,
+    few_sessions: bool = False,
     tag_prefix: str = "btdp-gen",
 ) -> DataFrame:
     """Quantity per batch, address and rate: delivery points reached through one of three bridges.
 
+    ``lines`` are ``taxable_lines`` or ``lines_of_batches``. The bridges:
+
     ``details``            activity -> details -> transaction, the way of native data. A transaction shared
                            by N details of a category counts N times.
     ``taxable_line_item``  line -> its generated transaction (``taxable_line_items`` table).
     ``provenance_tag``     line -> its generated transaction, read from the tag of the transaction.
+
+    ``few_sessions`` filters the details by the lines' categories before they are aggregated, which pays when
+    the lines are a small part of the data.
     """
     if bridge not in BRIDGES:
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
-    rated = _rated_activities(t, batches, sessions)
+    rated = _rated_activities(t, lines)
     points = t["delivery_points"].where(F.col("is_active")).select(
         "transaction_guid", *ADDRESS, "destination_code", "quantity"
     )
+    times = F.lit(1)
     if bridge == "details":
-        within = None if sessions is None else rated.select("category_key")
+        within = rated.select("category_key") if few_sessions else None
         reached = rated.join(category_transactions(t, within), "category_key")
+        times = F.col("detail_count")
     elif bridge == "taxable_line_item":
-        lines = t["taxable_line_items"].where(
+        own = t["taxable_line_items"].where(
             F.col("host_system_id").isin(HOST1, HOST2) & (F.col("ignore") == F.lit(False))
         )
-        lines = lines.select("invoice_line_item_key", "session_key", "transaction_guid")
-        reached = rated.join(lines, ["invoice_line_item_key", "session_key"])
+        own = own.select("invoice_line_item_key", "session_key", "transaction_guid")
+        reached = rated.join(own, ["invoice_line_item_key", "session_key"])
     else:
         reached = rated.join(tagged_transactions(t, tag_prefix), ["invoice_line_item_key", "session_key"])
-    times = F.col("detail_count") if bridge == "details" else F.lit(1)
-    group = [
-        "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
-        "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
-    ]
     return (
         reached.join(points, "transaction_guid")
-        .groupBy(*group)
+        .groupBy(
+            "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
+            "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
+        )
         .agg(F.sum(F.col("quantity") * times).alias("quantity"))
     )
 
 
-def _rated_activities(t: Tables, batches: DataFrame, sessions: DataFrame | None) -> DataFrame:
-    """Flagged activities of the batches' lines with the amount and the rate they carry."""
-    lines = session_lines(t, sessions).where(F.col("use_customer_tax_address") == F.lit(False))
-    lines = lines.select(
-        "invoice_line_item_key", "session_key", "extended_amount", "is_exportable", "client_configuration_key"
+def _rated_activities(t: Tables, lines: DataFrame) -> DataFrame:
+    """Flagged activities of the lines with the amount and the rate they carry."""
+    delivered = lines.where(F.col("use_customer_tax_address") == F.lit(False)).select(
+        "sales_tax_batch_key", "invoice_line_item_key", "session_key", "extended_amount", "is_exportable",
+        "client_configuration_key",
     )
     acts = flagged_activities(t).select("invoice_line_item_key", "category_key", "rate_model_key", "rate_key")
     return (
-        batches.select("sales_tax_batch_key", "invoice_line_item_key")
-        .join(lines, "invoice_line_item_key")
-        .join(acts, "invoice_line_item_key")
+        delivered.join(acts, "invoice_line_item_key")
         .join(t["rate_models"], "rate_model_key")
         .join(t["rates"], "rate_key")
         .withColumn("unit_price", F.coalesce("price", F.lit(0).cast("decimal(19,4)")))
@@ -234,21 +237,18 @@ def fill_blank_addresses(t: Tables, details: DataFrame) -> DataFrame:
     )
 
 
-def service_lines(t: Tables, batches: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
     """Detail rows of lines taxed at the customer's own address."""
-    lines = session_lines(t, sessions).where(F.col("use_customer_tax_address"))
     home = t["client_configurations"].select(
         "client_configuration_key", "taxable_city", "taxable_state", "taxable_postal_code"
     )
-    group = [
-        "sales_tax_batch_key", "session_key", "client_configuration_key", "taxable_city", "taxable_state",
-        "taxable_postal_code", "is_exportable", "rate", "extended_amount",
-    ]
     return (
-        batches.select("sales_tax_batch_key", "invoice_line_item_key")
-        .join(lines, "invoice_line_item_key")
+        lines.where(F.col("use_customer_tax_address"))
         .join(home, "client_configuration_key")
-        .groupBy(*group)
+        .groupBy(
+            "sales_tax_batch_key", "session_key", "client_configuration_key", "taxable_city", "taxable_state",
+            "taxable_postal_code", "is_exportable", "rate", "extended_amount",
+        )
         .agg(F.sum("quantity").alias("quantity"))
         .select(
             uuid_from(F.lit("service"), F.col("sales_tax_batch_key")).alias("sales_tax_batch_detail_id"),
@@ -268,21 +268,20 @@ def service_lines(t: Tables, batches: DataFrame, sessions: DataFrame | None = No
 
 def sales_tax_details(
     t: Tables,
-    batches: DataFrame,
+    lines: DataFrame,
     addresses: DataFrame,
     *,
-    sessions: DataFrame | None = None,
     as_of: datetime,
     user: str,
     on_zero: str = "raise",
 ) -> DataFrame:
     """Final tax detail rows: allocated delivery rows with blanks filled, and the service lines.
 
-    ``addresses`` are the ``batch_addresses`` of the batches, of one bridge or several together.
+    ``addresses`` are the ``batch_addresses`` of the lines, of one bridge or several together.
     """
     delivered = fill_blank_addresses(t, delivery_details(allocate(addresses, on_zero=on_zero)))
     return (
-        delivered.unionByName(service_lines(t, batches, sessions))
+        delivered.unionByName(service_lines(t, lines))
         .drop("client_configuration_key")
         .select("*", *audit(user, as_of))
     )

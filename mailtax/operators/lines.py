@@ -92,7 +92,32 @@ def new_status_key(t: Tables) -> Column:
     return new.agg(F.min("status_key")).scalar()
 
 
-def _batches(t: Tables, lines: DataFrame, user: str, as_of: datetime) -> DataFrame:
+def covered_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
+    """Lines with flagged activities and both coverage flags; the jobs below are filters on it."""
+    return session_lines(t, sessions).join(line_coverage(t), "invoice_line_item_key")
+
+
+def taxable_lines(lines: DataFrame, generated: DataFrame | None = None) -> DataFrame:
+    """``covered_lines`` that get a batch: a covered activity, or taxed at the customer's address.
+
+    A line has one batch, so the line key also is the batch key; a rerun gives the same keys. ``generated``
+    names lines that got delivery points in this run and therefore count as covered.
+    """
+    taxable = F.col("has_covered") | F.col("use_customer_tax_address")
+    if generated is not None:
+        keys = generated.select("invoice_line_item_key", F.lit(True).alias("is_generated"))
+        lines = lines.join(keys, "invoice_line_item_key", "left")
+        taxable = taxable | F.col("is_generated").isNotNull()
+    return lines.where(taxable).withColumn("sales_tax_batch_key", F.col("invoice_line_item_key"))
+
+
+def lines_of_batches(t: Tables, batches: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
+    """Lines of stored batch headers, which may have keys of their own; input of the allocation jobs."""
+    keys = batches.select("invoice_line_item_key", "sales_tax_batch_key")
+    return session_lines(t, sessions).join(keys, "invoice_line_item_key")
+
+
+def batch_headers(t: Tables, lines: DataFrame, *, as_of: datetime, user: str) -> DataFrame:
     line = F.col("invoice_line_item_key")
     return lines.select(
         line.alias("sales_tax_batch_key"),
@@ -109,26 +134,10 @@ def _batches(t: Tables, lines: DataFrame, user: str, as_of: datetime) -> DataFra
 
 
 def taxable_line_items(
-    t: Tables,
-    *,
-    sessions: DataFrame | None = None,
-    as_of: datetime,
-    user: str,
-    generated: DataFrame | None = None,
+    t: Tables, *, sessions: DataFrame | None = None, as_of: datetime, user: str
 ) -> DataFrame:
-    """Batch headers: lines with a flagged activity that is covered, or taxed at the customer's address.
-
-    A line has one batch, so the line key also is the batch key; a rerun gives the same keys and ids.
-    ``generated`` names lines that got delivery points in this run and therefore count as covered.
-    """
-    lines = session_lines(t, sessions).join(line_coverage(t), "invoice_line_item_key")
-    taxable = F.col("has_covered") | F.col("use_customer_tax_address")
-    if generated is not None:
-        keys = generated.select("invoice_line_item_key", F.lit(True).alias("is_generated"))
-        lines = lines.join(keys, "invoice_line_item_key", "left")
-        taxable = taxable | F.col("is_generated").isNotNull()
-    taxable = lines.where(taxable)
-    return _batches(t, taxable, user, as_of)
+    """Batch headers of the taxable lines."""
+    return batch_headers(t, taxable_lines(covered_lines(t, sessions)), as_of=as_of, user=user)
 
 
 def session_line_item_batches(
@@ -140,7 +149,7 @@ def session_line_item_batches(
     detail of that category instead.
     """
     lines = session_lines(t, sessions).join(lines_with_details(t, strict), "invoice_line_item_key", "left_semi")
-    return _batches(t, of_known_clients(t, lines), user, as_of)
+    return batch_headers(t, of_known_clients(t, lines), as_of=as_of, user=user)
 
 
 def lines_with_details(t: Tables, strict: bool) -> DataFrame:
@@ -165,19 +174,14 @@ def non_service_line_items(t: Tables, *, sessions: DataFrame | None = None) -> D
 
     The test is per activity: a line with one covered and one uncovered activity is included.
     """
-    return non_service_lines(t, sessions).select(
+    return non_service_lines(covered_lines(t, sessions)).select(
         "invoice_line_item_key", "session_key", "group_key", "line_item_key", "tax_code", "tax_category"
     )
 
 
-def non_service_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
-    """``non_service_line_items`` with all line columns, the input of the generation jobs."""
-    uncovered = line_coverage(t).where(F.col("has_uncovered")).select("invoice_line_item_key")
-    return (
-        session_lines(t, sessions)
-        .where(F.col("use_customer_tax_address") == F.lit(False))
-        .join(uncovered, "invoice_line_item_key", "left_semi")
-    )
+def non_service_lines(lines: DataFrame) -> DataFrame:
+    """``covered_lines`` that still need delivery points, with all columns: input of the generation jobs."""
+    return lines.where((F.col("use_customer_tax_address") == F.lit(False)) & F.col("has_uncovered"))
 
 
 def host_of(in_host1: Column, in_host2: Column) -> Column:

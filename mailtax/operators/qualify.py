@@ -177,18 +177,12 @@ def _first_failure() -> Column:
     )
 
 
-def qualify_details(
-    t: Tables, lines: DataFrame, pieces: DataFrame | None = None, status: DataFrame | None = None
-) -> DataFrame:
+def qualify_details(lines: DataFrame, pieces: DataFrame) -> DataFrame:
     """Details that qualify under the rule of their line's host and module, with their quantity."""
-    pieces = match_pieces(t, lines) if pieces is None else pieces
-    if status is None:
-        status = infer_hosts(lines, pieces)
-    hosts = status.select("invoice_line_item_key", "host_system_id")
-    quantity = by_host(F.col("host_system_id"), F.col("quantity1"), F.col("quantity2"))
+    hosts = infer_hosts(lines, pieces).where(F.col("host_system_id") != UNKNOWN_HOST)
     return (
-        pieces.join(hosts.where(F.col("host_system_id") != UNKNOWN_HOST), "invoice_line_item_key")
-        .withColumn("quantity", quantity)
+        pieces.join(hosts, "invoice_line_item_key")
+        .withColumn("quantity", by_host(F.col("host_system_id"), F.col("quantity1"), F.col("quantity2")))
         .where(F.col("quantity").isNotNull())
         .select("invoice_line_item_key", "host_system_id", "detail_key", "data_stream_detail_id", "quantity")
     )
@@ -251,15 +245,11 @@ def qualification_log(summary_status: DataFrame) -> DataFrame:
     )
 
 
-def mismatched_details(
-    t: Tables, lines: DataFrame, pieces: DataFrame | None = None, status: DataFrame | None = None
-) -> DataFrame:
+def mismatched_details(t: Tables, status: DataFrame, pieces: DataFrame) -> DataFrame:
     """Qualified details of lines that do not reconcile, where the host has a piece record for them.
 
     Host 2 rows carry the piece record.
     """
-    pieces = match_pieces(t, lines) if pieces is None else pieces
-    status = line_status(t, lines, pieces) if status is None else status
     host = F.col("host_system_id")
     bad = status.where(~F.col("is_match")).select("invoice_line_item_key", "host_system_id")
     present = F.coalesce(by_host(host, F.col("host1").isNotNull(), F.col("host2").isNotNull()), F.lit(False))

@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailtax.operators import allocate as al
+from mailtax.functions.staging import cut
 from mailtax.operators import checks
 from mailtax.operators import lines as ln
 from mailtax.operators import points as pt
 from mailtax.operators import qualify as ql
 from mailtax.operators import reports as rp
-from mailtax.plans.run import sales_tax_run
+from mailtax.plans.run import generate, sales_tax_run
 from mailtax.sources.logs import parse_log_blocks, parse_log_lines, unwrap_nested_json
 from mailtax.sources.standins import standin_tables
 
@@ -33,31 +34,33 @@ def _micro(amount: Column) -> Column:
     return F.round(amount * 1000000).cast("bigint")
 
 
-def _batches(t: ln.Tables, **options) -> DataFrame:
-    return ln.taxable_line_items(t, **RUN, **options)
-
-
 def _batch_columns(df: DataFrame) -> DataFrame:
     return df.drop("user_added", "date_added", "is_active")
 
 
-def _status(t: ln.Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    todo = ln.non_service_lines(t)
-    pieces = ql.match_pieces(t, todo)
-    return todo, pieces, ql.line_status(t, todo, pieces)
+def _taxed(t: ln.Tables) -> DataFrame:
+    return ln.taxable_lines(ln.covered_lines(t))
+
+
+def _todo(t: ln.Tables) -> DataFrame:
+    return ln.non_service_lines(ln.covered_lines(t))
+
+
+def _status(t: ln.Tables) -> DataFrame:
+    return ql.line_status(t, cut(_todo(t)))
 
 
 def _generated(t: ln.Tables) -> tuple[ln.Tables, DataFrame]:
-    """The tables with this run's points, transactions and line bridge, and batches of the lines they serve."""
-    _, pieces, status = _status(t)
-    done = pt.accepted(status).where("has_address").select("invoice_line_item_key")
-    batches = _batches(t, generated=done).join(done, "invoice_line_item_key", "left_semi")
+    """The tables with this run's points, transactions and line bridge, and the lines they serve."""
+    made = generate(t)
+    done = pt.accepted(made.status).where("has_address").select("invoice_line_item_key")
     new = {
-        "delivery_points": pt.generate_delivery_points(status, pieces, as_of=AS_OF),
-        "transactions": pt.generate_billing_transactions(status, as_of=AS_OF),
-        "taxable_line_items": pt.taxable_line_items_of(pt.session_line_links(status)),
+        "delivery_points": pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF),
+        "transactions": pt.generate_billing_transactions(made.status, as_of=AS_OF),
+        "taxable_line_items": pt.taxable_line_items_of(pt.session_line_links(made.status)),
     }
-    return ChainMap(new, t), batches
+    lines = ln.taxable_lines(made.lines, done).where("is_generated")
+    return ChainMap(new, t), lines
 
 
 def _distribution_columns(df: DataFrame) -> DataFrame:
@@ -80,77 +83,80 @@ def _detail_columns(df: DataFrame) -> DataFrame:
 
 
 def _native_addresses(t: ln.Tables) -> DataFrame:
-    return al.batch_addresses(t, _batches(t))
+    return al.batch_addresses(t, _taxed(t))
 
 
 def _sales_tax_details(t: ln.Tables) -> DataFrame:
-    batches = _batches(t)
-    return al.sales_tax_details(t, batches, al.batch_addresses(t, batches), **RUN)
+    lines = cut(_taxed(t))
+    return al.sales_tax_details(t, lines, al.batch_addresses(t, lines), **RUN)
 
 
 def _bridged(t: ln.Tables, bridge: str) -> DataFrame:
-    after, batches = _generated(t)
-    return al.rate_distribution(al.batch_addresses(after, batches, bridge=bridge))
+    after, lines = _generated(t)
+    return al.rate_distribution(al.batch_addresses(after, lines, bridge=bridge))
 
 
 def _points(t: ln.Tables) -> DataFrame:
-    _, pieces, status = _status(t)
-    return pt.generate_delivery_points(status, pieces, as_of=AS_OF).select(
+    made = generate(t)
+    return pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF).select(
         "transaction_id", "transaction_guid", "city", "state_region", "postal_code", "country_code",
         "destination_code", "quantity", "user_added", "is_active",
     )
 
 
+def _preview(t: ln.Tables) -> DataFrame:
+    made = generate(t)
+    return _whole(pt.delivery_point_preview(made.status, made.pieces), "host_system_id")
+
+
+def _whole(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 def _transactions(t: ln.Tables) -> DataFrame:
-    return pt.generate_billing_transactions(_status(t)[2], as_of=AS_OF).select(
-        "transaction_id", "transaction_guid", "transaction_type_id",
-        F.col("transaction_status_id").cast("bigint").alias("transaction_status_id"),
-        "customer_id", F.col("location_id").cast("bigint").alias("location_id"), "quantity", "user_added",
-        "is_active",
+    rows = pt.generate_billing_transactions(_status(t), as_of=AS_OF).select(
+        "transaction_id", "transaction_guid", "transaction_type_id", "transaction_status_id", "customer_id",
+        "location_id", "quantity", "user_added", "is_active",
     )
+    return _whole(rows, "transaction_status_id", "location_id")
 
 
 def _links(t: ln.Tables) -> DataFrame:
-    _, pieces, status = _status(t)
-    return pt.link_details_to_transactions(status, pieces).drop("category_detail_id").withColumn(
-        "host_system_id", F.col("host_system_id").cast("bigint")
-    )
+    made = generate(t)
+    links = pt.link_details_to_transactions(made.status, made.pieces)
+    return _whole(links.drop("category_detail_id"), "host_system_id")
 
 
 def _session_links(t: ln.Tables) -> DataFrame:
-    return pt.session_line_links(_status(t)[2]).drop("session_line_id").withColumn(
-        "host_system_id", F.col("host_system_id").cast("bigint")
-    )
+    return _whole(pt.session_line_links(_status(t)).drop("session_line_id"), "host_system_id")
 
 
 def _warnings(t: ln.Tables) -> DataFrame:
-    return pt.invoice_warnings(_status(t)[2], **RUN).select(
+    return pt.invoice_warnings(_status(t), **RUN).select(
         "session_key", "line_item_key", "message", "is_resolved", "user_added", "is_active"
     )
 
 
 def _mismatched(t: ln.Tables) -> DataFrame:
-    todo, pieces, status = _status(t)
-    rows = ql.mismatched_details(t, todo, pieces, status)
-    whole = {c: F.col(c).cast("bigint") for c in ("host_system_id", "page_count", "paper_page_count")}
-    return rows.withColumns(whole).drop("data_stream_detail_id")
+    made = generate(t)
+    rows = ql.mismatched_details(t, made.status, made.pieces)
+    return _whole(rows, "host_system_id", "page_count", "paper_page_count").drop("data_stream_detail_id")
 
 
 def _qualified(t: ln.Tables) -> DataFrame:
-    todo = ln.non_service_lines(t)
-    return ql.qualify_details(t, todo).withColumn("host_system_id", F.col("host_system_id").cast("bigint"))
+    todo = cut(_todo(t))
+    return _whole(ql.qualify_details(todo, cut(ql.match_pieces(t, todo))), "host_system_id")
 
 
 def _host(t: ln.Tables) -> DataFrame:
-    hosts = ln.infer_host_system(t, ln.non_service_line_items(t))
-    return hosts.withColumn("host_system_id", F.col("host_system_id").cast("bigint"))
+    return _whole(ln.infer_host_system(t, cut(_todo(t))), "host_system_id")
 
 
 def _checks(t: ln.Tables) -> DataFrame:
-    _, pieces, status = _status(t)
+    made = generate(t)
     links = {
-        "category_detail_links": pt.link_details_to_transactions(status, pieces),
-        "session_line_links": pt.session_line_links(status),
+        "category_detail_links": pt.link_details_to_transactions(made.status, made.pieces),
+        "session_line_links": pt.session_line_links(made.status),
     }
     return checks.referential_checks(
         ChainMap(links, t),
@@ -166,10 +172,6 @@ def _checks(t: ln.Tables) -> DataFrame:
     )
 
 
-def _details_report(t: ln.Tables) -> DataFrame:
-    return rp.line_item_details(t)
-
-
 def _transactions_of_lines(t: ln.Tables) -> DataFrame:
     return rp.transactions_for_line(t).select("transaction_id", "transaction_guid", "customer_id", "quantity")
 
@@ -247,34 +249,32 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "rate_distribution_line_bridge": lambda t: _distribution_columns(_bridged(t, "taxable_line_item")),
     "rate_distribution_tag_bridge": lambda t: _distribution_columns(_bridged(t, "provenance_tag")),
     "sales_tax_allocation": lambda t: _detail_columns(al.delivery_details(al.allocate(_native_addresses(t)))),
-    "sales_tax_service_lines": lambda t: _detail_columns(al.service_lines(t, _batches(t))),
+    "sales_tax_service_lines": lambda t: _detail_columns(al.service_lines(t, _taxed(t))),
     "sales_tax_address_fill": lambda t: _detail_columns(
         al.fill_blank_addresses(t, al.delivery_details(al.allocate(_native_addresses(t))))
     ),
     "sales_tax_details": lambda t: _detail_columns(_sales_tax_details(t)),
-    "taxable_line_items": lambda t: _batch_columns(_batches(t)),
+    "taxable_line_items": lambda t: _batch_columns(ln.taxable_line_items(t, **RUN)),
     "session_line_item_batches": lambda t: _batch_columns(ln.session_line_item_batches(t, **RUN)),
     "session_line_item_batches_strict": lambda t: _batch_columns(
         ln.session_line_item_batches(t, strict=True, **RUN)
     ),
     "non_service_line_items": lambda t: ln.non_service_line_items(t),
     "infer_host_system": _host,
-    "host_of_batches": lambda t: ln.host_of_batches(t, {"loader-F": 1, "loader-O": 2}).withColumn(
-        "host_system_id", F.col("host_system_id").cast("bigint")
+    "host_of_batches": lambda t: _whole(
+        ln.host_of_batches(t, {"loader-F": 1, "loader-O": 2}), "host_system_id"
     ),
     "line_item_batches_by_module": lambda t: ln.line_item_batches_by_module(t, ln.session_lines(t)),
     "calculator_transaction_type": lambda t: ql.calculator_transaction_type(t, ln.session_lines(t)),
     "qualify_details": _qualified,
-    "reconcile_quantity": lambda t: ql.reconcile_quantity(_status(t)[2]),
-    "qualification_summary": lambda t: ql.qualification_summary(t, _status(t)[2]),
+    "reconcile_quantity": lambda t: ql.reconcile_quantity(_status(t)),
+    "qualification_summary": lambda t: ql.qualification_summary(t, _status(t)),
     "qualification_summary_mismatched": lambda t: ql.qualification_summary(
-        t, _status(t)[2], only_mismatched=True
+        t, _status(t), only_mismatched=True
     ),
-    "qualification_log": lambda t: ql.qualification_log(_status(t)[2]),
+    "qualification_log": lambda t: ql.qualification_log(_status(t)),
     "mismatched_details": _mismatched,
-    "delivery_point_preview": lambda t: pt.delivery_point_preview(*reversed(_status(t)[1:])).withColumn(
-        "host_system_id", F.col("host_system_id").cast("bigint")
-    ),
+    "delivery_point_preview": _preview,
     "generate_delivery_points": _points,
     "generate_billing_transactions": _transactions,
     "link_details_to_transactions": _links,
@@ -283,7 +283,7 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "referential_checks": _checks,
     "category_totals": lambda t: rp.category_totals(t, ln.session_line_item_batches(t, **RUN)),
     "return_update_counts": lambda t: rp.return_update_counts(t),
-    "line_item_details": _details_report,
+    "line_item_details": lambda t: rp.line_item_details(t),
     "transactions_for_line": _transactions_of_lines,
     "session_line_item_report": lambda t: rp.session_line_item_report(t),
     "active_clients": lambda t: rp.active_clients(t, as_of=AS_OF),

@@ -43,28 +43,24 @@ def sales_tax_run(
 ) -> TaxRun:
     """Generate what is missing, then tax everything, for all sessions in one set of jobs.
 
-    Lines without delivery points are matched to the hosts' pieces; the match and the line status made from it
-    are stored, since every later result reads them. A line whose transaction was generated with addresses
-    takes them from that transaction, every other line from its details.
+    The lines, the match of their details with the hosts' pieces, and the line status are stored, since the
+    later results all read them. A line whose transaction was generated with addresses takes them from that
+    transaction, every other line from its details.
     """
-    todo = lines.non_service_lines(t, sessions)
-    pieces = cut(qualify.match_pieces(t, todo))
-    status = cut(qualify.line_status(t, todo, pieces))
+    made = generate(t, sessions)
+    status, pieces = made.status, made.pieces
     new_points = points.generate_delivery_points(status, pieces, as_of=as_of)
     links = points.session_line_links(status)
     generated = points.accepted(status).where("has_address").select("invoice_line_item_key")
 
-    batches = cut(
-        lines.taxable_line_items(t, sessions=sessions, as_of=as_of, user=user, generated=generated)
-    )
-    by_details = batches.join(generated, "invoice_line_item_key", "left_anti")
-    by_line = batches.join(generated, "invoice_line_item_key", "left_semi")
+    taxed = cut(lines.taxable_lines(made.lines, generated))
     with_new = ChainMap(
         {"taxable_line_items": points.taxable_line_items_of(links), "delivery_points": new_points}, t
     )
-    addresses = allocate.batch_addresses(t, by_details, sessions=sessions).unionByName(
-        allocate.batch_addresses(with_new, by_line, bridge="taxable_line_item", sessions=sessions)
-    )
+    new = F.coalesce("is_generated", F.lit(False))
+    addresses = allocate.batch_addresses(
+        t, taxed.where(~new), few_sessions=sessions is not None
+    ).unionByName(allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item"))
     return TaxRun(
         transactions=points.generate_billing_transactions(status, as_of=as_of),
         delivery_points=new_points,
@@ -72,12 +68,29 @@ def sales_tax_run(
         session_line_links=links,
         invoice_warnings=points.invoice_warnings(status, as_of=as_of, user=user),
         sales_tax_batch_details=allocate.sales_tax_details(
-            t, batches, addresses, sessions=sessions, as_of=as_of, user=user, on_zero=on_zero
+            t, taxed, addresses, as_of=as_of, user=user, on_zero=on_zero
         ),
-        sales_tax_batches=batches,
+        sales_tax_batches=lines.batch_headers(t, taxed, as_of=as_of, user=user),
     )
 
 
+@dataclass(frozen=True)
+class Generation:
+    """Stored stages of the generation: lines with coverage, matched pieces, and the status of each line."""
+
+    lines: DataFrame
+    pieces: DataFrame
+    status: DataFrame
+
+
+def generate(t: Tables, sessions: DataFrame | None = None) -> Generation:
+    """Match and classify the lines that lack delivery points."""
+    covered = cut(lines.covered_lines(t, sessions))
+    todo = lines.non_service_lines(covered)
+    pieces = cut(qualify.match_pieces(t, todo))
+    return Generation(covered, pieces, cut(qualify.line_status(t, todo, pieces)))
+
+
 def run_sales_tax(
     t: Tables,
     root: str,
