@@ -37,7 +37,7 @@ def number_within(
     )
     # At most one row per group and slice, so this window sees at most `slices` rows of a group.
     counted = placed.groupBy(*group, "_slice").agg(
-        F.count("*").alias("_rows"), *[F.sum(c).alias(f"_{n}") for n, c in totals.items()]
+        F.count("*").alias("_rows"), *[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()]
     )
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,7 +45,7 @@ def number_within(
         *group,
         "_slice",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        *[F.sum(f"_{n}").over(whole).alias(n) for n in totals],
+        *[F.sum(f"_sum_{n}").over(whole).alias(n) for n in totals],
     )
     inside = Window.partitionBy(*group, "_slice").orderBy(*order)
     return (
