@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The two layouts, the levels from lowest to highest, and the lowest level kept.
 PIPE_LAYOUT = r"^DateTime: ([^|]*)\|MessageLevel:([^|]*)\|LogName:([^|]*)\|((?s).*)$"
 BLOCK_LAYOUT = r"^DateTime: ([^\r\n]*)\r?\nLogLevel: ([^\r\n]*)\r?\nMessage: ((?s).*?)\s*$"
-BLOCK_SEPARATOR = r"\n\nDateTime: "
 LEVELS = ("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL")
 MIN_LEVEL = "DEBUG"
 PAYLOAD = "Name string, Time timestamp_ntz, Data string"
@@ -43,12 +42,18 @@ def parse_log_lines(
     return records if log_names is None else records.where(F.col("log_name").isin(*log_names))
 
 
+def read_log_blocks(spark: SparkSession, path: str, *, newline: str = "\r\n") -> DataFrame:
+    """Files of the multi-line layout, one block per row; a block ends before a blank line and a new start.
+
+    The start belongs to the separator, ``parse_log_blocks`` puts it back.
+    """
+    return spark.read.option("lineSep", f"{newline}{newline}DateTime: ").text(path)
+
+
 def parse_log_blocks(blocks: DataFrame, *, log_name: str, min_level: str = MIN_LEVEL) -> DataFrame:
     """Records of the multi-line layout, one block per row in column ``value``.
 
-    The layout does not name its log, so the caller does. Read the files with
-    ``spark.read.option("lineSep", BLOCK_SEPARATOR_TEXT).text(path)``; the separator belongs to the start
-    of the next block and is put back here.
+    The layout does not name its log, so the caller does.
     """
     text = F.when(F.col("value").startswith("DateTime: "), F.col("value")).otherwise(
         F.concat(F.lit("DateTime: "), F.col("value"))

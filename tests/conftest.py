@@ -4,7 +4,9 @@ import sys
 from datetime import datetime
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -39,7 +41,8 @@ def table(spark):
         names = schemas.columns(name)
         for row in rows:
             assert set(row) <= set(names), set(row) - set(names)
-        return spark.createDataFrame([tuple(r.get(c) for c in names) for r in rows], schemas.schema(name))
+        arrow = pa.Table.from_pylist(rows, schema=to_arrow_schema(schemas.schema(name)))
+        return spark.createDataFrame(arrow, schemas.schema(name))
 
     return make
 

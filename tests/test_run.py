@@ -1,0 +1,207 @@
+"""The whole run: publication, reruns, failures, and many sessions at once."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from conftest import AS_OF
+from pyspark.sql import functions as F
+
+from mailtax.functions.rules import INSERTS, LETTER_SHOP
+from mailtax.plans.run import run_sales_tax, sales_tax_run, session_outcomes
+from mailtax.sources.tables import conform, read_published, read_run, read_tables, write_run
+
+USER = "u"
+
+
+@pytest.fixture
+def world(billing):
+    """Session 1: native line 1, generated line 2, service line 3. Session 2: line 4, billed wrongly."""
+    item = {"sales_tax_code_key": 1, "is_exportable": True}
+    line = lambda k, inv, i, q: {
+        "invoice_line_item_key": k, "invoice_key": inv, "line_item_key": i, "vendor_item_key": 1, "quantity": q,
+        "rate": Decimal("2.5"), "extended_amount": Decimal("100"),
+    }
+    act = lambda k: {"invoice_line_item_key": k, "category_key": k, "rate_model_key": 1, "rate_key": 1,
+                     "include_in_sales_tax_batch": True}
+
+    def make(**more):
+        rows = {
+            "sessions": [{"session_key": k, "session_id": f"s{k}", "client_configuration_key": 9} for k in (1, 2, 3)],
+            "invoices": [{"invoice_key": 10 * k, "session_key": k, "client_configuration_key": 9} for k in (1, 2, 3)],
+            "line_items": [
+                {"line_item_key": 1, "module": "a." + LETTER_SHOP, "use_customer_tax_address": False, **item},
+                {"line_item_key": 2, "module": "a." + INSERTS, "use_customer_tax_address": False, **item},
+                {"line_item_key": 3, "module": "a.Service.Other", "use_customer_tax_address": True, **item},
+            ],
+            "invoice_line_items": [line(1, 10, 1, 3), line(2, 10, 2, 3), line(3, 10, 3, 4), line(4, 20, 2, 9)],
+            "activities": [act(k) for k in (1, 2, 3, 4)],
+            "rate_models": [{"rate_model_key": 1, "price": Decimal("0")}],
+            "rates": [{"rate_key": 1, "rate_type_key": 6}],
+            "details": [
+                {"detail_key": 1, "category_key": 1, "transaction_guid": "n1", "data_stream_detail_id": "x"},
+                *[{"detail_key": 20 + n, "category_key": 2, "data_stream_detail_id": f"p{n}"} for n in range(3)],
+                {"detail_key": 40, "category_key": 4, "data_stream_detail_id": "p0"},
+            ],
+            "delivery_points": [
+                {"delivery_point_id": f"d{z}", "transaction_guid": "n1", "city": "C", "state_region": "S",
+                 "postal_code": z, "destination_code": "D", "quantity": q, "is_active": True}
+                for z, q in (("1", 3), ("2", 3), ("3", 1))
+            ],
+            "host1_pieces": [
+                {"data_stream_detail_id": f"p{n}", "city": c, "state": c, "zip": c, "is_foreign": n == 2}
+                for n, c in enumerate(("A", "A", ""))
+            ],
+            "transaction_types": [
+                {"transaction_type_id": 1, "transaction_type_guid": "39362017-6b1e-4d75-90a2-75fd0e422756"}
+            ],
+        }
+        return billing(**{**rows, **more})
+
+    return make
+
+
+def detail_rows(df):
+    return sorted(
+        (r["sales_tax_batch_key"], r["zip"], r["quantity"], r["rate"], r["is_foreign"], r["should_export"])
+        for r in df.collect()
+    )
+
+
+EXPECTED = [
+    (1, "1", 3, Decimal("14.286"), False, True),
+    (1, "2", 3, Decimal("14.286"), False, True),
+    (1, "3", 1, Decimal("14.284"), False, True),
+    # Generated line: the blank foreign address sorts first and gets the client's address; 'A' takes the rest.
+    (2, "00009", 1, Decimal("33.333"), True, False),
+    (2, "A", 2, Decimal("33.3335"), False, True),
+    (3, "00009", 4, Decimal("2.5"), False, True),
+]
+
+
+def test_native_generated_and_service_lines(world):
+    run = sales_tax_run(world(), as_of=AS_OF, user=USER)
+    assert detail_rows(run.sales_tax_batch_details) == EXPECTED
+    assert sorted(r["sales_tax_batch_key"] for r in run.sales_tax_batches.collect()) == [1, 2, 3]
+    assert [r["quantity"] for r in run.transactions.collect()] == [3]
+    assert [r["message"] for r in run.invoice_warnings.collect()] == [
+        "Calculated quantity (1) does not match invoiced quantity (9)"
+    ]
+    assert run.category_detail_links.count() == 3
+    assert {(r["invoice_line_item_key"], r["transaction_guid"] is None) for r in run.session_line_links.collect()} == {
+        (2, False), (4, True)
+    }
+
+
+def test_one_session_gives_its_share(world, spark):
+    t = world()
+    for key in (1, 2):
+        scope = spark.createDataFrame([(key,)], "session_key bigint")
+        run = sales_tax_run(t, sessions=scope, as_of=AS_OF, user=USER)
+        assert detail_rows(run.sales_tax_batch_details) == (EXPECTED if key == 1 else [])
+        assert run.invoice_warnings.count() == key - 1
+
+
+def test_publication_rerun_and_outcomes(world, spark, tmp_path):
+    root = str(tmp_path / "out")
+    t = world()
+    first = spark.createDataFrame([(1,), (2,)], "session_key bigint")
+    assert run_sales_tax(t, root, "run-1", sessions=first, as_of=AS_OF, user=USER) == (1, "Success")
+    published = read_published(spark, root, "sales_tax_batch_details")
+    assert detail_rows(published) == EXPECTED
+    ids = {r["sales_tax_batch_detail_id"] for r in published.collect()}
+    assert read_published(spark, root, "invoice_warnings").count() == 1
+
+    # The bill of session 2 is put right and it runs again: its warning goes, session 1 stays.
+    lines = [r.asDict() for r in t["invoice_line_items"].collect()]
+    fixed = world(invoice_line_items=[{**x, "quantity": 1} if x["invoice_line_item_key"] == 4 else x for x in lines])
+    second = spark.createDataFrame([(2,)], "session_key bigint")
+    later = AS_OF + timedelta(days=1)
+    assert run_sales_tax(fixed, root, "run-2", sessions=second, as_of=later, user=USER)[0] == 1
+    assert read_published(spark, root, "invoice_warnings").count() == 0
+    rows = read_published(spark, root, "sales_tax_batch_details").collect()
+    now = {r["sales_tax_batch_detail_id"] for r in rows}
+    with_four = [*EXPECTED, (4, "A", 1, Decimal("100"), False, True)]
+    assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == with_four
+    assert ids < now and len(now) == len(rows)
+
+    # Trying the same run again replaces it; ids do not change.
+    assert run_sales_tax(fixed, root, "run-2", sessions=second, as_of=later, user=USER)[0] == 1
+    again = read_published(spark, root, "sales_tax_batch_details")
+    assert detail_rows(again) == with_four
+    assert {r["sales_tax_batch_detail_id"] for r in again.collect()} == now
+
+    outcomes = {r["session_key"]: (r["return_code"], r["return_message"]) for r in
+                session_outcomes(spark, t, root).collect()}
+    assert outcomes == {1: (1, "Success"), 2: (1, "Success"), 3: (0, "Process not completed.")}
+
+
+def test_failed_run_is_recorded_and_never_read(world, spark, tmp_path):
+    root = str(tmp_path / "out")
+    good = world()
+    assert run_sales_tax(good, root, "run-1", as_of=AS_OF, user=USER)[0] == 1
+    points = [{**r.asDict(), "quantity": 0} for r in good["delivery_points"].collect()]
+    bad = world(delivery_points=points)
+    code, message = run_sales_tax(bad, root, "run-2", as_of=AS_OF + timedelta(days=1), user=USER)
+    assert code == -102 and message.startswith("Error") and len(message) <= 256
+    assert read_run(spark, root, "transactions", "run-2").count() == 1
+    assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == EXPECTED
+    assert read_published(spark, root, "transactions").select("run_id").distinct().collect()[0][0] == "run-1"
+    assert {r["return_code"] for r in session_outcomes(spark, good, root).collect()} == {-102}
+    # With on_zero='warn' the other batches go through.
+    warned = sales_tax_run(bad, as_of=AS_OF, user=USER, on_zero="warn").sales_tax_batch_details
+    assert detail_rows(warned) == EXPECTED[3:]
+
+
+def test_tables_are_read_by_path_or_name_with_declared_types(spark, tmp_path, table):
+    raw = spark.createDataFrame(
+        [(1, "ABC", 9, "extra"), (2, None, None, "x")], "session_key int, session_id string, "
+        "client_configuration_key int, other string"
+    )
+    raw.write.parquet(str(tmp_path / "sessions"))
+    raw.createOrReplaceTempView("sessions_view")
+    t = read_tables(spark, {"sessions": str(tmp_path / "sessions")})
+    v = read_tables(spark, {"sessions": "sessions_view"})
+    for found in (t["sessions"], v["sessions"]):
+        assert found.schema == table("sessions", []).schema
+        assert sorted(r["session_id"] or "" for r in found.collect()) == ["", "abc"]
+    assert conform(raw, "sessions").columns == ["session_key", "session_id", "client_configuration_key"]
+
+
+def test_write_run_splits_a_large_session(spark, tmp_path):
+    """A session with most of the rows is written by several tasks."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64KB")
+    try:
+        rows = spark.range(200000).select(
+            F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(1).alias("session_key"),
+            F.md5(F.col("id").cast("string")).alias("session_id"),
+        )
+        write_run(rows, str(tmp_path), "sessions", "r", cluster_by="session_key")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = spark.read.parquet(str(tmp_path / "sessions"))
+    holding = written.where("session_key = 1").select(F.input_file_name()).distinct().count()
+    assert holding > 4 and written.count() == 200000
+
+
+def test_look_back_includes_both_ends(spark, billing):
+    from mailtax.operators.reports import active_clients
+
+    day = lambda d: datetime(2024, 1, 31) - timedelta(days=d)
+    ages = {1: 0, 2: 30, 3: 31, 4: -1, 5: 5}
+    t = billing(
+        clients=[{"client_key": 1}],
+        client_configurations=[
+            {"client_configuration_key": k, "client_configuration_id": f"c{k}", "client_key": 1,
+             "client_configuration_name": f"n{k}"} for k in ages
+        ],
+        invoices=[{"invoice_key": k, "session_key": 1, "client_configuration_key": k} for k in ages],
+        host_client_configs=[{"client_configuration_id": f"c{k}"} for k in ages],
+        file_stream_configs=[{"client_configuration_id": f"c{k}", "file_stream_config_id": f"f{k}"} for k in ages],
+        file_streams=[{"file_stream_config_id": f"f{k}", "date_added": day(a), "is_active": k != 5}
+                      for k, a in ages.items()],
+    )
+    found = active_clients(t, as_of=AS_OF).collect()
+    assert [r["client_configuration_key"] for r in found] == [1, 2]
