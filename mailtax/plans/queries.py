@@ -88,7 +88,7 @@ def _native_addresses(t: ln.Tables) -> DataFrame:
 
 def _sales_tax_details(t: ln.Tables) -> DataFrame:
     lines = cut(_taxed(t))
-    return al.sales_tax_details(t, lines, al.batch_addresses(t, lines), **RUN)
+    return al.sales_tax_details(t, lines, cut(al.batch_addresses(t, lines)), **RUN)
 
 
 def _bridged(t: ln.Tables, bridge: str) -> DataFrame:

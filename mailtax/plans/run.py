@@ -58,9 +58,9 @@ def sales_tax_run(
         {"taxable_line_items": points.taxable_line_items_of(links), "delivery_points": new_points}, t
     )
     new = F.coalesce("is_generated", F.lit(False))
-    addresses = allocate.batch_addresses(
-        t, taxed.where(~new), few_sessions=sessions is not None
-    ).unionByName(allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item"))
+    native = allocate.batch_addresses(t, taxed.where(~new), few_sessions=sessions is not None)
+    by_line = allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item")
+    addresses = cut(native.unionByName(by_line))
     return TaxRun(
         transactions=points.generate_billing_transactions(status, as_of=as_of),
         delivery_points=new_points,

@@ -34,8 +34,15 @@ def test_no_window_over_a_batch_in_the_allocation(spark):
 
 
 def test_allocation_reads_the_addresses_once(spark):
-    df = entry.queries()["sales_tax_allocation"](spark, SF_DIR)
-    df.collect()
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        df = entry.queries()["sales_tax_allocation"](spark, SF_DIR)
+        df.collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
     final = plan_of(df).split("== Initial Plan ==")[0]
     assert "ReusedExchange [sales_tax_batch_key" in final
 
