@@ -23,7 +23,7 @@ def batch_addresses(
     lines: DataFrame,
     *,
     bridge: str = "details",
-    few_sessions: bool = False,
+    linked: DataFrame | None = None,
     tag_prefix: str = "btdp-gen",
 ) -> DataFrame:
     """Quantity per batch, address and rate: delivery points reached through one of three bridges.
@@ -35,8 +35,7 @@ def batch_addresses(
     ``taxable_line_item``  line -> its generated transaction (``taxable_line_items`` table).
     ``provenance_tag``     line -> its generated transaction, read from the tag of the transaction.
 
-    ``few_sessions`` filters the details by the lines' categories before they are aggregated, which pays when
-    the lines are a small part of the data.
+    ``linked`` are stored ``linked_transactions`` for the first of them.
     """
     if bridge not in BRIDGES:
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
@@ -46,8 +45,8 @@ def batch_addresses(
     )
     times = F.lit(1)
     if bridge == "details":
-        within = rated.select("category_key") if few_sessions else None
-        reached = rated.join(category_transactions(t, within), "category_key")
+        linked = category_transactions(t) if linked is None else linked
+        reached = rated.join(linked, "category_key")
         times = F.col("detail_count")
     elif bridge == "taxable_line_item":
         own = t["taxable_line_items"].where(

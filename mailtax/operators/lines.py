@@ -33,12 +33,13 @@ def session_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
         key = "session_key" if "session_key" in sessions.columns else "session_id"
         scope = scope.join(sessions.select(key), key, "left_semi")
     invoices = t["invoices"].select("invoice_key", "session_key", "client_configuration_key")
-    catalogue = t["line_items"].drop("vendor_item_key")
+    catalogue = t["line_items"].drop("vendor_item_key", "line_item_name", "line_item_description")
     return (
         t["invoice_line_items"]
         .join(invoices.join(scope.select("session_key"), "session_key", "left_semi"), "invoice_key")
         .join(catalogue, "line_item_key")
         .join(t["sales_tax_codes"], "sales_tax_code_key")
+        .drop("invoice_key", "sales_tax_code_key")
     )
 
 
@@ -62,27 +63,27 @@ def category_transactions(t: Tables, categories: DataFrame | None = None) -> Dat
     )
 
 
-def covered_categories(t: Tables) -> DataFrame:
-    """Categories with at least one detail whose transaction has an active delivery point."""
-    active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid").distinct()
-    return (
-        category_transactions(t)
-        .join(active, "transaction_guid", "left_semi")
-        .select("category_key")
-        .distinct()
-    )
+def linked_transactions(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
+    """``category_transactions`` of the flagged activities in scope."""
+    if sessions is None:
+        return category_transactions(t)
+    return category_transactions(t, _scoped_activities(t, session_lines(t, sessions)).select("category_key"))
 
 
-def line_coverage(t: Tables) -> DataFrame:
-    """Per line item with flagged activities: has it a covered activity, has it an uncovered one."""
-    covered = covered_categories(t).withColumn("covered", F.lit(True))
-    hit = F.coalesce(F.col("covered"), F.lit(False))
+def _scoped_activities(t: Tables, lines: DataFrame) -> DataFrame:
+    return flagged_activities(t).join(lines.select("invoice_line_item_key"), "invoice_line_item_key", "left_semi")
+
+
+def covered_categories(t: Tables, linked: DataFrame, *, few: bool = False) -> DataFrame:
+    """Categories with at least one detail whose transaction has an active delivery point.
+
+    ``few`` says that ``linked`` is a small part of the data; the points are then filtered by it first.
+    """
+    active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid")
+    if few:
+        active = active.join(linked.select("transaction_guid"), "transaction_guid", "left_semi")
     return (
-        flagged_activities(t)
-        .select("invoice_line_item_key", "category_key")
-        .join(covered, "category_key", "left")
-        .groupBy("invoice_line_item_key")
-        .agg(F.max(hit).alias("has_covered"), F.max(~hit).alias("has_uncovered"))
+        linked.join(active.distinct(), "transaction_guid", "left_semi").select("category_key").distinct()
     )
 
 
@@ -92,9 +93,26 @@ def new_status_key(t: Tables) -> Column:
     return new.agg(F.min("status_key")).scalar()
 
 
-def covered_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
-    """Lines with flagged activities and both coverage flags; the jobs below are filters on it."""
-    return session_lines(t, sessions).join(line_coverage(t), "invoice_line_item_key")
+def covered_lines(
+    t: Tables, sessions: DataFrame | None = None, *, linked: DataFrame | None = None
+) -> DataFrame:
+    """Lines with flagged activities and two flags: has it a covered activity, has it an uncovered one.
+
+    The jobs below are filters on it. ``linked`` are stored ``linked_transactions``.
+    """
+    lines = session_lines(t, sessions)
+    few = sessions is not None
+    linked = linked_transactions(t, sessions) if linked is None else linked
+    covered = covered_categories(t, linked, few=few).withColumn("covered", F.lit(True))
+    acts = _scoped_activities(t, lines) if few else flagged_activities(t)
+    hit = F.coalesce(F.col("covered"), F.lit(False))
+    coverage = (
+        acts.select("invoice_line_item_key", "category_key")
+        .join(covered, "category_key", "left")
+        .groupBy("invoice_line_item_key")
+        .agg(F.max(hit).alias("has_covered"), F.max(~hit).alias("has_uncovered"))
+    )
+    return lines.join(coverage, "invoice_line_item_key")
 
 
 def taxable_lines(lines: DataFrame, generated: DataFrame | None = None) -> DataFrame:
@@ -189,10 +207,19 @@ def host_of(in_host1: Column, in_host2: Column) -> Column:
     return F.when(in_host1, HOST1).when(in_host2, HOST2).otherwise(UNKNOWN_HOST).cast("int")
 
 
-def infer_host_system(t: Tables, lines: DataFrame) -> DataFrame:
+def known_pieces(table: DataFrame, ids: DataFrame | None) -> DataFrame:
+    """Piece records of a host, limited to ``ids`` if these are a small part of the data.
+
+    The later outer join could not broadcast the small side; this filter can.
+    """
+    return table if ids is None else table.join(ids, "data_stream_detail_id", "left_semi")
+
+
+def infer_host_system(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame:
     """1 or 2 after the host that knows the line's details, 0 where neither does.
 
-    The details of a line come from one host, so any known detail decides.
+    The details of a line come from one host, so any known detail decides. ``few`` says that the lines are a
+    small part of the data.
     """
     details = t["details"].select("category_key", "data_stream_detail_id")
     streams = (
@@ -203,13 +230,13 @@ def infer_host_system(t: Tables, lines: DataFrame) -> DataFrame:
         .where(F.col("data_stream_detail_id").isNotNull())
         .drop("category_key")
     )
-    host1 = t["host1_pieces"].select("data_stream_detail_id", F.lit(True).alias("in_host1"))
-    host2 = t["host2_pieces"].select("data_stream_detail_id", F.lit(True).alias("in_host2"))
-    known = (
-        streams.join(host1, "data_stream_detail_id", "left")
-        .join(host2, "data_stream_detail_id", "left")
-        .groupBy("invoice_line_item_key")
-        .agg(F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2"))
+    ids = streams.select("data_stream_detail_id") if few else None
+    known = streams
+    for name in ("host1", "host2"):
+        table = known_pieces(t[f"{name}_pieces"].select("data_stream_detail_id"), ids)
+        known = known.join(table.withColumn(f"in_{name}", F.lit(True)), "data_stream_detail_id", "left")
+    known = known.groupBy("invoice_line_item_key").agg(
+        F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2")
     )
     return lines.select("invoice_line_item_key").join(known, "invoice_line_item_key", "left").select(
         "invoice_line_item_key", host_of(F.col("in_host1"), F.col("in_host2")).alias("host_system_id")

@@ -69,7 +69,7 @@ def _shaped(df: DataFrame, table: str, values: dict[str, Column]) -> DataFrame:
 def generate_delivery_points(
     status: DataFrame, pieces: DataFrame, *, as_of: datetime, tag_prefix: str = TAG_PREFIX
 ) -> DataFrame:
-    """Qualified details of accepted lines counted per address, both hosts in one pass.
+    """Qualified details of accepted lines counted per address.
 
     The count is taken under each host's rules before the lines are joined, so only address rows meet the
     line table. The foreign flag itself is a key: a NULL and a false flag give two domestic points.
@@ -99,21 +99,22 @@ def generate_delivery_points(
 
 
 def _address_counts(pieces: DataFrame) -> DataFrame:
-    def side(host: int, record: str, quantity: str) -> Column:
-        address = F.struct(
+    """Qualified details per line, host and address. ``pieces`` is read once per host, so it should be stored."""
+
+    def side(host: int, record: str, quantity: str) -> DataFrame:
+        place = F.col(record)
+        return pieces.where(place.isNotNull() & F.col(quantity).isNotNull()).select(
+            "invoice_line_item_key",
             F.lit(host).alias("host_system_id"),
-            folded(F.col(record)["city"]).alias("city"),
-            folded(F.col(record)["state"]).alias("state_region"),
-            F.rtrim(F.col(record)["zip"]).alias("postal_code"),
-            F.col(record)["is_foreign"].alias("foreign_flag"),
+            folded(place["city"]).alias("city"),
+            folded(place["state"]).alias("state_region"),
+            F.rtrim(place["zip"]).alias("postal_code"),
+            place["is_foreign"].alias("foreign_flag"),
         )
-        return F.when(F.col(record).isNotNull() & F.col(quantity).isNotNull(), address)
 
-    sides = F.array_compact(
-        F.array(side(HOST1, "host1", "quantity1"), side(HOST2, "host2", "quantity2"))
-    )
     return (
-        pieces.select("invoice_line_item_key", F.inline(sides))
+        side(HOST1, "host1", "quantity1")
+        .unionByName(side(HOST2, "host2", "quantity2"))
         .groupBy("invoice_line_item_key", "host_system_id", "city", "state_region", "postal_code", "foreign_flag")
         .agg(F.count("*").alias("quantity"))
     )

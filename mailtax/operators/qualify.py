@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from mailtax.functions import rules
 from mailtax.functions.expressions import concat_null_as_empty
 from mailtax.functions.rules import HOST1, HOST2, UNKNOWN_HOST
-from mailtax.operators.lines import Tables, host_of
+from mailtax.operators.lines import Tables, host_of, known_pieces
 
 HOST_NAMES = {HOST1: "Host 1", HOST2: "Host 2"}
 
@@ -32,12 +32,13 @@ def with_type_id(t: Tables, df: DataFrame) -> DataFrame:
     return df.join(types, "transaction_type_guid", "left")
 
 
-def match_pieces(t: Tables, lines: DataFrame) -> DataFrame:
+def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame:
     """Every detail of the lines with both hosts' piece records and the quantity it has on either host.
 
     This is the one wide join of the run: details meet the piece tables once, on the piece id, and the host
     jobs, the reconciliation and the delivery points all read the result. A detail without a piece id gets a
-    join key of its own, so such details spread over all tasks.
+    join key of its own, so such details spread over all tasks. ``few`` says that the lines are a small part of
+    the data; the piece tables are then filtered before they are joined.
     """
     acts = t["activities"].select("invoice_line_item_key", "category_key")
     details = t["details"].select("detail_key", "category_key", "data_stream_detail_id")
@@ -49,8 +50,9 @@ def match_pieces(t: Tables, lines: DataFrame) -> DataFrame:
             "piece_id", F.coalesce("data_stream_detail_id", F.concat(F.lit("none "), F.col("detail_key")))
         )
     )
+    ids = pieces.select("data_stream_detail_id") if few else None
     for name in ("host1", "host2"):
-        table = t[f"{name}_pieces"]
+        table = known_pieces(t[f"{name}_pieces"], ids)
         record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
         pieces = pieces.join(
             table.select(F.col("data_stream_detail_id").alias("piece_id"), record), "piece_id", "left"
@@ -72,14 +74,16 @@ def by_host(host: Column, value1: Column, value2: Column) -> Column:
     return F.when(host == HOST1, value1).when(host == HOST2, value2)
 
 
-def line_status(t: Tables, lines: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
+def line_status(
+    t: Tables, lines: DataFrame, pieces: DataFrame | None = None, *, few: bool = False
+) -> DataFrame:
     """One row per line: host, transaction type, customer, quantities and the first rule it fails.
 
     Sums are taken under both hosts' rules while the host is found, so a line of any size is aggregated once
     and its details are not joined back to it. ``calculated_quantity`` is NULL where nothing qualified, which
     never matches.
     """
-    pieces = match_pieces(t, lines) if pieces is None else pieces
+    pieces = match_pieces(t, lines, few=few) if pieces is None else pieces
     sums = pieces.groupBy("invoice_line_item_key").agg(
         F.max(F.col("host1").isNotNull()).alias("in_host1"),
         F.max(F.col("host2").isNotNull()).alias("in_host2"),
@@ -107,12 +111,16 @@ def line_status(t: Tables, lines: DataFrame, pieces: DataFrame | None = None) ->
         .withColumn("transaction_type_guid", rules.type_guid(F.col("module")))
         .drop("in_host1", "in_host2", "quantity1", "quantity2", "count1", "count2", "located1", "located2")
     )
-    status = with_type_id(t, status).join(session_customers(t), "session_key", "left")
+    customers = session_customers(t, lines.select("session_key") if few else None)
+    status = with_type_id(t, status).join(customers, "session_key", "left")
     return status.withColumn("warning", _first_failure())
 
 
-def session_customers(t: Tables) -> DataFrame:
+def session_customers(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
     """The customer whose account belongs to a session's client; the smallest id if there are several."""
+    invoices = t["invoices"].select("session_key", "client_configuration_key")
+    if sessions is not None:
+        invoices = invoices.join(sessions, "session_key", "left_semi")
     accounts = (
         t["client_configurations"]
         .select("client_configuration_key", F.col("account_code").alias("account"))
@@ -121,9 +129,7 @@ def session_customers(t: Tables) -> DataFrame:
         .agg(F.min("customer_id").alias("customer_id"))
     )
     return (
-        t["invoices"]
-        .select("session_key", "client_configuration_key")
-        .join(accounts, "client_configuration_key")
+        invoices.join(accounts, "client_configuration_key")
         .groupBy("session_key")
         .agg(F.min("customer_id").alias("customer_id"))
     )

@@ -108,8 +108,10 @@ def session_line_item_report(
 ) -> DataFrame:
     """Taxable lines with catalogue names, quantity and flags; ``strict`` as in the batch job."""
     lines = session_lines(t, sessions).join(lines_with_details(t, strict), "invoice_line_item_key", "left_semi")
+    names = t["line_items"].select("line_item_key", "line_item_name", "line_item_description")
     return (
         of_known_clients(t, lines)
+        .join(names, "line_item_key")
         .select("invoice_line_item_key", "line_item_name", "line_item_description", "quantity",
                 "use_customer_tax_address", "is_exportable")
         .orderBy("invoice_line_item_key")

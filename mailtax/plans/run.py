@@ -58,7 +58,7 @@ def sales_tax_run(
         {"taxable_line_items": points.taxable_line_items_of(links), "delivery_points": new_points}, t
     )
     new = F.coalesce("is_generated", F.lit(False))
-    native = allocate.batch_addresses(t, taxed.where(~new), few_sessions=sessions is not None)
+    native = allocate.batch_addresses(t, taxed.where(~new), linked=made.linked)
     by_line = allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item")
     addresses = cut(native.unionByName(by_line))
     return TaxRun(
@@ -76,8 +76,10 @@ def sales_tax_run(
 
 @dataclass(frozen=True)
 class Generation:
-    """Stored stages of the generation: lines with coverage, matched pieces, and the status of each line."""
+    """Stored stages of the generation: the transactions behind the activities, lines with coverage, matched
+    pieces, and the status of each line."""
 
+    linked: DataFrame
     lines: DataFrame
     pieces: DataFrame
     status: DataFrame
@@ -85,10 +87,12 @@ class Generation:
 
 def generate(t: Tables, sessions: DataFrame | None = None) -> Generation:
     """Match and classify the lines that lack delivery points."""
-    covered = cut(lines.covered_lines(t, sessions))
+    few = sessions is not None
+    linked = cut(lines.linked_transactions(t, sessions))
+    covered = cut(lines.covered_lines(t, sessions, linked=linked))
     todo = lines.non_service_lines(covered)
-    pieces = cut(qualify.match_pieces(t, todo))
-    return Generation(covered, pieces, cut(qualify.line_status(t, todo, pieces)))
+    pieces = cut(qualify.match_pieces(t, todo, few=few))
+    return Generation(linked, covered, pieces, cut(qualify.line_status(t, todo, pieces, few=few)))
 
 
 def run_sales_tax(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The two layouts, the levels from lowest to highest, and the lowest level kept.
-PIPE_LAYOUT = r"^DateTime: ([^|]*)\|MessageLevel:([^|]*)\|LogName:([^|]*)\|((?s).*)$"
+PIPE_LAYOUT = ("DateTime: ", "MessageLevel:", "LogName:")
 BLOCK_LAYOUT = r"^DateTime: ([^\r\n]*)\r?\nLogLevel: ([^\r\n]*)\r?\nMessage: ((?s).*?)\s*$"
 LEVELS = ("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL")
 MIN_LEVEL = "DEBUG"
@@ -35,9 +35,14 @@ def parse_log_lines(
 
     Works on a batch and on a stream. ``log_names`` keeps the records of these logs.
     """
-    text = F.col("value")
-    part = [F.regexp_extract(text, PIPE_LAYOUT, i) for i in range(1, 5)]
-    records = _record(lines.where(text.rlike(PIPE_LAYOUT)), *part)
+    parts = F.col("parts")
+    split = lines.select(F.split("value", r"\|", len(PIPE_LAYOUT) + 1).alias("parts"))
+    fits = F.size(parts) == len(PIPE_LAYOUT) + 1
+    values = []
+    for i, label in enumerate(PIPE_LAYOUT):
+        fits = fits & F.get(parts, F.lit(i)).startswith(label)
+        values.append(F.substring(F.get(parts, F.lit(i)), len(label) + 1, 2**31 - 1))
+    records = _record(split.where(fits), *values, F.get(parts, F.lit(len(PIPE_LAYOUT))))
     records = records.where(F.col("level").isin(*kept_levels(min_level)))
     return records if log_names is None else records.where(F.col("log_name").isin(*log_names))
 

@@ -47,10 +47,10 @@ def standin_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
             _staged[key] = cut(build())
         return _staged[key]
 
-    return LazyTables({n: partial(stage, n, b) for n, b in _builders(spark, sf_dir).items()})
+    return LazyTables({n: partial(stage, n, b) for n, b in _builders(spark, sf_dir, stage).items()})
 
 
-def _builders(spark: SparkSession, sf_dir: str):
+def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[], DataFrame]], DataFrame]):
     @cache
     def raw(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -75,22 +75,25 @@ def _builders(spark: SparkSession, sf_dir: str):
             (F.col("o_custkey") * 10000 + year).cast("bigint").alias("session_key"),
         )
 
-    def pieces(*columns: str) -> DataFrame:
+    def joined_pieces() -> DataFrame:
         day = F.date_format("l_shipdate", "yyyy-MM-dd")
-        item = raw("part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") % 13).alias("item"))
-        piece = raw("lineitem").withColumn(
-            "piece_id", F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day))
+        items = raw("part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") % 13).alias("item"))
+        line = (F.col("l_orderkey") * 100 + F.col("item")).cast("bigint")
+        flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+        return (
+            raw("lineitem")
+            .join(items, "l_partkey")
+            .join(orders(), "l_orderkey")
+            .withColumn("piece_id", F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day)))
+            .withColumn("line", line)
+            .withColumn("flag_key", flag)
+            .withColumn("category", (line * 10 + flag).cast("bigint"))
+            .drop("l_partkey", "l_extendedprice", "l_tax", "l_shipdate")
         )
-        if set(columns) & {"item", "line", "category"}:
-            line = (F.col("l_orderkey") * 100 + F.col("item")).cast("bigint")
-            flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
-            piece = (
-                piece.join(item, "l_partkey")
-                .withColumn("line", line)
-                .withColumn("flag_key", flag)
-                .withColumn("category", (line * 10 + flag).cast("bigint"))
-            )
-        return piece.select("l_orderkey", *columns)
+
+    def pieces() -> DataFrame:
+        """Line items with catalogue item, order and keys: one row per mail piece, joined and stored once."""
+        return stage("joined pieces", joined_pieces)
 
     def addresses() -> DataFrame:
         return (
@@ -100,7 +103,7 @@ def _builders(spark: SparkSession, sf_dir: str):
                     F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal"))
         )
 
-    def mailed(status: str, *columns: str) -> DataFrame:
+    def mailed(status: str) -> DataFrame:
         """Pieces of orders with this status and the address they were mailed to."""
         supplier = raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
         kind = F.col("n_nationkey") % 10
@@ -113,10 +116,9 @@ def _builders(spark: SparkSession, sf_dir: str):
             hidden(F.col("r_name")).alias("state"),
             hidden(F.col("postal")).alias("zip"),
         )
-        wanted = orders().where(F.col("o_orderstatus") == status).select("l_orderkey")
         return (
-            pieces("l_suppkey", "l_linenumber", "piece_id", "l_quantity", "l_discount", "l_linestatus", *columns)
-            .join(wanted, "l_orderkey", "left_semi")
+            pieces()
+            .where(F.col("o_orderstatus") == status)
             .join(supplier, "l_suppkey")
             .join(places, "s_nationkey")
         )
@@ -133,14 +135,13 @@ def _builders(spark: SparkSession, sf_dir: str):
         sheets = F.floor((pages + 1) / 2)
         host2 = F.col("o_orderstatus") == "O"
         sums = (
-            pieces("item", "line", "l_quantity")
-            .groupBy("l_orderkey", "item", "line")
+            pieces()
+            .groupBy("l_orderkey", "item", "line", "o_orderstatus", "priority", "cents")
             .agg(
                 F.count("*").alias("pieces"),
                 F.sum(sheets - 1).alias("extra_sheets"),
                 F.sum(pages - sheets).alias("duplex_sides"),
             )
-            .join(orders(), "l_orderkey")
         )
         quantity = (
             F.when(host2 & (F.col("item") == 0), F.col("extra_sheets"))
@@ -181,7 +182,7 @@ def _builders(spark: SparkSession, sf_dir: str):
         )
 
     def activities() -> DataFrame:
-        acts = pieces("item", "line", "category", "l_returnflag").distinct().join(orders(), "l_orderkey")
+        acts = pieces().select("item", "line", "category", "l_returnflag", "o_custkey", "priority").distinct()
         return shaped(
             acts,
             "activities",
@@ -195,7 +196,7 @@ def _builders(spark: SparkSession, sf_dir: str):
 
     def activity_categories() -> DataFrame:
         totals = (
-            pieces("category", "flag_key", "l_quantity", "l_discount", "l_linestatus")
+            pieces()
             .groupBy("l_orderkey", "category", "flag_key")
             .agg(
                 F.sum("l_quantity").cast("bigint").alias("quantity"),
@@ -218,11 +219,8 @@ def _builders(spark: SparkSession, sf_dir: str):
 
     def details() -> DataFrame:
         flag = F.col("l_returnflag")
-        rows = pieces("item", "category", "piece_id", "l_linenumber", "l_returnflag").join(
-            orders().select("l_orderkey", "o_orderstatus"), "l_orderkey"
-        )
         return shaped(
-            rows,
+            pieces(),
             "details",
             detail_key=F.conv(F.substring("piece_id", 1, 15), 16, 10),
             detail_id=F.col("piece_id"),
@@ -267,7 +265,7 @@ def _builders(spark: SparkSession, sf_dir: str):
     def delivery_points() -> DataFrame:
         region = F.col("n_regionkey")
         return shaped(
-            mailed("P", "item", "category"),
+            mailed("P"),
             "delivery_points",
             delivery_point_id=F.col("piece_id"),
             transaction_guid=native_guid(),
@@ -281,12 +279,11 @@ def _builders(spark: SparkSession, sf_dir: str):
         )
 
     def transactions() -> DataFrame:
-        wanted = orders().where(F.col("o_orderstatus") == "P").select("l_orderkey", "o_custkey", "o_orderdate")
         rows = (
-            pieces("category", "l_linenumber", "l_quantity")
-            .groupBy("l_orderkey", "category", "l_linenumber")
+            pieces()
+            .where(F.col("o_orderstatus") == "P")
+            .groupBy("category", "l_linenumber", "o_custkey", "o_orderdate")
             .agg(F.sum("l_quantity").alias("quantity"))
-            .join(wanted, "l_orderkey")
         )
         return shaped(
             rows,
@@ -449,7 +446,7 @@ def _builders(spark: SparkSession, sf_dir: str):
         "host1_pieces": host1_pieces,
         "host2_pieces": host2_pieces,
         "return_details": lambda: shaped(
-            pieces("piece_id", "l_returnflag").where(flag != "N"),
+            pieces().where(flag != "N"),
             "return_details",
             return_detail_id=F.concat(F.lit("r"), F.col("piece_id")),
             return_reason_id=reason_id,
