@@ -24,7 +24,10 @@ def shared_folder(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once and go on from the files, so later jobs neither repeat nor depend on its lineage.
 
-    Parquet keeps column pruning and size statistics for the readers, which a row checkpoint would lose.
+    Parquet keeps column pruning and size statistics for the readers, which a row checkpoint would lose. Results
+    of an aggregation are also stored before a large table is joined to them on the same key: adaptive execution
+    splits a hot key only where both join sides come straight from a shuffle, not where one side still has the
+    partitioning of its aggregation.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/mailtax-{uuid.uuid4()}"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from mailtax.functions.expressions import RATE_TYPE, blank, nonzero, pro_rata_rate, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import FIXED_RATE_TYPES, HOST1, HOST2
+from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, audit, category_transactions, flagged_activities
 
 ADDRESS = ["city", "state_region", "postal_code"]
@@ -133,7 +134,8 @@ def allocate(addresses: DataFrame, *, on_zero: str = "raise") -> DataFrame:
 
     Every row of a batch has the same pro-rata rate, so the amount given to the earlier rows is that rate
     times their quantity. A batch then needs only its total and its last row, which an aggregation finds
-    with partial results from every task; no task sees a whole batch.
+    with partial results from every task; no task sees a whole batch. The totals are stored, hence a job starts
+    when this is called; ``addresses`` is read twice and should be stored, too.
     """
     last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity")))
     totals = (
@@ -145,6 +147,7 @@ def allocate(addresses: DataFrame, *, on_zero: str = "raise") -> DataFrame:
         )
         .withColumnRenamed("sales_tax_batch_key", "batch")
     )
+    totals = cut(totals)
     rows = addresses.join(totals, addresses["sales_tax_batch_key"] == totals["batch"]).drop("batch")
     is_last = F.lit(True)
     for c in ORDER:
@@ -243,12 +246,12 @@ def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
     )
     return (
         lines.where(F.col("use_customer_tax_address"))
-        .join(home, "client_configuration_key")
         .groupBy(
-            "sales_tax_batch_key", "session_key", "client_configuration_key", "taxable_city", "taxable_state",
-            "taxable_postal_code", "is_exportable", "rate", "extended_amount",
+            "sales_tax_batch_key", "session_key", "client_configuration_key", "is_exportable", "rate",
+            "extended_amount",
         )
         .agg(F.sum("quantity").alias("quantity"))
+        .join(home, "client_configuration_key")
         .select(
             uuid_from(F.lit("service"), F.col("sales_tax_batch_key")).alias("sales_tax_batch_detail_id"),
             "sales_tax_batch_key",
@@ -276,7 +279,7 @@ def sales_tax_details(
 ) -> DataFrame:
     """Final tax detail rows: allocated delivery rows with blanks filled, and the service lines.
 
-    ``addresses`` are the ``batch_addresses`` of the lines, of one bridge or several together.
+    ``addresses`` are the stored ``batch_addresses`` of the lines, of one bridge or several together.
     """
     delivered = fill_blank_addresses(t, delivery_details(allocate(addresses, on_zero=on_zero)))
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mailtax.functions.expressions import uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import HOST1, HOST2, NEW_BATCH_STATUS_ID, UNKNOWN_HOST
+from mailtax.functions.staging import cut
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,20 +24,24 @@ def audit(user: str, as_of: datetime) -> list[Column]:
     ]
 
 
-def session_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
-    """Invoice line items with their session, client and catalogue columns.
+def scoped_sessions(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
+    """Keys and ids of the sessions named by ``session_key`` or ``session_id``; of all without ``sessions``."""
+    scope = t["sessions"].select("session_key", F.lower("session_id").alias("session_id"))
+    if sessions is None:
+        return scope
+    if "session_key" in sessions.columns:
+        return cut(scope.join(sessions.select("session_key"), "session_key", "left_semi"))
+    return cut(scope.join(sessions.select(F.lower("session_id").alias("session_id")), "session_id", "left_semi"))
 
-    ``sessions`` restricts the run; it holds ``session_key`` or ``session_id``. All sessions otherwise.
-    """
-    scope = t["sessions"].select("session_key", "session_id")
-    if sessions is not None:
-        key = "session_key" if "session_key" in sessions.columns else "session_id"
-        scope = scope.join(sessions.select(key), key, "left_semi")
+
+def session_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
+    """Invoice line items of the sessions with their session, client and catalogue columns."""
+    scope = scoped_sessions(t, sessions).select("session_key")
     invoices = t["invoices"].select("invoice_key", "session_key", "client_configuration_key")
     catalogue = t["line_items"].drop("vendor_item_key", "line_item_name", "line_item_description")
     return (
         t["invoice_line_items"]
-        .join(invoices.join(scope.select("session_key"), "session_key", "left_semi"), "invoice_key")
+        .join(invoices.join(scope, "session_key", "left_semi"), "invoice_key")
         .join(catalogue, "line_item_key")
         .join(t["sales_tax_codes"], "sales_tax_code_key")
         .drop("invoice_key", "sales_tax_code_key")
@@ -82,9 +87,8 @@ def covered_categories(t: Tables, linked: DataFrame, *, few: bool = False) -> Da
     active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid")
     if few:
         active = active.join(linked.select("transaction_guid"), "transaction_guid", "left_semi")
-    return (
-        linked.join(active.distinct(), "transaction_guid", "left_semi").select("category_key").distinct()
-    )
+    guids = cut(active.distinct())
+    return cut(linked.join(guids, "transaction_guid", "left_semi").select("category_key").distinct())
 
 
 def new_status_key(t: Tables) -> Column:
@@ -173,7 +177,7 @@ def session_line_item_batches(
 def lines_with_details(t: Tables, strict: bool) -> DataFrame:
     acts = flagged_activities(t).where(F.col("category_key").isNotNull())
     if strict:
-        acts = acts.join(t["details"].select("category_key").distinct(), "category_key", "left_semi")
+        acts = acts.join(cut(t["details"].select("category_key").distinct()), "category_key", "left_semi")
     else:
         acts = acts.where(t["details"].select(F.lit(1)).exists())
     return acts.select("invoice_line_item_key")

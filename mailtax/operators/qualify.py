@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailtax.functions import rules
-from mailtax.functions.expressions import concat_null_as_empty
+from mailtax.functions.expressions import concat_null_as_empty, folded
 from mailtax.functions.rules import HOST1, HOST2, UNKNOWN_HOST
+from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, host_of, known_pieces
 
 HOST_NAMES = {HOST1: "Host 1", HOST2: "Host 2"}
@@ -96,7 +97,10 @@ def line_status(
     )
     host = F.col("host_system_id")
     status = (
-        lines.join(sums, "invoice_line_item_key", "left")
+        lines.select(
+            "invoice_line_item_key", "session_key", "line_item_key", "vendor_item_key", "module", "quantity"
+        )
+        .join(sums, "invoice_line_item_key", "left")
         .withColumn("host_system_id", host_of(F.col("in_host1"), F.col("in_host2")))
         .withColumn("calculated_quantity", by_host(host, F.col("quantity1"), F.col("quantity2")))
         .withColumn(
@@ -111,7 +115,7 @@ def line_status(
         .withColumn("transaction_type_guid", rules.type_guid(F.col("module")))
         .drop("in_host1", "in_host2", "quantity1", "quantity2", "count1", "count2", "located1", "located2")
     )
-    customers = session_customers(t, lines.select("session_key") if few else None)
+    customers = cut(session_customers(t, lines.select("session_key") if few else None))
     status = with_type_id(t, status).join(customers, "session_key", "left")
     return status.withColumn("warning", _first_failure())
 
@@ -123,10 +127,8 @@ def session_customers(t: Tables, sessions: DataFrame | None = None) -> DataFrame
         invoices = invoices.join(sessions, "session_key", "left_semi")
     accounts = (
         t["client_configurations"]
-        .select("client_configuration_key", F.col("account_code").alias("account"))
-        .join(t["customers"], "account")
-        .groupBy("client_configuration_key")
-        .agg(F.min("customer_id").alias("customer_id"))
+        .select("client_configuration_key", folded(F.col("account_code")).alias("account"))
+        .join(t["customers"].withColumn("account", folded(F.col("account"))), "account")
     )
     return (
         invoices.join(accounts, "client_configuration_key")
@@ -185,7 +187,7 @@ def _first_failure() -> Column:
 
 def qualify_details(lines: DataFrame, pieces: DataFrame) -> DataFrame:
     """Details that qualify under the rule of their line's host and module, with their quantity."""
-    hosts = infer_hosts(lines, pieces).where(F.col("host_system_id") != UNKNOWN_HOST)
+    hosts = cut(infer_hosts(lines, pieces).where(F.col("host_system_id") != UNKNOWN_HOST))
     return (
         pieces.join(hosts, "invoice_line_item_key")
         .withColumn("quantity", by_host(F.col("host_system_id"), F.col("quantity1"), F.col("quantity2")))

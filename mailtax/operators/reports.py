@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, lines_with_details, non_service_line_items, of_known_clients, session_lines
 
 
@@ -70,7 +71,7 @@ def return_update_counts(t: Tables, line_keys: DataFrame | None = None) -> DataF
     return (
         acts.select("invoice_line_item_key", "category_key")
         .join(lines, "invoice_line_item_key", "left_semi")
-        .join(flags, "category_key")
+        .join(cut(flags), "category_key")
         .groupBy("invoice_line_item_key")
         .agg(F.sum("num_returns").alias("num_returns"), F.sum("num_updates").alias("num_updates"))
     )
@@ -96,7 +97,7 @@ def transactions_for_line(t: Tables, line_keys: DataFrame | None = None) -> Data
     guids = (
         t["details"]
         .where(F.col("transaction_guid").isNotNull())
-        .join(categories, "category_key", "left_semi")
+        .join(cut(categories.distinct()), "category_key", "left_semi")
         .select("transaction_guid")
         .distinct()
     )

@@ -248,10 +248,10 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "rate_distribution": lambda t: _distribution_columns(al.rate_distribution(_native_addresses(t))),
     "rate_distribution_line_bridge": lambda t: _distribution_columns(_bridged(t, "taxable_line_item")),
     "rate_distribution_tag_bridge": lambda t: _distribution_columns(_bridged(t, "provenance_tag")),
-    "sales_tax_allocation": lambda t: _detail_columns(al.delivery_details(al.allocate(_native_addresses(t)))),
+    "sales_tax_allocation": lambda t: _detail_columns(al.delivery_details(al.allocate(cut(_native_addresses(t))))),
     "sales_tax_service_lines": lambda t: _detail_columns(al.service_lines(t, _taxed(t))),
     "sales_tax_address_fill": lambda t: _detail_columns(
-        al.fill_blank_addresses(t, al.delivery_details(al.allocate(_native_addresses(t))))
+        al.fill_blank_addresses(t, al.delivery_details(al.allocate(cut(_native_addresses(t)))))
     ),
     "sales_tax_details": lambda t: _detail_columns(_sales_tax_details(t)),
     "taxable_line_items": lambda t: _batch_columns(ln.taxable_line_items(t, **RUN)),

@@ -110,10 +110,7 @@ def run_sales_tax(
     Readers go by the audit rows (``read_published``), so a failed run changes nothing for them and a rerun
     replaces the earlier results of its sessions. Returns the code and message put into the audit rows.
     """
-    scope = t["sessions"].select("session_key", "session_id")
-    if sessions is not None:
-        key = "session_key" if "session_key" in sessions.columns else "session_id"
-        scope = scope.join(sessions.select(key), key, "left_semi")
+    scope = lines.scoped_sessions(t, sessions)
     try:
         results = sales_tax_run(t, sessions=sessions, as_of=as_of, user=user, on_zero=on_zero)
         for table, rows in results.tables().items():

@@ -157,6 +157,11 @@ def test_customer_host_and_type_failures_come_first(matrix):
     assert all(w.startswith("Cannot ") for w in missing) and len(missing) == 10
 
 
+def test_account_codes_ignore_case_and_trailing_spaces(matrix, table):
+    t = {**matrix, "customers": table("customers", [{"customer_id": 78, "account": "a9 "}])}
+    assert [r["customer_id"] for r in ql.session_customers(t).collect()] == [78]
+
+
 def test_unknown_hosts_are_silent_by_default(matrix):
     t = {**matrix, "host1_pieces": matrix["host1_pieces"].limit(0)}
     status = ql.line_status(t, ln.non_service_lines(ln.covered_lines(t)))

@@ -69,7 +69,7 @@ def test_uncovered_is_per_activity(billing):
 def test_session_filter_by_key_and_id(billing, spark):
     t = world(billing)
     by_key = spark.createDataFrame([(1,)], "session_key bigint")
-    by_id = spark.createDataFrame([("s1",)], "session_id string")
+    by_id = spark.createDataFrame([("S1",)], "session_id string")
     other = spark.createDataFrame([(2,)], "session_key bigint")
     assert keys(ln.non_service_line_items(t, sessions=by_key)) == [2, 3]
     assert keys(ln.non_service_line_items(t, sessions=by_id)) == [2, 3]

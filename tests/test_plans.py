@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from mailtax import schemas
 from mailtax.functions.rules import LETTER_SHOP
+from mailtax.functions.staging import cut
 from mailtax.operators import allocate as al
 from mailtax.operators import lines as ln
 from mailtax.operators import points as pt
@@ -33,18 +34,10 @@ def test_no_window_over_a_batch_in_the_allocation(spark):
     assert "Window" not in plan_of(entry.queries()["sales_tax_details"](spark, SF_DIR))
 
 
-def test_allocation_reads_the_addresses_once(spark):
-    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    try:
-        for name in names:
-            spark.conf.set(name, "-1")
-        df = entry.queries()["sales_tax_allocation"](spark, SF_DIR)
-        df.collect()
-    finally:
-        for name in names:
-            spark.conf.unset(name)
-    final = plan_of(df).split("== Initial Plan ==")[0]
-    assert "ReusedExchange [sales_tax_batch_key" in final
+def test_allocation_reads_stored_addresses(spark):
+    """The joins behind the addresses are not in the plan, neither for the rows nor for the totals."""
+    plan = plan_of(entry.queries()["sales_tax_allocation"](spark, SF_DIR))
+    assert "transaction_guid" not in plan and plan.count("FileScan") == 2
 
 
 def test_existence_guard_is_a_subquery(spark):
@@ -140,6 +133,27 @@ def test_hot_line_is_split_in_joins_and_counted_right(spark, skewed):
     assert status.agg(F.sum("detail_count")).first()[0] == count
 
 
+def test_hot_category_is_split_when_activities_meet_coverage(spark, skewed):
+    """Two thirds of all activities share one category."""
+    t, _ = skewed
+    acts = spark.range(300000).select(
+        F.col("id").alias("invoice_line_item_key"),
+        F.when(F.col("id") % 3 > 0, HOT).otherwise(F.col("id")).alias("category_key"),
+        F.lit(True).alias("include_in_sales_tax_batch"),
+    )
+    guids = spark.range(1000).select(F.concat(F.lit("g"), "id").alias("transaction_guid"),
+                                     F.lit(True).alias("is_active"))
+    details = spark.range(20000).select(
+        F.col("id").alias("category_key"), F.concat(F.lit("g"), F.col("id") % 2000).alias("transaction_guid")
+    )
+    covered = ln.covered_categories({"delivery_points": guids}, ln.category_transactions({"details": details}))
+    assert covered.count() == 10000
+    joined = acts.join(covered.withColumn("covered", F.lit(True)), "category_key", "left")
+    assert joined.where("covered").select("invoice_line_item_key").distinct().count() > 200000
+    joined.collect()
+    assert "skew=true" in plan_of(joined)
+
+
 def test_hot_batch_is_allocated_and_numbered_in_pieces(spark, skewed):
     """The addresses of one batch are a third of all; the amounts still add up, line by line."""
     t, _ = skewed
@@ -154,6 +168,10 @@ def test_hot_batch_is_allocated_and_numbered_in_pieces(spark, skewed):
     }
     lines = ln.taxable_lines(ln.covered_lines(t), status.select("invoice_line_item_key"))
     addresses = al.batch_addresses(world, lines, bridge="taxable_line_item")
+    addresses = cut(addresses)
+    allocated = al.allocate(addresses).select("sales_tax_batch_key", "quantity", "rate")
+    allocated.collect()
+    assert "skew=true" in plan_of(allocated)
     totals = {
         r["k"]: r
         for r in al.allocate(addresses).groupBy(F.col("sales_tax_batch_key").alias("k")).agg(
