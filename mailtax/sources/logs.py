@@ -18,7 +18,7 @@ def kept_levels(min_level: str = MIN_LEVEL) -> tuple[str, ...]:
 
 
 def _record(df: DataFrame, at: Column, level: Column, name: Column, message: Column) -> DataFrame:
-    when = F.try_to_timestamp(at, F.lit("yyyy-MM-dd HH:mm:ss.SSSS")).cast("timestamp_ntz")
+    when = at.try_cast("timestamp_ntz")  # log times have no zone
     return df.select(
         when.alias("logged_at"),
         level.alias("level"),
