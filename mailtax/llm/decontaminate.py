@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
-Words are letters or numbers in sequence. Numbers, units after a number and names (capitalised words that do not begin a
-sentence) become typed placeholders, so a question asked again with other numbers or names has the same template.
+Words are letters or numbers in sequence. Numbers, units after a number and names (capitalised words of two letters or more
+that do not begin a sentence) become typed placeholders, so a question asked again with other numbers or names has the same template.
 Windows of ``window`` words of documents and benchmark items are joined on a 64-bit hash of their template; windows with
 more placeholders than words say too little and are left out. Matching windows then have to fill their slots
 consistently: within a document and an item, each value of the item is bound to the document's value found in most
@@ -19,84 +19,111 @@ from mailtax.llm.common import row_key
 
 WINDOW = 5
 SHARE = 0.5
-MAX_BROADCAST_WINDOWS = 1_000_000
+MAX_BROADCAST_ROWS = 1_000_000
 # Units of measure.
 UNITS = (
     "mm cm m km in ft yd mi miles mile meters metres kilometers kilometres mg g kg lb lbs oz tons ton grams kilograms "
     "ml l liters litres gallons s sec seconds second min minutes minute h hr hours hour days day weeks week months month "
     "years year usd eur gbp dollars dollar cents euros euro pounds percent degrees mph kmh"
 ).split()
+# Characters that stand for a sentence start, a name, a number and a unit; where a text holds them itself they count as such.
+START, NAME, NUMBER, UNIT = "\x01", "\x02", "\x03", "\x04"
 SENTENCE_START = r"(^|[.!?:;\n][ \t\n\r]*)(\p{Lu})"
-WORD = r"[0-9]+(?:[.,][0-9]+)*|\x01?\p{L}+"
-
-
-def _slots(text: Column) -> Column:
-    """Array of (template word, filler): the filler is empty for words that stand for themselves."""
-    words = F.regexp_extract_all(F.regexp_replace(text, SENTENCE_START, "$1\x01$2"), F.lit(WORD), F.lit(0))
-    before = F.concat(F.array(F.lit("")), words)
-
-    def slot(word: Column, before: Column) -> Column:
-        low, head = F.lower(word), F.substring(word, 1, 1)
-        number = (head >= "0") & (head <= "9")
-        after_number = F.substring(before, 1, 1).between("0", "9")
-        kind = (
-            F.when(number, "<num>")
-            .when(after_number & low.isin(UNITS), "<unit>")
-            .when((word != low) & (head != "\x01") & (F.length(word) > 1), "<name>")
-        )
-        plain = F.when(head == "\x01", F.substring(low, 2, 1 << 30)).otherwise(low)
-        return F.struct(F.coalesce(kind, plain).alias("word"), F.when(kind.isNull(), "").otherwise(low).alias("filler"))
+CAPITALISED = r"(^|[^\x01\p{L}])(\p{Lu}\p{L})"
+FIGURES = r"[0-9]+(?:[.,][0-9]+)*"
+AFTER_NUMBER = rf"\x03([^\p{{L}}\x02\x03]*)(?:{'|'.join(UNITS)})($|[^\p{{L}}\x03])"
+NAMED = r"\x02\p{L}+"
+WORD = r"[0-9]+(?:[.,][0-9]+)*|\x02?\p{L}+"
+TEMPLATE_WORD = r"[\x02\x03\x04]|\p{L}+"
+
+
+def _marked(text: Column) -> Column:
+    """Lower case, with marks before sentences and names."""
+    return F.lower(F.regexp_replace(F.regexp_replace(text, SENTENCE_START, f"$1{START}$2"), CAPITALISED, f"$1{NAME}$2"))
+
+
+def _template(marked: Column) -> Column:
+    """Words of the template; texts without numbers or names skip what would look for them."""
+    text = F.regexp_replace(marked, FIGURES, NUMBER)
+    text = F.when(F.contains(text, F.lit(NUMBER)), F.regexp_replace(text, AFTER_NUMBER, f"{NUMBER}$1{UNIT}$2")).otherwise(text)
+    text = F.when(F.contains(text, F.lit(NAME)), F.regexp_replace(text, NAMED, NAME)).otherwise(text)
+    return F.regexp_extract_all(text, F.lit(TEMPLATE_WORD), F.lit(0))
 
-    return F.zip_with(words, F.slice(before, F.lit(1), F.size(words)), slot)
+
+def _starts(wide: Column) -> Column:
+    """First places of all windows; of a text shorter than a window one."""
+    return F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - wide)).otherwise(F.array().cast("array<int>"))
+
+
+def _hashes(rows: DataFrame, window: int) -> DataFrame:
+    """One row per window of ``rows`` (column ``text``): the hash of its template."""
+    words = rows.withColumn("words", _template(_marked(F.col("text")))).drop("text")
+    wide = F.least(F.size("words"), F.lit(window))
+    hashes = F.transform(_starts(wide), lambda i: F.xxhash64(F.slice("words", i + 1, wide)))
+    return words.withColumn("hash", F.explode(hashes)).drop("words")
 
 
 def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """``rows`` (column ``text``) with one row per window: ``place``, ``hash`` of the template, ``fillers``."""
-    slots = rows.withColumn("slots", _slots(F.col("text"))).drop("text")
-    split = slots.withColumns({"words": F.col("slots.word"), "filled": F.col("slots.filler")}).drop("slots")
+    """One row per window of ``rows`` (column ``text``): hash and ``fillers``, empty for words that stand for themselves."""
+    marked = rows.withColumn("marked", _marked(F.col("text"))).drop("text")
+    slots = F.zip_with(
+        "words", F.regexp_extract_all("marked", F.lit(WORD), F.lit(0)),
+        lambda t, m: F.when(t.isin(NAME, NUMBER, UNIT), m).otherwise(""),
+    )
+    words = marked.withColumn("words", _template(F.col("marked"))).withColumn("filled", slots).drop("marked")
     wide = F.least(F.size("words"), F.lit(window))
+    found = F.transform(
+        _starts(wide),
+        lambda i: F.struct(F.xxhash64(F.slice("words", i + 1, wide)).alias("hash"), F.slice("filled", i + 1, wide).alias("fillers")),
+    )
+    return words.withColumn("w", F.explode(found)).drop("words", "filled").select("*", "w.*").drop("w")
 
-    def at(i: Column) -> Column:
-        return F.struct(
-            i.alias("place"),
-            F.xxhash64(F.slice("words", i + 1, wide)).alias("hash"),
-            F.slice("filled", i + 1, wide).alias("fillers"),
-        )
 
-    starts = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - wide)).otherwise(F.array().cast("array<int>"))
-    exploded = split.withColumn("w", F.explode(F.transform(starts, at))).drop("words", "filled")
-    return exploded.select("*", "w.*").drop("w").where(F.size(F.array_remove("fillers", "")) * 2 <= F.size("fillers"))
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast, if its size, which is counted here, allows it; otherwise the join shuffles both sides."""
+    return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
 def contained_items(
     df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, share: float = SHARE,
 ) -> DataFrame:
-    """``k1, k2, item_id, matched``: items contained in rows of ``df`` and the windows that match."""
+    """``k1, k2, item_id, matched``: items contained in rows of ``df`` and the windows that match.
+
+    First the templates alone are matched, which needs no fillers; the few documents that share enough windows with an
+    item are then read again with their fillers.
+    """
     items = _windows(
         benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")), window
     )
-    # equal items are one; the smallest place of a repeated window stands for it
-    items = cut(items.groupBy("item_id", "hash", "fillers").agg(F.min("place").alias("place")))
-    totals = items.groupBy("item_id").agg(F.countDistinct("hash").alias("windows"))
-    rows = df.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    windows = _windows(rows, window).select("k1", "k2", "hash", F.col("fillers").alias("mine"))
-    wanted = items.select("hash", "item_id", "fillers")
-    if wanted.count() <= MAX_BROADCAST_WINDOWS:  # a size that is checked here; beyond it both sides are shuffled
-        wanted = F.broadcast(wanted)
-    met = cut(windows.join(wanted, "hash").distinct())
+    wordy = F.size(F.array_remove("fillers", "")) * 2 <= F.size("fillers")
+    items = cut(items.where(wordy).distinct())
+    totals = cut(items.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
     pair = ["k1", "k2", "item_id"]
+
+    def enough(matched: DataFrame) -> DataFrame:
+        counted = matched.groupBy(*pair).agg(F.countDistinct("hash").alias("matched"))
+        return counted.join(totals, counted["item_id"].eqNullSafe(totals["item_id"])).where(
+            F.col("matched") >= share * F.col("windows")
+        ).select("k1", "k2", counted["item_id"], "matched")
+
+    rows = df.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    hashes = _small(cut(items.select("hash").distinct()))
+    hits = cut(_hashes(rows, window).join(hashes, "hash").distinct())
+    likely = cut(enough(hits.join(items.select("hash", "item_id").distinct(), "hash")).select("k1", "k2").distinct())
+    again = _windows(rows.join(_small(likely), ["k1", "k2"], "left_semi"), window).withColumnRenamed("fillers", "mine")
+    met = cut(again.join(items, "hash").distinct())
     values = met.select(*pair, "hash", F.explode(F.arrays_zip("fillers", "mine")).alias("s")).where("s.fillers <> ''")
     bound = (
         values.groupBy(*pair, F.col("s.fillers").alias("theirs"), F.col("s.mine").alias("mine"))
         .agg(F.countDistinct("hash").alias("n"))
         .groupBy(*pair, "theirs").agg(F.max_by("mine", F.struct("n", "mine")).alias("mine"))
         .groupBy(*pair).agg(F.map_from_entries(F.collect_list(F.struct("theirs", "mine"))).alias("bound"))
+        .select(*[F.col(c).alias(f"b_{c}") for c in pair], "bound")
     )
+    same = (F.col("k1") == F.col("b_k1")) & (F.col("k2") == F.col("b_k2")) & F.col("item_id").eqNullSafe(F.col("b_item_id"))
     agrees = F.forall(F.zip_with("fillers", "mine", lambda f, m: (f == "") | (F.col("bound")[f] == m)), lambda x: x)
-    kept = met.join(bound, pair, "left").where(F.col("bound").isNull() | agrees)
-    counted = kept.groupBy(*pair).agg(F.countDistinct("hash").alias("matched"))
-    return counted.join(totals, "item_id").where(F.col("matched") >= share * F.col("windows")).select(*pair, "matched")
+    return enough(met.join(bound, same, "left").where(F.col("bound").isNull() | agrees))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -130,8 +157,6 @@ def keep_clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 def decontaminate_sql(window: int = WINDOW, share: float = SHARE) -> str:
     """DuckDB SQL for ``decontaminate(documents, benchmark)``; it joins the templates themselves, not hashes."""
-    units = ", ".join(f"'{u}'" for u in UNITS)
-    start, word = SENTENCE_START, WORD
 
     def windows(table: str, key: str) -> str:
         ahead = ", ".join(f"lead(tmpl, {k}) OVER w AS t{k}, lead(filler, {k}) OVER w AS f{k}" for k in range(1, window))
@@ -139,23 +164,26 @@ def decontaminate_sql(window: int = WINDOW, share: float = SHARE) -> str:
         template = " || ' ' || ".join(f"coalesce({t}, '')" for t, _ in cells)
         fillers = ", ".join(f"coalesce({f}, '')" for _, f in cells)
         filled = " + ".join(f"(coalesce({f}, '') <> '')::INT" for _, f in cells)
+        marked = (
+            f"lower(regexp_replace(regexp_replace(text, '{SENTENCE_START}', '\\1' || chr(1) || '\\2', 'g'), "
+            f"'{CAPITALISED}', '\\1' || chr(2) || '\\2', 'g'))"
+        )
+        steps = f"regexp_replace(m, '{FIGURES}', chr(3), 'g')"
+        steps = f"regexp_replace({steps}, '{AFTER_NUMBER}', chr(3) || '\\1' || chr(4) || '\\2', 'g')"
+        steps = f"regexp_replace({steps}, '{NAMED}', chr(2), 'g')"
         return f"""(
-          SELECT r, {key}, {template} AS template, [{fillers}] AS fillers FROM (
+          SELECT r, {key}, {template} AS template, [{fillers}] AS fillers, 2 * ({filled}) <= least(n, {window}) AS wordy FROM (
             SELECT *, {ahead} FROM (
-              SELECT *, CASE WHEN kind IS NULL THEN (CASE WHEN x[1] = chr(1) THEN low[2:] ELSE low END) ELSE kind END AS tmpl,
-                     CASE WHEN kind IS NULL THEN '' ELSE low END AS filler FROM (
-                SELECT *, CASE WHEN x[1] BETWEEN '0' AND '9' THEN '<num>'
-                               WHEN before[1] BETWEEN '0' AND '9' AND low IN ({units}) THEN '<unit>'
-                               WHEN x <> low AND x[1] <> chr(1) AND length(x) > 1 THEN '<name>' END AS kind FROM (
-                  SELECT r, {key}, n, i, x, lower(x) AS low, coalesce(lag(x) OVER (PARTITION BY r ORDER BY i), '') AS before FROM (
-                    SELECT r, {key}, len(toks) AS n, unnest(toks) AS x, generate_subscripts(toks, 1) AS i FROM (
-                      SELECT r, {key}, regexp_extract_all(regexp_replace(text, '{start}', '\\1' || chr(1) || '\\2', 'g'), '{word}') AS toks
-                      FROM (SELECT row_number() OVER () AS r, {key}, coalesce(text, '') AS text FROM {table})))))
-            ) WINDOW w AS (PARTITION BY r ORDER BY i))
-          WHERE (i = 1 OR i + {window - 1} <= n) AND 2 * ({filled}) <= least(n, {window}))"""
+              SELECT *, CASE WHEN tmpl IN (chr(2), chr(3), chr(4)) THEN x ELSE '' END AS filler FROM (
+                SELECT r, {key}, len(toks) AS n, unnest(toks) AS x, unnest(tmpls) AS tmpl, generate_subscripts(toks, 1) AS i FROM (
+                  SELECT r, {key}, regexp_extract_all(m, '{WORD}') AS toks, regexp_extract_all({steps}, '{TEMPLATE_WORD}') AS tmpls
+                  FROM (SELECT r, {key}, {marked} AS m
+                        FROM (SELECT row_number() OVER () AS r, {key}, coalesce(text, '') AS text FROM {table})))))
+            WINDOW w AS (PARTITION BY r ORDER BY i))
+          WHERE i = 1 OR i + {window - 1} <= n)"""
 
     return f"""
-    WITH items AS (SELECT DISTINCT item_id, template, fillers FROM {windows('benchmark', 'item_id')}),
+    WITH items AS (SELECT DISTINCT item_id, template, fillers FROM {windows('benchmark', 'item_id')} WHERE wordy),
     totals AS (SELECT item_id, count(DISTINCT template) AS windows FROM items GROUP BY 1),
     met AS (SELECT DISTINCT r, item_id, d.template, i.fillers, d.fillers AS mine
             FROM {windows('documents', 'doc_id')} d JOIN items i USING (template)),
