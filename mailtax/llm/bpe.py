@@ -79,7 +79,8 @@ class ByteBpe:
             raise ValueError("a merge uses a symbol that is made later")  # merging all occurrences at once needs this
         order = np.argsort(key, kind="stable")
         self.key, self.rank, self.made = key[order], order, made
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.any_split, self.latin_split = regex.compile(SPLIT), _latin_split()
         alternatives = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.cut = regex.compile(f"({alternatives})") if self.special else None
@@ -151,10 +152,15 @@ class ByteBpe:
     def encode(self, many: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
         split = [[(s, [p] if s else self.split(p)) for s, p in self._parts(t)] for t in many]
-        known = self.cache
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        unknown = list({w for parts in split for s, words in parts if not s for w in words if w not in known})
+        if len(self.young) > CACHED_WORDS:  # words not met again since then are forgotten
+            self.old, self.young = self.young, {}
+        known, old = self.young, self.old
+        unknown = []
+        for w in {w for parts in split for s, words in parts if not s for w in words if w not in known}:
+            if w in old:
+                known[w] = old[w]
+            else:
+                unknown.append(w)
         for w, ids in zip(unknown, self.merge_words([w.encode() for w in unknown])):
             known[w] = ids.astype("<u4").tobytes()
         return [
