@@ -12,6 +12,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +91,11 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
         return np.where(self.key[at] == pair, self.rank[at], NO_RANK)
 
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of each (non-empty) word."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    def merge_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each (non-empty) word, as little-endian unsigned 32-bit integers."""
         if not words:
-            return out
+            return []
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         size = np.array([len(w) for w in words])
         word = np.repeat(np.arange(len(words)), size)
         symbol = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
@@ -107,9 +108,8 @@ class ByteBpe:
             size = np.diff(np.concatenate((first, [len(word)])))
             ended = lowest == NO_RANK
             if ended.any():
-                for w, f, n in zip(word[first[ended]].tolist(), first[ended].tolist(), size[ended].tolist()):
-                    out[w] = symbol[f:f + n]
                 live = np.repeat(~ended, size)
+                done.append((word[~live], symbol[~live]))
                 word, symbol, rank = word[live], symbol[live], rank[live]
                 lowest, size = lowest[~ended], size[~ended]
                 if not len(word):
@@ -132,7 +132,10 @@ class ByteBpe:
             rank[at[~joined]] = NO_RANK
             at = at[joined]
             rank[at] = self._ranks(symbol[at], symbol[at + 1])
-        return out
+        word, symbol = (np.concatenate(x) for x in zip(*done))
+        ids = symbol[np.argsort(word, kind="stable")].astype("<u4").tobytes()
+        end = (4 * np.cumsum(np.bincount(word))).tolist()
+        return [ids[b:e] for b, e in zip([0, *end], end)]
 
     def _parts(self, text: str) -> Iterator[tuple[bool, str]]:
         if self.cut is None or not any(t in text for t in self.special):
@@ -155,17 +158,14 @@ class ByteBpe:
         if len(self.young) > CACHED_WORDS:  # words not met again since then are forgotten
             self.old, self.young = self.young, {}
         known, old = self.young, self.old
-        unknown = []
-        for w in {w for parts in split for s, words in parts if not s for w in words if w not in known}:
-            if w in old:
-                known[w] = old[w]
-            else:
-                unknown.append(w)
-        for w, ids in zip(unknown, self.merge_words([w.encode() for w in unknown])):
-            known[w] = ids.astype("<u4").tobytes()
+        met = set(chain.from_iterable(words for parts in split for s, words in parts if not s)).difference(known)
+        again = met.intersection(old)
+        known.update((w, old[w]) for w in again)
+        unknown = list(met - again)
+        known.update(zip(unknown, self.merge_words([w.encode() for w in unknown])))
         return [
             b"".join(
-                np.array([self.special[words[0]]], "<u4").tobytes() if s else b"".join([known[w] for w in words])
+                np.array([self.special[words[0]]], "<u4").tobytes() if s else b"".join(map(known.__getitem__, words))
                 for s, words in parts
             )
             for parts in split
