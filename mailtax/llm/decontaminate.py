@@ -110,9 +110,9 @@ def contained_items(
     rows = df.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     hashes = _small(cut(items.select("hash").distinct()))
     hits = cut(_hashes(rows, window).join(hashes, "hash").distinct())
-    likely = cut(enough(hits.join(items.select("hash", "item_id").distinct(), "hash")).select("k1", "k2").distinct())
+    likely = cut(enough(hits.join(_small(cut(items.select("hash", "item_id").distinct())), "hash")).select("k1", "k2").distinct())
     again = _windows(rows.join(_small(likely), ["k1", "k2"], "left_semi"), window).withColumnRenamed("fillers", "mine")
-    met = cut(again.join(items, "hash").distinct())
+    met = cut(again.join(_small(items), "hash").distinct())
     values = met.select(*pair, "hash", F.explode(F.arrays_zip("fillers", "mine")).alias("s")).where("s.fillers <> ''")
     bound = (
         values.groupBy(*pair, F.col("s.fillers").alias("theirs"), F.col("s.mine").alias("mine"))

@@ -39,7 +39,7 @@ SENSITIVE = {
     "encryption": 0.5, "api": 0.4, "client": 0.2, "key": 0.4, "pin": 0.4, "jwt": 0.8, "salt": 0.4, "session": 0.3,
 }
 PLACEHOLDERS = ("example", "changeme", "placeholder", "your", "xxxx", "dummy", "redacted", "none", "null", "true", "false")
-THRESHOLD = 1.0
+THRESHOLD = 1.3
 LEAST = 6
 
 WORD_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -125,7 +125,7 @@ def literal_spans(text: str) -> set[tuple[int, int]]:
         weight = name_weight(name)
         if weight and literals:
             whole = literal_weight("".join(text[s:e] for s, e in literals))
-            if whole and weight + whole >= THRESHOLD + 0.4:
+            if whole and weight + whole >= THRESHOLD:
                 out.update(literals)
     return out
 

@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailtax.functions.staging import cut
 from mailtax.llm.common import Batches, bounded_sample, texts
 
-BUCKETS = 1 << 20
+BUCKETS = 1 << 26
 FACTORS = 4
 TRAIN_ROWS = 6_000
 LEAST_TEXTS = 3
+LEAST_SHARE = 0.015  # of a class, so that a few copies of one text do not make its words telling
 LEAST_Z = 5.0
 EPOCHS = 30
 BATCH = 32
@@ -48,45 +50,43 @@ def terms(text: bytes, cache: dict[bytes, tuple[int, int, int]]) -> np.ndarray:
 
 @dataclass
 class Model:
+    """Weights and factors of the terms that tell the classes apart (sorted buckets); all others have none."""
+
     bias: float
+    used: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
-    def logits(self, bucket: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Of texts whose terms lie in ``bucket`` from ``first`` on; none may be empty."""
-        linear = np.add.reduceat(self.weights[bucket], first)
-        v = self.factors[bucket]
+    def places(self, bucket: np.ndarray) -> np.ndarray:
+        """Where the terms among ``bucket`` that have weights lie in the model."""
+        at = np.searchsorted(self.used, bucket)
+        at[at == len(self.used)] = 0
+        return at[self.used[at] == bucket] if len(self.used) else at[:0]
+
+    def logits(self, at: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Of texts whose places lie in ``at`` from ``first`` on; none may be empty."""
+        v = self.factors[at]
         sums, squares = np.add.reduceat(v, first, axis=0), np.add.reduceat(v * v, first, axis=0)
-        return self.bias + linear + 0.5 * (sums * sums - squares).sum(axis=1)
+        return self.bias + np.add.reduceat(self.weights[at], first) + 0.5 * (sums * sums - squares).sum(axis=1)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def telling(examples: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Mask of the buckets whose shares in the two classes differ by LEAST_Z standard errors."""
-    sums = [np.bincount(np.concatenate([x for x, y in zip(examples, labels) if y == k]), minlength=BUCKETS) for k in (0, 1)]
-    n = np.array([(labels == 0).sum(), (labels == 1).sum()])
-    share = (sums[0] + sums[1]) / n.sum()
-    error = np.sqrt(share * (1 - share) * (1 / n).sum())
-    apart = np.abs(sums[1] / n[1] - sums[0] / n[0])
-    return (sums[0] + sums[1] >= LEAST_TEXTS) & (apart >= LEAST_Z * error)
-
-
 def fit(examples: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
-    """AdaGrad over small batches, both classes with the same total weight, on the telling terms."""
+    """AdaGrad over small batches, both classes with the same total weight. ``examples``: buckets of telling terms."""
     rng = np.random.default_rng(seed)
-    model = Model(0.0, np.zeros(BUCKETS), np.zeros((BUCKETS, FACTORS)))
+    used = np.unique(np.concatenate(examples)) if examples else np.zeros(0, np.int64)
+    model = Model(0.0, used, np.zeros(len(used)), rng.normal(0, 0.05, (len(used), FACTORS)))
     positive = int(labels.sum())
     if not 0 < positive < len(labels):  # nothing to tell apart
-        model.bias = 10.0 if positive else -10.0
-        return model
-    used = telling(examples, labels)
-    model.factors[used] = rng.normal(0, 0.05, (int(used.sum()), FACTORS))
-    known = [x[used[x]] for x in examples]
+        return Model(10.0 if positive else -10.0, used[:0], np.zeros(0), np.zeros((0, FACTORS)))
+    if not len(used):
+        return Model(float(np.log(positive / (len(labels) - positive))), used, model.weights, model.factors)
+    known = [model.places(x) for x in examples]
     weight = np.where(labels == 1, len(labels) / (2 * positive), len(labels) / (2 * (len(labels) - positive)))
-    step_w, step_v, step_b = np.full(BUCKETS, 1e-4), np.full((BUCKETS, FACTORS), 1e-4), 1e-4
+    step_w, step_v, step_b = np.full(len(used), 1e-4), np.full((len(used), FACTORS), 1e-4), 1e-4
     for _ in range(EPOCHS):
         order = rng.permutation(len(known))
         for begin in range(0, len(order), BATCH):
@@ -123,8 +123,9 @@ def train(
     """Fit on about ``rows`` labelled documents at most, chosen by a hash of the id; null labels and ids do not count, and of
     several labels of an id the highest does.
 
-    The sample of labels has a known bound and is broadcast, so texts are not shuffled. Tasks hash the texts; the driver gets
-    the different term sets of the sample alone.
+    The sample of labels has a known bound and is broadcast, so texts are not shuffled. Tasks hash the texts and count the
+    terms by class; the driver gets the terms whose shares in the classes differ by LEAST_Z standard errors, and of each
+    sampled document those terms alone.
     """
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     known = known.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -137,7 +138,25 @@ def train(
             found = [terms(t, cache) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), batch.column("label")], ["terms", "label"])
 
-    got = labelled.mapInArrow(work, "terms array<bigint>, label int").distinct().toPandas()
+    seen = cut(labelled.mapInArrow(work, "terms array<bigint>, label int").distinct())
+    size = {row["label"]: row["count"] for row in seen.groupBy("label").count().collect()}
+    zeros, ones = max(1, size.get(0, 0)), max(1, size.get(1, 0))
+    counts = seen.select(F.explode("terms").alias("term"), "label").groupBy("term").agg(
+        F.sum("label").alias("b"), F.sum(1 - F.col("label")).alias("a")
+    )
+    share = (F.col("a") + F.col("b")) / (zeros + ones)
+    error = F.sqrt(share * (1 - share) * (1 / zeros + 1 / ones))
+    apart = F.abs(F.col("b") / ones - F.col("a") / zeros)
+    often = (F.col("a") + F.col("b") >= LEAST_TEXTS) & (F.greatest(F.col("a") / zeros, F.col("b") / ones) >= LEAST_SHARE)
+    telling = counts.where(often & (apart >= LEAST_Z * error)).select("term").toPandas()
+    used = np.sort(telling["term"].to_numpy(np.int64))
+
+    def shorten(batches: Batches) -> Batches:
+        for batch in batches:
+            short = [x[np.isin(x, used)] for x in (row.values.to_numpy() for row in batch.column("terms"))]
+            yield pa.RecordBatch.from_arrays([pa.array(short, pa.list_(pa.int64())), batch.column("label")], ["terms", "label"])
+
+    got = seen.mapInArrow(shorten, "terms array<bigint>, label int").toPandas()
     found = [np.array(x, np.int64) for x in got["terms"]]
     order = sorted(range(len(got)), key=lambda i: (found[i].tobytes(), got["label"][i]))  # tasks end in any order
     return fit([found[i] for i in order], got["label"].to_numpy(np.int64)[order])
@@ -147,7 +166,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """One row per row of ``df``: ``doc_id, score`` (0 to 1). Null and empty texts and those without a word have the score of
     the bias alone. Empty in, empty out."""
     rows = texts(df, id_col, text_col, key=False)
-    shared = df.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.factors))  # plain values: workers know no class of this package
+    shared = df.sparkSession.sparkContext.broadcast((model.bias, model.used, model.weights, model.factors))  # plain values: workers know no class of this package
 
     def work(batches: Batches) -> Batches:
         model, cache = Model(*shared.value), {}
@@ -155,7 +174,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
             values = np.full(batch.num_rows, model.bias)
             for begin in range(0, batch.num_rows, 256):
                 some = batch.column("text").slice(begin, 256).cast(pa.binary()).to_pylist()
-                found = [terms(t, cache) for t in some]
+                found = [model.places(terms(t, cache)) for t in some]
                 at = [i for i, x in enumerate(found) if len(x)]
                 if at:
                     first = np.cumsum([0] + [len(found[i]) for i in at[:-1]])
