@@ -246,6 +246,25 @@ def _check(table: str, check: str, key: str, count: str) -> str:
        CAST(({count}) AS BIGINT) AS violations"""
 
 
+_LATEST = "SELECT {} FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"
+_LATEST_SESSIONS = _LATEST.format("o_custkey * 10000 + year(o_orderdate)")
+_LATEST_ORDERS = _LATEST.format("o_orderkey")
+_HELD = [  # declared constraints that generated links always meet
+    ("category_detail_links", "primary_key", "category_detail_id"), ("session_line_links", "primary_key", "session_line_id"),
+    *[("category_detail_links", "foreign_key", k) for k in (
+        "detail_key -> details.detail_key", "session_key -> sessions.session_key",
+        "invoice_line_item_key -> invoice_line_items.invoice_line_item_key", "line_item_key -> line_items.line_item_key")],
+    *[("session_line_links", "foreign_key", k) for k in (
+        "session_key -> sessions.session_key", "invoice_line_item_key -> invoice_line_items.invoice_line_item_key",
+        "line_item_key -> line_items.line_item_key")],
+    *[("category_detail_links", "not_null", k) for k in (
+        "category_detail_id", "transaction_guid", "session_key", "invoice_line_item_key", "line_item_key", "host_system_id",
+        "detail_key")],
+    *[("session_line_links", "not_null", k) for k in (
+        "session_line_id", "session_key", "invoice_line_item_key", "line_item_key", "host_system_id")],
+    ("category_detail_links", "default", "host_system_id"),
+]
+
 ORACLE: dict[str, str] = {
     "rate_distribution": _NATIVE + _DISTRIBUTION_OUT,
     "rate_distribution_line_bridge": _GENERATED + _DISTRIBUTION_OUT,
@@ -258,6 +277,10 @@ ORACLE: dict[str, str] = {
     "sales_tax_run_batches": _BASE
     + _batches("SELECT line FROM native_line UNION SELECT line FROM gen_point"),
     "taxable_line_items": _BASE + _batches("SELECT line FROM native_line"),
+    "taxable_line_items_sessions": "SELECT * FROM (" + _BASE + _batches("SELECT line FROM native_line")
+    + ") WHERE session_key IN (" + _LATEST_SESSIONS + ")",
+    "sales_tax_run_sessions": "SELECT * FROM (" + _BOTH + _RATE + _details_out("filled") + " UNION ALL " + _SERVICE_OUT
+    + ") WHERE sales_tax_batch_key // 100 IN (" + _LATEST_ORDERS + ")",
     "session_line_item_batches": _BASE + _batches("SELECT line FROM flagged"),
     "session_line_item_batches_strict": _BASE + _batches("SELECT line FROM flagged"),
     "non_service_line_items": _BASE + f"SELECT {_TODO_COLUMNS} FROM todo",
@@ -324,11 +347,8 @@ FROM status WHERE warning IS NOT NULL AND host <> 0""",
     "referential_checks": _BASE
     + " UNION ALL ".join(
         [
-            _check("session_line_links", "primary_key", "session_line_id",
-                   "SELECT count(*) - count(DISTINCT line) FROM status"),
+            *[_check(*held, "SELECT 0") for held in _HELD],
             _check("details", "primary_key", "category_key", "SELECT count(*) - count(DISTINCT cat) FROM pc"),
-            _check("category_detail_links", "foreign_key", "detail_key -> details.detail_key", "SELECT 0"),
-            _check("session_line_links", "foreign_key", "session_key -> sessions.session_key", "SELECT 0"),
             _check("details", "foreign_key", "data_stream_detail_id -> host1_pieces.data_stream_detail_id",
                    "SELECT count(*) FROM pc WHERE st <> 'F'"),
             _check("client_configurations", "foreign_key", "account_code -> customers.account",
@@ -379,6 +399,14 @@ FROM act JOIN lx USING (line)""",
     "parse_log_lines": _EVENT_LOG + """
 SELECT logged AS logged_at, level, name AS log_name, event_id || ' | ' || props AS message, day FROM e
 WHERE level <> 'TRACE'""",
+    "parse_log_records": _EVENT_LOG + """
+SELECT logged AS logged_at, level, name AS log_name, event_id || chr(10) || '  at ' || props AS message, day FROM e
+WHERE level <> 'TRACE'""",
+    "latest_outcomes": """
+SELECT o_custkey AS session_key, 'run-' || o_orderkey AS run_id,
+       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -102 ELSE 0 END AS return_code, o_orderpriority AS return_message
+FROM orders
+QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate), 'run-' || o_orderkey DESC) = 1""",
     "parse_log_blocks": _EVENT_LOG + """
 SELECT logged AS logged_at, level, 'App-Application' AS log_name, event_id || chr(13) || chr(10) || props AS message, day
 FROM e WHERE level <> 'TRACE'""",

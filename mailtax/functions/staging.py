@@ -4,32 +4,58 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. Only a local session may lack one; it then gets a temporary folder."""
+    """The session's checkpoint folder. Only a local session, whose executors are threads of the driver, may lack one; it
+    then gets a temporary folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="mailtax-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Keep everything that ``cut`` stores inside the block in one folder and delete it at the end.
+
+    Results must be written before the block ends, as they read what was stored. Blocks may be nested; the outermost
+    one counts.
+    """
+    if _scratch.get() is not None:
+        yield _scratch.get()
+        return
+    folder = f"{shared_folder(spark)}/mailtax-{uuid.uuid4()}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once and go on from the files, so later jobs neither repeat nor depend on its lineage.
 
     Parquet keeps column pruning and size statistics for the readers, which a row checkpoint would lose. Results
     of an aggregation are also stored before a large table is joined to them on the same key: adaptive execution
     splits a hot key only where both join sides come straight from a shuffle, not where one side still has the
-    partitioning of its aggregation.
+    partitioning of its aggregation. Outside of a ``scratch`` block the files stay until the folder is cleaned.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/mailtax-{uuid.uuid4()}"
+    path = f"{_scratch.get() or shared_folder(spark)}/mailtax-{uuid.uuid4()}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import RATE_TYPE, blank, nonzero, pro_rata_rate, uuid_from
+from mailtax.functions.expressions import RATE_TYPE, blank, folded, nonzero, pro_rata_rate, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import FIXED_RATE_TYPES, HOST1, HOST2
 from mailtax.functions.staging import cut
@@ -41,9 +41,8 @@ def batch_addresses(
     if bridge not in BRIDGES:
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
     rated = _rated_activities(t, lines)
-    points = t["delivery_points"].where(F.col("is_active")).select(
-        "transaction_guid", *ADDRESS, "destination_code", "quantity"
-    )
+    places = [folded(F.col(c)).alias(c) for c in (*ADDRESS, "destination_code")]  # one spelling, as generated points have
+    points = t["delivery_points"].where(F.col("is_active")).select("transaction_guid", *places, "quantity")
     times = F.lit(1)
     if bridge == "details":
         linked = category_transactions(t) if linked is None else linked
@@ -68,7 +67,7 @@ def batch_addresses(
 
 
 def _rated_activities(t: Tables, lines: DataFrame) -> DataFrame:
-    """Flagged activities of the lines with the amount and the rate they carry."""
+    """Flagged activities of the lines with the amount and the rate they carry; no price differs from a price of 0."""
     delivered = lines.where(F.col("use_customer_tax_address") == F.lit(False)).select(
         "sales_tax_batch_key", "invoice_line_item_key", "session_key", "extended_amount", "is_exportable",
         "client_configuration_key",
@@ -78,8 +77,8 @@ def _rated_activities(t: Tables, lines: DataFrame) -> DataFrame:
         delivered.join(acts, "invoice_line_item_key")
         .join(t["rate_models"], "rate_model_key")
         .join(t["rates"], "rate_key")
-        .withColumn("unit_price", F.coalesce("price", F.lit(0).cast("decimal(19,4)")))
-        .drop("price", "rate_model_key", "rate_key")
+        .withColumnRenamed("price", "unit_price")
+        .drop("rate_model_key", "rate_key")
     )
 
 
@@ -118,13 +117,17 @@ def rate_distribution(addresses: DataFrame, *, on_zero: str = "raise") -> DataFr
         "lines_per_batch",
         pro_rata_rate(F.col("extended_amount"), _total(on_zero)).alias("pro_rata_rate"),
         F.col("extended_amount").cast("decimal(25,3)").alias("line_item_price"),
-        "unit_price",
+        _price().alias("unit_price"),
         "rate_type_key",
         "destination_code",
         "is_exportable",
     )
 
 
+def _price() -> Column:
+    return F.coalesce("unit_price", F.lit(0).cast("decimal(19,4)"))
+
+
 def _total(on_zero: str) -> Column:
     return nonzero(F.col("total_quantity"), "total quantity of a batch is zero", on_zero)
 
@@ -158,7 +161,7 @@ def allocate(addresses: DataFrame, *, on_zero: str = "raise") -> DataFrame:
     quantity = nonzero(F.col("quantity"), "quantity of the last address of a batch is zero", on_zero)
     remainder = F.round(price - earlier, 3) / quantity
     rate = (
-        F.when(~_is_fixed(F.col("rate_type_key")), F.col("unit_price").cast(RATE_TYPE))
+        F.when(~_is_fixed(F.col("rate_type_key")), _price().cast(RATE_TYPE))
         .when(is_last, remainder.cast(RATE_TYPE))
         .otherwise(mills.cast(RATE_TYPE))
     )
@@ -184,7 +187,7 @@ def zero_quantity_warnings(addresses: DataFrame, *, as_of: datetime, user: str)
     """Batches that ``on_zero='warn'`` leaves out, with the reason."""
     last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity")))
     return (
-        addresses.groupBy("sales_tax_batch_key")
+        addresses.groupBy("sales_tax_batch_key", "session_key")
         .agg(
             F.sum("quantity").alias("total_quantity"),
             F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
@@ -193,6 +196,7 @@ def zero_quantity_warnings(addresses: DataFrame, *, as_of: datetime, user: str)
         .where(_has_zero_divisor())
         .select(
             "sales_tax_batch_key",
+            "session_key",
             F.lit("Amount cannot be spread: zero quantity.").alias("message"),
             *audit(user, as_of),
         )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailtax.operators import allocate as al
+from mailtax import schemas
 from mailtax.functions.staging import cut
 from mailtax.operators import checks
 from mailtax.operators import lines as ln
@@ -23,6 +24,7 @@ from mailtax.operators import reports as rp
 from mailtax.plans.run import generate, sales_tax_run
 from mailtax.sources.logs import parse_log_blocks, parse_log_lines, unwrap_nested_json
 from mailtax.sources.standins import standin_tables
+from mailtax.sources.tables import latest_outcomes
 
 AS_OF = datetime(2024, 1, 31)
 USER = "tax-run"
@@ -153,6 +155,7 @@ def _host(t: ln.Tables) -> DataFrame:
 
 
 def _checks(t: ln.Tables) -> DataFrame:
+    """All declared constraints, and some keys that the data violate."""
     made = generate(t)
     links = {
         "category_detail_links": pt.link_details_to_transactions(made.status, made.pieces),
@@ -160,15 +163,13 @@ def _checks(t: ln.Tables) -> DataFrame:
     }
     return checks.referential_checks(
         ChainMap(links, t),
-        primary_keys={"session_line_links": "session_line_id", "details": "category_key"},
+        primary_keys={**schemas.PRIMARY_KEYS, "details": "category_key"},
         foreign_keys=[
-            ("category_detail_links", "detail_key", "details", "detail_key"),
-            ("session_line_links", "session_key", "sessions", "session_key"),
+            *schemas.FOREIGN_KEYS,
             ("details", "data_stream_detail_id", "host1_pieces", "data_stream_detail_id"),
             ("client_configurations", "account_code", "customers", "account"),
         ],
-        not_null={"details": ["transaction_guid", "return_detail_id"]},
-        defaults={"session_line_links": {"host_system_id": 0}},
+        not_null={**schemas.NOT_NULL, "details": ["transaction_guid", "return_detail_id"]},
     )
 
 
@@ -189,6 +190,38 @@ def _run_batches(t: ln.Tables) -> DataFrame:
     return _batch_columns(sales_tax_run(t, **RUN).sales_tax_batches)
 
 
+def _latest_sessions(t: ln.Tables) -> DataFrame:
+    """Sessions with invoices in the last year there are invoices for."""
+    billed = t["invoices"].select("session_key", F.year("invoice_billing_date").alias("year"))
+    last = billed.agg(F.max("year").alias("year"))
+    return cut(billed.join(last, "year").select("session_key").distinct())
+
+
+def _run_of_sessions(t: ln.Tables) -> DataFrame:
+    return _detail_columns(sales_tax_run(t, sessions=_latest_sessions(t), **RUN).sales_tax_batch_details)
+
+
+def _taxable_of_sessions(t: ln.Tables) -> DataFrame:
+    return _batch_columns(ln.taxable_line_items(t, sessions=_latest_sessions(t), **RUN))
+
+
+def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as the runs of their customers: business date and time of publication run against each other."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    code = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", -102).otherwise(0)
+    audit = o.select(
+        F.col("o_custkey").alias("session_key"),
+        F.concat(F.lit("run-"), F.col("o_orderkey").cast("string")).alias("run_id"),
+        code.alias("return_code"),
+        F.col("o_orderpriority").alias("return_message"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("as_of"),
+        F.make_timestamp_ntz(
+            F.lit(2030) - F.year("o_orderdate"), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0)
+        ).alias("published_at"),
+    )
+    return latest_outcomes(audit).select("session_key", "run_id", "return_code", "return_message")
+
+
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table written as log lines: level by event type, log name by user."""
     level = (
@@ -219,6 +252,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log_columns(parse_log_lines(e.select(line.alias("value"))))
 
 
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose messages have several lines, as ``read_log_records`` gives them."""
+    e = _event_log(spark, sf_dir)
+    record = F.concat(
+        F.col("at"), F.lit("|MessageLevel:"), "level", F.lit("|LogName:"), "name", F.lit("|"),
+        F.col("event_id").cast("string"), F.lit("\n  at "), "props", F.lit("\r\n"),
+    )
+    return _log_columns(parse_log_lines(e.select(record.alias("value"))))
+
+
 def log_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _event_log(spark, sf_dir)
     block = F.concat(
@@ -295,6 +338,8 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
         t, through_catalogue=True
     ),
     "sales_tax_run": _run,
+    "sales_tax_run_sessions": _run_of_sessions,
+    "taxable_line_items_sessions": _taxable_of_sessions,
     "sales_tax_run_batches": _run_batches,
 }
 
@@ -302,6 +347,8 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
 def all_queries() -> dict[str, Query]:
     found = {name: _over_standins(job) for name, job in JOBS.items()}
     found["parse_log_lines"] = log_lines
+    found["parse_log_records"] = log_records
+    found["latest_outcomes"] = outcomes
     found["parse_log_blocks"] = log_blocks
     found["unwrap_nested_json"] = nested_payloads
     return found

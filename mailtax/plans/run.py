@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections import ChainMap
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtax.functions.staging import cut
+from mailtax.functions.staging import cut, scratch
 from mailtax.operators import allocate, lines, points, qualify
 from mailtax.operators.lines import Tables
-from mailtax.sources.tables import last_outcomes, write_run
+from mailtax.sources.tables import is_published, last_outcomes, write_run
 
 SUCCESS, NOT_COMPLETED, FAILED = 1, 0, -102
 
@@ -28,6 +28,7 @@ class TaxRun:
     invoice_warnings: DataFrame
     sales_tax_batch_details: DataFrame
     sales_tax_batches: DataFrame
+    zero_quantity_warnings: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
         return dict(vars(self))
@@ -45,7 +46,8 @@ def sales_tax_run(
 
     The lines, the match of their details with the hosts' pieces, and the line status are stored, since the
     later results all read them. A line whose transaction was generated with addresses takes them from that
-    transaction, every other line from its details.
+    transaction, every other line from its details. A batch whose amount cannot be spread stops the run or, with
+    ``on_zero='warn'``, has neither header nor details and is listed in ``zero_quantity_warnings``.
     """
     made = generate(t, sessions)
     status, pieces = made.status, made.pieces
@@ -61,6 +63,8 @@ def sales_tax_run(
     native = allocate.batch_addresses(t, taxed.where(~new), linked=made.linked)
     by_line = allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item")
     addresses = cut(native.unionByName(by_line))
+    warnings = cut(allocate.zero_quantity_warnings(addresses, as_of=as_of, user=user))
+    left_out = warnings.select(F.col("sales_tax_batch_key").alias("invoice_line_item_key"))
     return TaxRun(
         transactions=points.generate_billing_transactions(status, as_of=as_of),
         delivery_points=new_points,
@@ -70,7 +74,10 @@ def sales_tax_run(
         sales_tax_batch_details=allocate.sales_tax_details(
             t, taxed, addresses, as_of=as_of, user=user, on_zero=on_zero
         ),
-        sales_tax_batches=lines.batch_headers(t, taxed, as_of=as_of, user=user),
+        sales_tax_batches=lines.batch_headers(
+            t, taxed.join(left_out, "invoice_line_item_key", "left_anti"), as_of=as_of, user=user
+        ),
+        zero_quantity_warnings=warnings,
     )
 
 
@@ -107,31 +114,42 @@ def run_sales_tax(
 ) -> tuple[int, str]:
     """Run, write all result tables under ``root`` and, last, one audit row per session.
 
-    Readers go by the audit rows (``read_published``), so a failed run changes nothing for them and a rerun
-    replaces the earlier results of its sessions. Returns the code and message put into the audit rows.
+    Readers go by the audit rows (``read_published``), so a failed run changes nothing for them and a later run
+    replaces the earlier results of its sessions. A run that failed may be tried again under its id; the id of a
+    published run is refused, as readers would see both. Intermediate results are deleted after the audit rows.
+    Returns the code and message put into the audit rows.
     """
     scope = lines.scoped_sessions(t, sessions)
-    try:
-        results = sales_tax_run(t, sessions=sessions, as_of=as_of, user=user, on_zero=on_zero)
-        for table, rows in results.tables().items():
-            if "session_key" not in rows.columns:
-                rows = rows.withColumn("session_key", F.split("user_added", "[|]")[1].cast("bigint"))
-            write_run(rows, root, table, run_id, cluster_by="session_key")
-        code, message = SUCCESS, "Success"
-    except Exception as error:  # whatever stopped the run becomes its outcome
-        code, message = FAILED, f"Error creating the sales tax batches. {error}"[:256]
-    write_run(run_outcome(scope, code, message, as_of=as_of), root, "run_audit", run_id)
+    spark = scope.sparkSession
+    if is_published(spark, root, run_id):
+        raise ValueError(f"run {run_id!r} is published; choose another id")
+    with scratch(spark):
+        try:
+            results = sales_tax_run(t, sessions=sessions, as_of=as_of, user=user, on_zero=on_zero)
+            for table, rows in results.tables().items():
+                if "session_key" not in rows.columns:
+                    rows = rows.withColumn("session_key", F.split("user_added", "[|]")[1].cast("bigint"))
+                write_run(rows, root, table, run_id, cluster_by="session_key")
+            code, message = SUCCESS, "Success"
+        except Exception as error:  # whatever stopped the run becomes its outcome
+            code, message = FAILED, f"Error creating the sales tax batches. {error}"
+        now = datetime.now(UTC).replace(tzinfo=None)
+        write_run(run_outcome(scope, code, message, as_of=as_of, published_at=now), root, "run_audit", run_id)
     return code, message
 
 
-def run_outcome(sessions: DataFrame, code: int, message: str, *, as_of: datetime) -> DataFrame:
-    """Audit rows of a run: the same code and message for each of its sessions."""
+def run_outcome(
+    sessions: DataFrame, code: int, message: str, *, as_of: datetime, published_at: datetime
+) -> DataFrame:
+    """Audit rows of a run: the same code and message for each of its sessions. ``as_of`` is the business date,
+    ``published_at`` (UTC) decides which run of a session is the latest."""
     return sessions.select(
         "session_key",
         "session_id",
         F.lit(code).alias("return_code"),
         F.lit(message).alias("return_message"),
         F.lit(as_of).cast("timestamp_ntz").alias("as_of"),
+        F.lit(published_at).cast("timestamp_ntz").alias("published_at"),
     )
 
 

@@ -120,8 +120,9 @@ SCHEMAS: dict[str, str] = {
     ),
     "run_audit": (
         "run_id string, session_key bigint, session_id string, return_code int, return_message string, "
-        "as_of timestamp_ntz"
+        "as_of timestamp_ntz, published_at timestamp_ntz"
     ),
+    "zero_quantity_warnings": "sales_tax_batch_key bigint, session_key bigint, message string, " + _AUDIT,
 }
 
 

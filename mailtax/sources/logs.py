@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # The two layouts, the levels from lowest to highest, and the lowest level kept.
 PIPE_LAYOUT = ("DateTime: ", "MessageLevel:", "LogName:")
+RECORD_START = "DateTime: "
 BLOCK_LAYOUT = r"^DateTime: ([^\r\n]*)\r?\nLogLevel: ([^\r\n]*)\r?\nMessage: ((?s).*?)\s*$"
 LEVELS = ("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL")
 MIN_LEVEL = "DEBUG"
@@ -28,15 +29,31 @@ def _record(df: DataFrame, at: Column, level: Column, name: Column, message: Col
     )
 
 
+def read_log_records(spark: SparkSession, path: str) -> DataFrame:
+    """Files of either layout, one record per row: a record goes on until a line break before the next start, so a message
+    may have any number of lines, with either line end.
+
+    The start belongs to the separator; the parsers put it back.
+    """
+    return spark.read.option("lineSep", f"\n{RECORD_START}").text(path)
+
+
+def _whole_record() -> Column:
+    """The record in column ``value`` with its start and without the line breaks that end it."""
+    value = F.regexp_replace("value", r"[\r\n]+$", "")
+    return F.when(value.startswith(RECORD_START), value).otherwise(F.concat(F.lit(RECORD_START), value))
+
+
 def parse_log_lines(
     lines: DataFrame, *, min_level: str = MIN_LEVEL, log_names: list[str] | None = None
 ) -> DataFrame:
-    """Records of the one-line layout in column ``value``; other lines are dropped.
+    """Records of the pipe layout in column ``value``, one per row; other rows are dropped.
 
-    Works on a batch and on a stream. ``log_names`` keeps the records of these logs.
+    Works on a batch and on a stream. The message is all that follows the third label, line breaks included.
+    ``log_names`` keeps the records of these logs.
     """
     parts = F.col("parts")
-    split = lines.select(F.split("value", r"\|", len(PIPE_LAYOUT) + 1).alias("parts"))
+    split = lines.select(F.split(_whole_record(), r"\|", len(PIPE_LAYOUT) + 1).alias("parts"))
     fits = F.size(parts) == len(PIPE_LAYOUT) + 1
     values = []
     for i, label in enumerate(PIPE_LAYOUT):
@@ -47,24 +64,13 @@ def parse_log_lines(
     return records if log_names is None else records.where(F.col("log_name").isin(*log_names))
 
 
-def read_log_blocks(spark: SparkSession, path: str, *, newline: str = "\r\n") -> DataFrame:
-    """Files of the multi-line layout, one block per row; a block ends before a blank line and a new start.
-
-    The start belongs to the separator, ``parse_log_blocks`` puts it back.
-    """
-    return spark.read.option("lineSep", f"{newline}{newline}DateTime: ").text(path)
-
-
 def parse_log_blocks(blocks: DataFrame, *, log_name: str, min_level: str = MIN_LEVEL) -> DataFrame:
     """Records of the multi-line layout, one block per row in column ``value``.
 
     The layout does not name its log, so the caller does.
     """
-    text = F.when(F.col("value").startswith("DateTime: "), F.col("value")).otherwise(
-        F.concat(F.lit("DateTime: "), F.col("value"))
-    )
     part = [F.regexp_extract("block", BLOCK_LAYOUT, i) for i in range(1, 4)]
-    found = blocks.select(text.alias("block")).where(F.col("block").rlike(BLOCK_LAYOUT))
+    found = blocks.select(_whole_record().alias("block")).where(F.col("block").rlike(BLOCK_LAYOUT))
     records = _record(found, part[0], part[1], F.lit(log_name), part[2])
     return records.where(F.col("level").isin(*kept_levels(min_level)))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,20 +59,18 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 def write_run(df: DataFrame, root: str, table: str, run_id: str, *, cluster_by: str | None = None) -> None:
-    """Write one run's rows of a table under ``root/table/run_id=...``, replacing an earlier try of that run.
+    """Write one run's rows of a table under ``root/table/run_id=...``, replacing an earlier try of that run as a whole:
+    a try without rows leaves none.
 
     Rows are clustered by key inside files, which lets readers skip files. The rebalance splits large keys
     over several files and merges small ones.
     """
-    out = df.withColumn("run_id", F.lit(run_id))
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"a run id may hold letters, digits, dots, hyphens and underscores only, not {run_id!r}")
+    out = df.drop("run_id")
     if cluster_by is not None:
         out = out.hint("rebalance", cluster_by).sortWithinPartitions(cluster_by)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(f"{root}/{table}")
-    )
+    out.write.mode("overwrite").parquet(f"{root}/{table}/run_id={run_id}")
 
 
 def _written(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -93,17 +92,27 @@ def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     A run becomes visible with its audit rows, which are written last; what a failed or unfinished run left
     behind is never read.
     """
-    good = _last_audit(_written(spark, root, "run_audit").where(F.col("return_code") == 1))
+    good = latest_outcomes(_written(spark, root, "run_audit").where(F.col("return_code") == 1))
     return _written(spark, root, table).join(
         good.select("run_id", "session_key"), ["run_id", "session_key"], "left_semi"
     )
 
 
 def last_outcomes(spark: SparkSession, root: str) -> DataFrame:
-    """Code, message and time of each session's latest run."""
-    return _last_audit(_written(spark, root, "run_audit"))
+    """Code, message and times of each session's latest run."""
+    return latest_outcomes(_written(spark, root, "run_audit"))
 
 
-def _last_audit(audit: DataFrame) -> DataFrame:
-    last = F.max(F.struct("as_of", "run_id", "return_code", "return_message")).alias("last")
+def latest_outcomes(audit: DataFrame) -> DataFrame:
+    """Of audit rows the one published last per session, whatever business date its run was for."""
+    last = F.max(F.struct("published_at", "run_id", "return_code", "return_message", "as_of")).alias("last")
     return audit.groupBy("session_key").agg(last).select("session_key", "last.*")
+
+
+def is_published(spark: SparkSession, root: str, run_id: str) -> bool:
+    """Whether a run of this id has a success row."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/run_audit")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    mine = read_run(spark, root, "run_audit", run_id)
+    return not mine.where(F.col("return_code") == 1).isEmpty()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from mailtax.sources.logs import parse_log_lines
+from mailtax.sources.logs import RECORD_START, parse_log_lines
 
 
 def stream_logs(
@@ -21,7 +21,7 @@ def stream_logs(
 
     The parser keeps no state, so a run may be repeated at any interval with the same ``checkpoint``.
     """
-    lines = spark.readStream.text(source)
+    lines = spark.readStream.option("lineSep", f"\n{RECORD_START}").text(source)
     records = parse_log_lines(lines, min_level=min_level, log_names=log_names)
     return (
         records.writeStream.format("parquet")

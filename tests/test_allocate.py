@@ -164,3 +164,28 @@ def test_only_fully_blank_addresses_are_filled(spark, billing):
     found = {r["k"]: (r["city"], r["region"], r["zip"]) for r in al.fill_blank_addresses(t, details).collect()}
     home = ("HOME", "HS", "00009")
     assert found == {1: home, 2: home, 3: ("X", "", ""), 4: ("", "", "")}
+
+
+def test_no_price_and_a_price_of_zero_stay_apart_and_cities_fold(billing, spark):
+    """Two activities of a line, one with price NULL and one with 0, and a city in two spellings."""
+    from mailtax.operators.allocate import batch_addresses, rate_distribution
+
+    t = billing(
+        activities=[{"invoice_line_item_key": 1, "category_key": k, "rate_model_key": k, "rate_key": 1,
+                     "include_in_sales_tax_batch": True} for k in (1, 2)],
+        rate_models=[{"rate_model_key": 1, "price": None}, {"rate_model_key": 2, "price": Decimal(0)}],
+        rates=[{"rate_key": 1, "rate_type_key": 1}],
+        taxable_line_items=[],
+        details=[{"detail_key": k, "category_key": k, "transaction_guid": "g"} for k in (1, 2)],
+        transactions=[{"transaction_guid": "g", "transaction_id": 1}],
+        delivery_points=[{"transaction_guid": "g", "city": c, "state_region": "tx ", "postal_code": "1",
+                          "destination_code": "D", "quantity": 2, "is_active": True} for c in ("AUSTIN", "Austin")],
+    )
+    lines = spark.createDataFrame(
+        [(1, 1, 1, Decimal(10), False, 9, False)],
+        "sales_tax_batch_key bigint, invoice_line_item_key bigint, session_key bigint, extended_amount decimal(19,4), "
+        "is_exportable boolean, client_configuration_key bigint, use_customer_tax_address boolean",
+    )
+    found = rate_distribution(batch_addresses(t, lines)).orderBy("line_number").collect()
+    assert [(r["city"], r["state_region"], r["quantity"], r["unit_price"]) for r in found] == [("AUSTIN", "TX", 4, 0)] * 2
+    assert [(r["line_number"], r["lines_per_batch"]) for r in found] == [(1, 2), (2, 2)]

@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from mailtax.sources.logs import (
     parse_log_blocks,
     parse_log_lines,
-    read_log_blocks,
+    read_log_records,
     unwrap_nested_json,
     write_logs,
 )
 from mailtax.streaming.logs import stream_logs
 
 LINES = [
+    "some other line",
     "DateTime: 2024-03-09 08:44:32.1234|MessageLevel:DEBUG|LogName:App-ApiTiming|took 5 ms | ok",
     "DateTime: 2024-03-09 08:44:33.0000|MessageLevel:ERROR|LogName:App-ApiContent|{\"a\": 1}",
     "DateTime: 2024-03-10 00:00:00.5000|MessageLevel:TRACE|LogName:App-ApiTiming|below the level",
     "DateTime: not a time|MessageLevel:INFO|LogName:App-ApiTiming|",
-    "some other line",
 ]
 
 
@@ -42,13 +42,29 @@ def test_blocks_read_from_a_file(spark, tmp_path, newline):
     text = "".join(f"DateTime: {a}\nLogLevel: {b}\nMessage: {c}\n\n" for a, b, c in blocks)
     text = text.replace("\n", newline)
     (tmp_path / "app.log").write_bytes(text.encode())
-    raw = read_log_blocks(spark, str(tmp_path / "app.log"), newline=newline)
+    raw = read_log_records(spark, str(tmp_path / "app.log"))
     found = parse_log_blocks(raw, log_name="App").orderBy("logged_at").collect()
     assert [(r["level"], r["log_name"], r["message"]) for r in found] == [
         ("INFO", "App", "one"), ("WARN", "App", "two\nlines\n at x()".replace("\n", newline))
     ]
 
 
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+def test_messages_of_several_lines(spark, tmp_path, newline):
+    trace = "Boom | no\n   at a()\n\n{\n  \"DateTime\": 1\n}"
+    heads = ["DateTime: 2024-03-09 08:44:3%d.0000|MessageLevel:%s|LogName:App|" % x for x in ((1, "ERROR"), (2, "TRACE"), (3, "INFO"))]
+    text = "rest of an older file\n" + "".join(f"{h}{m}\n" for h, m in zip(heads, (trace, trace, "short")))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "app.log").write_bytes(text.replace("\n", newline).encode())
+    found = parse_log_lines(read_log_records(spark, str(tmp_path / "in"))).orderBy("logged_at").collect()
+    expected = [("ERROR", trace.replace("\n", newline)), ("INFO", "short")]
+    assert [(r["level"], r["message"]) for r in found] == expected
+    query = stream_logs(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination(120)
+    streamed = spark.read.parquet(str(tmp_path / "out")).orderBy("logged_at").collect()
+    assert [(r["level"], r["message"]) for r in streamed] == expected
+
+
 def test_stream_and_batch_write_the_same_folders(spark, tmp_path):
     source, batch, stream = (str(tmp_path / x) for x in ("in", "batch", "stream"))
     df = spark.createDataFrame([(x,) for x in LINES], "value string")

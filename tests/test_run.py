@@ -9,9 +9,17 @@ import pytest
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
+from mailtax.functions.staging import cut, scratch, shared_folder
 from mailtax.functions.rules import INSERTS, LETTER_SHOP
-from mailtax.plans.run import run_sales_tax, sales_tax_run, session_outcomes
-from mailtax.sources.tables import conform, read_published, read_run, read_tables, write_run
+from mailtax.plans.run import run_outcome, run_sales_tax, sales_tax_run, session_outcomes
+from mailtax.sources.tables import (
+    conform,
+    latest_outcomes,
+    read_published,
+    read_run,
+    read_tables,
+    write_run,
+)
 
 USER = "u"
 
@@ -127,11 +135,10 @@ def test_publication_rerun_and_outcomes(world, spark, tmp_path):
     assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == with_four
     assert ids < now and len(now) == len(rows)
 
-    # Trying the same run again replaces it; ids do not change.
-    assert run_sales_tax(fixed, root, "run-2", sessions=second, as_of=later, user=USER)[0] == 1
-    again = read_published(spark, root, "sales_tax_batch_details")
-    assert detail_rows(again) == with_four
-    assert {r["sales_tax_batch_detail_id"] for r in again.collect()} == now
+    # A published run keeps its id to itself.
+    with pytest.raises(ValueError, match="published"):
+        run_sales_tax(fixed, root, "run-2", sessions=second, as_of=later, user=USER)
+    assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == with_four
 
     outcomes = {r["session_key"]: (r["return_code"], r["return_message"]) for r in
                 session_outcomes(spark, t, root).collect()}
@@ -145,14 +152,65 @@ def test_failed_run_is_recorded_and_never_read(world, spark, tmp_path):
     points = [{**r.asDict(), "quantity": 0} for r in good["delivery_points"].collect()]
     bad = world(delivery_points=points)
     code, message = run_sales_tax(bad, root, "run-2", as_of=AS_OF + timedelta(days=1), user=USER)
-    assert code == -102 and message.startswith("Error") and len(message) <= 256
+    assert code == -102 and message.startswith("Error") and "total quantity of a batch is zero" in message
+    written = read_run(spark, root, "run_audit", "run-2").collect()
+    assert {r["return_message"] for r in written} == {message}
     assert read_run(spark, root, "transactions", "run-2").count() == 1
     assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == EXPECTED
     assert read_published(spark, root, "transactions").select("run_id").distinct().collect()[0][0] == "run-1"
     assert {r["return_code"] for r in session_outcomes(spark, good, root).collect()} == {-102}
     # With on_zero='warn' the other batches go through.
-    warned = sales_tax_run(bad, as_of=AS_OF, user=USER, on_zero="warn").sales_tax_batch_details
-    assert detail_rows(warned) == EXPECTED[3:]
+    warned = sales_tax_run(bad, as_of=AS_OF, user=USER, on_zero="warn")
+    assert detail_rows(warned.sales_tax_batch_details) == EXPECTED[3:]
+    assert sorted(r["sales_tax_batch_key"] for r in warned.sales_tax_batches.collect()) == [2, 3]
+    listed = [(r["sales_tax_batch_key"], r["session_key"]) for r in warned.zero_quantity_warnings.collect()]
+    assert listed == [(1, 1)]
+    # A retry of the failed run under its id replaces what the failed try left, and is published.
+    assert run_sales_tax(bad, root, "run-2", as_of=AS_OF, user=USER, on_zero="warn")[0] == 1
+    assert detail_rows(read_published(spark, root, "sales_tax_batch_details")) == EXPECTED[3:]
+    assert read_published(spark, root, "zero_quantity_warnings").count() == 1
+
+
+def test_a_try_without_rows_replaces_one_with_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "s1", 9)], "session_key bigint, session_id string, client_configuration_key bigint")
+    write_run(rows, str(tmp_path), "sessions", "run-1")
+    write_run(rows, str(tmp_path), "sessions", "run-2")
+    write_run(rows.limit(0), str(tmp_path), "sessions", "run-1", cluster_by="session_key")
+    assert read_run(spark, str(tmp_path), "sessions", "run-1").count() == 0
+    assert read_run(spark, str(tmp_path), "sessions", "run-2").count() == 1
+    with pytest.raises(ValueError, match="run id"):
+        write_run(rows, str(tmp_path), "sessions", "../x")
+
+
+def test_the_latest_outcome_is_the_one_published_last(spark):
+    """Neither the business date nor the spelling of the run id decides."""
+    t = lambda h: datetime(2024, 3, 9, h)
+    audit = spark.createDataFrame(
+        [(1, "run-9", 1, "a", AS_OF, t(8)), (1, "run-10", 1, "b", AS_OF, t(9)),
+         (2, "run-11", 1, "c", AS_OF, t(10)), (2, "run-12", 0, "d", AS_OF - timedelta(days=30), t(11))],
+        "session_key bigint, run_id string, return_code int, return_message string, as_of timestamp_ntz, "
+        "published_at timestamp_ntz",
+    )
+    assert {r["session_key"]: r["run_id"] for r in latest_outcomes(audit).collect()} == {1: "run-10", 2: "run-12"}
+
+
+def test_outcomes_keep_the_whole_message(spark):
+    scope = spark.createDataFrame([(1, "s1")], "session_key bigint, session_id string")
+    row = run_outcome(scope, -102, "x" * 5000 + " root cause", as_of=AS_OF, published_at=AS_OF).first()
+    assert row["return_message"].endswith("root cause")
+
+
+def test_runs_leave_no_intermediate_folders(world, spark, tmp_path):
+    import os
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    assert run_sales_tax(world(), str(tmp_path / "out"), "run-1", as_of=AS_OF, user=USER)[0] == 1
+    assert set(os.listdir(folder)) == before
+    with scratch(spark) as inside:
+        assert cut(spark.range(3)).count() == 3
+        assert os.path.isdir(inside.removeprefix("file:"))
+    assert not os.path.exists(inside.removeprefix("file:"))
 
 
 def test_tables_are_read_by_path_or_name_with_declared_types(spark, tmp_path, table):
