@@ -234,11 +234,18 @@ def infer_host_system(t: Tables, lines: DataFrame, *, few: bool = False) -> Data
         .where(F.col("data_stream_detail_id").isNotNull())
         .drop("category_key")
     )
+    streams = cut(streams) if few else streams
     ids = streams.select("data_stream_detail_id") if few else None
-    known = streams
-    for name in ("host1", "host2"):
-        table = known_pieces(t[f"{name}_pieces"].select("data_stream_detail_id"), ids)
-        known = known.join(table.withColumn(f"in_{name}", F.lit(True)), "data_stream_detail_id", "left")
+    first, second = (
+        known_pieces(t[f"{name}_pieces"].select("data_stream_detail_id"), ids).select(
+            "data_stream_detail_id", F.lit(name == "host1").alias("in_host1"), F.lit(name == "host2").alias("in_host2")
+        )
+        for name in ("host1", "host2")
+    )
+    hosts = first.union(second).groupBy("data_stream_detail_id").agg(
+        F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2")
+    )
+    known = streams.join(cut(hosts), "data_stream_detail_id")
     known = known.groupBy("invoice_line_item_key").agg(
         F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2")
     )

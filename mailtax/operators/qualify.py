@@ -36,10 +36,12 @@ def with_type_id(t: Tables, df: DataFrame) -> DataFrame:
 def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame:
     """Every detail of the lines with both hosts' piece records and the quantity it has on either host.
 
-    This is the one wide join of the run: details meet the piece tables once, on the piece id, and the host
-    jobs, the reconciliation and the delivery points all read the result. A detail without a piece id gets a
-    join key of its own, so such details spread over all tasks. ``few`` says that the lines are a small part of
-    the data; the piece tables are then filtered before they are joined.
+    This is the one wide join of the run: details meet the piece records once, on the piece id, and the host
+    jobs, the reconciliation and the delivery points all read the result. The records of both hosts are brought
+    together and stored first, so both sides of that join come straight from a shuffle and an id that many details
+    share is split over tasks. A detail without a piece id gets a join key of its own, so such details spread over
+    all tasks. ``few`` says that the lines are a small part of the data; their details are then stored, and the
+    piece tables filtered by them before they are joined.
     """
     acts = t["activities"].select("invoice_line_item_key", "category_key")
     details = t["details"].select("detail_key", "category_key", "data_stream_detail_id")
@@ -51,13 +53,15 @@ def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame
             "piece_id", F.coalesce("data_stream_detail_id", F.concat(F.lit("none "), F.col("detail_key")))
         )
     )
+    pieces = cut(pieces) if few else pieces
     ids = pieces.select("data_stream_detail_id") if few else None
+    hosts = []
     for name in ("host1", "host2"):
         table = known_pieces(t[f"{name}_pieces"], ids)
         record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
-        pieces = pieces.join(
-            table.select(F.col("data_stream_detail_id").alias("piece_id"), record), "piece_id", "left"
-        )
+        hosts.append(table.select(F.col("data_stream_detail_id").alias("piece_id"), record).where("piece_id is not null"))
+    records = cut(hosts[0].join(hosts[1], "piece_id", "full"))
+    pieces = pieces.join(records, "piece_id", "left")
     key = F.col("module_key")
     return pieces.select(
         "invoice_line_item_key",

@@ -14,6 +14,7 @@ from mailtax.operators import allocate as al
 from mailtax.operators import lines as ln
 from mailtax.operators import points as pt
 from mailtax.operators import qualify as ql
+from mailtax.plans.queries import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,7 +23,7 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_no_nested_loops_and_no_python(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"):
@@ -133,6 +134,36 @@ def test_hot_line_is_split_in_joins_and_counted_right(spark, skewed):
     assert status.agg(F.sum("detail_count")).first()[0] == count
 
 
+def test_hot_piece_id_is_split(spark, skewed, tmp_path):
+    """Half of all details carry one id, which both hosts know."""
+    t, count = skewed
+    zero = "00000000-0000-0000-0000-000000000000"
+    hot = F.when(F.col("detail_key") % 2 == 0, zero).otherwise(F.col("data_stream_detail_id"))
+    t["details"].withColumn("data_stream_detail_id", hot).write.parquet(str(tmp_path / "hot"))
+    t["details"] = spark.read.parquet(str(tmp_path / "hot"))
+    one = t["host1_pieces"].limit(1).withColumn("data_stream_detail_id", F.lit(zero))
+    t["host1_pieces"] = t["host1_pieces"].union(one)
+    t["host2_pieces"] = t["host2_pieces"].select(
+        *[(F.lit(zero) if f.name == "data_stream_detail_id" else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in schemas.schema("host2_pieces")]
+    ).union(spark.createDataFrame([(zero, *[None] * (len(schemas.columns("host2_pieces")) - 1))], schemas.schema("host2_pieces")))
+    todo = ln.non_service_lines(ln.covered_lines(t))
+    pieces = ql.match_pieces(t, todo)
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")  # equal ids compress well
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "32KB")
+    tasks = pieces.select("detail_key", "host1", "host2", F.spark_partition_id().alias("task"))
+    sizes = [r["n"] for r in tasks.groupBy("task").agg(F.count("*").alias("n"), F.count("host1")).collect()]
+    assert sum(sizes) == count
+    assert max(sizes) < 0.25 * count  # whole outputs of map tasks are the finest split, and one task mapped the hot line
+    listed = pieces.select("detail_key", "host1", "host2")
+    listed.collect()
+    assert "skew=true" in plan_of(listed)
+    assert pieces.where("host2 is not null").count() == count // 2
+    t["activity_categories"] = t["details"].select("category_key").distinct()
+    hosts = {r["host_system_id"] for r in ln.infer_host_system(t, todo).collect()}
+    assert hosts == {1}
+
+
 def test_hot_category_is_split_when_activities_meet_coverage(spark, skewed):
     """Two thirds of all activities share one category."""
     t, _ = skewed
