@@ -1,7 +1,7 @@
 """Near duplicates by SimHash, found with Golay-code fuzzy hashing.
 
 A fingerprint has 64 bits: two segments of 23 bits and a rest of 18. Each segment is decoded to the indices of all
-codewords of the binary Golay code (23, 12) within distance 4, one or seven of them. Any two segments that differ
+codewords of the binary Golay code (23, 12) within distance 4, one or six of them. Any two segments that differ
 in two bits or less share such an index (the test goes through all cases), so indices work as hash keys that forgive two errors.
 
 Four errors over (segment, segment, rest) leave one of these cases, each with keys of its own:
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailtax.functions.staging import cut
-from mailtax.llm.common import Batches, per_batch, texts
+from mailtax.llm.common import Batches, per_batch, row_key, texts
 from mailtax.llm.components import connected_components, forest
 
 GENERATOR = 0b110001110101  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1
@@ -53,7 +53,7 @@ def _syndromes(words: np.ndarray) -> np.ndarray:
 
 
 def golay_table() -> tuple[np.ndarray, np.ndarray]:
-    """Per syndrome the error patterns of up to RADIUS bits that lead to a codeword: (2048, 7) and their number."""
+    """Per syndrome the error patterns of up to RADIUS bits that lead to a codeword: (2048, 6) and their number."""
     errors = np.array([sum(1 << i for i in c) for k in range(RADIUS + 1) for c in combinations(range(23), k)], np.int64)
     syndromes = _syndromes(errors)
     order = np.argsort(syndromes, kind="stable")
@@ -236,7 +236,8 @@ def components(prints: DataFrame, bits: int = 4, block: int = BLOCK) -> DataFram
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 4, block: int = BLOCK
 ) -> DataFrame:
-    """One row per row of ``df``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``, ``is_first``.
+    """One row per row of ``df``: ``doc_id, fingerprint`` (16 hex digits), ``component_id``, ``is_first`` and the
+    row's key ``k1, k2``.
 
     ``component_id`` is the smallest id reachable over links of ``bits`` differing bits or less; null ids never are the
     smallest unless the component has no other. ``is_first`` marks the one (id, text) that stands for the component;
@@ -256,8 +257,6 @@ def near_duplicates(
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` without all but one of each component; of repeated rows one stays."""
-    from mailtax.llm.common import row_key
-
     stay = cut(near_duplicates(df, id_col, text_col, **options).where("is_first").select("k1", "k2").distinct())
     k1, k2 = row_key(id_col, text_col)
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), k1, k2)
