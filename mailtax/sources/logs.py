@@ -40,7 +40,7 @@ def read_log_records(spark: SparkSession, path: str) -> DataFrame:
 
 def _whole_record() -> Column:
     """The record in column ``value`` with its start and without the line breaks that end it."""
-    value = F.regexp_replace("value", r"[\r\n]+$", "")
+    value = F.rtrim(F.col("value"), F.lit("\r\n"))
     return F.when(value.startswith(RECORD_START), value).otherwise(F.concat(F.lit(RECORD_START), value))
 
 
