@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailtax.llm.common import Batches
@@ -127,11 +127,8 @@ def top_k(
         return pa.Table.from_batches([solve(table)])
 
     partial = left.union(right).groupBy("a", "b").applyInArrow(work, "query_id bigint, vec_id bigint, score bigint")
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("i"))))
-    best = partial.groupBy("query_id").agg(F.slice(ordered, 1, k).alias("best"))
-    return best.select("query_id", F.posexplode("best").alias("place", "x")).select(
-        "query_id", (F.col("place") + 1).alias("rank"), F.col("x.i").alias("vec_id"), (-F.col("x.s")).alias("score")
-    )
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # Spark keeps k rows a query before its shuffle
+    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def top_k_sql(k: int = 5, every: int = 50, scale: int = 256) -> str:
