@@ -14,6 +14,7 @@ from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, audit, category_transactions, flagged_activities
 
 ADDRESS = ["city", "state_region", "postal_code"]
+HOME = ["taxable_city", "taxable_state", "taxable_postal_code", "has_home"]
 # Lines of a batch are ordered by postal code; the other columns make the order total.
 ORDER = ["postal_code", "city", "state_region", "destination_code", "rate_type_key", "unit_price"]
 BRIDGES = ("details", "taxable_line_item", "provenance_tag")
@@ -132,13 +133,20 @@ def _total(on_zero: str) -> Column:
     return nonzero(F.col("total_quantity"), "total quantity of a batch is zero", on_zero)
 
 
-def allocate(addresses: DataFrame, *, on_zero: str = "raise") -> DataFrame:
+def _homes(t: Tables) -> DataFrame:
+    return t["client_configurations"].select(
+        "client_configuration_key", "taxable_city", "taxable_state", "taxable_postal_code"
+    )
+
+
+def allocate(addresses: DataFrame, *, on_zero: str = "raise", homes: DataFrame | None = None) -> DataFrame:
     """Rate per address row; fixed amounts leave their rounding remainder on the last row.
 
     Every row of a batch has the same pro-rata rate, so the amount given to the earlier rows is that rate
     times their quantity. A batch then needs only its total and its last row, which an aggregation finds
     with partial results from every task; no task sees a whole batch. The totals are stored, hence a job starts
-    when this is called; ``addresses`` is read twice and should be stored, too.
+    when this is called; ``addresses`` is read twice and should be stored, too. With ``homes`` (the clients'
+    taxable addresses) each row also gets its client's, through the totals, so the rows are not joined to clients.
     """
     last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity")))
     totals = (
@@ -147,10 +155,14 @@ def allocate(addresses: DataFrame, *, on_zero: str = "raise") -> DataFrame:
             F.sum("quantity").alias("total_quantity"),
             F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
             last.alias("last"),
+            F.max("client_configuration_key").alias("client"),
         )
         .withColumnRenamed("sales_tax_batch_key", "batch")
     )
-    totals = cut(totals)
+    if homes is not None:
+        home = homes.withColumns({"client": F.col("client_configuration_key"), "has_home": F.lit(True)})
+        totals = totals.join(home.drop("client_configuration_key"), "client", "left")
+    totals = cut(totals.drop("client"))
     rows = addresses.join(totals, addresses["sales_tax_batch_key"] == totals["batch"]).drop("batch")
     is_last = F.lit(True)
     for c in ORDER:
@@ -207,6 +219,7 @@ def delivery_details(allocated: DataFrame) -> DataFrame:
     """Detail rows of the print and postage batches, addresses as delivered."""
     domestic = F.coalesce(F.col("destination_code") == "D", F.lit(False))
     spelled = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ORDER]
+    homes = [c for c in HOME if c in allocated.columns]
     return allocated.select(
         uuid_from(F.lit("detail"), F.col("sales_tax_batch_key"), *spelled).alias("sales_tax_batch_detail_id"),
         "sales_tax_batch_key",
@@ -219,35 +232,32 @@ def delivery_details(allocated: DataFrame) -> DataFrame:
         F.col("postal_code").alias("zip"),
         (~domestic).alias("is_foreign"),
         F.when(domestic, F.col("is_exportable")).otherwise(False).alias("should_export"),
+        *homes,
     )
 
 
 def fill_blank_addresses(t: Tables, details: DataFrame) -> DataFrame:
-    """Give rows with no city, region and zip at all their client's taxable address."""
-    home = t["client_configurations"].select(
-        "client_configuration_key", "taxable_city", "taxable_state", "taxable_postal_code",
-        F.lit(True).alias("has_home"),
-    )
+    """Give rows with no city, region and zip at all their client's taxable address; details that carry it from
+    ``allocate`` are not joined again."""
+    if "has_home" not in details.columns:
+        home = _homes(t).withColumn("has_home", F.lit(True))
+        details = details.join(home, "client_configuration_key", "left")
     empty = blank(F.col("city")) & blank(F.col("region")) & blank(F.col("zip"))
     use_home = F.coalesce(F.col("has_home"), F.lit(False)) & empty
     return (
-        details.join(home, "client_configuration_key", "left")
-        .withColumns(
+        details.withColumns(
             {
                 "city": F.when(use_home, F.col("taxable_city")).otherwise(F.col("city")),
                 "region": F.when(use_home, F.col("taxable_state")).otherwise(F.col("region")),
                 "zip": F.when(use_home, F.col("taxable_postal_code")).otherwise(F.col("zip")),
             }
         )
-        .drop("taxable_city", "taxable_state", "taxable_postal_code", "has_home")
+        .drop(*HOME)
     )
 
 
 def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
     """Detail rows of lines taxed at the customer's own address."""
-    home = t["client_configurations"].select(
-        "client_configuration_key", "taxable_city", "taxable_state", "taxable_postal_code"
-    )
     return (
         lines.where(F.col("use_customer_tax_address"))
         .groupBy(
@@ -255,7 +265,7 @@ def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
             "extended_amount",
         )
         .agg(F.sum("quantity").alias("quantity"))
-        .join(home, "client_configuration_key")
+        .join(_homes(t), "client_configuration_key")
         .select(
             uuid_from(F.lit("service"), F.col("sales_tax_batch_key")).alias("sales_tax_batch_detail_id"),
             "sales_tax_batch_key",
@@ -285,7 +295,8 @@ def sales_tax_details(
 
     ``addresses`` are the stored ``batch_addresses`` of the lines, of one bridge or several together.
     """
-    delivered = fill_blank_addresses(t, delivery_details(allocate(addresses, on_zero=on_zero)))
+    allocated = allocate(addresses, on_zero=on_zero, homes=_homes(t))
+    delivered = fill_blank_addresses(t, delivery_details(allocated))
     return (
         delivered.unionByName(service_lines(t, lines))
         .drop("client_configuration_key")

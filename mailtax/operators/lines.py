@@ -245,11 +245,15 @@ def infer_host_system(t: Tables, lines: DataFrame, *, few: bool = False) -> Data
     hosts = first.union(second).groupBy("data_stream_detail_id").agg(
         F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2")
     )
-    known = streams.join(cut(hosts), "data_stream_detail_id")
-    known = known.groupBy("invoice_line_item_key").agg(
+    return line_hosts(lines, streams.join(cut(hosts), "data_stream_detail_id"))
+
+
+def line_hosts(lines: DataFrame, known: DataFrame) -> DataFrame:
+    """Host of each line from ``known``: its details, or some of them, with the flags ``in_host1`` and ``in_host2``."""
+    flags = known.groupBy("invoice_line_item_key").agg(
         F.max("in_host1").alias("in_host1"), F.max("in_host2").alias("in_host2")
     )
-    return lines.select("invoice_line_item_key").join(known, "invoice_line_item_key", "left").select(
+    return lines.select("invoice_line_item_key").join(flags, "invoice_line_item_key", "left").select(
         "invoice_line_item_key", host_of(F.col("in_host1"), F.col("in_host2")).alias("host_system_id")
     )
 

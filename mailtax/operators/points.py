@@ -99,22 +99,22 @@ def generate_delivery_points(
 
 
 def _address_counts(pieces: DataFrame) -> DataFrame:
-    """Qualified details per line, host and address. ``pieces`` is read once per host, so it should be stored."""
+    """Qualified details per line, host and address, from one pass over ``pieces``."""
 
-    def side(host: int, record: str, quantity: str) -> DataFrame:
+    def side(host: int, record: str, quantity: str) -> Column:
         place = F.col(record)
-        return pieces.where(place.isNotNull() & F.col(quantity).isNotNull()).select(
-            "invoice_line_item_key",
+        address = F.struct(
             F.lit(host).alias("host_system_id"),
             folded(place["city"]).alias("city"),
             folded(place["state"]).alias("state_region"),
             F.rtrim(place["zip"]).alias("postal_code"),
             place["is_foreign"].alias("foreign_flag"),
         )
+        return F.when(place.isNotNull() & F.col(quantity).isNotNull(), address)
 
+    sides = F.array_compact(F.array(side(HOST1, "host1", "quantity1"), side(HOST2, "host2", "quantity2")))
     return (
-        side(HOST1, "host1", "quantity1")
-        .unionByName(side(HOST2, "host2", "quantity2"))
+        pieces.select("invoice_line_item_key", F.inline(sides))
         .groupBy("invoice_line_item_key", "host_system_id", "city", "state_region", "postal_code", "foreign_flag")
         .agg(F.count("*").alias("quantity"))
     )

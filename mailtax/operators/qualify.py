@@ -11,7 +11,7 @@ from mailtax.functions import rules
 from mailtax.functions.expressions import concat_null_as_empty, folded
 from mailtax.functions.rules import HOST1, HOST2, UNKNOWN_HOST
 from mailtax.functions.staging import cut
-from mailtax.operators.lines import Tables, host_of, known_pieces
+from mailtax.operators.lines import Tables, host_of, known_pieces, line_hosts
 
 HOST_NAMES = {HOST1: "Host 1", HOST2: "Host 2"}
 
@@ -191,7 +191,10 @@ def _first_failure() -> Column:
 
 def qualify_details(lines: DataFrame, pieces: DataFrame) -> DataFrame:
     """Details that qualify under the rule of their line's host and module, with their quantity."""
-    hosts = cut(infer_hosts(lines, pieces).where(F.col("host_system_id") != UNKNOWN_HOST))
+    flags = pieces.select(
+        "invoice_line_item_key", F.col("host1").isNotNull().alias("in_host1"), F.col("host2").isNotNull().alias("in_host2")
+    )
+    hosts = cut(line_hosts(lines, flags).where(F.col("host_system_id") != UNKNOWN_HOST))
     return (
         pieces.join(hosts, "invoice_line_item_key")
         .withColumn("quantity", by_host(F.col("host_system_id"), F.col("quantity1"), F.col("quantity2")))
@@ -200,16 +203,6 @@ def qualify_details(lines: DataFrame, pieces: DataFrame) -> DataFrame:
     )
 
 
-def infer_hosts(lines: DataFrame, pieces: DataFrame) -> DataFrame:
-    """``infer_host_system`` from matched pieces."""
-    known = pieces.groupBy("invoice_line_item_key").agg(
-        host_of(F.max(F.col("host1").isNotNull()), F.max(F.col("host2").isNotNull())).alias("host_system_id")
-    )
-    return lines.select("invoice_line_item_key").join(known, "invoice_line_item_key", "left").select(
-        "invoice_line_item_key", F.coalesce("host_system_id", F.lit(UNKNOWN_HOST)).alias("host_system_id")
-    )
-
-
 def reconcile_quantity(status: DataFrame) -> DataFrame:
     """Calculated against invoiced quantity per line."""
     return status.select("invoice_line_item_key", "calculated_quantity", "invoiced_quantity", "is_match")

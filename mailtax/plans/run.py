@@ -51,7 +51,7 @@ def sales_tax_run(
     """
     made = generate(t, sessions)
     status, pieces = made.status, made.pieces
-    new_points = points.generate_delivery_points(status, pieces, as_of=as_of)
+    new_points = cut(points.generate_delivery_points(status, pieces, as_of=as_of))
     links = points.session_line_links(status)
     generated = points.accepted(status).where("has_address").select("invoice_line_item_key")
 
