@@ -56,6 +56,10 @@ place AS (
   FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey),
 pc AS (
   SELECT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, strftime(l_shipdate, '%Y-%m-%d'))) AS pid,
+         CASE WHEN l_linenumber = 2 AND l_orderkey % 11 = 0 THEN NULL
+              WHEN l_linenumber = 2 AND l_orderkey % 11 = 1 THEN repeat('0', 32)
+              WHEN l_linenumber = 2 AND l_orderkey % 11 = 2 THEN '' ELSE pid END AS piece,
+         NOT (l_linenumber = 2 AND l_orderkey % 11 < 3) AS known,
          CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
               strftime(l_shipdate, '%Y-%m-%d'))), 1, 15) AS BIGINT) AS dk,
          o.*, p_size % 13 AS m, l_linenumber AS ln, CAST(l_quantity AS BIGINT) AS lq, l_discount AS disc,
@@ -75,33 +79,46 @@ li AS (
 lx AS (
   SELECT li.*, CAST(li.m + 1 AS BIGINT) AS item_key, module, guid, 'TC' || (li.m % 5) AS tax_code,
          CASE WHEN li.m = 12 THEN 'Service' WHEN li.m >= 4 THEN 'Postage' ELSE 'Print' END AS tax_category,
-         li.m % 4 <> 3 AS exportable
+         li.m % 4 <> 3 AS exportable, 'Vendor item ' || CASE WHEN ok % 3 = 0 THEN (li.m + 1) % 13 ELSE li.m END AS vendor
   FROM li JOIN item ON item.m = li.m),
-act AS (SELECT DISTINCT line, cat, lf, m, ok FROM pc),
+act AS (
+  SELECT DISTINCT line, cat, cat % 10 AS kind FROM pc
+  UNION ALL SELECT DISTINCT line, -line, 3 FROM pc WHERE ok % 7 = 0
+  UNION ALL SELECT line, cat, cat % 10
+            FROM (SELECT min(line) AS line, max(cat) AS cat FROM pc WHERE ok % 5 = 0 GROUP BY ok) WHERE cat // 10 <> line),
+behind AS (SELECT act.line AS of_line, pc.* FROM act JOIN pc ON pc.cat = act.cat),
 native_point AS (
-  SELECT 'bt-' || cat || '-' || ln AS g, city, state, zip, lq AS q,
+  SELECT 'bt-' || cat || '-' || ln AS g, upper(city) AS city, upper(state) AS state, zip, lq AS q,
          CASE rk WHEN 1 THEN 'F' WHEN 2 THEN 'N' ELSE 'D' END AS dest
   FROM pc WHERE st = 'P' AND ls = 'F'),
 native_detail AS (SELECT cat, 'bt-' || cat || '-' || ln AS g FROM pc WHERE st = 'P'),
 flagged AS (
-  SELECT line, cat, EXISTS (SELECT 1 FROM native_detail d JOIN native_point p ON p.g = d.g WHERE d.cat = act.cat) AS hit
-  FROM act WHERE lf <> 'N'),
+  SELECT line, cat, kind,
+         EXISTS (SELECT 1 FROM native_detail d JOIN native_point p ON p.g = d.g WHERE d.cat = act.cat) AS hit
+  FROM act WHERE kind <> 2),
 native_line AS (SELECT DISTINCT line FROM flagged JOIN lx USING (line) WHERE hit OR m = 12),
 todo AS (SELECT * FROM lx WHERE m <> 12 AND EXISTS (SELECT 1 FROM flagged f WHERE f.line = lx.line AND NOT hit)),
+hosted AS (
+  SELECT line, m,
+         CASE WHEN st = 'F' AND n_known > 0 THEN 1 WHEN st = 'O' AND n_known > 0 THEN 2 ELSE 0 END AS host
+  FROM (SELECT todo.line, any_value(todo.m) AS m, any_value(todo.st) AS st, count(*) FILTER (known) AS n_known
+        FROM todo LEFT JOIN behind ON of_line = todo.line GROUP BY todo.line)),
 qual AS (
-  SELECT *, rk <> 0 AND rk <> 4 AS is_abroad,
-    CASE WHEN st = 'F' THEN
-      CASE WHEN m IN (0, 1, 2, 3, 5) THEN 1 WHEN m = 10 AND ls = 'F' THEN 1
-           WHEN m IN (4, 9) AND rk NOT IN (0, 4) THEN 1 WHEN m = 8 AND rk NOT IN (0, 4) AND nk = 3 THEN 1
-           WHEN m IN (6, 7) AND disc >= 0.05 THEN 1 END
-    WHEN st = 'O' THEN
-      CASE WHEN m IN (2, 3, 5, 10) THEN 1 WHEN m = 0 AND lq > 1 THEN (lq + 1) // 2 - 1
-           WHEN m = 1 AND lq - (lq + 1) // 2 > 0 THEN lq - (lq + 1) // 2
-           WHEN m IN (6, 7) AND disc >= 0.05 THEN 1 END
+  SELECT hosted.line, hosted.m, host, b.* EXCLUDE (of_line, line, m),
+    CASE WHEN host = 1 THEN
+      CASE WHEN hosted.m IN (0, 1, 2, 3, 5) THEN 1 WHEN NOT known THEN NULL WHEN hosted.m = 10 AND ls = 'F' THEN 1
+           WHEN hosted.m IN (4, 9) AND rk NOT IN (0, 4) THEN 1
+           WHEN hosted.m = 8 AND rk NOT IN (0, 4) AND nk = 3 THEN 1
+           WHEN hosted.m IN (6, 7) AND disc >= 0.05 THEN 1 END
+    WHEN host = 2 THEN
+      CASE WHEN hosted.m IN (2, 3, 5, 10) THEN 1 WHEN NOT known THEN NULL
+           WHEN hosted.m = 0 AND lq > 1 THEN (lq + 1) // 2 - 1
+           WHEN hosted.m = 1 AND lq - (lq + 1) // 2 > 0 THEN lq - (lq + 1) // 2
+           WHEN hosted.m IN (6, 7) AND disc >= 0.05 THEN 1 END
     END AS q
-  FROM pc WHERE line IN (SELECT line FROM todo)),
+  FROM hosted JOIN behind b ON b.of_line = hosted.line),
 st1 AS (
-  SELECT todo.*, CAST(CASE st WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 0 END AS BIGINT) AS host,
+  SELECT todo.*, (SELECT CAST(host AS BIGINT) FROM hosted WHERE hosted.line = todo.line) AS host,
          (SELECT CAST(sum(q) AS BIGINT) FROM qual WHERE qual.line = todo.line) AS calc,
          (SELECT count(q) FROM qual WHERE qual.line = todo.line) AS n_details,
          (SELECT CAST(type_id AS BIGINT) FROM type_ids WHERE type_ids.guid = todo.guid) AS type_id,
@@ -126,23 +143,24 @@ good AS (SELECT *, {_LINE_GUID} AS tg FROM status WHERE warning IS NULL),
 new_point AS (
   SELECT line, upper(city) AS city, upper(state) AS state, zip, CASE WHEN rk = 4 THEN NULL ELSE rk <> 0 END AS abroad,
          count(*) AS q
-  FROM qual WHERE q IS NOT NULL AND st IN ('F', 'O') GROUP BY ALL),
+  FROM qual WHERE q IS NOT NULL AND known AND host <> 0 GROUP BY ALL),
 gen_point AS (
   SELECT p.*, g.tg, CASE WHEN abroad THEN 'F' ELSE 'D' END AS dest FROM new_point p JOIN good g USING (line)),
 rate AS (
-  SELECT lx.*, CASE pr WHEN 1 THEN 6 WHEN 2 THEN 8 WHEN 3 THEN NULL ELSE 1 END AS rate_type,
-         CASE WHEN c_acctbal < 0 THEN 0 ELSE CAST(round(c_acctbal * 100) AS BIGINT) END AS up
-  FROM lx JOIN customer ON c_custkey = ck),
+  SELECT lx.*, cat,
+         CASE CASE WHEN kind = 3 THEN pr % 5 + 1 ELSE pr END
+           WHEN 1 THEN 6 WHEN 2 THEN 8 WHEN 3 THEN NULL ELSE 1 END AS rate_type,
+         CASE WHEN c_acctbal >= 0 THEN CAST(round(c_acctbal * 100) AS BIGINT) WHEN kind = 3 THEN 0 END AS up
+  FROM lx JOIN flagged USING (line) JOIN customer ON c_custkey = ck),
 native_addr AS (
   SELECT r.line AS b, r.ck, city, state, zip, dest, rate_type, up, exportable, cents, CAST(sum(p.q) AS BIGINT) AS q
-  FROM rate r JOIN flagged f ON f.line = r.line JOIN native_detail d ON d.cat = f.cat
-       JOIN native_point p ON p.g = d.g
+  FROM rate r JOIN native_detail d ON d.cat = r.cat JOIN native_point p ON p.g = d.g
   WHERE r.m <> 12 AND r.line IN (SELECT line FROM native_line)
   GROUP BY ALL),
 gen_addr AS (
   SELECT r.line AS b, r.ck, p.city, p.state, p.zip, dest, rate_type, up, exportable, cents,
          CAST(sum(p.q) AS BIGINT) AS q
-  FROM rate r JOIN flagged f ON f.line = r.line JOIN gen_point p ON p.line = r.line
+  FROM rate r JOIN gen_point p ON p.line = r.line
   GROUP BY ALL)
 """
 
@@ -164,7 +182,7 @@ given AS (
             AS rem FROM milled),
 alloc AS (
   SELECT b, ck, city, state, zip, dest, q, exportable,
-    CASE WHEN rate_type NOT IN (6, 8) THEN up * 10000
+    CASE WHEN rate_type NOT IN (6, 8) THEN coalesce(up, 0) * 10000
          WHEN n = cnt THEN CAST(sign(rem) AS BIGINT) * ((2 * abs(rem) * 1000 + q) // (2 * q))
          ELSE mills * 1000 END AS rate_u
   FROM given),
@@ -186,7 +204,7 @@ service AS (
 
 _DISTRIBUTION_OUT = """
 SELECT b AS sales_tax_batch_key, city, state AS state_region, zip AS postal_code, q AS quantity, n AS line_number,
-       cnt AS lines_per_batch, pr8 AS pro_rata_e8, cents * 10000 AS price_u, up * 10000 AS unit_price_u,
+       cnt AS lines_per_batch, pr8 AS pro_rata_e8, cents * 10000 AS price_u, coalesce(up, 0) * 10000 AS unit_price_u,
        CAST(rate_type AS BIGINT) AS rate_type_key, dest AS destination_code, exportable AS is_exportable
 FROM rd"""
 
@@ -219,7 +237,7 @@ def _summary(where: str) -> str:
     return f"""
 SELECT CASE host WHEN 1 THEN 'Host 1' WHEN 2 THEN 'Host 2' ELSE 'Unknown' END AS host,
        line AS invoice_line_item_key, format('{{:,}}', calc) AS calc, format('{{:,}}', qty) AS inv, is_match AS valid,
-       'Vendor item ' || m AS item, format('{{:,}}', n_details) AS cat_details, module
+       vendor AS item, format('{{:,}}', n_details) AS cat_details, module
 FROM status WHERE {where}"""
 
 
@@ -276,13 +294,17 @@ ORACLE: dict[str, str] = {
     "sales_tax_run": _BOTH + _RATE + _details_out("filled") + " UNION ALL " + _SERVICE_OUT,
     "sales_tax_run_batches": _BASE
     + _batches("SELECT line FROM native_line UNION SELECT line FROM gen_point"),
+    "sales_tax_run_zero_warnings": _BOTH.replace("zip, lq AS q", "zip, CASE WHEN lq < 10 THEN 0 ELSE lq END AS q") + """
+SELECT b AS sales_tax_batch_key, any_value(sk) AS session_key, 'Amount cannot be spread: zero quantity.' AS message
+FROM (SELECT *, coalesce(rate_type IN (6, 8), true) AS fixed FROM numbered) JOIN lx ON line = b GROUP BY b
+HAVING (bool_or(fixed) AND sum(q) = 0) OR bool_or(fixed AND n = cnt AND q = 0)""",
     "taxable_line_items": _BASE + _batches("SELECT line FROM native_line"),
     "taxable_line_items_sessions": "SELECT * FROM (" + _BASE + _batches("SELECT line FROM native_line")
     + ") WHERE session_key IN (" + _LATEST_SESSIONS + ")",
     "sales_tax_run_sessions": "SELECT * FROM (" + _BOTH + _RATE + _details_out("filled") + " UNION ALL " + _SERVICE_OUT
     + ") WHERE sales_tax_batch_key // 100 IN (" + _LATEST_ORDERS + ")",
     "session_line_item_batches": _BASE + _batches("SELECT line FROM flagged"),
-    "session_line_item_batches_strict": _BASE + _batches("SELECT line FROM flagged"),
+    "session_line_item_batches_strict": _BASE + _batches("SELECT line FROM flagged WHERE cat IN (SELECT cat FROM pc)"),
     "non_service_line_items": _BASE + f"SELECT {_TODO_COLUMNS} FROM todo",
     "infer_host_system": _BASE + "SELECT line AS invoice_line_item_key, host AS host_system_id FROM status",
     "host_of_batches": """
@@ -290,16 +312,17 @@ SELECT o_orderkey AS activity_batch_key,
        CAST(CASE o_orderstatus WHEN 'F' THEN 1 ELSE 2 END AS BIGINT) AS host_system_id
 FROM orders WHERE o_orderstatus <> 'P'""",
     "line_item_batches_by_module": _BASE + """
-SELECT sk AS session_key, line AS invoice_line_item_key, module, md5('bab-' || act.ok) AS activity_batch_id,
+SELECT sk AS session_key, line AS invoice_line_item_key, module, md5('bab-' || ok) AS activity_batch_id,
        n AS meta_group_key, st = 'P' AS is_native_batch
-FROM (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY line) AS n FROM lx) x JOIN act USING (line)""",
+FROM (SELECT *, row_number() OVER (PARTITION BY sk ORDER BY line) AS n FROM lx) x JOIN act USING (line)
+WHERE cat > 0""",
     "calculator_transaction_type": _BASE + """
 SELECT line AS invoice_line_item_key, module, lx.guid AS transaction_type_guid,
        CAST(type_id AS BIGINT) AS transaction_type_id
 FROM lx LEFT JOIN type_ids ON type_ids.guid = lx.guid""",
     "qualify_details": _BASE + """
-SELECT line AS invoice_line_item_key, CAST(CASE st WHEN 'F' THEN 1 ELSE 2 END AS BIGINT) AS host_system_id,
-       dk AS detail_key, pid AS data_stream_detail_id, CAST(q AS BIGINT) AS quantity
+SELECT line AS invoice_line_item_key, CAST(host AS BIGINT) AS host_system_id, dk AS detail_key,
+       piece AS data_stream_detail_id, CAST(q AS BIGINT) AS quantity
 FROM qual WHERE q IS NOT NULL""",
     "reconcile_quantity": _BASE + """
 SELECT line AS invoice_line_item_key, calc AS calculated_quantity, qty AS invoiced_quantity, is_match FROM status""",
@@ -312,12 +335,12 @@ SELECT line AS invoice_line_item_key,
 FROM status""",
     "mismatched_details": _BASE + """
 SELECT s.host AS host_system_id, s.line AS invoice_line_item_key, dk AS detail_key, CAST(q AS BIGINT) AS quantity,
-       CASE host WHEN 2 THEN city END AS city, CASE host WHEN 2 THEN lower(state) END AS state,
-       CASE host WHEN 2 THEN zip END AS zip, CAST(CASE host WHEN 2 THEN lq END AS BIGINT) AS page_count,
-       CAST(CASE host WHEN 2 THEN (lq + 1) // 2 END AS BIGINT) AS paper_page_count,
-       CASE host WHEN 2 THEN disc >= 0.05 END AS is_force_mailed,
-       CASE WHEN host = 2 AND rk <> 4 THEN rk <> 0 END AS is_foreign
-FROM status s JOIN qual USING (line) WHERE NOT is_match AND q IS NOT NULL""",
+       CASE s.host WHEN 2 THEN city END AS city, CASE s.host WHEN 2 THEN lower(state) END AS state,
+       CASE s.host WHEN 2 THEN zip END AS zip, CAST(CASE s.host WHEN 2 THEN lq END AS BIGINT) AS page_count,
+       CAST(CASE s.host WHEN 2 THEN (lq + 1) // 2 END AS BIGINT) AS paper_page_count,
+       CASE s.host WHEN 2 THEN disc >= 0.05 END AS is_force_mailed,
+       CASE WHEN s.host = 2 AND rk <> 4 THEN rk <> 0 END AS is_foreign
+FROM status s JOIN qual USING (line) WHERE NOT is_match AND q IS NOT NULL AND known""",
     "delivery_point_preview": _BASE + """
 SELECT s.line AS invoice_line_item_key, s.host AS host_system_id, q AS detail_count, city, state AS state_region,
        zip AS postal_code, CASE WHEN abroad THEN 'Yes' ELSE 'No' END AS is_foreign
@@ -336,6 +359,11 @@ FROM good""",
 SELECT g.tg AS transaction_guid, g.sk AS session_key, g.line AS invoice_line_item_key, g.item_key AS line_item_key,
        g.module, g.host AS host_system_id, dk AS detail_key
 FROM good g JOIN qual ON qual.line = g.line WHERE q IS NOT NULL""",
+    "link_details_last_wins": _BASE + """
+SELECT g.tg AS transaction_guid, g.sk AS session_key, g.line AS invoice_line_item_key, g.item_key AS line_item_key,
+       g.module, g.host AS host_system_id, dk AS detail_key
+FROM good g JOIN qual ON qual.line = g.line WHERE q IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY dk ORDER BY g.line DESC) = 1""",
     "session_line_links": _BASE + f"""
 SELECT sk AS session_key, line AS invoice_line_item_key, item_key AS line_item_key, host AS host_system_id,
        CASE WHEN warning IS NULL THEN {_LINE_GUID} END AS transaction_guid
@@ -350,7 +378,7 @@ FROM status WHERE warning IS NOT NULL AND host <> 0""",
             *[_check(*held, "SELECT 0") for held in _HELD],
             _check("details", "primary_key", "category_key", "SELECT count(*) - count(DISTINCT cat) FROM pc"),
             _check("details", "foreign_key", "data_stream_detail_id -> host1_pieces.data_stream_detail_id",
-                   "SELECT count(*) FROM pc WHERE st <> 'F'"),
+                   "SELECT count(*) FROM pc WHERE piece IS NOT NULL AND (st <> 'F' OR NOT known)"),
             _check("client_configurations", "foreign_key", "account_code -> customers.account",
                    "SELECT count(*) FROM customer WHERE c_acctbal < 0"),
             _check("details", "not_null", "transaction_guid", "SELECT count(*) FROM pc WHERE st <> 'P'"),
@@ -359,18 +387,19 @@ FROM status WHERE warning IS NOT NULL AND host <> 0""",
         ]
     ),
     "category_totals": _BASE + """
-SELECT line AS invoice_line_item_key, grp AS group_key, item_key AS line_item_key, module,
+SELECT lx.line AS invoice_line_item_key, grp AS group_key, item_key AS line_item_key, module,
        CAST(sum(lq) AS BIGINT) AS batch_total, count(*) FILTER (disc >= 0.05) AS total_suppressed,
        count(*) FILTER (ls = 'F') AS total_updated, count(*) FILTER (ls = 'O') AS total_returned
-FROM lx JOIN pc USING (line) WHERE line IN (SELECT line FROM flagged) GROUP BY 1, 2, 3, 4""",
+FROM lx JOIN behind ON of_line = lx.line WHERE lx.line IN (SELECT line FROM flagged) GROUP BY 1, 2, 3, 4""",
     "return_update_counts": _BASE + """
-SELECT line AS invoice_line_item_key, count(*) FILTER (lf = 'R') AS num_returns, count(*) FILTER (lf = 'A') AS num_updates
-FROM pc WHERE lf <> 'N' GROUP BY line""",
+SELECT of_line AS invoice_line_item_key, count(*) FILTER (lf = 'R') AS num_returns,
+       count(*) FILTER (lf = 'A') AS num_updates
+FROM behind WHERE lf <> 'N' GROUP BY of_line""",
     "line_item_details": _BASE + """
-SELECT cat AS category_key, line AS invoice_line_item_key, dk AS detail_key, pid AS detail_id,
-       CASE st WHEN 'P' THEN md5('bt-' || cat || '-' || ln) END AS transaction_guid, pid AS data_stream_detail_id,
+SELECT cat AS category_key, of_line AS invoice_line_item_key, dk AS detail_key, pid AS detail_id,
+       CASE st WHEN 'P' THEN md5('bt-' || cat || '-' || ln) END AS transaction_guid, piece AS data_stream_detail_id,
        CASE WHEN lf <> 'N' THEN 'r' || pid END AS return_detail_id
-FROM pc""",
+FROM behind""",
     "transactions_for_line": _BASE + """
 SELECT cat * 10 + ln AS transaction_id, md5('bt-' || cat || '-' || ln) AS transaction_guid, ck AS customer_id,
        CAST(sum(lq) AS BIGINT) AS quantity
@@ -389,11 +418,10 @@ SELECT o_custkey * 10000 + year(o_orderdate) AS session_key, o_custkey AS client
        'clerk-' || substr(o_orderpriority, 1, 1) AS user_added, o_orderstatus <> 'P' AS is_active
 FROM orders""",
     "activity_category_types": _BASE + """
-SELECT md5('ct-' || lf) AS category_type_id, 'Category ' || lf AS category_type_name, line AS invoice_line_item_key,
-       module
-FROM act JOIN lx USING (line)""",
-    "non_service_lines_with_item": _BASE
-    + f"SELECT {_TODO_COLUMNS}, 'Vendor item ' || m AS vendor_item_name FROM todo",
+SELECT DISTINCT md5('ct-' || lf) AS category_type_id, 'Category ' || lf AS category_type_name,
+       lx.line AS invoice_line_item_key, module
+FROM lx JOIN behind ON of_line = lx.line""",
+    "non_service_lines_with_item": _BASE + f"SELECT {_TODO_COLUMNS}, vendor AS vendor_item_name FROM todo",
     "non_service_lines_with_catalogue_item": _BASE
     + f"SELECT {_TODO_COLUMNS}, 'Vendor item ' || m AS vendor_item_name FROM todo",
     "parse_log_lines": _EVENT_LOG + """

@@ -123,9 +123,9 @@ def _transactions(t: ln.Tables) -> DataFrame:
     return _whole(rows, "transaction_status_id", "location_id")
 
 
-def _links(t: ln.Tables) -> DataFrame:
+def _links(t: ln.Tables, last_wins: bool = False) -> DataFrame:
     made = generate(t)
-    links = pt.link_details_to_transactions(made.status, made.pieces)
+    links = pt.link_details_to_transactions(made.status, made.pieces, last_wins=last_wins)
     return _whole(links.drop("category_detail_id"), "host_system_id")
 
 
@@ -190,6 +190,14 @@ def _run_batches(t: ln.Tables) -> DataFrame:
     return _batch_columns(sales_tax_run(t, **RUN).sales_tax_batches)
 
 
+def _run_zero_warnings(t: ln.Tables) -> DataFrame:
+    """A run over native points of which small ones count nothing."""
+    points = t["delivery_points"]
+    none = F.when(F.col("quantity") < 10, F.lit(0)).otherwise(F.col("quantity")).cast(points.schema["quantity"].dataType)
+    after = ChainMap({"delivery_points": points.withColumn("quantity", none)}, t)
+    return _batch_columns(sales_tax_run(after, on_zero="warn", **RUN).zero_quantity_warnings)
+
+
 def _latest_sessions(t: ln.Tables) -> DataFrame:
     """Sessions with invoices in the last year there are invoices for."""
     billed = t["invoices"].select("session_key", F.year("invoice_billing_date").alias("year"))
@@ -321,6 +329,7 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "generate_delivery_points": _points,
     "generate_billing_transactions": _transactions,
     "link_details_to_transactions": _links,
+    "link_details_last_wins": lambda t: _links(t, last_wins=True),
     "session_line_links": _session_links,
     "invoice_warnings": _warnings,
     "referential_checks": _checks,
@@ -341,6 +350,7 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "sales_tax_run_sessions": _run_of_sessions,
     "taxable_line_items_sessions": _taxable_of_sessions,
     "sales_tax_run_batches": _run_batches,
+    "sales_tax_run_zero_warnings": _run_zero_warnings,
 }
 
 

@@ -3,6 +3,11 @@
 This maps the order tables onto the billing model so that every job runs over whole, large tables: an order is
 an invoice, a customer's year a session, a line item a mail piece, a supplier's nation an address. Orders of
 status F and O are billed from host 1 and host 2 and have no transactions yet; status P is native data.
+
+Some rows stand for what is rare in orders: every fifth order's last category is shared by its first line; every seventh
+order's lines also have an activity of a category without details; returned categories carry a second rate, with price 0
+where the first has none; some details have no piece id or one that neither host knows; the first pieces of host 1 are
+known to host 2, too; the lines of every third order sell another vendor item than the catalogue names; spellings vary.
 """
 
 from __future__ import annotations
@@ -174,7 +179,7 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
             invoice_line_item_key=F.col("line"),
             invoice_key=F.col("l_orderkey"),
             line_item_key=item_key,
-            vendor_item_key=item_key,
+            vendor_item_key=F.when(F.col("l_orderkey") % 3 == 0, (item + 1) % len(MODULES)).otherwise(item) + 1,
             group_key=F.concat(F.lit("group-"), item % 4),
             quantity=F.col("billed"),
             rate=F.when(F.col("priority") < 5, cents_to_money(F.floor(F.col("cents") / 1000))),
@@ -182,16 +187,26 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
         )
 
     def activities() -> DataFrame:
-        acts = pieces().select("item", "line", "category", "l_returnflag", "o_custkey", "priority").distinct()
+        own = pieces().select("l_orderkey", "o_custkey", "priority", "line", "category", "flag_key").distinct()
+        order = ["l_orderkey", "o_custkey", "priority"]
+        empty = own.where("l_orderkey % 7 = 0").withColumns({"category": -F.col("line"), "flag_key": F.lit(3)}).distinct()
+        shared = (
+            own.where("l_orderkey % 5 = 0")
+            .groupBy(*order)
+            .agg(F.min("line").alias("line"), F.max("category").alias("category"))
+            .where("category div 10 <> line")
+            .withColumn("flag_key", (F.col("category") % 10).cast("int"))
+        )
+        second = F.col("flag_key") == 3
         return shaped(
-            acts,
+            own.unionByName(empty).unionByName(shared),
             "activities",
             invoice_line_item_key=F.col("line"),
             category_key=F.col("category"),
-            client_line_item_key=item + 101,
-            rate_model_key=F.col("o_custkey"),
-            rate_key=F.col("priority"),
-            include_in_sales_tax_batch=F.col("l_returnflag") != "N",
+            client_line_item_key=F.col("line") % 100 + 101,
+            rate_model_key=F.when(second, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey")),
+            rate_key=F.when(second, F.col("priority") % 5 + 1).otherwise(F.col("priority")),
+            include_in_sales_tax_batch=F.col("flag_key") != 2,
         )
 
     def activity_categories() -> DataFrame:
@@ -219,6 +234,13 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
 
     def details() -> DataFrame:
         flag = F.col("l_returnflag")
+        order = F.when(F.col("l_linenumber") == 2, F.col("l_orderkey") % 11)
+        piece = (
+            F.when(order == 0, F.lit(None))
+            .when(order == 1, "00000000000000000000000000000000")
+            .when(order == 2, "")
+            .otherwise(F.col("piece_id"))
+        )
         return shaped(
             pieces(),
             "details",
@@ -226,7 +248,7 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
             detail_id=F.col("piece_id"),
             category_key=F.col("category"),
             transaction_guid=F.when(F.col("o_orderstatus") == "P", native_guid()),
-            data_stream_detail_id=F.col("piece_id"),
+            data_stream_detail_id=piece,
             return_detail_id=F.when(flag != "N", F.concat(F.lit("r"), F.col("piece_id"))),
         )
 
@@ -250,7 +272,7 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
     def host2_pieces() -> DataFrame:
         pages = F.col("l_quantity").cast("int")
         return shaped(
-            mailed("O"),
+            mailed("O").unionByName(mailed("F").where("l_linenumber = 1")),
             "host2_pieces",
             data_stream_detail_id=F.col("piece_id"),
             city=F.col("city"),
@@ -269,7 +291,7 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
             "delivery_points",
             delivery_point_id=F.col("piece_id"),
             transaction_guid=native_guid(),
-            city=F.col("city"),
+            city=F.when(F.col("l_linenumber") % 2 == 1, F.initcap("city")).otherwise(F.col("city")),
             state_region=F.col("state"),
             postal_code=F.col("zip"),
             destination_code=F.when(region == 1, "F").when(region == 2, "N").otherwise("D"),
@@ -351,12 +373,10 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
 
     def rate_models() -> DataFrame:
         cents = F.round(F.col("c_acctbal") * 100).cast("bigint")
-        return shaped(
-            raw("customer"),
-            "rate_models",
-            rate_model_key=F.col("c_custkey"),
-            price=F.when(F.col("c_acctbal") >= 0, cents_to_money(cents)),
-        )
+        price = F.when(F.col("c_acctbal") >= 0, cents_to_money(cents))
+        customer = raw("customer").select("c_custkey", price.alias("price"))
+        models = customer.union(customer.select(-1 - F.col("c_custkey"), F.coalesce("price", F.lit(0))))
+        return shaped(models, "rate_models", rate_model_key=F.col("c_custkey"), price=F.col("price"))
 
     def rates() -> DataFrame:
         rate = F.col("priority")
@@ -365,13 +385,12 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
 
     def transaction_types() -> DataFrame:
         guids = F.array(*[F.lit(g) for g in sorted(set(rules.TYPE_GUID.values()))[:-1]])
+        guid = F.coalesce(F.get(guids, F.col("n_nationkey")), F.md5(F.concat(F.lit("type-"), F.col("n_nationkey"))))
         return shaped(
             raw("nation"),
             "transaction_types",
             transaction_type_id=F.col("n_nationkey") + 1,
-            transaction_type_guid=F.coalesce(
-                F.get(guids, F.col("n_nationkey")), F.md5(F.concat(F.lit("type-"), F.col("n_nationkey")))
-            ),
+            transaction_type_guid=F.when(F.col("n_nationkey") % 2 == 1, F.upper(guid)).otherwise(guid),
         )
 
     def statuses() -> DataFrame:
@@ -381,7 +400,7 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
             raw("region"),
             "sales_tax_batch_statuses",
             status_key=F.col("r_regionkey") + 1,
-            status_id=F.when(first, rules.NEW_BATCH_STATUS_ID).otherwise(other),
+            status_id=F.when(first, rules.NEW_BATCH_STATUS_ID.upper()).otherwise(other),
         )
 
     flag = F.col("l_returnflag")

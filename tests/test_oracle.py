@@ -38,6 +38,17 @@ def test_query_matches_duckdb(spark, duck, name):
     assert rows == _sorted(expected.fetchall())
 
 
+@pytest.mark.parametrize("one, other", [
+    ("session_line_item_batches", "session_line_item_batches_strict"),
+    ("non_service_lines_with_item", "non_service_lines_with_catalogue_item"),
+    ("link_details_to_transactions", "link_details_last_wins"),
+])
+def test_variants_have_different_rows(duck, one, other):
+    sql = entry.oracle_sql()
+    assert duck.sql(f"SELECT 1 FROM (SELECT * FROM ({sql[one]}) EXCEPT SELECT * FROM ({sql[other]})) UNION ALL "
+                    f"SELECT 1 FROM (SELECT * FROM ({sql[other]}) EXCEPT SELECT * FROM ({sql[one]}))").fetchall()
+
+
 def test_every_job_has_sql():
     assert set(all_queries()) <= set(entry.oracle_sql()) <= set(entry.queries())
 
