@@ -95,18 +95,23 @@ def fuzzy_keys(fingerprints: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] << 3 | p[2] for p in parts])
 
 
-def fingerprint(text: bytes, words: int) -> int:
-    """SimHash of the shingles of ``words`` words, repeats included; A-Z count as a-z; 0 without words."""
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """Hashes of the shingles of ``words`` words, repeats included; A-Z count as a-z. Fewer words are one shingle, none give none."""
     split = text.lower().split()
-    if not split:
-        return 0
     joined, digest = b" ".join(split), xxhash.xxh64_intdigest
+    if len(split) <= words:
+        return np.array([digest(joined, 42)] if split else [], np.uint64)
     length = np.fromiter(map(len, split), np.int64, len(split)) + 1
     end = np.cumsum(length) - 1
-    if len(split) <= words:
-        return digest(joined, 42)
     start = (end - length + 1)[: len(split) - words + 1].tolist()
-    hashes = np.fromiter((digest(joined[s:e], 42) for s, e in zip(start, end[words - 1:].tolist())), np.uint64, len(start))
+    return np.fromiter((digest(joined[s:e], 42) for s, e in zip(start, end[words - 1:].tolist())), np.uint64, len(start))
+
+
+def fingerprint(text: bytes, words: int) -> int:
+    """SimHash of the shingles of ``words`` words, repeats included; A-Z count as a-z; 0 without words."""
+    hashes = shingles(text, words)
+    if len(hashes) < 2:
+        return int(hashes[0]) if len(hashes) else 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 15):
         ones += np.unpackbits(hashes[at:at + (1 << 15)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
@@ -220,11 +225,9 @@ def near_links(values: DataFrame, bits: int = 4, block: int = BLOCK) -> DataFram
     return met.repartition("meet").sortWithinPartitions("meet").mapInArrow(work, "u bigint, v bigint")
 
 
-def components(prints: DataFrame, bits: int = 4, block: int = BLOCK) -> DataFrame:
-    """``fp, first``: per fingerprint the first row ``(doc_id is null, doc_id, k1, k2)`` of its component."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "k1", "k2")).alias("first")
-    values = cut(prints.groupBy("fp").agg(first))
-    found = cut(connected_components(near_links(values, bits, block)))
+def first_rows(values: DataFrame, links: DataFrame) -> DataFrame:
+    """``fp, first``: per node of ``values`` (``fp, first``, stored) the smallest ``first`` of its component over ``links``."""
+    found = cut(connected_components(links))
     rooted = cut(
         values.join(found.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", F.coalesce("root", "fp").alias("root"), "first")
@@ -233,6 +236,13 @@ def components(prints: DataFrame, bits: int = 4, block: int = BLOCK) -> DataFram
     return cut(rooted.select("fp", "root").join(least, "root").select("fp", "first"))
 
 
+def components(prints: DataFrame, bits: int = 4, block: int = BLOCK) -> DataFrame:
+    """``fp, first``: per fingerprint the first row ``(doc_id is null, doc_id, k1, k2)`` of its component."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "k1", "k2")).alias("first")
+    values = cut(prints.groupBy("fp").agg(first))
+    return first_rows(values, near_links(values, bits, block))
+
+
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, bits: int = 4, block: int = BLOCK
 ) -> DataFrame:
@@ -255,10 +265,15 @@ def near_duplicates(
     )
 
 
-def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` without all but one of each component; of repeated rows one stays."""
-    stay = cut(near_duplicates(df, id_col, text_col, **options).where("is_first").select("k1", "k2").distinct())
+def only_rows(df: DataFrame, stay: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` with a key in ``stay`` (``k1, k2``), each once."""
     k1, k2 = row_key(id_col, text_col)
     packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), k1, k2)
     once = packed.join(stay, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return once.select("row.*")
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` without all but one of each component; of repeated rows one stays."""
+    stay = cut(near_duplicates(df, id_col, text_col, **options).where("is_first").select("k1", "k2").distinct())
+    return only_rows(df, stay, id_col, text_col)
