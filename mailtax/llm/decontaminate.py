@@ -7,6 +7,10 @@ more placeholders than words say too little and are left out. Matching windows t
 consistently: within a document and an item, each value of the item is bound to the document's value found in most
 windows, and windows that contradict a binding do not count. An item with a share of at least ``share`` of its windows
 left is contained in the document.
+
+Besides, windows of the plain words in lower case are joined, with numbers and names as they are: so copies are found whatever
+their case, and those of items that are mostly numbers or names, of items shorter than a window (their windows are as long as
+the item) and of items in scripts without spaces, where each character is a word.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ AFTER_NUMBER = rf"\x03([^\p{{L}}\x02\x03]*)(?:{'|'.join(UNITS)})($|[^\p{{L}}\x03
 NAMED = r"\x02\p{L}+"
 WORD = r"[0-9]+(?:[.,][0-9]+)*|\x02?\p{L}+"
 TEMPLATE_WORD = r"[\x02\x03\x04]|\p{L}+"
+SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+PLAIN_WORD = rf"{FIGURES}|[{SPACELESS}]|[\p{{L}}&&[^{SPACELESS}]]+"
 
 
 def _marked(text: Column) -> Column:
@@ -79,6 +85,29 @@ def _windows(rows: DataFrame, window: int) -> DataFrame:
     return words.withColumn("w", F.explode(found)).drop("words", "filled").select("*", "w.*").drop("w")
 
 
+def _plain_windows(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """One row per window of ``rows`` (column ``text``) of each of the widths: the hash of its words in lower case."""
+    words = rows.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(PLAIN_WORD), F.lit(0))).drop("text")
+
+    def wide(width: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size("words") - width)
+        return F.when(F.size("words") >= width, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i + 1, width)))).otherwise(F.array())
+
+    return words.withColumn("hash", F.explode(F.concat(*[wide(w) for w in widths]))).drop("words")
+
+
+def _plain_items(benchmark: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
+    """``item_id, hash`` of the plain windows of items (``item_id, text``), as wide as ``window`` or the item, and their widths."""
+    size = F.size(F.regexp_extract_all(F.lower("text"), F.lit(PLAIN_WORD), F.lit(0)))
+    sized = cut(benchmark.withColumn("width", F.least(size, F.lit(window))).where("width > 0"))
+    widths = sorted(row["width"] for row in sized.select("width").distinct().collect())
+    parts = [_plain_windows(sized.where(F.col("width") == w).drop("width"), [w]) for w in widths]
+    out = sized.select("item_id", F.lit(0).cast("bigint").alias("hash")).limit(0)
+    for part in parts:
+        out = out.union(part)
+    return cut(out.distinct()), widths
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df`` to be broadcast, if its size, which is counted here, allows it; otherwise the join shuffles both sides."""
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
@@ -91,17 +120,16 @@ def contained_items(
     """``k1, k2, item_id, matched``: items contained in rows of ``df`` and the windows that match.
 
     First the templates alone are matched, which needs no fillers; the few documents that share enough windows with an
-    item are then read again with their fillers.
+    item are then read again with their fillers. Items whose plain windows alone match come with the number of those.
     """
-    items = _windows(
-        benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")), window
-    )
+    asked = benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
+    items = _windows(asked, window)
     wordy = F.size(F.array_remove("fillers", "")) * 2 <= F.size("fillers")
     items = cut(items.where(wordy).distinct())
     totals = cut(items.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
     pair = ["k1", "k2", "item_id"]
 
-    def enough(matched: DataFrame) -> DataFrame:
+    def enough(matched: DataFrame, totals: DataFrame = totals) -> DataFrame:
         counted = matched.groupBy(*pair).agg(F.countDistinct("hash").alias("matched"))
         return counted.join(totals, counted["item_id"].eqNullSafe(totals["item_id"])).where(
             F.col("matched") >= share * F.col("windows")
@@ -123,15 +151,24 @@ def contained_items(
     )
     same = (F.col("k1") == F.col("b_k1")) & (F.col("k2") == F.col("b_k2")) & F.col("item_id").eqNullSafe(F.col("b_item_id"))
     agrees = F.forall(F.zip_with("fillers", "mine", lambda f, m: (f == "") | (F.col("bound")[f] == m)), lambda x: x)
-    return enough(met.join(bound, same, "left").where(F.col("bound").isNull() | agrees))
+    found = cut(enough(met.join(bound, same, "left").where(F.col("bound").isNull() | agrees)))
+    plain, widths = _plain_items(asked, window)
+    if not widths:
+        return found
+    hits = cut(_plain_windows(rows, widths).join(_small(cut(plain.select("hash").distinct())), "hash").distinct())
+    plain_totals = cut(plain.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
+    copies = cut(enough(hits.join(_small(plain), "hash"), plain_totals))
+    other = found.select(*[F.col(c).alias(f"o_{c}") for c in pair])
+    known = (F.col("k1") == F.col("o_k1")) & (F.col("k2") == F.col("o_k2")) & F.col("item_id").eqNullSafe(F.col("o_item_id"))
+    return found.union(copies.join(other, known, "left_anti"))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``df``: ``doc_id, contaminated, items`` (sorted ids of contained items, comma-joined), ``matched``
     (their windows found).
 
-    Null texts are empty and contain nothing. A text shorter than a window is one window, which only texts of the same
-    template share. Items with equal text are all reported; repeated rows each get their row; a null item id counts as an
+    Null texts are empty and contain nothing. A text shorter than a window is one template window, which only texts of the
+    same template share; its plain words are found inside of any text. Items with equal text are all reported; repeated rows each get their row; a null item id counts as an
     item whose id is not shown. Empty tables: nothing is contaminated.
     """
     found = (

@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import pytest
+
+from mailtax.llm import decontaminate
+
+PLAIN = "the river carries the old boats slowly to the harbour of the northern town"
+
+
+@pytest.mark.parametrize("item, text, expected", [
+    ("Compute 3 + 4 + 5 + 6", "Some words first. Compute 3 + 4 + 5 + 6 and more words after it.", True),
+    ("Compute 3 + 4 + 5 + 6", "Some words first. Compute 7 + 8 + 9 + 1 and more words after it.", False),
+    ("Who Wrote The Famous Book On The Origin Of Species", "We asked: Who Wrote The Famous Book On The Origin Of Species today", True),
+    ("Who Wrote The Famous Book On The Origin Of Species", "we asked who wrote the famous book on the origin of species today", True),
+    ("WHAT IS THE NAME OF THE LARGEST LAKE", "they said WHAT IS THE NAME OF THE LARGEST LAKE to us", True),
+    ("What is photosynthesis", "They were asked what is photosynthesis, and nobody knew the answer.", True),
+    ("What is photosynthesis", "They were asked what photosynthesis is, and nobody knew the answer.", False),
+    ("日本の首都はどこですか", "質問です。ところで日本の首都はどこですか、と聞かれた。", True),
+    ("日本の首都はどこですか", "今日は天気がいいので散歩に行きました。", False),
+    (PLAIN, f"Before it. {PLAIN.upper()}. After it.", True),
+    (PLAIN, f"Before it. {PLAIN.title()}. After it.", True),
+    ("", "Nothing is in here at all.", False),
+])
+def test_copies_whatever_their_case_or_length(spark, item, text, expected):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = decontaminate.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).first()
+    assert (found.contaminated, found.items) == ((True, "7") if expected else (False, ""))
