@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from mailtax.llm import ranking
+
+
+def plain_terms(text):
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", folded)
+
+
+def plain_ranks(items, documents, k):
+    counts = [(d, Counter(plain_terms(t))) for d, t in documents]
+    n = sum(bool(c) for _, c in counts)
+    words = sum(sum(c.values()) for _, c in counts)
+    df = Counter(t for _, c in counts for t in c)
+    asked = {}
+    for item, text in items:
+        asked.setdefault(item, set()).update(plain_terms(text))
+    out = []
+    for item, terms in asked.items():
+        scores = []
+        for d, c in counts:
+            m = 50 + 50 * sum(c.values()) * n // words if words else 0
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in terms if t in c
+            )
+            if score > 0:
+                scores.append((-score, d is None, d if d is not None else 0))
+        out += [(item, rank, None if none else d, -s) for rank, (s, none, d) in enumerate(sorted(scores)[:k], 1)]
+    return sorted(out, key=str)
+
+
+def corpus(rng, documents, vocabulary=60):
+    words = [f"W{i}" if i % 3 else f"é{i}" for i in range(vocabulary)]
+    text = lambda: " - ".join(rng.choices(words, [1 / (i + 1) for i in range(vocabulary)], k=rng.randint(0, 30)))
+    rows = [(i, text()) for i in range(documents)]
+    return rows + [(documents + i, rows[0][1]) for i in range(20)] + [(3, rows[3][1]), (None, "w1 W2"), (7000, None), (7001, "")], words
+
+
+@pytest.mark.parametrize("block, max_terms", [(2_000_000, 200_000), (90, 200_000), (300, 5)])
+def test_ranks_against_brute_force(spark, rng, block, max_terms):
+    rows, words = corpus(rng, 300)
+    items = [(i, " ".join(rng.sample(words, rng.randint(1, 12)))) for i in range(8)] + [(0, "w4"), (None, "W1 w1"), (90, "?"), (91, None), (92, "nowhere")]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = ranking.rank_documents(documents, spark.createDataFrame(items, "item_id long, text string"), 10, block=block, max_terms=max_terms)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    assert sorted(map(tuple, got.collect()), key=str) == plain_ranks(items, rows, 10)
+
+
+def test_sql_says_the_same(spark, rng, duck):
+    rows, words = corpus(rng, 60)
+    items = [(i, ", ".join(rng.sample(words, 6))) for i in range(4)]
+    got = ranking.rank_documents(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    tables = {"documents": ("doc_id BIGINT, text VARCHAR", rows), "benchmark": ("item_id BIGINT, text VARCHAR", items)}
+    assert sorted(map(tuple, got.collect()), key=str) == duck(tables, ranking.rank_sql(), got.columns)
+
+
+def test_reads_end_before_the_lists_do():
+    """The best documents hold all terms at the top of each list; the long tails cannot reach them and are not read."""
+    n = 100_000
+    docs = np.arange(n)
+    lists = [(docs, np.concatenate((np.full(100, 1000), np.full(n - 100, 2)))) for _ in range(3)]
+    able, score, read = ranking.nra(lists, n, 10)
+    assert sorted(able) == list(range(100)) and set(score) == {3000} and read <= 3 * ranking.FIRST_READ
+    tied = [(docs, np.full(n, 5))]
+    assert len(ranking.nra(tied, n, 10)[0]) == n
+
+
+def test_intervals_close_for_absent_terms(rng):
+    for _ in range(200):
+        lists = []
+        for _ in range(rng.randint(1, 5)):
+            docs = np.array(rng.sample(range(400), rng.randint(1, 400)))
+            lists.append((docs, np.array(sorted((rng.randint(1, 30) for _ in docs), reverse=True))))
+        total = np.zeros(400, np.int64)
+        for docs, impact in lists:
+            total[docs] += impact
+        k = rng.randint(1, 30)
+        able, score, _ = ranking.nra(lists, 400, k)
+        assert (total[able] == score).all()
+        least = sorted(total, reverse=True)[k - 1]
+        assert {d for d in np.flatnonzero(total) if total[d] >= least} <= set(able)
+
+
+def test_slices_of_long_texts(monkeypatch):
+    text = ("Alpha béta-gamma " * 50 + "x" * 300 + " alpha").encode()
+    number = {b"alpha": 0, "béta".encode(): 1}
+    whole = ranking.term_counts(text, number)
+    monkeypatch.setattr(ranking, "SLICE", 7)
+    assert ranking.term_counts(text, number) == whole and whole[0] == 152 and whole[1][0] == 51
+
+
+def test_odd_rows(spark, odd, empty):
+    items = spark.createDataFrame([(1, "Word other", "a"), (2, "one", "b")], "item_id long, text string, doc_id string")
+    rows = ranking.rank_documents(odd, items).collect()
+    assert [(r.rank, r.doc_id) for r in sorted(rows, key=lambda r: r.rank) if r.item_id == 2] == [(1, 4), (2, 4), (3, None)]
+    assert {r.doc_id for r in rows if r.item_id == 1} == {5, 6}
+    assert ranking.rank_documents(empty, items).isEmpty()
+    assert ranking.rank_documents(odd, items.limit(0)).isEmpty()
