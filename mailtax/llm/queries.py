@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtax.llm import bpe, decontaminate, langid, licences, packing, secrets, simhash, suffixes, topk, toxicity
+from mailtax.llm import (
+    bpe, conversations, decontaminate, langid, licences, packing, quality, ranking, secrets, simhash, suffixes, topk, toxicity,
+)
 from mailtax.llm.common import fold
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -72,10 +74,26 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(documents, labels.where(fold("doc_id", 4) != 2), label_col="quality")
+    return quality.score(documents, model).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_licence_scan, op2_toxicity, op3_bpe, op4_top_k, op5_simhash, op6_language, op7_packing, op8_secrets,
-        op9_decontaminate, op10_repeats,
+        op9_decontaminate, op10_repeats, op11_quality, op12_conversations, op13_ranking,
     )
     return {f.__name__: f for f in found}
 
@@ -85,4 +103,5 @@ def llm_sql() -> dict[str, str]:
         "op1_licence_scan": licences.scan_sql(),
         "op4_top_k": topk.top_k_sql(),
         "op9_decontaminate": decontaminate.decontaminate_sql(),
+        "op13_ranking": ranking.rank_sql(),
     }

@@ -16,7 +16,7 @@ from tests.llm.test_dedup import plain_components, plain_fingerprint
 
 def test_queries_are_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", ["op5_simhash", "op6_language", "op7_packing", "op8_secrets", "op10_repeats"])
