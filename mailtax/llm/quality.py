@@ -229,7 +229,7 @@ def train(
             x = [pooled(buckets(t, known), shared.value, index) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label")], ["x", "label"])
 
-    got = labelled.mapInArrow(work, "x array<double>, label int").distinct().toPandas()
+    got = labelled.mapInArrow(work, "x array<double>, label int").toPandas()
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, INPUTS)
     order = np.lexsort((*x.T, got["label"]))  # tasks end in any order
     return Model(vectors, fit(x[order], got["label"].to_numpy(np.int64)[order]))
