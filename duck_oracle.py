@@ -225,6 +225,16 @@ _BOTH = _BASE + _distribution(
 )
 
 
+def _zeros_below(n: int) -> str:
+    """Batches of a run over native points of which those under ``n`` count nothing."""
+    return _BOTH.replace("zip, lq AS q", f"zip, CASE WHEN lq < {n} THEN 0 ELSE lq END AS q") + """,
+zero AS (
+  SELECT b, any_value(sk) AS sk, CASE WHEN bool_or(fixed) AND sum(q) = 0 THEN 'total quantity of a batch is zero'
+         ELSE 'quantity of the last address of a batch is zero' END AS why
+  FROM (SELECT *, coalesce(rate_type IN (6, 8), true) AS fixed FROM numbered) JOIN lx ON line = b GROUP BY b
+  HAVING (bool_or(fixed) AND sum(q) = 0) OR bool_or(fixed AND n = cnt AND q = 0))"""
+
+
 def _batches(lines: str) -> str:
     return f"""
 SELECT line AS sales_tax_batch_key, {_uuid("'batch|' || line")} AS sales_tax_batch_id, sk AS session_key,
@@ -298,6 +308,24 @@ ORACLE: dict[str, str] = {
 SELECT b AS sales_tax_batch_key, any_value(sk) AS session_key, 'Amount cannot be spread: zero quantity.' AS message
 FROM (SELECT *, coalesce(rate_type IN (6, 8), true) AS fixed FROM numbered) JOIN lx ON line = b GROUP BY b
 HAVING (bool_or(fixed) AND sum(q) = 0) OR bool_or(fixed AND n = cnt AND q = 0)""",
+    "sales_tax_run_outcomes": _zeros_below(4) + """
+SELECT sk AS session_key, CAST(CASE WHEN b IS NULL THEN 1 ELSE -102 END AS BIGINT) AS return_code,
+       CASE WHEN b IS NULL THEN 'Success' ELSE 'Error creating the sales tax batches. Batch ' || b || ': ' || why END AS return_message
+FROM (SELECT DISTINCT o_custkey * 10000 + year(o_orderdate) AS sk FROM orders)
+LEFT JOIN (SELECT sk, min(b) AS b, arg_min(why, b) AS why FROM zero GROUP BY sk) USING (sk)""",
+    "sales_tax_run_good_sessions": _zeros_below(4) + """
+SELECT table_name, sk AS session_key, CAST(count(*) AS BIGINT) AS rows FROM (
+  SELECT 'transactions' AS table_name, sk FROM good
+  UNION ALL SELECT 'delivery_points', sk FROM gen_point JOIN lx USING (line)
+  UNION ALL SELECT 'category_detail_links', sk FROM qual JOIN good USING (line) WHERE q IS NOT NULL
+  UNION ALL SELECT 'session_line_links', sk FROM status
+  UNION ALL SELECT 'invoice_warnings', sk FROM status WHERE warning IS NOT NULL AND host <> 0
+  UNION ALL SELECT 'sales_tax_batch_details', sk FROM numbered JOIN lx ON line = b
+  UNION ALL SELECT 'sales_tax_batch_details', sk FROM lx
+            WHERE m = 12 AND EXISTS (SELECT 1 FROM flagged f WHERE f.line = lx.line)
+  UNION ALL SELECT 'sales_tax_batches', sk FROM lx
+            WHERE line IN (SELECT line FROM native_line UNION SELECT line FROM gen_point))
+WHERE sk NOT IN (SELECT sk FROM zero) GROUP BY ALL""",
     "taxable_line_items": _BASE + _batches("SELECT line FROM native_line"),
     "taxable_line_items_sessions": "SELECT * FROM (" + _BASE + _batches("SELECT line FROM native_line")
     + ") WHERE session_key IN (" + _LATEST_SESSIONS + ")",

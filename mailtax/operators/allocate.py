@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ def batch_addresses(
     bridge: str = "details",
     linked: DataFrame | None = None,
     tag_prefix: str = "btdp-gen",
+    flag_overflow: bool = False,
 ) -> DataFrame:
     """Quantity per batch, address and rate: delivery points reached through one of three bridges.
 
@@ -37,7 +39,8 @@ def batch_addresses(
     ``taxable_line_item``  line -> its generated transaction (``taxable_line_items`` table).
     ``provenance_tag``     line -> its generated transaction, read from the tag of the transaction.
 
-    ``linked`` are stored ``linked_transactions`` for the first of them.
+    ``linked`` are stored ``linked_transactions`` for the first of them. A quantity beyond 64 bits raises or, with
+    ``flag_overflow``, is NULL and its row marked in the column ``out_of_range``.
     """
     if bridge not in BRIDGES:
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
@@ -57,14 +60,15 @@ def batch_addresses(
         reached = rated.join(own, ["invoice_line_item_key", "session_key"])
     else:
         reached = rated.join(tagged_transactions(t, tag_prefix), ["invoice_line_item_key", "session_key"])
-    return (
-        reached.join(points, "transaction_guid")
-        .groupBy(
-            "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
-            "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
-        )
-        .agg(F.sum(F.col("quantity") * times).alias("quantity"))
+    grouped = reached.join(points, "transaction_guid").groupBy(
+        "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
+        "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
     )
+    if not flag_overflow:
+        return grouped.agg(F.sum(F.col("quantity") * times).alias("quantity"))
+    counted = F.try_multiply(F.col("quantity"), times)
+    lost = F.max(F.col("quantity").isNotNull() & counted.isNull()) | ((F.count(counted) > 0) & F.try_sum(counted).isNull())
+    return grouped.agg(F.when(~lost, F.try_sum(counted)).alias("quantity"), lost.alias("out_of_range"))
 
 
 def _rated_activities(t: Tables, lines: DataFrame) -> DataFrame:
@@ -133,54 +137,92 @@ def _total(on_zero: str) -> Column:
     return nonzero(F.col("total_quantity"), "total quantity of a batch is zero", on_zero)
 
 
-def _homes(t: Tables) -> DataFrame:
+def client_homes(t: Tables) -> DataFrame:
     return t["client_configurations"].select(
         "client_configuration_key", "taxable_city", "taxable_state", "taxable_postal_code"
     )
 
 
-def allocate(addresses: DataFrame, *, on_zero: str = "raise", homes: DataFrame | None = None) -> DataFrame:
-    """Rate per address row; fixed amounts leave their rounding remainder on the last row.
+@dataclass(frozen=True)
+class Spread:
+    """Stored address rows with the totals of their batch, and the stored totals themselves, with the last row of each batch."""
+
+    rows: DataFrame
+    totals: DataFrame
 
-    Every row of a batch has the same pro-rata rate, so the amount given to the earlier rows is that rate
-    times their quantity. A batch then needs only its total and its last row, which an aggregation finds
-    with partial results from every task; no task sees a whole batch. The totals are stored, hence a job starts
-    when this is called; ``addresses`` is read twice and should be stored, too. With ``homes`` (the clients'
-    taxable addresses) each row also gets its client's, through the totals, so the rows are not joined to clients.
+
+def spread(addresses: DataFrame, homes: DataFrame | None = None) -> Spread:
+    """Totals and last row of every batch, found once for the allocation, the warnings and the failures of a run.
+
+    A batch needs only its total and its last row; no task sees a whole batch. The order is one of texts, which an
+    aggregation could only follow by sorting all rows. So the rows are aggregated by hash with the first bytes of the postal
+    code as a number, which keeps its order; only the few rows that share the highest number of their batch are compared in
+    full. Jobs start when this is called. With ``homes`` (the clients' taxable addresses) each row also gets its client's,
+    through the totals, so the rows are not joined to clients.
     """
-    last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity")))
-    totals = (
-        addresses.groupBy("sales_tax_batch_key")
-        .agg(
-            F.sum("quantity").alias("total_quantity"),
-            F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
-            last.alias("last"),
-            F.max("client_configuration_key").alias("client"),
-        )
-        .withColumnRenamed("sales_tax_batch_key", "batch")
+    total = F.try_sum("quantity") if "out_of_range" in addresses.columns else F.sum("quantity")
+    lost = (F.count("quantity") > 0) & total.isNull()
+    if "out_of_range" in addresses.columns:
+        lost = lost | F.max("out_of_range")
+    sums = addresses.groupBy(F.col("sales_tax_batch_key").alias("batch")).agg(
+        total.alias("total_quantity"),
+        F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
+        F.max(_postal_number()).alias("highest"),
+        lost.alias("lost"),
+        F.max("client_configuration_key").alias("client"),
+        F.max("session_key").alias("session") if "session_key" in addresses.columns else F.lit(None).cast("bigint").alias("session"),
     )
     if homes is not None:
         home = homes.withColumns({"client": F.col("client_configuration_key"), "has_home": F.lit(True)})
-        totals = totals.join(home.drop("client_configuration_key"), "client", "left")
-    totals = cut(totals.drop("client"))
-    rows = addresses.join(totals, addresses["sales_tax_batch_key"] == totals["batch"]).drop("batch")
+        sums = sums.join(home.drop("client_configuration_key"), "client", "left")
+    sums = cut(sums.drop("client"))
+    joined = addresses.drop("out_of_range").join(sums.drop("session", "lost"), addresses["sales_tax_batch_key"] == sums["batch"])
+    rows = cut(joined.withColumn("near_last", _postal_number() == F.col("highest")).drop("batch", "highest"))
+    last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity"))).alias("last")
+    lasts = rows.where("near_last").groupBy(F.col("sales_tax_batch_key").alias("batch")).agg(last)
+    totals = sums.join(lasts, "batch", "left")
+    return Spread(rows, cut(totals.select(
+        F.col("batch").alias("sales_tax_batch_key"), F.col("session").alias("session_key"), "total_quantity", "has_fixed", "lost", "last"
+    )))
+
+
+def _postal_number() -> Column:
+    """The first 7 bytes of the postal code as a number that keeps the order of the texts; NULL comes first."""
+    start = F.hex(F.substring(F.col("postal_code").cast("binary"), 1, 7))
+    return F.coalesce(F.conv(F.rpad(start, 14, "0"), 16, 10).cast("bigint"), F.lit(-1).cast("bigint"))
+
+
+def allocate(
+    addresses: DataFrame | Spread, *, on_zero: str = "raise", homes: DataFrame | None = None
+) -> DataFrame:
+    """Rate per address row; fixed amounts leave their rounding remainder on the last row.
+
+    Every row of a batch has the same pro-rata rate, so the amount given to the earlier rows is that rate times their
+    quantity, and only the rows next to the last one are joined to it (see ``spread``).
+    """
+    found = addresses if isinstance(addresses, Spread) else spread(addresses, homes)
+    rows = found.rows
+    mills = F.round(pro_rata_rate(F.col("extended_amount"), _total(on_zero)), 3)
+    price = F.col("extended_amount").cast("decimal(25,3)")
+    fixed = _is_fixed(F.col("rate_type_key"))
+    unit = _price().cast(RATE_TYPE)
+    if on_zero == "warn":
+        bad = cut(found.totals.where(problem().isNotNull()).select("sales_tax_batch_key"))
+        if not bad.isEmpty():
+            rows = rows.join(bad, "sales_tax_batch_key", "left_anti")
     is_last = F.lit(True)
     for c in ORDER:
         is_last = is_last & F.col(c).eqNullSafe(F.col("last")[c])
-    mills = F.round(pro_rata_rate(F.col("extended_amount"), _total(on_zero)), 3)
-    price = F.col("extended_amount").cast("decimal(25,3)")
     earlier = mills * (F.col("total_quantity") - F.col("quantity"))
     quantity = nonzero(F.col("quantity"), "quantity of the last address of a batch is zero", on_zero)
     remainder = F.round(price - earlier, 3) / quantity
-    rate = (
-        F.when(~_is_fixed(F.col("rate_type_key")), _price().cast(RATE_TYPE))
-        .when(is_last, remainder.cast(RATE_TYPE))
-        .otherwise(mills.cast(RATE_TYPE))
-    )
-    priced = rows.withColumn("rate", rate)
-    if on_zero == "warn":
-        priced = priced.where(~_has_zero_divisor())
-    return priced.drop("total_quantity", "has_fixed", "last")
+    near = rows.where("near_last").join(found.totals.select("sales_tax_batch_key", "last"), "sales_tax_batch_key")
+    near = near.withColumn(
+        "rate",
+        F.when(~fixed, unit).when(is_last & (F.col("total_quantity") != 0), remainder.cast(RATE_TYPE)).otherwise(mills.cast(RATE_TYPE)),
+    ).drop("last")
+    rest = rows.where("not near_last").withColumn("rate", F.when(~fixed, unit).otherwise(mills.cast(RATE_TYPE)))
+    return near.unionByName(rest).drop("total_quantity", "has_fixed", "near_last")
 
 
 def _is_fixed(rate_type: Column) -> Column:
@@ -188,33 +230,41 @@ def _is_fixed(rate_type: Column) -> Column:
     return F.coalesce(rate_type.isin(*FIXED_RATE_TYPES), F.lit(True))
 
 
-def _has_zero_divisor() -> Column:
+# Why the amount of a batch cannot be spread.
+LOST = "quantity of a batch is out of range"
+NO_PIECES = "total quantity of a batch is zero"
+EMPTY_LAST = "quantity of the last address of a batch is zero"
+
+
+def problem() -> Column:
+    """Of ``Spread.totals``: why a batch cannot be spread, NULL if it can."""
     last = F.col("last")
-    no_pieces = F.col("has_fixed") & (F.col("total_quantity") == 0)
-    empty_last = _is_fixed(last["rate_type_key"]) & (last["last_quantity"] == 0)
-    return F.coalesce(no_pieces | empty_last, F.lit(False))
+    return (
+        F.when(F.col("lost"), LOST)
+        .when(F.col("has_fixed") & (F.col("total_quantity") == 0), NO_PIECES)
+        .when(_is_fixed(last["rate_type_key"]) & (last["last_quantity"] == 0), EMPTY_LAST)
+    )
 
 
-def zero_quantity_warnings(addresses: DataFrame, *, as_of: datetime, user: str) -> DataFrame:
+def zero_quantity_warnings(addresses: DataFrame | Spread, *, as_of: datetime, user: str) -> DataFrame:
     """Batches that ``on_zero='warn'`` leaves out, with the reason."""
-    last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity")))
-    return (
-        addresses.groupBy("sales_tax_batch_key", "session_key")
-        .agg(
-            F.sum("quantity").alias("total_quantity"),
-            F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
-            last.alias("last"),
-        )
-        .where(_has_zero_divisor())
-        .select(
-            "sales_tax_batch_key",
-            "session_key",
-            F.lit("Amount cannot be spread: zero quantity.").alias("message"),
-            *audit(user, as_of),
-        )
+    found = addresses if isinstance(addresses, Spread) else spread(addresses)
+    return found.totals.where(problem().isNotNull()).select(
+        "sales_tax_batch_key",
+        "session_key",
+        F.lit("Amount cannot be spread: zero quantity.").alias("message"),
+        *audit(user, as_of),
     )
 
 
+def failed_sessions(found: Spread) -> DataFrame:
+    """``session_key, error``: sessions with a batch that cannot be spread, and the first such batch."""
+    first = F.min(F.struct("sales_tax_batch_key", problem().alias("why"))).alias("first")
+    bad = found.totals.where(problem().isNotNull()).groupBy("session_key").agg(first)
+    text = F.concat(F.lit("Batch "), F.col("first.sales_tax_batch_key").cast("string"), F.lit(": "), F.col("first.why"))
+    return bad.select("session_key", text.alias("error"))
+
+
 def delivery_details(allocated: DataFrame) -> DataFrame:
     """Detail rows of the print and postage batches, addresses as delivered."""
     domestic = F.coalesce(F.col("destination_code") == "D", F.lit(False))
@@ -240,7 +290,7 @@ def fill_blank_addresses(t: Tables, details: DataFrame) -> DataFrame:
     """Give rows with no city, region and zip at all their client's taxable address; details that carry it from
     ``allocate`` are not joined again."""
     if "has_home" not in details.columns:
-        home = _homes(t).withColumn("has_home", F.lit(True))
+        home = client_homes(t).withColumn("has_home", F.lit(True))
         details = details.join(home, "client_configuration_key", "left")
     empty = blank(F.col("city")) & blank(F.col("region")) & blank(F.col("zip"))
     use_home = F.coalesce(F.col("has_home"), F.lit(False)) & empty
@@ -265,7 +315,7 @@ def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
             "extended_amount",
         )
         .agg(F.sum("quantity").alias("quantity"))
-        .join(_homes(t), "client_configuration_key")
+        .join(client_homes(t), "client_configuration_key")
         .select(
             uuid_from(F.lit("service"), F.col("sales_tax_batch_key")).alias("sales_tax_batch_detail_id"),
             "sales_tax_batch_key",
@@ -285,7 +335,7 @@ def service_lines(t: Tables, lines: DataFrame) -> DataFrame:
 def sales_tax_details(
     t: Tables,
     lines: DataFrame,
-    addresses: DataFrame,
+    addresses: DataFrame | Spread,
     *,
     as_of: datetime,
     user: str,
@@ -293,9 +343,10 @@ def sales_tax_details(
 ) -> DataFrame:
     """Final tax detail rows: allocated delivery rows with blanks filled, and the service lines.
 
-    ``addresses`` are the stored ``batch_addresses`` of the lines, of one bridge or several together.
+    ``addresses`` are the stored ``batch_addresses`` of the lines, of one bridge or several together, or their ``spread``
+    with the clients' homes.
     """
-    allocated = allocate(addresses, on_zero=on_zero, homes=_homes(t))
+    allocated = allocate(addresses, on_zero=on_zero, homes=client_homes(t))
     delivered = fill_blank_addresses(t, delivery_details(allocated))
     return (
         delivered.unionByName(service_lines(t, lines))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections import ChainMap
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from mailtax.operators import lines as ln
 from mailtax.operators import points as pt
 from mailtax.operators import qualify as ql
 from mailtax.operators import reports as rp
-from mailtax.plans.run import generate, sales_tax_run
+from mailtax.plans.run import SUCCESS, generate, run_outcome, sales_tax_run, with_session
 from mailtax.sources.logs import parse_log_blocks, parse_log_lines, unwrap_nested_json
 from mailtax.sources.standins import standin_tables
 from mailtax.sources.tables import latest_outcomes
@@ -190,12 +191,32 @@ def _run_batches(t: ln.Tables) -> DataFrame:
     return _batch_columns(sales_tax_run(t, **RUN).sales_tax_batches)
 
 
-def _run_zero_warnings(t: ln.Tables) -> DataFrame:
-    """A run over native points of which small ones count nothing."""
+def _small_count_nothing(t: ln.Tables, below: int) -> ln.Tables:
+    """The tables with native points of which small ones count nothing."""
     points = t["delivery_points"]
-    none = F.when(F.col("quantity") < 10, F.lit(0)).otherwise(F.col("quantity")).cast(points.schema["quantity"].dataType)
-    after = ChainMap({"delivery_points": points.withColumn("quantity", none)}, t)
-    return _batch_columns(sales_tax_run(after, on_zero="warn", **RUN).zero_quantity_warnings)
+    none = F.when(F.col("quantity") < below, F.lit(0)).otherwise(F.col("quantity")).cast(points.schema["quantity"].dataType)
+    return ChainMap({"delivery_points": points.withColumn("quantity", none)}, t)
+
+
+def _run_zero_warnings(t: ln.Tables) -> DataFrame:
+    return _batch_columns(sales_tax_run(_small_count_nothing(t, 10), on_zero="warn", **RUN).zero_quantity_warnings)
+
+
+def _run_outcomes(t: ln.Tables) -> DataFrame:
+    """Sessions with their own outcome: those with a batch that counts nothing fail, the others succeed."""
+    run = sales_tax_run(_small_count_nothing(t, 4), **RUN)
+    outcome = run_outcome(ln.scoped_sessions(t), SUCCESS, "Success", as_of=AS_OF, published_at=AS_OF, failures=run.failures)
+    return _whole(outcome.select("session_key", "return_code", "return_message"), "return_code")
+
+
+def _run_of_good_sessions(t: ln.Tables) -> DataFrame:
+    """Rows of each result per session in a run of which some sessions fail; those have none."""
+    run = sales_tax_run(_small_count_nothing(t, 4), **RUN)
+    counts = [
+        with_session(rows).groupBy("session_key").agg(F.count("*").alias("rows")).select(F.lit(name).alias("table_name"), "session_key", "rows")
+        for name, rows in run.tables().items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _latest_sessions(t: ln.Tables) -> DataFrame:
@@ -351,6 +372,8 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "taxable_line_items_sessions": _taxable_of_sessions,
     "sales_tax_run_batches": _run_batches,
     "sales_tax_run_zero_warnings": _run_zero_warnings,
+    "sales_tax_run_outcomes": _run_outcomes,
+    "sales_tax_run_good_sessions": _run_of_good_sessions,
 }
 
 

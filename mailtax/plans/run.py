@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import ChainMap
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from mailtax.functions.staging import cut, scratch
 from mailtax.operators import allocate, lines, points, qualify
 from mailtax.operators.lines import Tables
+from mailtax.sources.publication import Manifest, RunIsPublished, check_run_id, publish
 from mailtax.sources.tables import is_published, last_outcomes, write_run
 
 SUCCESS, NOT_COMPLETED, FAILED = 1, 0, -102
@@ -19,7 +21,7 @@ SUCCESS, NOT_COMPLETED, FAILED = 1, 0, -102
 
 @dataclass(frozen=True)
 class TaxRun:
-    """Results of a run; all of them read the stored piece matching and line status."""
+    """Results of a run; all of them read the stored piece matching and line status. ``failures``: ``session_key, error``."""
 
     transactions: DataFrame
     delivery_points: DataFrame
@@ -29,9 +31,13 @@ class TaxRun:
     sales_tax_batch_details: DataFrame
     sales_tax_batches: DataFrame
     zero_quantity_warnings: DataFrame
+    failures: DataFrame
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
+        return {name: rows for name, rows in vars(self).items() if name != "failures"}
+
+
+ON_ZERO = ("session", "warn", "raise")
 
 
 def sales_tax_run(
@@ -40,15 +46,19 @@ def sales_tax_run(
     sessions: DataFrame | None = None,
     as_of: datetime,
     user: str,
-    on_zero: str = "raise",
+    on_zero: str = "session",
 ) -> TaxRun:
     """Generate what is missing, then tax everything, for all sessions in one set of jobs.
 
     The lines, the match of their details with the hosts' pieces, and the line status are stored, since the
     later results all read them. A line whose transaction was generated with addresses takes them from that
-    transaction, every other line from its details. A batch whose amount cannot be spread stops the run or, with
-    ``on_zero='warn'``, has neither header nor details and is listed in ``zero_quantity_warnings``.
+    transaction, every other line from its details. A batch whose amount cannot be spread (nothing to spread it over, or a
+    quantity beyond 64 bits) fails its session: the session is listed in ``failures`` with the first such batch, and no result has
+    rows of it, while all other sessions go through. With ``on_zero='warn'`` only the batch is left out, header and details,
+    and listed in ``zero_quantity_warnings``; with ``on_zero='raise'`` the run stops.
     """
+    if on_zero not in ON_ZERO:
+        raise ValueError(f"on_zero must be one of {ON_ZERO}, not {on_zero!r}")
     made = generate(t, sessions)
     status, pieces = made.status, made.pieces
     new_points = cut(points.generate_delivery_points(status, pieces, as_of=as_of))
@@ -60,27 +70,48 @@ def sales_tax_run(
         {"taxable_line_items": points.taxable_line_items_of(links), "delivery_points": new_points}, t
     )
     new = F.coalesce("is_generated", F.lit(False))
-    native = allocate.batch_addresses(t, taxed.where(~new), linked=made.linked)
-    by_line = allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item")
+    flag = on_zero != "raise"
+    native = allocate.batch_addresses(t, taxed.where(~new), linked=made.linked, flag_overflow=flag)
+    by_line = allocate.batch_addresses(with_new, taxed.where(new), bridge="taxable_line_item", flag_overflow=flag)
     addresses = cut(native.unionByName(by_line))
-    warnings = cut(allocate.zero_quantity_warnings(addresses, as_of=as_of, user=user))
+    spread = allocate.spread(addresses, allocate.client_homes(t))
+    failures = allocate.failed_sessions(spread)
+    failures = cut(failures if on_zero == "session" else failures.limit(0))
+    if not failures.isEmpty():
+        status, taxed, new_points = (without(failures, df) for df in (status, taxed, with_session(new_points)))
+        new_points = new_points.drop("session_key")
+        spread = allocate.Spread(without(failures, spread.rows), without(failures, spread.totals))
+    warnings = cut(allocate.zero_quantity_warnings(spread, as_of=as_of, user=user))
     left_out = warnings.select(F.col("sales_tax_batch_key").alias("invoice_line_item_key"))
     return TaxRun(
         transactions=points.generate_billing_transactions(status, as_of=as_of),
         delivery_points=new_points,
         category_detail_links=points.link_details_to_transactions(status, pieces),
-        session_line_links=links,
+        session_line_links=points.session_line_links(status),
         invoice_warnings=points.invoice_warnings(status, as_of=as_of, user=user),
         sales_tax_batch_details=allocate.sales_tax_details(
-            t, taxed, addresses, as_of=as_of, user=user, on_zero=on_zero
+            t, taxed, spread, as_of=as_of, user=user, on_zero="warn" if on_zero == "warn" else "raise"
         ),
         sales_tax_batches=lines.batch_headers(
             t, taxed.join(left_out, "invoice_line_item_key", "left_anti"), as_of=as_of, user=user
         ),
         zero_quantity_warnings=warnings,
+        failures=failures,
     )
 
 
+def without(failures: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows of the sessions that did not fail."""
+    return rows.join(failures.select("session_key"), "session_key", "left_anti")
+
+
+def with_session(rows: DataFrame) -> DataFrame:
+    """Rows with their session, which generated ones only name in their tag."""
+    if "session_key" in rows.columns:
+        return rows
+    return rows.withColumn("session_key", F.split("user_added", "[|]")[1].cast("bigint"))
+
+
 @dataclass(frozen=True)
 class Generation:
     """Stored stages of the generation: the transactions behind the activities, lines with coverage, matched
@@ -110,44 +141,58 @@ def run_sales_tax(
     sessions: DataFrame | None = None,
     as_of: datetime,
     user: str,
-    on_zero: str = "raise",
+    on_zero: str = "session",
 ) -> tuple[int, str]:
-    """Run, write all result tables under ``root`` and, last, one audit row per session.
+    """Run, write all result tables under ``root`` and, last, one audit row per session, and publish them with a manifest.
 
-    Readers go by the audit rows (``read_published``), so a failed run changes nothing for them and a later run
-    replaces the earlier results of its sessions. A run that failed may be tried again under its id; the id of a
-    published run is refused, as readers would see both. Intermediate results are deleted after the audit rows.
-    Returns the code and message put into the audit rows.
+    A session that fails has an outcome of its own and no rows; the others are published. Whatever else stops the run fails all its
+    sessions. Readers go by the manifests (``read_published``), so a failed run changes nothing for them and a later run
+    replaces the earlier results of its sessions. A run that failed as a whole may be tried again under its id; the id of a
+    published run is refused, also where another writer published it meanwhile. Intermediate results are deleted after the
+    audit rows. Returns 1 and 'Success', or -102 and what failed.
     """
     scope = lines.scoped_sessions(t, sessions)
     spark = scope.sparkSession
+    check_run_id(run_id)
     if is_published(spark, root, run_id):
-        raise ValueError(f"run {run_id!r} is published; choose another id")
+        raise RunIsPublished(run_id)
+    attempt, counts = uuid.uuid4().hex, {}
     with scratch(spark):
         try:
             results = sales_tax_run(t, sessions=sessions, as_of=as_of, user=user, on_zero=on_zero)
             for table, rows in results.tables().items():
-                if "session_key" not in rows.columns:
-                    rows = rows.withColumn("session_key", F.split("user_added", "[|]")[1].cast("bigint"))
-                write_run(rows, root, table, run_id, cluster_by="session_key")
-            code, message = SUCCESS, "Success"
+                counts[table] = write_run(with_session(rows), root, table, run_id, cluster_by="session_key", attempt=attempt)
+            failures, code, message = results.failures, SUCCESS, "Success"
         except Exception as error:  # whatever stopped the run becomes its outcome
-            code, message = FAILED, f"Error creating the sales tax batches. {error}"
+            failures, code, message = None, FAILED, f"{ERROR}{error}"
         now = datetime.now(UTC).replace(tzinfo=None)
-        write_run(run_outcome(scope, code, message, as_of=as_of, published_at=now), root, "run_audit", run_id)
+        audit = run_outcome(scope, code, message, as_of=as_of, published_at=now, failures=failures)
+        counts["run_audit"] = write_run(audit, root, "run_audit", run_id, attempt=attempt)
+        publish(spark, root, Manifest(run_id, attempt, code == SUCCESS, counts))
+        if failures is not None and (failed := failures.count()):
+            return FAILED, f"{ERROR}{failed} of {counts['run_audit']} sessions failed."
     return code, message
 
 
+ERROR = "Error creating the sales tax batches. "
+
+
 def run_outcome(
-    sessions: DataFrame, code: int, message: str, *, as_of: datetime, published_at: datetime
+    sessions: DataFrame, code: int, message: str, *, as_of: datetime, published_at: datetime, failures: DataFrame | None = None
 ) -> DataFrame:
-    """Audit rows of a run: the same code and message for each of its sessions. ``as_of`` is the business date,
-    ``published_at`` (UTC) decides which run of a session is the latest."""
+    """Audit rows of a run: code and message for each of its sessions, for those in ``failures`` (``session_key, error``) their own.
+    ``as_of`` is the business date, ``published_at`` (UTC) decides which run of a session is the latest."""
+    code, message = F.lit(code), F.lit(message)
+    if failures is not None:
+        sessions = sessions.join(failures, "session_key", "left")
+        failed = F.col("error").isNotNull()
+        code = F.when(failed, FAILED).otherwise(code)
+        message = F.when(failed, F.concat(F.lit(ERROR), "error")).otherwise(message)
     return sessions.select(
         "session_key",
         "session_id",
-        F.lit(code).alias("return_code"),
-        F.lit(message).alias("return_message"),
+        code.alias("return_code"),
+        message.alias("return_message"),
         F.lit(as_of).cast("timestamp_ntz").alias("as_of"),
         F.lit(published_at).cast("timestamp_ntz").alias("published_at"),
     )

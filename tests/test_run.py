@@ -151,7 +151,7 @@ def test_failed_run_is_recorded_and_never_read(world, spark, tmp_path):
     assert run_sales_tax(good, root, "run-1", as_of=AS_OF, user=USER)[0] == 1
     points = [{**r.asDict(), "quantity": 0} for r in good["delivery_points"].collect()]
     bad = world(delivery_points=points)
-    code, message = run_sales_tax(bad, root, "run-2", as_of=AS_OF + timedelta(days=1), user=USER)
+    code, message = run_sales_tax(bad, root, "run-2", as_of=AS_OF + timedelta(days=1), user=USER, on_zero="raise")
     assert code == -102 and message.startswith("Error") and "total quantity of a batch is zero" in message
     written = read_run(spark, root, "run_audit", "run-2").collect()
     assert {r["return_message"] for r in written} == {message}
