@@ -317,7 +317,7 @@ LEFT JOIN (SELECT sk, min(b) AS b, arg_min(why, b) AS why FROM zero GROUP BY sk)
 SELECT table_name, sk AS session_key, CAST(count(*) AS BIGINT) AS rows FROM (
   SELECT 'transactions' AS table_name, sk FROM good
   UNION ALL SELECT 'delivery_points', sk FROM gen_point JOIN lx USING (line)
-  UNION ALL SELECT 'category_detail_links', sk FROM qual JOIN good USING (line) WHERE q IS NOT NULL
+  UNION ALL SELECT 'category_detail_links', good.sk FROM qual JOIN good USING (line) WHERE q IS NOT NULL
   UNION ALL SELECT 'session_line_links', sk FROM status
   UNION ALL SELECT 'invoice_warnings', sk FROM status WHERE warning IS NOT NULL AND host <> 0
   UNION ALL SELECT 'sales_tax_batch_details', sk FROM numbered JOIN lx ON line = b
