@@ -116,14 +116,17 @@ def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return rows.mapInArrow(work, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
-def keep_identified(df: DataFrame, model: Model, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``df`` whose language is known with a posterior of ``least`` or more; all columns stay as they are."""
+def keep_identified(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that ``identify`` gives a language, however doubtful; all columns stay as they are.
+
+    Rows with a null text or one without a letter go, and all go if the model knows no language. Repeated rows stay repeated.
+    """
     shared = _shared(df, model)
 
     def work(batches: Batches) -> Batches:
         model = Model(*shared.value)
         for batch in batches:
-            pred, score = predictions(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), model)
-            yield batch.filter(pa.array([p != UNKNOWN and s >= least for p, s in zip(pred, score)], pa.bool_()))
+            pred, _ = predictions(batch.column(batch.schema.get_field_index(text_col)).to_pylist(), model)
+            yield batch.filter(pa.array([p != UNKNOWN for p in pred], pa.bool_()))
 
     return df.mapInArrow(work, df.schema)

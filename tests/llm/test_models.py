@@ -40,6 +40,16 @@ def test_languages_of_odd_rows(spark, odd, empty):
     assert langid.identify(empty, model).isEmpty()
     kept = langid.keep_identified(odd, model)
     assert kept.columns == odd.columns and kept.count() == 5
+    known = {r.doc_id for r in langid.identify(documents_of_all_kinds(spark), model).collect() if r.lang_pred != "und"}
+    assert {r.doc_id for r in langid.keep_identified(documents_of_all_kinds(spark), model).collect()} == known == {1, 2, 3}
+
+
+def documents_of_all_kinds(spark):
+    """Clear, doubtful and mixed texts, and those without a language."""
+    rows = [(1, "the cat"), (2, "xqz"), (3, "the chat le"), (4, "12 !"), (5, None), (6, "")]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
 
 
 def test_pairs_that_no_additive_model_can_tell(rng):
