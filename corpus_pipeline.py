@@ -1,7 +1,7 @@
 """A training-data pipeline: languages, near duplicates, benchmark passages, secrets, token ids.
 
 Each stage takes (spark, docs, sf_dir), works on all rows it is given and returns the columns of ``documents``; the last one
-returns token ids. ``run`` writes each stage's result and reads it again for the next.
+returns token ids and what they decode to. ``run`` writes each stage's result and reads it again for the next.
 """
 
 from __future__ import annotations
@@ -11,19 +11,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailtax.functions.staging import cut
-from mailtax.llm import bpe, decontaminate, langid, secrets, similar
+from mailtax.llm import bpe, decontaminate, langid, secrets, simhash
 from mailtax.llm.common import fold
 from mailtax.llm.queries import TOKENIZER, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known; null texts and those without letters go."""
+    """Documents that get a language; those called ``und`` (null texts and texts without letters) go."""
     return langid.keep_identified(docs, langid.train(docs.where(fold("doc_id", 3) != 1)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are 0.8 similar (Jaccard) or more, the one with the smallest id."""
-    return similar.keep_first(docs)
+    """One document of each group of fingerprints of four-word shingles linked at 4 bits or less, the one with the smallest id."""
+    return simhash.keep_first(docs, words=4, bits=4)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit) of every document."""
-    return bpe.encode(docs, public_tokenizers.path(TOKENIZER))
+    """``doc_id, n_tokens, ids`` (little-endian unsigned 32-bit) of every document, and ``text``, what the ids decode to."""
+    return bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True)
 
 
 STAGES = [
