@@ -33,7 +33,8 @@ from mailtax.llm.common import Batches, texts
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 CHUNK = 1 << 18
-BLOCK = 512
+BLOCK = 8192  # largest bucket that is refined inside a task, about 60 MB of prefix sums
+HELD = 2048  # small buckets are refined together, so many items at a time
 EDGE = np.iinfo(np.uint64).max
 
 
@@ -195,7 +196,7 @@ def _refine_in_tasks(items: DataFrame, length: int) -> DataFrame:
             rows = pa.Table.from_batches([batch])
             held = rows if held is None else pa.concat_tables([held, rows])
             buckets = held.column("bucket").to_numpy()
-            if held.num_rows >= 4 * BLOCK and buckets[0] != buckets[-1]:
+            if held.num_rows >= HELD and buckets[0] != buckets[-1]:
                 n = int(np.searchsorted(buckets, buckets[-1]))  # the last bucket may go on
                 yield solve(held.slice(0, n), rolling)
                 held = held.slice(n)
@@ -234,9 +235,9 @@ def _refine_in_spark(items: DataFrame, length: int) -> tuple[DataFrame, DataFram
     classes = cut(halved.groupBy("bucket", "class").agg(
         F.count("*").alias("copies"), F.min(member).alias("one"), F.max("need").alias("needed")
     ))
-    sizes = cut(classes.groupBy("bucket").agg(
+    sizes = classes.groupBy("bucket").agg(
         F.sum("copies").alias("size"), F.max(F.col("needed") & (F.col("copies") == 1)).alias("useful")
-    ))
+    )
     known = halved.join(classes.select("class", "copies", "one"), "class").join(sizes, "bucket")
     known = cut(known)
     found = known.where("copies > 1 and need").select("k1", "k2", "anchor", "first", "last")
@@ -267,10 +268,11 @@ def _refine(items: DataFrame, length: int, block: int) -> DataFrame:
 
 
 def _spans(ranges: DataFrame, length: int) -> DataFrame:
-    """Byte spans per row, as ``spans``: array of start << 32 | end; a document's spans meet in one row."""
+    """Byte spans per row, as ``spans``: array of start << 32 | end; a document's spans meet in one row, each once, however often
+    the row is repeated."""
     start = F.col("anchor") - F.col("last")
     packed = F.shiftleft(start, 32) + F.col("anchor") - F.col("first") + length
-    return ranges.groupBy("k1", "k2").agg(F.collect_list(packed).alias("spans"))
+    return ranges.groupBy("k1", "k2").agg(F.collect_set(packed).alias("spans"))
 
 
 def repeated_spans(df: DataFrame, length: int, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
