@@ -1,16 +1,20 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
-Words are letters or numbers in sequence. Numbers, units after a number and names (capitalised words of two letters or more
-that do not begin a sentence) become typed placeholders, so a question asked again with other numbers or names has the same template.
-Windows of ``window`` words of documents and benchmark items are joined on a 64-bit hash of their template; windows with
-more placeholders than words say too little and are left out. Matching windows then have to fill their slots
-consistently: within a document and an item, each value of the item is bound to the document's value found in most
-windows, and windows that contradict a binding do not count. An item with a share of at least ``share`` of its windows
-left is contained in the document.
+Words are letters or numbers in sequence; in scripts without spaces each character is a word. Numbers, units after a number and
+names (capitalised words of two letters or more that do not begin a sentence) become typed placeholders, so a question asked
+again with other numbers or names has the same template. Windows of ``window`` words of documents and benchmark items are joined on
+a 64-bit hash of their template; windows with more placeholders than words say too little and are left out.
+
+Matching windows then have to fill their slots consistently. A document may hold a question several times, each time with other
+fillers, so slots are bound per occurrence: windows of one occurrence lie at nearly the same distance (place in the document less
+place in the item). Distances are cut into cells as wide as the item, by two grids half a cell apart, so words put in between
+leave an occurrence in one cell of either grid, and two occurrences never share a cell. In a cell each value of the item is
+bound to the document's value found in most windows, and windows that contradict a binding do not count. An item is contained in
+the document if some cell has a share of at least ``share`` of the item's windows left, or PASSAGE of them.
 
 Besides, windows of the plain words in lower case are joined, with numbers and names as they are: so copies are found whatever
-their case, and those of items that are mostly numbers or names, of items shorter than a window (their windows are as long as
-the item) and of items in scripts without spaces, where each character is a word.
+their case, and those of items that are mostly numbers or names and of items shorter than a window (their windows are as long as
+the item). One pass over the texts makes both kinds of hashes and keeps those that an item has.
 """
 
 from __future__ import annotations
@@ -23,7 +27,9 @@ from mailtax.llm.common import row_key
 
 WINDOW = 5
 SHARE = 0.5
+PASSAGE = 9  # windows, 13 words if they follow each other
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_LITERALS = 50_000  # hashes that are tested in place; more are joined
 # Units of measure.
 UNITS = (
     "mm cm m km in ft yd mi miles mile meters metres kilometers kilometres mg g kg lb lbs oz tons ton grams kilograms "
@@ -35,77 +41,80 @@ START, NAME, NUMBER, UNIT = "\x01", "\x02", "\x03", "\x04"
 SENTENCE_START = r"(^|[.!?:;\n][ \t\n\r]*)(\p{Lu})"
 CAPITALISED = r"(^|[^\x01\p{L}])(\p{Lu}\p{L})"
 FIGURES = r"[0-9]+(?:[.,][0-9]+)*"
-AFTER_NUMBER = rf"\x03([^\p{{L}}\x02\x03]*)(?:{'|'.join(UNITS)})($|[^\p{{L}}\x03])"
-NAMED = r"\x02\p{L}+"
-WORD = r"[0-9]+(?:[.,][0-9]+)*|\x02?\p{L}+"
-TEMPLATE_WORD = r"[\x02\x03\x04]|\p{L}+"
 SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-PLAIN_WORD = rf"{FIGURES}|[{SPACELESS}]|[\p{{L}}&&[^{SPACELESS}]]+"
+WORD = rf"{FIGURES}|\x02?(?:[{SPACELESS}]|[\p{{L}}&&[^{SPACELESS}]]+)"
+PAIR = ["k1", "k2", "item_id"]
+CELL = ["grid", "cell"]
 
 
-def _marked(text: Column) -> Column:
-    """Lower case, with marks before sentences and names."""
-    return F.lower(F.regexp_replace(F.regexp_replace(text, SENTENCE_START, f"$1{START}$2"), CAPITALISED, f"$1{NAME}$2"))
+def _words(text: Column) -> Column:
+    """Words in lower case, names with a mark before them."""
+    marked = F.regexp_replace(F.regexp_replace(text, SENTENCE_START, f"$1{START}$2"), CAPITALISED, f"$1{NAME}$2")
+    return F.regexp_extract_all(F.lower(marked), F.lit(WORD), F.lit(0))
 
 
-def _template(marked: Column) -> Column:
-    """Words of the template; texts without numbers or names skip what would look for them."""
-    text = F.regexp_replace(marked, FIGURES, NUMBER)
-    text = F.when(F.contains(text, F.lit(NUMBER)), F.regexp_replace(text, AFTER_NUMBER, f"{NUMBER}$1{UNIT}$2")).otherwise(text)
-    text = F.when(F.contains(text, F.lit(NAME)), F.regexp_replace(text, NAMED, NAME)).otherwise(text)
-    return F.regexp_extract_all(text, F.lit(TEMPLATE_WORD), F.lit(0))
+def _number(word: Column) -> Column:
+    return F.substring(word, 1, 1).between("0", "9")
 
 
-def _starts(wide: Column) -> Column:
-    """First places of all windows; of a text shorter than a window one."""
-    return F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - wide)).otherwise(F.array().cast("array<int>"))
+def _templated(word: Column, before: Column) -> Column:
+    """What stands for a word in a template, after the word ``before`` it (null: none)."""
+    unit = word.isin(*UNITS) & F.coalesce(_number(before), F.lit(False))
+    return F.when(_number(word), NUMBER).when(F.startswith(word, F.lit(NAME)), NAME).when(unit, UNIT).otherwise(word)
 
 
-def _hashes(rows: DataFrame, window: int) -> DataFrame:
-    """One row per window of ``rows`` (column ``text``): the hash of its template."""
-    words = rows.withColumn("words", _template(_marked(F.col("text")))).drop("text")
-    wide = F.least(F.size("words"), F.lit(window))
-    hashes = F.transform(_starts(wide), lambda i: F.xxhash64(F.slice("words", i + 1, wide)))
-    return words.withColumn("hash", F.explode(hashes)).drop("words")
+def _template(words: str) -> Column:
+    return F.transform(words, lambda x, i: _templated(x, F.get(words, i - 1)))
 
 
-def _windows(rows: DataFrame, window: int) -> DataFrame:
-    """One row per window of ``rows`` (column ``text``): hash and ``fillers``, empty for words that stand for themselves."""
-    marked = rows.withColumn("marked", _marked(F.col("text"))).drop("text")
-    slots = F.zip_with(
-        "words", F.regexp_extract_all("marked", F.lit(WORD), F.lit(0)),
-        lambda t, m: F.when(t.isin(NAME, NUMBER, UNIT), m).otherwise(""),
-    )
-    words = marked.withColumn("words", _template(F.col("marked"))).withColumn("filled", slots).drop("marked")
-    wide = F.least(F.size("words"), F.lit(window))
-    found = F.transform(
-        _starts(wide),
-        lambda i: F.struct(F.xxhash64(F.slice("words", i + 1, wide)).alias("hash"), F.slice("filled", i + 1, wide).alias("fillers")),
-    )
-    return words.withColumn("w", F.explode(found)).drop("words", "filled").select("*", "w.*").drop("w")
+def _plain(word: Column) -> Column:
+    return F.translate(word, NAME, "")
 
 
-def _plain_windows(rows: DataFrame, widths: list[int]) -> DataFrame:
-    """One row per window of ``rows`` (column ``text``) of each of the widths: the hash of its words in lower case."""
-    words = rows.withColumn("words", F.regexp_extract_all(F.lower("text"), F.lit(PLAIN_WORD), F.lit(0))).drop("text")
+def _window_hashes(hashes: str, width: int | Column) -> Column:
+    """Hash of each run of ``width`` word hashes; empty if there are fewer."""
+    starts = F.sequence(F.lit(0), F.size(hashes) - width)
+    found = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, width)))
+    return F.when((F.size(hashes) >= width) & (F.size(hashes) > 0), found).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hashed(rows: DataFrame, window: int, widths: list[int]) -> DataFrame:
+    """``rows`` (column ``text``) with the arrays ``templates`` and ``plains`` of window hashes; a text shorter than a window is
+    one template window. The words are taken out once."""
+    words = rows.withColumn("words", _words(F.col("text"))).drop("text")
+    hashes = words.select(
+        *[c for c in words.columns if c != "words"],
+        F.transform("words", lambda x, i: F.xxhash64(_templated(x, F.get("words", i - 1)))).alias("t"),
+        F.transform("words", lambda x: F.xxhash64(_plain(x))).alias("p"),
+    )
+    plains = F.concat(*[_window_hashes("p", w) for w in widths]) if widths else F.array().cast("array<bigint>")
+    return hashes.select(
+        *[c for c in hashes.columns if c not in ("t", "p")],
+        _window_hashes("t", F.least(F.size("t"), F.lit(window))).alias("templates"), plains.alias("plains"),
+    )
 
-    def wide(width: int) -> Column:
-        starts = F.sequence(F.lit(0), F.size("words") - width)
-        return F.when(F.size("words") >= width, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i + 1, width)))).otherwise(F.array())
 
-    return words.withColumn("hash", F.explode(F.concat(*[wide(w) for w in widths]))).drop("words")
+def _placed_windows(rows: DataFrame, window: int) -> DataFrame:
+    """One row per template window of ``rows`` (column ``text``): ``place``, ``hash``, ``fillers`` (empty for words that stand for
+    themselves) and ``size``, the words of the text."""
+    words = rows.withColumn("words", _words(F.col("text"))).drop("text").withColumn("template", _template("words"))
+    slots = F.zip_with("template", "words", lambda t, w: F.when(t.isin(NAME, NUMBER, UNIT), w).otherwise(""))
+    filled = words.withColumn("filled", slots).withColumn("t", F.transform("template", lambda x: F.xxhash64(x)))
+    wide = F.least(F.size("t"), F.lit(window))
+    starts = F.when(F.size("t") > 0, F.sequence(F.lit(0), F.size("t") - wide)).otherwise(F.array().cast("array<int>"))
+    found = F.transform(
+        starts, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice("t", i + 1, wide)).alias("hash"), F.slice("filled", i + 1, wide).alias("fillers"))
+    )
+    kept = [c for c in rows.columns if c != "text"]
+    return filled.select(*kept, F.size("t").alias("size"), F.explode(found).alias("w")).select(*kept, "size", "w.*")
 
 
-def _plain_items(benchmark: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
+def _plain_items(asked: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
     """``item_id, hash`` of the plain windows of items (``item_id, text``), as wide as ``window`` or the item, and their widths."""
-    size = F.size(F.regexp_extract_all(F.lower("text"), F.lit(PLAIN_WORD), F.lit(0)))
-    sized = cut(benchmark.withColumn("width", F.least(size, F.lit(window))).where("width > 0"))
+    words = asked.select("item_id", F.transform(_words(F.col("text")), lambda x: F.xxhash64(_plain(x))).alias("p"))
+    sized = cut(words.withColumn("width", F.least(F.size("p"), F.lit(window))).where("width > 0"))
     widths = sorted(row["width"] for row in sized.select("width").distinct().collect())
-    parts = [_plain_windows(sized.where(F.col("width") == w).drop("width"), [w]) for w in widths]
-    out = sized.select("item_id", F.lit(0).cast("bigint").alias("hash")).limit(0)
-    for part in parts:
-        out = out.union(part)
-    return cut(out.distinct()), widths
+    return cut(sized.select("item_id", F.explode(_window_hashes("p", F.col("width"))).alias("hash")).distinct()), widths
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -113,52 +122,87 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= MAX_BROADCAST_ROWS else df
 
 
+def _hits(hashed: DataFrame, wanted: dict[str, DataFrame]) -> DataFrame:
+    """``k1, k2, kind, hash``: the different hashes of the arrays that the table of their kind has.
+
+    Up to MAX_LITERALS hashes are tested in place, so that only hits become rows; more are joined.
+    """
+    few = all(w.count() <= MAX_LITERALS for w in wanted.values())
+
+    def own(kind: str) -> Column:
+        if not few:
+            return F.array_distinct(kind)
+        literals = [r["hash"] for r in wanted[kind].collect()]
+        return F.array_distinct(F.filter(kind, lambda x: x.isin(literals))) if literals else F.slice(kind, 1, 0)
+
+    both = F.array(*[F.struct(F.lit(kind).alias("kind"), own(kind).alias("hashes")) for kind in wanted])
+    found = hashed.select("k1", "k2", F.inline(both)).select("k1", "k2", "kind", F.explode("hashes").alias("hash"))
+    if not few:
+        tables = [w.select(F.lit(kind).alias("kind"), "hash") for kind, w in wanted.items()]
+        found = found.join(_small(cut(tables[0].union(tables[1]))), ["kind", "hash"], "left_semi")
+    return cut(found.distinct())
+
+
 def contained_items(
     df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, share: float = SHARE,
 ) -> DataFrame:
-    """``k1, k2, item_id, matched``: items contained in rows of ``df`` and the windows that match.
+    """``k1, k2, item_id, matched``: items contained in rows of ``df`` and the windows that match, in the occurrence with most.
 
-    First the templates alone are matched, which needs no fillers; the few documents that share enough windows with an
-    item are then read again with their fillers. Items whose plain windows alone match come with the number of those.
+    First the hashes alone are matched, which needs no fillers and no places; the few documents that share enough template
+    windows with an item are then read again with theirs. Items whose plain windows alone match come with the number of those.
     """
     asked = benchmark.select(F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
-    items = _windows(asked, window)
+    items = _placed_windows(asked, window)
     wordy = F.size(F.array_remove("fillers", "")) * 2 <= F.size("fillers")
     items = cut(items.where(wordy).distinct())
-    totals = cut(items.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
-    pair = ["k1", "k2", "item_id"]
+    plain, widths = _plain_items(asked, window)
 
-    def enough(matched: DataFrame, totals: DataFrame = totals) -> DataFrame:
-        counted = matched.groupBy(*pair).agg(F.countDistinct("hash").alias("matched"))
+    def enough(counted: DataFrame, windows: DataFrame) -> DataFrame:
+        totals = cut(windows.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
         return counted.join(totals, counted["item_id"].eqNullSafe(totals["item_id"])).where(
-            F.col("matched") >= share * F.col("windows")
+            F.col("matched") >= F.least(share * F.col("windows"), F.lit(float(PASSAGE)))
         ).select("k1", "k2", counted["item_id"], "matched")
 
+    def per_pair(hits: DataFrame, windows: DataFrame) -> DataFrame:
+        owners = _small(cut(windows.select("hash", "item_id").distinct()))
+        return hits.join(owners, "hash").groupBy(*PAIR).agg(F.count("*").alias("matched"))
+
     rows = df.select(*row_key(id_col, text_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    hashes = _small(cut(items.select("hash").distinct()))
-    hits = cut(_hashes(rows, window).join(hashes, "hash").distinct())
-    likely = cut(enough(hits.join(_small(cut(items.select("hash", "item_id").distinct())), "hash")).select("k1", "k2").distinct())
-    again = _windows(rows.join(_small(likely), ["k1", "k2"], "left_semi"), window).withColumnRenamed("fillers", "mine")
-    met = cut(again.join(_small(items), "hash").distinct())
-    values = met.select(*pair, "hash", F.explode(F.arrays_zip("fillers", "mine")).alias("s")).where("s.fillers <> ''")
+    hashed = _hashed(rows, window, widths)
+    hits = _hits(hashed, {"templates": cut(items.select("hash").distinct()), "plains": cut(plain.select("hash").distinct())})
+    copies = cut(enough(per_pair(hits.where("kind = 'plains'"), plain), plain))
+    likely = cut(enough(per_pair(hits.where("kind = 'templates'"), items), items).select(*PAIR))
+
+    documents = _small(cut(likely.select("k1", "k2").distinct()))
+    again = _placed_windows(rows.join(documents, ["k1", "k2"], "left_semi"), window)
+    again = again.select("k1", "k2", "hash", F.col("place").alias("at"), F.col("fillers").alias("mine"))
+    pairs = likely.select(*[F.col(c).alias(f"l_{c}") for c in PAIR])
+    asked_for = (F.col("k1") == F.col("l_k1")) & (F.col("k2") == F.col("l_k2")) & F.col("item_id").eqNullSafe(F.col("l_item_id"))
+    apart = F.col("at") - F.col("place")
+    cells = F.array(*[
+        F.struct(F.lit(g).alias("grid"), F.floor((apart * 2 + g * F.col("size")) / (2 * F.col("size"))).alias("cell")) for g in (0, 1)
+    ])
+    met = cut(
+        again.join(_small(items), "hash").join(pairs, asked_for, "left_semi")
+        .select(*PAIR, "hash", "fillers", "mine", F.inline(cells)).distinct()
+    )
+    values = met.select(*PAIR, *CELL, "hash", F.explode(F.arrays_zip("fillers", "mine")).alias("s")).where("s.fillers <> ''")
     bound = (
-        values.groupBy(*pair, F.col("s.fillers").alias("theirs"), F.col("s.mine").alias("mine"))
+        values.groupBy(*PAIR, *CELL, F.col("s.fillers").alias("theirs"), F.col("s.mine").alias("mine"))
         .agg(F.countDistinct("hash").alias("n"))
-        .groupBy(*pair, "theirs").agg(F.max_by("mine", F.struct("n", "mine")).alias("mine"))
-        .groupBy(*pair).agg(F.map_from_entries(F.collect_list(F.struct("theirs", "mine"))).alias("bound"))
-        .select(*[F.col(c).alias(f"b_{c}") for c in pair], "bound")
+        .groupBy(*PAIR, *CELL, "theirs").agg(F.max_by("mine", F.struct("n", "mine")).alias("mine"))
+        .groupBy(*PAIR, *CELL).agg(F.map_from_entries(F.collect_list(F.struct("theirs", "mine"))).alias("bound"))
+        .select(*[F.col(c).alias(f"b_{c}") for c in (*PAIR, *CELL)], "bound")
     )
-    same = (F.col("k1") == F.col("b_k1")) & (F.col("k2") == F.col("b_k2")) & F.col("item_id").eqNullSafe(F.col("b_item_id"))
+    same = F.col("item_id").eqNullSafe(F.col("b_item_id"))
+    for c in ("k1", "k2", *CELL):
+        same = same & (F.col(c) == F.col(f"b_{c}"))
     agrees = F.forall(F.zip_with("fillers", "mine", lambda f, m: (f == "") | (F.col("bound")[f] == m)), lambda x: x)
-    found = cut(enough(met.join(bound, same, "left").where(F.col("bound").isNull() | agrees)))
-    plain, widths = _plain_items(asked, window)
-    if not widths:
-        return found
-    hits = cut(_plain_windows(rows, widths).join(_small(cut(plain.select("hash").distinct())), "hash").distinct())
-    plain_totals = cut(plain.groupBy("item_id").agg(F.countDistinct("hash").alias("windows")))
-    copies = cut(enough(hits.join(_small(plain), "hash"), plain_totals))
-    other = found.select(*[F.col(c).alias(f"o_{c}") for c in pair])
+    kept = met.join(bound, same, "left").where(F.col("bound").isNull() | agrees)
+    counted = kept.groupBy(*PAIR, *CELL).agg(F.countDistinct("hash").alias("matched")).groupBy(*PAIR).agg(F.max("matched").alias("matched"))
+    found = cut(enough(counted, items))
+    other = found.select(*[F.col(c).alias(f"o_{c}") for c in PAIR])
     known = (F.col("k1") == F.col("o_k1")) & (F.col("k2") == F.col("o_k2")) & F.col("item_id").eqNullSafe(F.col("o_item_id"))
     return found.union(copies.join(other, known, "left_anti"))
 
@@ -193,7 +237,23 @@ def keep_clean(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 
 
 def decontaminate_sql(window: int = WINDOW, share: float = SHARE) -> str:
-    """DuckDB SQL for ``decontaminate(documents, benchmark)``; it joins the templates themselves, not hashes."""
+    """DuckDB SQL for ``decontaminate(documents, benchmark)``; it joins the windows' words themselves, not hashes."""
+    scripts = "Han Hiragana Katakana Thai Lao Khmer Myanmar".split()
+    spaceless = "".join(f"\\p{{{s}}}" for s in scripts)
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    marked = (
+        f"lower(regexp_replace(regexp_replace(text, '{SENTENCE_START}', '\\1' || chr(1) || '\\2', 'g'), "
+        f"'{CAPITALISED}', '\\1' || chr(2) || '\\2', 'g'))"
+    )
+    tokens = f"regexp_extract_all(regexp_replace({marked}, '([{spaceless}])', ' \\1 ', 'g'), '{FIGURES}|\\x02?\\p{{L}}+')"
+
+    def words(table: str, key: str) -> str:
+        return f"""(
+          SELECT r, {key}, n, i, replace(x, chr(2), '') AS plain, tmpl, CASE WHEN tmpl IN (chr(2), chr(3), chr(4)) THEN x ELSE '' END AS filler
+          FROM (SELECT *, CASE WHEN x SIMILAR TO '[0-9].*' THEN chr(3) WHEN x[1] = chr(2) THEN chr(2)
+                               WHEN x IN ({units}) AND lag(x) OVER (PARTITION BY r ORDER BY i) SIMILAR TO '[0-9].*' THEN chr(4) ELSE x END AS tmpl
+                FROM (SELECT r, {key}, len(toks) AS n, unnest(toks) AS x, generate_subscripts(toks, 1) AS i
+                      FROM (SELECT row_number() OVER () AS r, {key}, {tokens} AS toks FROM (SELECT {key}, coalesce(text, '') AS text FROM {table})))))"""
 
     def windows(table: str, key: str) -> str:
         ahead = ", ".join(f"lead(tmpl, {k}) OVER w AS t{k}, lead(filler, {k}) OVER w AS f{k}" for k in range(1, window))
@@ -201,39 +261,46 @@ def decontaminate_sql(window: int = WINDOW, share: float = SHARE) -> str:
         template = " || ' ' || ".join(f"coalesce({t}, '')" for t, _ in cells)
         fillers = ", ".join(f"coalesce({f}, '')" for _, f in cells)
         filled = " + ".join(f"(coalesce({f}, '') <> '')::INT" for _, f in cells)
-        marked = (
-            f"lower(regexp_replace(regexp_replace(text, '{SENTENCE_START}', '\\1' || chr(1) || '\\2', 'g'), "
-            f"'{CAPITALISED}', '\\1' || chr(2) || '\\2', 'g'))"
-        )
-        steps = f"regexp_replace(m, '{FIGURES}', chr(3), 'g')"
-        steps = f"regexp_replace({steps}, '{AFTER_NUMBER}', chr(3) || '\\1' || chr(4) || '\\2', 'g')"
-        steps = f"regexp_replace({steps}, '{NAMED}', chr(2), 'g')"
         return f"""(
-          SELECT r, {key}, {template} AS template, [{fillers}] AS fillers, 2 * ({filled}) <= least(n, {window}) AS wordy FROM (
-            SELECT *, {ahead} FROM (
-              SELECT *, CASE WHEN tmpl IN (chr(2), chr(3), chr(4)) THEN x ELSE '' END AS filler FROM (
-                SELECT r, {key}, len(toks) AS n, unnest(toks) AS x, unnest(tmpls) AS tmpl, generate_subscripts(toks, 1) AS i FROM (
-                  SELECT r, {key}, regexp_extract_all(m, '{WORD}') AS toks, regexp_extract_all({steps}, '{TEMPLATE_WORD}') AS tmpls
-                  FROM (SELECT r, {key}, {marked} AS m
-                        FROM (SELECT row_number() OVER () AS r, {key}, coalesce(text, '') AS text FROM {table})))))
-            WINDOW w AS (PARTITION BY r ORDER BY i))
-          WHERE i = 1 OR i + {window - 1} <= n)"""
+          SELECT r, {key}, n, i, {template} AS template, [{fillers}] AS fillers, 2 * ({filled}) <= least(n, {window}) AS wordy
+          FROM (SELECT *, {ahead} FROM {table} WINDOW w AS (PARTITION BY r ORDER BY i)) WHERE i = 1 OR i + {window - 1} <= n)"""
+
+    def plain(table: str, key: str, width: int, where: str) -> str:
+        ahead = "".join(f" || ' ' || lead(plain, {k}) OVER w" for k in range(1, width))
+        return f"SELECT r, {key}, {width} AS width, plain{ahead} AS run FROM {table} WHERE {where} WINDOW w AS (PARTITION BY r ORDER BY i)"
 
+    item_runs = " UNION ALL ".join(plain("iw", "item_id", w, f"least(n, {window}) = {w}") for w in range(1, window + 1))
+    doc_runs = " UNION ALL ".join(plain("dw", "doc_id", w, f"{w} IN (SELECT least(n, {window}) FROM iw)") for w in range(1, window + 1))
+    enough = f"matched >= least({share} * windows, {PASSAGE})"
     return f"""
-    WITH items AS (SELECT DISTINCT item_id, template, fillers FROM {windows('benchmark', 'item_id')} WHERE wordy),
+    WITH dw AS MATERIALIZED (SELECT * FROM {words('documents', 'doc_id')}), iw AS MATERIALIZED (SELECT * FROM {words('benchmark', 'item_id')}),
+    items AS (SELECT DISTINCT item_id, n, i, template, fillers FROM {windows('iw', 'item_id')} WHERE wordy),
     totals AS (SELECT item_id, count(DISTINCT template) AS windows FROM items GROUP BY 1),
-    met AS (SELECT DISTINCT r, item_id, d.template, i.fillers, d.fillers AS mine
-            FROM {windows('documents', 'doc_id')} d JOIN items i USING (template)),
-    vals AS (SELECT r, item_id, template, unnest(fillers) AS theirs, unnest(mine) AS mine FROM met),
-    counted AS (SELECT r, item_id, theirs, mine, count(DISTINCT template) AS n FROM vals WHERE theirs <> '' GROUP BY ALL),
-    bound AS (SELECT r, item_id, theirs, mine FROM counted
-              QUALIFY row_number() OVER (PARTITION BY r, item_id, theirs ORDER BY n DESC, mine DESC) = 1),
-    wrong AS (SELECT DISTINCT m.r, m.item_id, m.template, m.fillers, m.mine
+    all_met AS (SELECT d.r, q.item_id, q.template, q.fillers, d.fillers AS mine, d.i - q.i AS apart, q.n AS size
+                FROM {windows('dw', 'doc_id')} d JOIN items q USING (template)),
+    likely AS (SELECT r, item_id FROM (SELECT r, item_id, count(DISTINCT template) AS matched FROM all_met GROUP BY 1, 2)
+               JOIN totals USING (item_id) WHERE {enough}),
+    met AS (SELECT DISTINCT r, item_id, template, fillers, mine, grid, CAST(floor((2 * apart + grid * size) / (2.0 * size)) AS BIGINT) AS cell
+            FROM all_met SEMI JOIN likely USING (r, item_id), (VALUES (0), (1)) g(grid)),
+    vals AS (SELECT r, item_id, grid, cell, template, unnest(fillers) AS theirs, unnest(mine) AS mine FROM met),
+    counted AS (SELECT r, item_id, grid, cell, theirs, mine, count(DISTINCT template) AS n FROM vals WHERE theirs <> '' GROUP BY ALL),
+    bound AS (SELECT r, item_id, grid, cell, theirs, mine FROM counted
+              QUALIFY row_number() OVER (PARTITION BY r, item_id, grid, cell, theirs ORDER BY n DESC, mine DESC) = 1),
+    wrong AS (SELECT DISTINCT m.r, m.item_id, m.grid, m.cell, m.template, m.fillers, m.mine
               FROM (SELECT *, unnest(fillers) AS theirs, unnest(mine) AS own FROM met) m
-              JOIN bound b ON b.r = m.r AND b.item_id IS NOT DISTINCT FROM m.item_id AND b.theirs = m.theirs AND b.mine <> m.own),
-    kept AS (SELECT r, item_id, count(DISTINCT template) AS matched FROM (SELECT r, item_id, template, fillers, mine FROM met
-             EXCEPT SELECT r, item_id, template, fillers, mine FROM wrong) GROUP BY 1, 2),
-    found AS (SELECT r, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, CAST(sum(matched) AS BIGINT) AS matched
-              FROM kept JOIN totals USING (item_id) WHERE matched >= {share} * windows GROUP BY 1)
-    SELECT doc_id, found.r IS NOT NULL AS contaminated, coalesce(items, '') AS items, coalesce(matched, 0) AS matched
-    FROM (SELECT row_number() OVER () AS r, doc_id FROM documents) d LEFT JOIN found USING (r)"""
+              JOIN bound b USING (r, item_id, grid, cell, theirs) WHERE b.mine <> m.own),
+    kept AS (SELECT r, item_id, max(matched) AS matched FROM (
+               SELECT r, item_id, grid, cell, count(DISTINCT template) AS matched FROM (
+                 SELECT r, item_id, grid, cell, template, fillers, mine FROM met
+                 EXCEPT SELECT r, item_id, grid, cell, template, fillers, mine FROM wrong) GROUP BY ALL) GROUP BY 1, 2),
+    found AS (SELECT r, item_id, matched FROM kept JOIN totals USING (item_id) WHERE {enough}),
+    item_runs AS (SELECT DISTINCT item_id, width, run FROM ({item_runs}) WHERE run IS NOT NULL),
+    run_totals AS (SELECT item_id, count(*) AS windows FROM item_runs GROUP BY 1),
+    copies AS (SELECT r, item_id, matched FROM (
+                 SELECT r, item_id, count(DISTINCT run) AS matched FROM ({doc_runs}) d JOIN item_runs USING (width, run) GROUP BY 1, 2)
+               JOIN run_totals USING (item_id) WHERE {enough}),
+    both_kinds AS (SELECT * FROM found UNION ALL SELECT * FROM copies ANTI JOIN found USING (r, item_id)),
+    done AS (SELECT r, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS items, CAST(sum(matched) AS BIGINT) AS matched
+             FROM both_kinds GROUP BY 1)
+    SELECT doc_id, done.r IS NOT NULL AS contaminated, coalesce(items, '') AS items, coalesce(matched, 0) AS matched
+    FROM (SELECT row_number() OVER () AS r, doc_id FROM documents) d LEFT JOIN done USING (r)"""

@@ -25,3 +25,62 @@ def test_copies_whatever_their_case_or_length(spark, item, text, expected):
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     found = decontaminate.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).first()
     assert (found.contaminated, found.items) == ((True, "7") if expected else (False, ""))
+
+
+FRUIT = "Tom has 5 apples, 7 pears, 9 plums and 4 figs today"
+VARIANTS = [
+    "Tom has 6 apples, 2 pears, 95 plums and 3 figs today", "Anna has 1 apples, 8 pears, 11 plums and 6 figs today",
+    "Mira has 12 apples, 3 pears, 4 plums and 44 figs today",
+]
+FILL = "Then the class went on to the next page of the book and read it aloud. "
+
+
+@pytest.mark.parametrize("text, expected", [
+    (VARIANTS[0], True),
+    (". ".join(VARIANTS[:2]), True),
+    (". ".join(VARIANTS), True),
+    (FILL + VARIANTS[0] + ". " + FILL + VARIANTS[2] + ". " + FILL, True),
+    (FRUIT + ". " + ". ".join(VARIANTS), True),
+    # One number where the item has two different ones is consistent, two for the same one is not.
+    ("Tom has 6 apples, 6 pears, 6 plums and 6 figs today", True),
+    (FILL * 3, False),
+])
+def test_variants_of_a_question_in_one_document(spark, duck, text, expected):
+    """Slots are bound per occurrence, so worksheets with many variants are found; the SQL says the same."""
+    kinds = "doc_id long, text string"
+    docs = [(1, text), (2, FILL)]
+    found = decontaminate.decontaminate(spark.createDataFrame(docs, kinds), spark.createDataFrame([(7, FRUIT)], "item_id long, text string"))
+    rows = sorted(map(tuple, found.collect()))
+    assert rows[0][1] == expected and not rows[1][1]
+    tables = {"documents": ("doc_id BIGINT, text VARCHAR", docs), "benchmark": ("item_id BIGINT, text VARCHAR", [(7, FRUIT)])}
+    assert rows == duck(tables, decontaminate.decontaminate_sql(), found.columns)
+
+
+def test_slots_bind_within_an_occurrence(spark):
+    """The item names one number twice; an occurrence that gives it two values fills few windows consistently."""
+    item = "Add 17 red balls to box one, take 17 red balls from box two and then count them"
+    same = item.replace("17", "23")
+    other = "Add 23 red balls to box one, take 99 red balls from box two and then count them"
+    rows = spark.createDataFrame([(1, same), (2, other), (3, f"{same}. {FILL} {other}")], "doc_id long, text string")
+    found = {r.doc_id: r.matched for r in decontaminate.decontaminate(rows, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()}
+    assert found[1] == found[3] > found[2]
+
+
+def test_long_passage_of_a_longer_item(spark, rng):
+    """25 of 90 words of an item, less than half of its windows; a shorter run of 10 words stays."""
+    words = [f"{a}{b}" for a in ("ka", "lo", "mi", "ne", "tu", "ro", "sa", "pe", "vi") for b in ("der", "lan", "mon", "tis", "rak", "bel", "son", "gar", "wen", "fol")]
+    item = " ".join(words)
+    rows = [(1, FILL + " ".join(words[30:55]) + ". " + FILL), (2, FILL + " ".join(words[30:40]) + ". " + FILL)]
+    found = decontaminate.decontaminate(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert {r.doc_id: r.contaminated for r in found.collect()} == {1: True, 2: False}
+
+
+def test_many_items_are_joined_instead_of_tested_in_place(spark, monkeypatch):
+    kinds = "doc_id long, text string"
+    docs = spark.createDataFrame([(1, VARIANTS[0]), (2, FILL), (3, PLAIN.upper()), (4, None)], kinds)
+    items = spark.createDataFrame([(7, FRUIT), (8, PLAIN), (9, "")], "item_id long, text string")
+    few = sorted(map(tuple, decontaminate.decontaminate(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "MAX_LITERALS", 3)
+    monkeypatch.setattr(decontaminate, "MAX_BROADCAST_ROWS", 2)
+    assert sorted(map(tuple, decontaminate.decontaminate(docs, items).collect())) == few
+    assert [r[1] for r in few] == [True, False, True, False]
