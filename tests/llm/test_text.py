@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -122,12 +123,90 @@ def test_base_spans(documents, rng):
         ('width = "Zx81Qq77hello"', []),
         ("time: 10:30 of the key: the", []),
         ('see http://example.org/a?key=b', []),
+        ('a = "abc"\npassphrase = a+"def123XYZ987"', ["abc", "def123XYZ987"]),
+        ('clientSecret = L\nL = "sk_live_4eC39HqLyjWD"', ["sk_live_4eC39HqLyjWD"]),
+        ('signingKey = decode("Zx81Qq_77hello")', ["Zx81Qq_77hello"]),
+        ('signingKey = os.getenv("SIGNING_KEY_V2")', []),
+        ('signingKey = b64(join("Zx81Qq_77", x, "hello9Z"))', ["Zx81Qq_77", "hello9Z"]),
+        ('signingKey = """Zx81Qq_77\nhello"""', ["Zx81Qq_77\nhello"]),
+        ("signingKey: |\n  Zx81Qq_77\n  hello9Q\nother: 5", ["Zx81Qq_77\n  hello9Q"]),
+        ("a: 1\nb:\n  signingKey: >-\n    Zx81Qq_77\n\n    hello9Q\n  width: 9", ["Zx81Qq_77\n\n    hello9Q"]),
+        ("pwd=Zx81Qq77hello&width=Zx81Qq77hellp", ["Zx81Qq77hello"]),
+        ("a = b\nb = a\npwd = a", []),
+        ("signingKey=Zx81Qq77he+llo/9==", ["Zx81Qq77he+llo/9=="]),
     ],
 )
 def test_literals_of_sensitive_names(text, found):
     assert [text[s:e] for s, k, e, *_ in secrets.find_spans(text) if secrets.KINDS[k] == "literal"] == found
 
 
+HOSTILE = {
+    "assignments": lambda n: "a=" * n, "spaced": lambda n: "a = " * n, "walrus": lambda n: "a:=" * n,
+    "query string": lambda n: "&".join(f"p{i}=v{i}" for i in range(n // 6)), "quotes": lambda n: '"' * n, "open quotes": lambda n: 'a="' * n,
+    "mixed quotes": lambda n: "a='b\"" * n, "open triple quotes": lambda n: 'a="""' * n, "escapes": lambda n: 'a="' + '\\"' * n,
+    "doubling constants": lambda n: "\n".join(f"token{i}=token{i - 1}+token{i - 1}" for i in range(1, n // 10)) + '\ntoken0="a1B2c3D4"',
+    "growing constants": lambda n: "\n".join(f'token{i}=token{i - 1}+"k{i}Zq"' for i in range(n // 10)),
+    "later constants": lambda n: "\n".join(f"token{i}=token{i + 1}" for i in range(n // 8)), "open calls": lambda n: "a=" + "f(" * n,
+    "blocks": lambda n: "a: |\n  x\n" * n, "nested blocks": lambda n: "a: |\n" + "  b: |\n" * n, "padding": lambda n: "x" * n + "=" * n,
+    "ampersands": lambda n: "a=" + "&b" * n, "plus signs": lambda n: "a=" + "+" * n, "tags": lambda n: "<a>b</a>" * n, "spaces": lambda n: "a=" + " " * n + "=b",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HOSTILE))
+def test_scan_is_linear(kind):
+    """Eight times the text may take twenty times as long at most, whatever it holds; quadratic work would take 64 times."""
+    def seconds(n):
+        text = HOSTILE[kind](n)
+        begin = time.process_time()
+        secrets.find_spans(text)
+        return time.process_time() - begin
+
+    small = min(seconds(4_000) for _ in range(3))
+    assert seconds(32_000) < 20 * max(small, 0.005)
+
+
+def test_literals_by_brute_force(rng):
+    """Random programs whose values are known as they are written: spans and scores by spelling every value out."""
+    for _ in range(300):
+        text, values, literal_places, named = "", {}, {}, []
+        for _ in range(rng.randint(1, 14)):
+            name = rng.choice(["pwd", "signingKey", "width", "client_secret_2", "colour", "jwt", "a", "b", "c"])
+            value, places = "", []
+            line = name + rng.choice([" = ", "=", ": ", " => ", " := "])
+            for k in range(rng.randint(1, 3)):
+                line += rng.choice([" + ", "+ ", " +"]) if k else ""
+                kind = rng.choice(["quoted", "name", "call", "triple"])
+                known = [v for v in values if v != name]
+                if kind == "name" and known:
+                    other = rng.choice(known)
+                    line += other
+                    value += values[other]
+                    places += literal_places[other]
+                    continue
+                word = "".join(rng.choices("abcXYZ019_.!", k=rng.randint(1, 14)))
+                opening, closing = {"call": ('f("', '")'), "triple": ("\'\'\'", "\'\'\'")}.get(kind, ('"', '"'))
+                start = len(text) + len(line) + len(opening)
+                line += opening + word + closing
+                value += word
+                places.append((start, start + len(word)))
+            values[name], literal_places[name] = value, places
+            named.append((name, value, places))
+            text += line + "\n"
+        expected = set()
+        for name, value, places in named:
+            weight, whole = secrets.name_weight(name), secrets.literal_weight(value)
+            if weight and whole and weight + whole >= secrets.THRESHOLD:
+                expected.update(places)
+        assert secrets.literal_spans(text) == expected, text
+
+
+def test_scan_of_repeated_and_long_rows(spark):
+    text = 'x = 1\n' * 200_000 + 'signingKey = "Zx81Qq_77hello"'
+    rows = spark.createDataFrame([(1, text), (1, text), (2, "token = abcdef123456")], "doc_id long, text string")
+    got = sorted(map(tuple, secrets.scan(rows).select("doc_id", "n_assign", "spans").collect()))
+    assert got == [(1, 0, f"literal:{len(text) - 15}:{len(text) - 1}")] * 2 + [(2, 1, "assign:0:20")]
+
+
 def test_redaction(spark, odd):
     rows = spark.createDataFrame([(1, 'x token = "abcdef123" y'), (2, None), (3, "plain")], "doc_id long, text string")
     assert [r.text for r in secrets.redact(rows).orderBy("doc_id").collect()] == ['x token = "[SECRET]" y', None, "plain"]
