@@ -293,6 +293,15 @@ _HELD = [  # declared constraints that generated links always meet
     ("category_detail_links", "default", "host_system_id"),
 ]
 
+_DAMAGED_LOG = _EVENT_LOG.rstrip()[:-1] + """),
+d AS (
+  SELECT logged, name, lv AS level, event_id || chr(10) || '  at ' || props AS message,
+         'DateTime: ' || logged || '|MessageLevel:' || lv || '|' || CASE WHEN event_id % 7 = 0 THEN 'Log:' ELSE 'LogName:' END || name
+           || '|' || event_id || chr(10) || '  at ' || props AS raw,
+         CASE WHEN event_id % 7 = 0 THEN 'layout' WHEN lv = 'NOTICE' THEN 'level' END AS reason
+  FROM (SELECT *, CASE name WHEN 'App-ApiTiming' THEN 'NOTICE' ELSE level END AS lv FROM e))
+"""
+
 ORACLE: dict[str, str] = {
     "rate_distribution": _NATIVE + _DISTRIBUTION_OUT,
     "rate_distribution_line_bridge": _GENERATED + _DISTRIBUTION_OUT,
@@ -458,6 +467,20 @@ WHERE level <> 'TRACE'""",
     "parse_log_records": _EVENT_LOG + """
 SELECT logged AS logged_at, level, name AS log_name, event_id || chr(10) || '  at ' || props AS message, day FROM e
 WHERE level <> 'TRACE'""",
+    "rejected_log_records": _DAMAGED_LOG + "SELECT raw, reason FROM d WHERE reason IS NOT NULL",
+    "log_record_counts": _DAMAGED_LOG + """
+SELECT verdict, count(reason IS NULL OR true) FILTER (of) AS records FROM (
+  SELECT v.verdict, reason, CASE v.verdict WHEN 'read' THEN true WHEN 'rejected' THEN reason IS NOT NULL
+         WHEN 'below level' THEN reason IS NULL AND level = 'TRACE' WHEN 'kept' THEN reason IS NULL AND level <> 'TRACE'
+         ELSE false END AS of
+  FROM d, (VALUES ('read'), ('kept'), ('below level'), ('other log'), ('rejected')) v(verdict)) GROUP BY verdict""",
+    "stream_log_records": _DAMAGED_LOG + """
+SELECT CASE WHEN reason IS DISTINCT FROM 'layout' THEN logged END AS logged_at,
+       CASE WHEN reason IS DISTINCT FROM 'layout' THEN level END AS level,
+       CASE WHEN reason IS DISTINCT FROM 'layout' THEN name END AS log_name,
+       CASE WHEN reason IS DISTINCT FROM 'layout' THEN message END AS message,
+       CASE WHEN reason IS NULL THEN 'kept' ELSE 'rejected' END AS verdict, reason, CASE WHEN reason IS NOT NULL THEN raw END AS raw
+FROM d WHERE reason IS NOT NULL OR level <> 'TRACE'""",
     "latest_outcomes": """
 SELECT o_custkey AS session_key, 'run-' || o_orderkey AS run_id,
        CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN -102 ELSE 0 END AS return_code, o_orderpriority AS return_message

@@ -18,6 +18,10 @@ ADDRESS = ["city", "state_region", "postal_code"]
 HOME = ["taxable_city", "taxable_state", "taxable_postal_code", "has_home"]
 # Lines of a batch are ordered by postal code; the other columns make the order total.
 ORDER = ["postal_code", "city", "state_region", "destination_code", "rate_type_key", "unit_price"]
+# Why the amount of a batch cannot be spread.
+LOST = "quantity of a batch is out of range"
+NO_PIECES = "total quantity of a batch is zero"
+EMPTY_LAST = "quantity of the last address of a batch is zero"
 BRIDGES = ("details", "taxable_line_item", "provenance_tag")
 
 
@@ -134,7 +138,7 @@ def _price() -> Column:
 
 
 def _total(on_zero: str) -> Column:
-    return nonzero(F.col("total_quantity"), "total quantity of a batch is zero", on_zero)
+    return nonzero(F.col("total_quantity"), NO_PIECES, on_zero)
 
 
 def client_homes(t: Tables) -> DataFrame:
@@ -145,7 +149,7 @@ def client_homes(t: Tables) -> DataFrame:
 
 @dataclass(frozen=True)
 class Spread:
-    """Stored address rows with the totals of their batch, and the stored totals themselves, with the last row of each batch."""
+    """Stored address rows, and the stored totals and last row of each of their batches."""
 
     rows: DataFrame
     totals: DataFrame
@@ -157,33 +161,30 @@ def spread(addresses: DataFrame, homes: DataFrame | None = None) -> Spread:
     A batch needs only its total and its last row; no task sees a whole batch. The order is one of texts, which an
     aggregation could only follow by sorting all rows. So the rows are aggregated by hash with the first bytes of the postal
     code as a number, which keeps its order; only the few rows that share the highest number of their batch are compared in
-    full. Jobs start when this is called. With ``homes`` (the clients' taxable addresses) each row also gets its client's,
-    through the totals, so the rows are not joined to clients.
+    full. Jobs start when this is called; ``addresses`` is read more than once and should be stored. With ``homes`` (the
+    clients' taxable addresses) each row also gets its client's, through the totals, so the rows are not joined to clients.
     """
     total = F.try_sum("quantity") if "out_of_range" in addresses.columns else F.sum("quantity")
     lost = (F.count("quantity") > 0) & total.isNull()
     if "out_of_range" in addresses.columns:
         lost = lost | F.max("out_of_range")
-    sums = addresses.groupBy(F.col("sales_tax_batch_key").alias("batch")).agg(
+    session = F.max("session_key") if "session_key" in addresses.columns else F.lit(None).cast("bigint")
+    sums = cut(addresses.groupBy(F.col("sales_tax_batch_key").alias("batch")).agg(
+        session.alias("session"),
         total.alias("total_quantity"),
         F.max(_is_fixed(F.col("rate_type_key"))).alias("has_fixed"),
         F.max(_postal_number()).alias("highest"),
         lost.alias("lost"),
         F.max("client_configuration_key").alias("client"),
-        F.max("session_key").alias("session") if "session_key" in addresses.columns else F.lit(None).cast("bigint").alias("session"),
-    )
+    ))
+    near = addresses.select(F.col("sales_tax_batch_key").alias("batch"), _postal_number().alias("highest"), *ORDER, "quantity")
+    last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity"))).alias("last")
+    lasts = near.join(sums.select("batch", "highest"), ["batch", "highest"], "left_semi").groupBy("batch").agg(last)
+    totals = sums.drop("highest").join(lasts, "batch", "left")
     if homes is not None:
         home = homes.withColumns({"client": F.col("client_configuration_key"), "has_home": F.lit(True)})
-        sums = sums.join(home.drop("client_configuration_key"), "client", "left")
-    sums = cut(sums.drop("client"))
-    joined = addresses.drop("out_of_range").join(sums.drop("session", "lost"), addresses["sales_tax_batch_key"] == sums["batch"])
-    rows = cut(joined.withColumn("near_last", _postal_number() == F.col("highest")).drop("batch", "highest"))
-    last = F.max(F.struct(*ORDER, F.col("quantity").alias("last_quantity"))).alias("last")
-    lasts = rows.where("near_last").groupBy(F.col("sales_tax_batch_key").alias("batch")).agg(last)
-    totals = sums.join(lasts, "batch", "left")
-    return Spread(rows, cut(totals.select(
-        F.col("batch").alias("sales_tax_batch_key"), F.col("session").alias("session_key"), "total_quantity", "has_fixed", "lost", "last"
-    )))
+        totals = totals.join(home.drop("client_configuration_key"), "client", "left")
+    return Spread(addresses.drop("out_of_range"), cut(totals.drop("client")))
 
 
 def _postal_number() -> Column:
@@ -198,31 +199,27 @@ def allocate(
     """Rate per address row; fixed amounts leave their rounding remainder on the last row.
 
     Every row of a batch has the same pro-rata rate, so the amount given to the earlier rows is that rate times their
-    quantity, and only the rows next to the last one are joined to it (see ``spread``).
+    quantity, and a row needs the total and the last row of its batch alone (see ``spread``).
     """
     found = addresses if isinstance(addresses, Spread) else spread(addresses, homes)
-    rows = found.rows
-    mills = F.round(pro_rata_rate(F.col("extended_amount"), _total(on_zero)), 3)
-    price = F.col("extended_amount").cast("decimal(25,3)")
-    fixed = _is_fixed(F.col("rate_type_key"))
-    unit = _price().cast(RATE_TYPE)
+    totals = found.totals.drop("session", "lost")
     if on_zero == "warn":
-        bad = cut(found.totals.where(problem().isNotNull()).select("sales_tax_batch_key"))
-        if not bad.isEmpty():
-            rows = rows.join(bad, "sales_tax_batch_key", "left_anti")
-    is_last = F.lit(True)
+        totals = found.totals.where(problem().isNull()).drop("session", "lost")
+    rows = found.rows.join(totals, found.rows["sales_tax_batch_key"] == totals["batch"]).drop("batch")
+    is_last = F.col("total_quantity") != 0  # a total of zero is found out first
     for c in ORDER:
         is_last = is_last & F.col(c).eqNullSafe(F.col("last")[c])
+    mills = F.round(pro_rata_rate(F.col("extended_amount"), _total(on_zero)), 3)
+    price = F.col("extended_amount").cast("decimal(25,3)")
     earlier = mills * (F.col("total_quantity") - F.col("quantity"))
-    quantity = nonzero(F.col("quantity"), "quantity of the last address of a batch is zero", on_zero)
+    quantity = nonzero(F.col("quantity"), EMPTY_LAST, on_zero)
     remainder = F.round(price - earlier, 3) / quantity
-    near = rows.where("near_last").join(found.totals.select("sales_tax_batch_key", "last"), "sales_tax_batch_key")
-    near = near.withColumn(
-        "rate",
-        F.when(~fixed, unit).when(is_last & (F.col("total_quantity") != 0), remainder.cast(RATE_TYPE)).otherwise(mills.cast(RATE_TYPE)),
-    ).drop("last")
-    rest = rows.where("not near_last").withColumn("rate", F.when(~fixed, unit).otherwise(mills.cast(RATE_TYPE)))
-    return near.unionByName(rest).drop("total_quantity", "has_fixed", "near_last")
+    rate = (
+        F.when(~_is_fixed(F.col("rate_type_key")), _price().cast(RATE_TYPE))
+        .when(is_last, remainder.cast(RATE_TYPE))
+        .otherwise(mills.cast(RATE_TYPE))
+    )
+    return rows.withColumn("rate", rate).drop("total_quantity", "has_fixed", "last")
 
 
 def _is_fixed(rate_type: Column) -> Column:
@@ -230,12 +227,6 @@ def _is_fixed(rate_type: Column) -> Column:
     return F.coalesce(rate_type.isin(*FIXED_RATE_TYPES), F.lit(True))
 
 
-# Why the amount of a batch cannot be spread.
-LOST = "quantity of a batch is out of range"
-NO_PIECES = "total quantity of a batch is zero"
-EMPTY_LAST = "quantity of the last address of a batch is zero"
-
-
 def problem() -> Column:
     """Of ``Spread.totals``: why a batch cannot be spread, NULL if it can."""
     last = F.col("last")
@@ -250,8 +241,8 @@ def zero_quantity_warnings(addresses: DataFrame | Spread, *, as_of: datetime, us
     """Batches that ``on_zero='warn'`` leaves out, with the reason."""
     found = addresses if isinstance(addresses, Spread) else spread(addresses)
     return found.totals.where(problem().isNotNull()).select(
-        "sales_tax_batch_key",
-        "session_key",
+        F.col("batch").alias("sales_tax_batch_key"),
+        F.col("session").alias("session_key"),
         F.lit("Amount cannot be spread: zero quantity.").alias("message"),
         *audit(user, as_of),
     )
@@ -259,9 +250,9 @@ def zero_quantity_warnings(addresses: DataFrame | Spread, *, as_of: datetime, us
 
 def failed_sessions(found: Spread) -> DataFrame:
     """``session_key, error``: sessions with a batch that cannot be spread, and the first such batch."""
-    first = F.min(F.struct("sales_tax_batch_key", problem().alias("why"))).alias("first")
-    bad = found.totals.where(problem().isNotNull()).groupBy("session_key").agg(first)
-    text = F.concat(F.lit("Batch "), F.col("first.sales_tax_batch_key").cast("string"), F.lit(": "), F.col("first.why"))
+    first = F.min(F.struct("batch", problem().alias("why"))).alias("first")
+    bad = found.totals.where(problem().isNotNull()).groupBy(F.col("session").alias("session_key")).agg(first)
+    text = F.concat(F.lit("Batch "), F.col("first.batch").cast("string"), F.lit(": "), F.col("first.why"))
     return bad.select("session_key", text.alias("error"))
 
 

@@ -80,7 +80,7 @@ def sales_tax_run(
     if not failures.isEmpty():
         status, taxed, new_points = (without(failures, df) for df in (status, taxed, with_session(new_points)))
         new_points = new_points.drop("session_key")
-        spread = allocate.Spread(without(failures, spread.rows), without(failures, spread.totals))
+        spread = allocate.Spread(without(failures, spread.rows), without(failures, spread.totals, "session"))
     warnings = cut(allocate.zero_quantity_warnings(spread, as_of=as_of, user=user))
     left_out = warnings.select(F.col("sales_tax_batch_key").alias("invoice_line_item_key"))
     return TaxRun(
@@ -100,9 +100,9 @@ def sales_tax_run(
     )
 
 
-def without(failures: DataFrame, rows: DataFrame) -> DataFrame:
+def without(failures: DataFrame, rows: DataFrame, session: str = "session_key") -> DataFrame:
     """Rows of the sessions that did not fail."""
-    return rows.join(failures.select("session_key"), "session_key", "left_anti")
+    return rows.join(failures.select(F.col("session_key").alias(session)), session, "left_anti")
 
 
 def with_session(rows: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # The two layouts, the levels from lowest to highest, and the lowest level kept.
@@ -18,17 +18,6 @@ def kept_levels(min_level: str = MIN_LEVEL) -> tuple[str, ...]:
     return LEVELS[LEVELS.index(min_level):]
 
 
-def _record(df: DataFrame, at: Column, level: Column, name: Column, message: Column) -> DataFrame:
-    when = at.try_cast("timestamp_ntz")  # log times have no zone
-    return df.select(
-        when.alias("logged_at"),
-        level.alias("level"),
-        name.alias("log_name"),
-        message.alias("message"),
-        when.cast("date").alias("day"),
-    )
-
-
 def read_log_records(spark: SparkSession, path: str) -> DataFrame:
     """Files of either layout, one record per row: a record goes on until a line break before the next start, so a message
     may have any number of lines, with either line end.
@@ -44,24 +33,55 @@ def _whole_record() -> Column:
     return F.when(value.startswith(RECORD_START), value).otherwise(F.concat(F.lit(RECORD_START), value))
 
 
-def parse_log_lines(
-    lines: DataFrame, *, min_level: str = MIN_LEVEL, log_names: list[str] | None = None
+KEPT, BELOW, OTHER_LOG, REJECTED = "kept", "below level", "other log", "rejected"
+
+
+def label_log_records(
+    records: DataFrame, *, log_name: str | None = None, min_level: str = MIN_LEVEL, log_names: list[str] | None = None
 ) -> DataFrame:
-    """Records of the pipe layout in column ``value``, one per row; other rows are dropped.
+    """Every record in column ``value`` with its parts and a ``verdict``: kept, below level, other log, or rejected with a
+    ``reason`` and the record as it is in ``raw``.
 
-    Works on a batch and on a stream. The message is all that follows the third label, line breaks included.
-    ``log_names`` keeps the records of these logs.
+    Works on a batch and on a stream. Records are of the pipe layout or, with ``log_name``, of the multi-line one, which does not
+    name its log. A record is rejected if it does not fit the layout or its level is none of LEVELS.
+    ``log_names`` keeps the records of these logs. The message is all that follows the last label, line breaks included.
     """
-    parts = F.col("parts")
-    split = lines.select(F.split(_whole_record(), r"\|", len(PIPE_LAYOUT) + 1).alias("parts"))
-    fits = F.size(parts) == len(PIPE_LAYOUT) + 1
-    values = []
-    for i, label in enumerate(PIPE_LAYOUT):
-        fits = fits & F.get(parts, F.lit(i)).startswith(label)
-        values.append(F.substring(F.get(parts, F.lit(i)), len(label) + 1, 2**31 - 1))
-    records = _record(split.where(fits), *values, F.get(parts, F.lit(len(PIPE_LAYOUT))))
-    records = records.where(F.col("level").isin(*kept_levels(min_level)))
-    return records if log_names is None else records.where(F.col("log_name").isin(*log_names))
+    whole = records.select(_whole_record().alias("raw"))
+    if log_name is None:
+        parts = F.col("parts")
+        whole = whole.withColumn("parts", F.split("raw", r"\|", len(PIPE_LAYOUT) + 1))
+        fits = F.size(parts) == len(PIPE_LAYOUT) + 1
+        values = []
+        for i, label in enumerate(PIPE_LAYOUT):
+            fits = fits & F.get(parts, F.lit(i)).startswith(label)
+            values.append(F.substring(F.get(parts, F.lit(i)), len(label) + 1, 2**31 - 1))
+        values.append(F.get(parts, F.lit(len(PIPE_LAYOUT))))
+    else:
+        part = [F.regexp_extract("raw", BLOCK_LAYOUT, i) for i in range(1, 4)]
+        fits = F.col("raw").rlike(BLOCK_LAYOUT)
+        values = [part[0], part[1], F.lit(log_name), part[2]]
+    at, level, name, message = (F.when(fits, v) for v in values)
+    when = at.try_cast("timestamp_ntz")  # log times have no zone
+    other = F.lit(False) if log_names is None else ~name.isin(*log_names)
+    reason = F.when(~F.coalesce(fits, F.lit(False)), "layout").when(~level.isin(*LEVELS), "level")
+    verdict = (
+        F.when(reason.isNotNull(), REJECTED).when(~level.isin(*kept_levels(min_level)), BELOW).when(other, OTHER_LOG).otherwise(KEPT)
+    )
+    return whole.select(
+        when.alias("logged_at"), level.alias("level"), name.alias("log_name"), message.alias("message"), when.cast("date").alias("day"),
+        verdict.alias("verdict"), reason.alias("reason"), F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
+    )
+
+
+def _kept(labelled: DataFrame) -> DataFrame:
+    return labelled.where(F.col("verdict") == KEPT).drop("verdict", "reason", "raw")
+
+
+def parse_log_lines(
+    lines: DataFrame, *, min_level: str = MIN_LEVEL, log_names: list[str] | None = None
+) -> DataFrame:
+    """Records of the pipe layout in column ``value``, one per row; ``label_log_records`` also gives what is dropped here."""
+    return _kept(label_log_records(lines, min_level=min_level, log_names=log_names))
 
 
 def parse_log_blocks(blocks: DataFrame, *, log_name: str, min_level: str = MIN_LEVEL) -> DataFrame:
@@ -69,10 +89,24 @@ def parse_log_blocks(blocks: DataFrame, *, log_name: str, min_level: str = MIN_L
 
     The layout does not name its log, so the caller does.
     """
-    part = [F.regexp_extract("block", BLOCK_LAYOUT, i) for i in range(1, 4)]
-    found = blocks.select(_whole_record().alias("block")).where(F.col("block").rlike(BLOCK_LAYOUT))
-    records = _record(found, part[0], part[1], F.lit(log_name), part[2])
-    return records.where(F.col("level").isin(*kept_levels(min_level)))
+    return _kept(label_log_records(blocks, log_name=log_name, min_level=min_level))
+
+
+def rejected_records(labelled: DataFrame) -> DataFrame:
+    """``raw, reason`` of the records that fit no layout or have an unknown level."""
+    return labelled.where(F.col("verdict") == REJECTED).select("raw", "reason")
+
+
+def write_labelled(labelled: DataFrame, path: str) -> dict[str, int]:
+    """Write kept and rejected records in one pass, under ``verdict=kept`` by day and level and ``verdict=rejected``, replacing what
+    is there. Returns how many records were read and how many had each verdict, counted as they pass."""
+    counted = Observation("log records")
+    verdicts = (KEPT, BELOW, OTHER_LOG, REJECTED)
+    counts = [F.count_if(F.col("verdict") == v).alias(v) for v in verdicts]
+    watched = labelled.observe(counted, F.count(F.lit(1)).alias("read"), *counts)
+    kept = watched.where(F.col("verdict").isin(KEPT, REJECTED)).hint("rebalance", "verdict", "day", "level")
+    kept.write.mode("overwrite").partitionBy("verdict", "day", "level").parquet(path)
+    return dict(counted.get)
 
 
 def unwrap_nested_json(payloads: DataFrame, depth: int = 3) -> DataFrame:

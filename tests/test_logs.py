@@ -6,13 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailtax.sources.logs import (
+    label_log_records,
     parse_log_blocks,
     parse_log_lines,
     read_log_records,
+    rejected_records,
     unwrap_nested_json,
+    write_labelled,
     write_logs,
 )
-from mailtax.streaming.logs import stream_logs
+from mailtax.streaming.logs import read_labelled, stream_labelled_logs, stream_logs
 
 LINES = [
     "some other line",
@@ -91,3 +94,55 @@ def test_nested_payload(spark):
     assert row["time3"] == datetime(2024, 1, 1, 10, 0, 0, 500000) and row["time1"] is None
     row = unwrap_nested_json(spark.range(1).select(broken.alias("value"))).first()
     assert (row["name1"], row["name2"], row["data"]) == ("3", None, None)
+
+
+DAMAGED = [
+    *LINES[1:4], "DateTime: 2024-03-09 08:44:33.0000|MessageLevel:NOTICE|LogName:App|odd level", "DateTime: 2024|LogName:App|no level",
+    "DateTime: 2024-03-09 08:44:34.0000|MessageLevel:INFO|LogName:Other|other log", "", None,
+]
+
+
+def test_every_record_has_a_verdict(spark):
+    df = spark.createDataFrame([(x,) for x in DAMAGED], "value string")
+    rows = label_log_records(df, log_names=["App-ApiTiming", "App-ApiContent"]).collect()
+    verdicts = sorted((r["verdict"], r["reason"]) for r in rows if r["reason"]), [r["verdict"] for r in rows if not r["reason"]]
+    assert verdicts[0] == [
+        ("rejected", "layout"), ("rejected", "layout"), ("rejected", "layout"), ("rejected", "level")]
+    assert sorted(verdicts[1]) == ["below level", "kept", "kept", "other log"]
+    rejects = {r["raw"]: r["reason"] for r in rejected_records(label_log_records(df)).collect()}
+    assert rejects[DAMAGED[3]] == "level" and rejects[DAMAGED[4]] == "layout"
+
+
+def test_counts_come_with_the_one_pass(spark, tmp_path):
+    df = spark.createDataFrame([(x,) for x in DAMAGED], "value string")
+    path = str(tmp_path / "out")
+    counts = write_labelled(label_log_records(df), path)
+    assert counts == {"read": 8, "kept": 3, "below level": 1, "other log": 0, "rejected": 4}
+    written = spark.read.parquet(path)
+    assert {r["verdict"]: r["count"] for r in written.groupBy("verdict").count().collect()} == {"kept": 3, "rejected": 4}
+    blocks = spark.createDataFrame([("DateTime: x\nLogLevel: INFO\nMessage: m",), ("DateTime: x\nMessage: m",)], "value string")
+    assert write_labelled(label_log_records(blocks, log_name="App"), path)["rejected"] == 1
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    """The commit of the last batch is lost, so it runs again, with a new file that came meanwhile in a batch of its own."""
+    source, target, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    known = [x for x in DAMAGED if x]
+    spark.createDataFrame([(x,) for x in known], "value string").coalesce(1).write.text(source)
+
+    def run():
+        query = stream_labelled_logs(spark, source, target, checkpoint)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        return sorted(map(str, read_labelled(spark, target).collect()))
+
+    first = run()
+    assert len(first) == 5
+    commits = tmp_path / "checkpoint" / "commits"
+    for file in list(commits.iterdir()):
+        if file.name.lstrip(".").startswith("0"):
+            file.unlink()
+    spark.createDataFrame([(LINES[1].replace("took", "later"),)], "value string").coalesce(1).write.mode("append").text(source)
+    again = run()
+    assert len(again) == len(first) + 1 and set(first) < set(again)
+    assert run() == again
