@@ -495,3 +495,4 @@ SELECT event_id || '-1' AS name1, logged AS time1, event_id || '-2' AS name2, lo
        logged AS time3, props AS data
 FROM e""",
 }
+ORACLE["qualify_details_bucketed"] = ORACLE["qualify_details"]  # the same rows by another plan

@@ -34,6 +34,28 @@ def scoped_sessions(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
     return cut(scope.join(sessions.select(F.lower("session_id").alias("session_id")), "session_id", "left_semi"))
 
 
+FEW = 0.5  # a scope of up to this share of all sessions narrows the large tables first
+
+
+def is_few(t: Tables, sessions: DataFrame | None) -> bool:
+    """Whether a scope is small enough, by count, for its keys to narrow the large tables before they are joined."""
+    if sessions is None:
+        return False
+    every = t["sessions"].count()
+    return every == 0 or scoped_sessions(t, sessions).count() <= FEW * every
+
+
+def within(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of a large table whose key is among the stored ``keys``.
+
+    Few keys are broadcast. For more, Spark makes a Bloom filter of them and applies it where the large table is scanned, before
+    it is shuffled, if the keys come from a filtered table; their smallest one serves as that filter and drops nothing.
+    """
+    low = keys.agg(F.min(key)).first()[0]
+    bounded = keys if low is None else keys.where(F.col(key) >= F.lit(low))
+    return rows.join(bounded, key, "left_semi")
+
+
 def session_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
     """Invoice line items of the sessions with their session, client and catalogue columns."""
     scope = scoped_sessions(t, sessions).select("session_key")
@@ -59,7 +81,7 @@ def category_transactions(t: Tables, categories: DataFrame | None = None) -> Dat
     """
     details = t["details"]
     if categories is not None:
-        details = details.join(categories, "category_key", "left_semi")
+        details = within(details, cut(categories.select("category_key").distinct()), "category_key")
     return (
         details
         .where(F.col("transaction_guid").isNotNull() & F.col("category_key").isNotNull())
@@ -69,8 +91,8 @@ def category_transactions(t: Tables, categories: DataFrame | None = None) -> Dat
 
 
 def linked_transactions(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
-    """``category_transactions`` of the flagged activities in scope."""
-    if sessions is None:
+    """``category_transactions`` of the flagged activities in scope; of all if the scope is a large part of them."""
+    if not is_few(t, sessions):
         return category_transactions(t)
     return category_transactions(t, _scoped_activities(t, session_lines(t, sessions)).select("category_key"))
 
@@ -86,7 +108,7 @@ def covered_categories(t: Tables, linked: DataFrame, *, few: bool = False) -> Da
     """
     active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid")
     if few:
-        active = active.join(linked.select("transaction_guid"), "transaction_guid", "left_semi")
+        active = within(active, cut(linked.select("transaction_guid").distinct()), "transaction_guid")
     guids = cut(active.distinct())
     return cut(linked.join(guids, "transaction_guid", "left_semi").select("category_key").distinct())
 
@@ -105,7 +127,7 @@ def covered_lines(
     The jobs below are filters on it. ``linked`` are stored ``linked_transactions``.
     """
     lines = session_lines(t, sessions)
-    few = sessions is not None
+    few = is_few(t, sessions)
     linked = linked_transactions(t, sessions) if linked is None else linked
     covered = covered_categories(t, linked, few=few).withColumn("covered", F.lit(True))
     acts = _scoped_activities(t, lines) if few else flagged_activities(t)
@@ -216,7 +238,7 @@ def known_pieces(table: DataFrame, ids: DataFrame | None) -> DataFrame:
 
     The later outer join could not broadcast the small side; this filter can.
     """
-    return table if ids is None else table.join(ids, "data_stream_detail_id", "left_semi")
+    return table if ids is None else within(table, ids, "data_stream_detail_id")
 
 
 def infer_host_system(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame:
@@ -235,7 +257,7 @@ def infer_host_system(t: Tables, lines: DataFrame, *, few: bool = False) -> Data
         .drop("category_key")
     )
     streams = cut(streams) if few else streams
-    ids = streams.select("data_stream_detail_id") if few else None
+    ids = cut(streams.select("data_stream_detail_id").distinct()) if few else None
     first, second = (
         known_pieces(t[f"{name}_pieces"].select("data_stream_detail_id"), ids).select(
             "data_stream_detail_id", F.lit(name == "host1").alias("in_host1"), F.lit(name == "host2").alias("in_host2")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -33,12 +34,49 @@ def with_type_id(t: Tables, df: DataFrame) -> DataFrame:
     return df.join(types, "transaction_type_guid", "left")
 
 
-def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame:
+HOST_PIECES = "host_pieces"
+HOT_DETAILS = 100_000
+
+
+def host_records(t: Tables, ids: DataFrame | None = None) -> DataFrame:
+    """``piece_id, host1, host2``: the records of both hosts brought together, limited to ``ids`` if given."""
+    hosts = []
+    for name in ("host1", "host2"):
+        table = known_pieces(t[f"{name}_pieces"], ids)
+        record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
+        hosts.append(table.select(F.col("data_stream_detail_id").alias("piece_id"), record).where("piece_id is not null"))
+    return hosts[0].join(hosts[1], "piece_id", "full")
+
+
+def store_host_pieces(t: Tables, table_name: str, buckets: int) -> Tables:
+    """Bring the hosts' records together once per load, as a catalogue table in ``buckets`` buckets of the piece id, and give the
+    tables with it. Runs over these join the records where they lie: no run shuffles or stores them again."""
+    records = host_records(t)
+    records.repartition(buckets, "piece_id").write.mode("overwrite").bucketBy(buckets, "piece_id").sortBy("piece_id").saveAsTable(table_name)
+    return ChainMap({HOST_PIECES: records.sparkSession.table(table_name)}, t)
+
+
+def _with_records(pieces: DataFrame, records: DataFrame, hot: int) -> DataFrame:
+    """``pieces`` with the bucketed ``records``. Only ``pieces`` is shuffled, so adaptive execution could not split an id that many
+    details share; the records of such ids, one for every ``hot`` details at most, are joined by themselves and broadcast."""
+    shared = cut(pieces.groupBy("piece_id").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("piece_id"))
+    if shared.isEmpty():
+        return pieces.join(records, "piece_id", "left")
+    few = F.broadcast(shared)
+    own = cut(records.join(few, "piece_id", "left_semi"))
+    return (
+        pieces.join(few, "piece_id", "left_anti").join(records, "piece_id", "left")
+        .unionByName(pieces.join(few, "piece_id", "left_semi").join(F.broadcast(own), "piece_id", "left"))
+    )
+
+
+def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False, hot: int = HOT_DETAILS) -> DataFrame:
     """Every detail of the lines with both hosts' piece records and the quantity it has on either host.
 
     This is the one wide join of the run: details meet the piece records once, on the piece id, and the host
-    jobs, the reconciliation and the delivery points all read the result. The records of both hosts are brought
-    together and stored first, so both sides of that join come straight from a shuffle and an id that many details
+    jobs, the reconciliation and the delivery points all read the result. Where the records were brought together at load time
+    (``store_host_pieces``), they are read from their buckets and only the details are shuffled. Else the records of both hosts
+    are brought together and stored first, so both sides of that join come straight from a shuffle and an id that many details
     share is split over tasks. A detail without a piece id gets a join key of its own, so such details spread over
     all tasks. ``few`` says that the lines are a small part of the data; their details are then stored, and the
     piece tables filtered by them before they are joined.
@@ -53,15 +91,12 @@ def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False) -> DataFrame
             "piece_id", F.coalesce("data_stream_detail_id", F.concat(F.lit("none "), F.col("detail_key")))
         )
     )
-    pieces = cut(pieces) if few else pieces
-    ids = pieces.select("data_stream_detail_id") if few else None
-    hosts = []
-    for name in ("host1", "host2"):
-        table = known_pieces(t[f"{name}_pieces"], ids)
-        record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
-        hosts.append(table.select(F.col("data_stream_detail_id").alias("piece_id"), record).where("piece_id is not null"))
-    records = cut(hosts[0].join(hosts[1], "piece_id", "full"))
-    pieces = pieces.join(records, "piece_id", "left")
+    if HOST_PIECES in t:
+        pieces = _with_records(cut(pieces), t[HOST_PIECES], hot)
+    else:
+        pieces = cut(pieces) if few else pieces
+        known = pieces.where("data_stream_detail_id is not null").select("data_stream_detail_id")
+        pieces = pieces.join(cut(host_records(t, cut(known.distinct()) if few else None)), "piece_id", "left")
     key = F.col("module_key")
     return pieces.select(
         "invoice_line_item_key",

@@ -160,6 +160,16 @@ def _qualified(t: ln.Tables) -> DataFrame:
     return _whole(ql.qualify_details(todo, cut(ql.match_pieces(t, todo))), "host_system_id")
 
 
+def _qualified_in_buckets(t: ln.Tables) -> DataFrame:
+    """As ``_qualified``, over records that were bucketed at load time."""
+    name = f"host_pieces_{uuid.uuid4().hex}"
+    todo = cut(_todo(t))
+    bucketed = ql.store_host_pieces(t, name, 8)
+    pieces = cut(ql.match_pieces(bucketed, todo))
+    todo.sparkSession.sql(f"DROP TABLE {name}")
+    return _whole(ql.qualify_details(todo, pieces), "host_system_id")
+
+
 def _host(t: ln.Tables) -> DataFrame:
     return _whole(ln.infer_host_system(t, cut(_todo(t))), "host_system_id")
 
@@ -384,6 +394,7 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "line_item_batches_by_module": lambda t: ln.line_item_batches_by_module(t, ln.session_lines(t)),
     "calculator_transaction_type": lambda t: ql.calculator_transaction_type(t, ln.session_lines(t)),
     "qualify_details": _qualified,
+    "qualify_details_bucketed": _qualified_in_buckets,
     "reconcile_quantity": lambda t: ql.reconcile_quantity(_status(t)),
     "qualification_summary": lambda t: ql.qualification_summary(t, _status(t)),
     "qualification_summary_mismatched": lambda t: ql.qualification_summary(

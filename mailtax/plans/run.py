@@ -125,7 +125,7 @@ class Generation:
 
 def generate(t: Tables, sessions: DataFrame | None = None) -> Generation:
     """Match and classify the lines that lack delivery points."""
-    few = sessions is not None
+    few = lines.is_few(t, sessions)
     linked = cut(lines.linked_transactions(t, sessions))
     covered = cut(lines.covered_lines(t, sessions, linked=linked))
     todo = lines.non_service_lines(covered)

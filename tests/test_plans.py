@@ -218,3 +218,96 @@ def test_hot_batch_is_allocated_and_numbered_in_pieces(spark, skewed):
     )
     for r in check.collect():
         assert r["m"] == r["d"] == r["n"] == r["l"] == totals[r["sales_tax_batch_key"]]["n"]
+
+
+@pytest.fixture
+def large_scans(spark):
+    """As for tables too large to be broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def scoped(spark, t, every):
+    return cut(t["sessions"].select("session_key").where(F.pmod(F.xxhash64("session_key"), F.lit(every)) == 0))
+
+
+def test_keys_of_a_small_scope_filter_the_scans(spark, large_scans):
+    """For 1 % of the sessions a Bloom filter of the scope's keys is applied where details, points and pieces are scanned."""
+    from mailtax.sources.standins import standin_tables
+
+    t = standin_tables(spark, SF_DIR)
+    some = scoped(spark, t, 100)
+    assert ln.is_few(t, some) and 0 < some.count() < 0.05 * t["sessions"].count()
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "might_contain" in plan(ln.linked_transactions(t, some))
+    seen = []
+    original = ln.within
+
+    def watched(rows, keys, key):
+        out = original(rows, keys, key)
+        seen.append((key, plan(out)))
+        return out
+
+    ln.within = watched
+    try:
+        covered = ln.covered_lines(t, some)
+        todo = cut(ln.non_service_lines(covered))
+        ql.match_pieces(t, todo, few=True)
+    finally:
+        ln.within = original
+    assert {k for k, _ in seen} == {"category_key", "transaction_guid", "data_stream_detail_id"}
+    assert all("might_contain" in p for k, p in seen), [k for k, p in seen if "might_contain" not in p]
+
+
+def test_a_scope_of_all_sessions_reads_the_tables_whole(spark, large_scans):
+    """All sessions, named one by one, get the plan of a run without a scope, and the same rows."""
+    from mailtax.sources.standins import standin_tables
+
+    t = standin_tables(spark, SF_DIR)
+    every = scoped(spark, t, 1)
+    assert not ln.is_few(t, every) and not ln.is_few(t, None)
+    assert "might_contain" not in ln.linked_transactions(t, every)._jdf.queryExecution().optimizedPlan().toString()
+    rows = lambda s: sorted(map(tuple, ln.non_service_line_items(t, sessions=s).collect()))
+    assert rows(every) == rows(None)
+    third = scoped(spark, t, 3)
+    keys = {r["session_key"] for r in third.collect()}
+    assert ln.is_few(t, third) and rows(third) == [r for r in rows(None) if r[1] in keys]
+
+
+def test_bucketed_records_are_not_shuffled(spark, skewed):
+    """The pieces' side has no exchange, every third detail shares one id and is broadcast its record, and the rows are the same."""
+    t, count = skewed
+    details = t["details"].withColumn("data_stream_detail_id", F.when(F.col("detail_key") % 3 == 0, "p0").otherwise(F.col("data_stream_detail_id")))
+    t = {**t, "details": cut(details)}
+    todo = cut(ln.non_service_lines(ln.covered_lines(t)))
+    plain = cut(ql.match_pieces(t, todo))
+    bucketed = ql.store_host_pieces(t, "host_pieces_of_plans", 32)
+    try:
+        found = ql.match_pieces(bucketed, todo, hot=1000)
+        plan = plan_of(found)
+        assert "SelectedBucketsCount" in plan and plan.count("Bucketed: true") >= 1 and "BroadcastHashJoin" in plan
+        join = next(line for line in plan.splitlines() if "SortMergeJoin" in line or "ShuffledHashJoin" in line)
+        below = plan[plan.index(join):].splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :|+-"))
+        sides = [i for i, line in enumerate(below) if i and depth(line) == depth(below[1])][:2]
+        right = []
+        for line in below[sides[1]:]:
+            if right and depth(line) <= depth(below[sides[1]]):
+                break
+            right.append(line)
+        assert not any("Exchange" in line for line in right) and any("Bucketed: true" in line for line in right)
+        found = cut(found)
+        assert found.count() == plain.count() == count
+        columns = [c for c in found.columns if not c.startswith("host")] + ["host1.city"]
+        assert found.select(columns).exceptAll(plain.select(columns)).isEmpty()
+    finally:
+        spark.sql("DROP TABLE host_pieces_of_plans")
