@@ -42,7 +42,8 @@ SENTENCE_START = r"(^|[.!?:;\n][ \t\n\r]*)(\p{Lu})"
 CAPITALISED = r"(^|[^\x01\p{L}])(\p{Lu}\p{L})"
 FIGURES = r"[0-9]+(?:[.,][0-9]+)*"
 SPACELESS = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-WORD = rf"{FIGURES}|\x02?(?:[{SPACELESS}]|[\p{{L}}&&[^{SPACELESS}]]+)"
+BEYOND_SPACES = r"[^\x{0}-\x{DFF}]"  # texts without such a character hold none of the scripts above
+WORD = rf"{FIGURES}|\x02?\p{{L}}+"
 PAIR = ["k1", "k2", "item_id"]
 CELL = ["grid", "cell"]
 
@@ -50,7 +51,9 @@ CELL = ["grid", "cell"]
 def _words(text: Column) -> Column:
     """Words in lower case, names with a mark before them."""
     marked = F.regexp_replace(F.regexp_replace(text, SENTENCE_START, f"$1{START}$2"), CAPITALISED, f"$1{NAME}$2")
-    return F.regexp_extract_all(F.lower(marked), F.lit(WORD), F.lit(0))
+    low = F.lower(marked)
+    spaced = F.when(F.rlike(text, F.lit(BEYOND_SPACES)), F.regexp_replace(low, f"([{SPACELESS}])", " $1 ")).otherwise(low)
+    return F.regexp_extract_all(spaced, F.lit(WORD), F.lit(0))
 
 
 def _number(word: Column) -> Column:
@@ -71,11 +74,18 @@ def _plain(word: Column) -> Column:
     return F.translate(word, NAME, "")
 
 
-def _window_hashes(hashes: str, width: int | Column) -> Column:
-    """Hash of each run of ``width`` word hashes; empty if there are fewer."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - width)
-    found = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i + 1, width)))
-    return F.when((F.size(hashes) >= width) & (F.size(hashes) > 0), found).otherwise(F.array().cast("array<bigint>"))
+def _run_hash(hashes: str, first: Column, width: int) -> Column:
+    """Hash of ``width`` word hashes from ``first`` on."""
+    return F.xxhash64(*[F.get(hashes, first + k) for k in range(width)])
+
+
+def _starts(hashes: str, width: int) -> Column:
+    """First places of the runs of ``width``; none if there are fewer words."""
+    return F.when(F.size(hashes) >= width, F.sequence(F.lit(0), F.size(hashes) - width)).otherwise(F.array().cast("array<int>"))
+
+
+def _window_hashes(hashes: str, width: int) -> Column:
+    return F.transform(_starts(hashes, width), lambda i: _run_hash(hashes, i, width))
 
 
 def _hashed(rows: DataFrame, window: int, widths: list[int]) -> DataFrame:
@@ -88,9 +98,10 @@ def _hashed(rows: DataFrame, window: int, widths: list[int]) -> DataFrame:
         F.transform("words", lambda x: F.xxhash64(_plain(x))).alias("p"),
     )
     plains = F.concat(*[_window_hashes("p", w) for w in widths]) if widths else F.array().cast("array<bigint>")
+    short = F.when(F.size("t") > 0, F.array(F.xxhash64("t"))).otherwise(F.array().cast("array<bigint>"))
     return hashes.select(
         *[c for c in hashes.columns if c not in ("t", "p")],
-        _window_hashes("t", F.least(F.size("t"), F.lit(window))).alias("templates"), plains.alias("plains"),
+        F.when(F.size("t") >= window, _window_hashes("t", window)).otherwise(short).alias("templates"), plains.alias("plains"),
     )
 
 
@@ -100,11 +111,11 @@ def _placed_windows(rows: DataFrame, window: int) -> DataFrame:
     words = rows.withColumn("words", _words(F.col("text"))).drop("text").withColumn("template", _template("words"))
     slots = F.zip_with("template", "words", lambda t, w: F.when(t.isin(NAME, NUMBER, UNIT), w).otherwise(""))
     filled = words.withColumn("filled", slots).withColumn("t", F.transform("template", lambda x: F.xxhash64(x)))
-    wide = F.least(F.size("t"), F.lit(window))
-    starts = F.when(F.size("t") > 0, F.sequence(F.lit(0), F.size("t") - wide)).otherwise(F.array().cast("array<int>"))
-    found = F.transform(
-        starts, lambda i: F.struct(i.alias("place"), F.xxhash64(F.slice("t", i + 1, wide)).alias("hash"), F.slice("filled", i + 1, wide).alias("fillers"))
-    )
+    starts = F.when(F.size("t") >= window, _starts("t", window)).when(F.size("t") > 0, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    found = F.transform(starts, lambda i: F.struct(
+        i.alias("place"), F.when(F.size("t") >= window, _run_hash("t", i, window)).otherwise(F.xxhash64("t")).alias("hash"),
+        F.slice("filled", i + 1, window).alias("fillers"),
+    ))
     kept = [c for c in rows.columns if c != "text"]
     return filled.select(*kept, F.size("t").alias("size"), F.explode(found).alias("w")).select(*kept, "size", "w.*")
 
@@ -114,7 +125,10 @@ def _plain_items(asked: DataFrame, window: int) -> tuple[DataFrame, list[int]]:
     words = asked.select("item_id", F.transform(_words(F.col("text")), lambda x: F.xxhash64(_plain(x))).alias("p"))
     sized = cut(words.withColumn("width", F.least(F.size("p"), F.lit(window))).where("width > 0"))
     widths = sorted(row["width"] for row in sized.select("width").distinct().collect())
-    return cut(sized.select("item_id", F.explode(_window_hashes("p", F.col("width"))).alias("hash")).distinct()), widths
+    runs = F.array().cast("array<bigint>")
+    for w in widths:
+        runs = F.when(F.col("width") == w, _window_hashes("p", w)).otherwise(runs)
+    return cut(sized.select("item_id", F.explode(runs).alias("hash")).distinct()), widths
 
 
 def _small(df: DataFrame) -> DataFrame:
