@@ -44,8 +44,28 @@ _ISC = (
     "AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
     "PERFORMANCE OF THIS SOFTWARE."
 )
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n"
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission.\n\n"
+)
+_BSD_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT "
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
 # Public licence texts and the usual one-line notices, (licence id, text).
 KNOWN = [
+    *[("BSD-3-Clause", title + _BSD + _BSD_NAMES + _BSD_AS_IS) for title in ("", "BSD 3-Clause License\n\n")],
+    *[("BSD-2-Clause", title + _BSD + _BSD_AS_IS) for title in ("", "BSD 2-Clause License\n\n")],
     ("MIT", "MIT License\n\nCopyright (c)\n\n" + _PERMISSION + _NOTICE + _AS_IS),
     ("MIT", "The MIT License (MIT)\n\n" + _PERMISSION + _NOTICE + _AS_IS),
     ("MIT", _PERMISSION + _NOTICE + _AS_IS),
@@ -74,12 +94,108 @@ KNOWN = [
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
 ]
 
+# Digests of the canonical form of common whole texts, as they are published, without what follows their terms, and each also
+# with its paragraphs on one line (a line that begins with the word copyright is dropped, so the breaks of lines count).
+DIGESTS = {
+    "Apache-2.0": (
+        "9768e9ac0a2ddb298695e7c2ca9bfa36",
+        "ff27ba34e8ac36ddab0cbf04160132c5",
+        "db4fae888ce4068810986a16e5953e7a",
+        "80fd9072ff3abaac5ce5940ef25ed199",
+        "4c6e317f52b13dccc5c775e26cc6d6b5",
+        "5d21db9df0a659189b7aace1dc3df9b0",
+    ),
+    "Artistic-1.0": (
+        "7fcf35f5ad3314fa9254c4e56baaceb8",
+        "01297679267ad921516667ccd889865e",
+    ),
+    "BSD-3-Clause": (
+        "ddcd765ed0a3236bf96e15f76c36983a",
+    ),
+    "CC0-1.0": (
+        "93a180096f6cfcf2c0dd24f75c2eec48",
+    ),
+    "GFDL-1.2": (
+        "6fae616a2084258d6f1635920433f2e2",
+        "3fd7564fae8e9870c49a2b6749a4686c",
+        "8e05c0aebdb35d56dcb04fe0f3aab4db",
+        "f54fadee6f0a84667b90430775414a11",
+    ),
+    "GFDL-1.3": (
+        "9715992e76e496f0c0d0a6fcfb268fed",
+        "a5eac5dd01441a89eba8fc8853145b0a",
+        "9c491806b8ebfaf789102d37792907b1",
+        "9b03f0510b5e6389393f0b9aab87c96e",
+    ),
+    "GPL-1.0": (
+        "738cc3b112640d95d4cd79a58967ecea",
+        "bbc56cff7140c8c3cd4b868fb25de455",
+        "dbf3c47f5a8f127e58d08cabc1ebb916",
+        "3aecf3f85b2a7e1cf719c688a1c214fa",
+        "21fa8693acc5194a648fe02e11f65a72",
+        "ed18f57e6f8be34d9ff1e08bcf9104cb",
+    ),
+    "GPL-2.0": (
+        "e374d0b43c25aed1a2b28951fe92a546",
+        "c87461d4dc2703de84305277d25c82d8",
+        "cbb3451938de95cbb302d3c10690ede8",
+        "b8444fd08fb20cd8d245a1c56739b50b",
+        "95f8e6eea7034bb28698597e2a21390c",
+        "87c1ab3e4b266c98ddc0fafc9e827ec1",
+    ),
+    "GPL-3.0": (
+        "057f186a69ca5796ed5fd60ffc00e686",
+        "bd6f8bc415c5aa9e7c23dc0e19215f22",
+        "9622e348e3655fc913d2a9a03f2362b1",
+        "2ae5765f3e9def05b0d98370c5a5657d",
+        "d7b2d50fa70d40ab725f812119aa2d3d",
+        "f658e875d8d139792f31fecf68fd1a58",
+    ),
+    "LGPL-2.0": (
+        "63ac11b5b2fcfe811ff161b9e5def0c5",
+        "999f5b95aaa9362eae0bf3cb0eb7581c",
+        "1389f4e6c9257fffaaa58a4ba72e4209",
+        "53c7c83fea2ab2dfecbf363917d53a22",
+        "67adee7de2991bbdb3346ca63ffc6b75",
+        "65f359e639bdee839cb4bef5e2e86d5d",
+    ),
+    "LGPL-2.1": (
+        "b0e44c745072418c0ff11407a0bc4ffc",
+        "b438fe0ce082f3615cf69a492dbc792f",
+        "ea4739ccf5314c5f636f979cc03259e2",
+        "a40966c05dddcd43bfccd88fd4e2cfe7",
+        "8bafa4c612887b0b12bf68d7e5fe0527",
+        "940870bf133cfca37ab654966cecabe4",
+    ),
+    "LGPL-3.0": (
+        "b31b7335bc37919e8cdd79154e04d88d",
+        "087dc82eb7c367aa4297b1f0bb1c2c21",
+    ),
+    "MPL-1.1": (
+        "b7edc06df79bc44a04f12befb8111960",
+        "78c2a2394a9705d36b95f4476aedc69c",
+        "fe448c137d57f580a7e10b9a06ee657d",
+        "01fed7e53e79fea472dfa04ce26bcd7a",
+    ),
+    "MPL-2.0": (
+        "35fb4d2625087f7fd780039aa7b4ebb2",
+        "04f1aa7265a0b508cecbfab9de83b56c",
+        "e4dcd8d38e594750386e39c960c18aec",
+        "1967c3764d66509038315139ffda7051",
+    ),
+}
+
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    """``license_id, text`` of the built-in licences."""
+    """``license_id, text`` of the built-in licences that are held as texts."""
     return spark.createDataFrame(KNOWN, "license_id string, text string")
 
 
+def known_digests(spark: SparkSession) -> DataFrame:
+    """``license_id, digest`` of the built-in licences that are held as digests."""
+    return spark.createDataFrame([(i, d) for i, many in DIGESTS.items() for d in many], "license_id string, digest string")
+
+
 def canonical(text: Column) -> Column:
     """The canonical form, with the line breaks of the text."""
     out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "$1")
@@ -104,15 +220,16 @@ def scan_licences(
     whole text is, else null), ``notices`` (ids of licences that the whole text, a paragraph or a line is; sorted,
     comma-joined, empty if none).
 
-    ``known``: columns license_id, text; a text known under several ids counts for the smallest id. Null texts are
+    ``known``: columns license_id, text (default: the built-in texts and digests); a text known under several ids counts for the smallest id. Null texts are
     empty; an empty canonical form matches nothing. Repeated rows each get their row. Empty in, empty out.
     """
-    known = known_licences(df.sparkSession) if known is None else known
+    built_in = known is None
+    known = known_licences(df.sparkSession) if built_in else known
     form = F.md5(_flat(canonical(F.col("text"))))
-    digests = (
-        known.where(_flat(canonical(F.col("text"))) != "").select("license_id", form.alias("digest"))
-        .groupBy("digest").agg(F.min("license_id").alias("found"))
-    )
+    digests = known.where(_flat(canonical(F.col("text"))) != "").select("license_id", form.alias("digest"))
+    if built_in:
+        digests = digests.union(known_digests(df.sparkSession))
+    digests = digests.groupBy("digest").agg(F.min("license_id").alias("found"))
     rows = df.select(
         F.col(id_col).alias("doc_id"), canonical(F.coalesce(F.col(text_col), F.lit(""))).alias("form"),
         F.monotonically_increasing_id().alias("row"),  # used within the task that makes it only
@@ -152,9 +269,11 @@ def _sql_digest(form: str) -> str:
 def scan_sql() -> str:
     """DuckDB SQL for ``scan_licences(documents)``."""
     values = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in KNOWN)
+    whole = ", ".join(f"('{i}', '{d}')" for i, many in DIGESTS.items() for d in many)
     return f"""
-    WITH known AS (SELECT {_sql_digest(_sql_form('text'))} AS digest, min(license_id) AS found
-                   FROM (VALUES {values}) t(license_id, text) GROUP BY 1),
+    WITH known AS (SELECT digest, min(license_id) AS found FROM (
+                     SELECT license_id, {_sql_digest(_sql_form('text'))} AS digest FROM (VALUES {values}) t(license_id, text)
+                     UNION ALL SELECT * FROM (VALUES {whole}) d(license_id, digest)) GROUP BY 1),
     forms AS (SELECT row_number() OVER () AS r, doc_id, {_sql_form("coalesce(text, '')")} AS form FROM documents),
     units AS (
       SELECT r, doc_id, 0 AS place, form AS unit FROM forms

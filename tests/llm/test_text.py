@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import time
 
@@ -287,3 +288,36 @@ def test_search_stops_early():
     exact = queries_ @ vectors.T
     expected = [(10_000 + q, int(i), int(exact[q, i])) for q in range(5) for i in np.lexsort((np.arange(2000), -exact[q]))[:5]]
     assert found == expected
+
+
+FOLDER = "/usr/share/common-licenses"
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no licence texts on this machine")
+def test_whole_licence_texts(spark, duck):
+    """Published texts and their usual variants: other breaks of lines, line ends and case, in comments, without the appendix."""
+    ids = {"BSD": "BSD-3-Clause", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-3": "LGPL-3.0",
+           "Artistic": "Artistic-1.0"}
+    names = ["Apache-2.0", "Artistic", "BSD", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "GPL-1", "GPL-2", "GPL-3", "LGPL-2", "LGPL-2.1", "LGPL-3", "MPL-1.1", "MPL-2.0"]
+    rows, expected = [], {}
+    for name in names:
+        with open(f"{FOLDER}/{name}", encoding="utf-8") as file:
+            text = file.read()
+        unwrapped = "\n\n".join(re.sub(r"\s*\n\s*", " ", p.strip()) for p in re.split(r"\n\s*\n", text))
+        variants = [text, text.upper(), text.replace("\n", "\r\n"), "/*\n" + re.sub("^", " * ", text, flags=re.M) + "\n */", unwrapped]
+        if "END OF TERMS AND CONDITIONS" in text:
+            variants.append(text[:text.index("END OF TERMS AND CONDITIONS")])
+        for v in variants:
+            expected[len(rows)] = ids.get(name, name)
+            rows.append((len(rows), v))
+        expected[len(rows)] = None
+        rows.append((len(rows), text + "\nAnd one more rule."))
+    found = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license_id for r in found} == expected
+    columns = ["digest", "doc_id", "license_id", "notices"]
+    tables = {"documents": ("doc_id BIGINT, text VARCHAR", rows)}
+    assert sorted((tuple(r[c] for c in columns) for r in found), key=str) == duck(tables, licences.scan_sql(), columns)
+    bsd = [t for i, t in licences.KNOWN if i.startswith("BSD-") and len(t) > 500]
+    rows = [(i, t.replace("\n\n", "\n\nCopyright (c) 2021, Someone\n\n", 1)) for i, t in enumerate(bsd)]
+    found = {r.doc_id: r.license_id for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {0: "BSD-3-Clause", 1: "BSD-3-Clause", 2: "BSD-2-Clause", 3: "BSD-2-Clause"}
