@@ -1,11 +1,12 @@
 """Exact top-k search by inner product with an impact-ordered index, score at a time.
 
-Vectors are split into blocks. In a block the postings (dimension, vector, value) are cut into segments of falling
-absolute value, the impact: segment 0 holds the largest. A batch of queries goes through the segments in this order and
-adds query weight times value to the scores. After each segment the part of a vector's score still open is bounded by the
-norm of its values not yet seen times the norm of the query. When the vectors whose upper bound reaches the k-th
-largest lower bound of a query are few, the segments left are skipped: that is the proof that no other vector can be among the
-first k. The possible members are then scored exactly. Blocks give their own first k per query, which Spark merges.
+Vectors are split into blocks. The postings of a block (dimension, vector, value; zeros have none) lie sorted by falling absolute
+value, the impact, and are cut into segments at quantised impacts: segment 0 holds the largest. A batch of queries goes through the
+segments in this order and adds query weight times value to the scores. After each segment the part of a vector's score still
+open is bounded by the norm of its values not yet read times the norm of the query. When the vectors whose upper bound reaches the
+k-th largest lower bound of a query are few, the segments left are not read: that is the proof that no other vector can be among
+the first k. The possible members are then scored exactly. A block's index is built once, by the task that holds the block, and
+all queries stream by it; blocks give their own first k per query, which Spark merges.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from mailtax.llm.common import Batches
 
-SEGMENTS = 6
+SEGMENTS = 8
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256
 EXACT = 1 << 53
@@ -37,17 +38,30 @@ class Block:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        impact = np.abs(self.vectors.astype(np.float64))
-        top = impact.max(initial=0.0)
-        edges = [top * (1 - (s + 1) / SEGMENTS) ** 2 for s in range(SEGMENTS - 1)] + [-1.0]
-        self.segments, self.open = [], []
-        above = np.inf
-        for low in edges:
-            inside = (impact > low) & (impact <= above)
-            self.segments.append(np.where(inside, self.vectors, 0).astype(np.float64).T.copy())
-            self.open.append(np.sqrt((np.where(impact <= low, impact, 0.0) ** 2).sum(axis=1)) * (1 + 1e-9))
-            above = low
+        vector, dimension = np.nonzero(self.vectors)
+        value = self.vectors[vector, dimension].astype(np.float64)
+        falling = np.argsort(-np.abs(value), kind="stable")
+        self.vector, self.dimension, self.value = vector[falling].astype(np.int32), dimension[falling].astype(np.int32), value[falling]
+        top = float(np.abs(value).max(initial=0.0))
+        edges = [top * (1 - (s + 1) / SEGMENTS) ** 2 for s in range(SEGMENTS - 1)]
+        self.ends = [*np.searchsorted(-np.abs(self.value), [-e for e in edges]).tolist(), len(self.value)]
+        self.open, rest = [], np.zeros(len(self.ids))  # norm of a vector's values after each segment
+        for s in range(SEGMENTS - 1, -1, -1):
+            self.open.append(np.sqrt(rest) * (1 + 1e-9))
+            part = slice(self.ends[s - 1] if s else 0, self.ends[s])
+            rest = rest + np.bincount(self.vector[part], self.value[part] ** 2, len(self.ids))
+        self.open.reverse()
         self.small = top * top * max(1, vectors.shape[1]) < EXACT
+        self.read = 0  # postings read by the last batch of queries
+
+    def segments(self):
+        """Each segment's postings as a matrix (dimension, vector), made as it is read."""
+        begin = 0
+        for end, rest in zip(self.ends, self.open):
+            tile = np.zeros((self.vectors.shape[1], len(self.ids)))
+            tile[self.dimension[begin:end], self.vector[begin:end]] = self.value[begin:end]
+            begin = self.read = end
+            yield tile, rest
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
         """(query, vector, score) of the first k vectors per query, its own id left out."""
@@ -57,7 +71,7 @@ class Block:
         possible = np.ones(scores.shape, bool)
         own = query_ids[:, None] == self.ids[None, :]
         slack = 1e-6 * (1 + norm[:, None] * max((x.max(initial=0.0) for x in self.open), default=0.0))
-        for segment, rest in zip(self.segments, self.open):
+        for segment, rest in self.segments():
             scores += weights @ segment
             spread = norm[:, None] * rest[None, :] + slack
             low = np.where(own, -np.inf, scores - spread)
@@ -96,8 +110,8 @@ def top_k(
     Vectors that are null or hold null or non-finite components take no part, nor do null ids; shorter vectors count as
     filled up with zeros. Repeated rows of an id and vector count once. Scores beyond 64 bits raise an error.
 
-    Every block of queries meets every block of candidates once: the work is queries times candidates in blocks of
-    bounded size, shuffled by pair of blocks; a task holds one pair.
+    A candidate lies in one block and a query goes to every block, so the work is queries times blocks. A task holds one block of
+    bounded size at a time, and a bounded batch of queries.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -105,28 +119,51 @@ def top_k(
         return found.where("id is not null and v is not null").distinct()
 
     asked, there = clean(queries), clean(candidates)
-    sizes = [max(1, -(-x.count() // n)) for x, n in ((asked, 4 * QUERY_ROWS), (there, BLOCK_ROWS))]
-    part = [F.pmod(F.xxhash64("id"), F.lit(n)).cast("int") for n in sizes]
-    left = asked.select("id", "v", part[0].alias("a"), F.explode(F.sequence(F.lit(0), F.lit(sizes[1] - 1))).alias("b"), F.lit(True).alias("asks"))
-    right = there.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(sizes[0] - 1))).alias("a"), part[1].alias("b"), F.lit(False).alias("asks"))
-
-    def solve(rows: pa.Table) -> pa.RecordBatch:
-        width = max((len(v) for v in rows.column("v")), default=0)
-        asks = rows.column("asks").to_numpy()
-        ids = rows.column("id").to_numpy()
-        vectors = _matrix(rows.column("v").combine_chunks(), width)
+    blocks = max(1, -(-there.count() // BLOCK_ROWS))
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    left = asked.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.lit(True).alias("asks"))
+    right = there.select("id", "v", own.alias("b"), F.lit(False).alias("asks"))
+
+    def solve(block: Block | None, rows: pa.Table, width: int) -> pa.RecordBatch:
         found: list[tuple[int, int, int]] = []
-        if asks.any() and not asks.all():
-            block = Block(ids[~asks], vectors[~asks])
-            for at in range(0, int(asks.sum()), QUERY_ROWS):
-                found += block.search(ids[asks][at:at + QUERY_ROWS], vectors[asks][at:at + QUERY_ROWS], k)
+        if block is not None:
+            ids, vectors = rows.column("id").to_numpy(), _matrix(rows.column("v").combine_chunks(), width)
+            for at in range(0, len(ids), QUERY_ROWS):
+                found += block.search(ids[at:at + QUERY_ROWS], vectors[at:at + QUERY_ROWS], k)
         columns = zip(*found) if found else ([], [], [])
         return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
 
-    def work(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([solve(table)])
-
-    partial = left.union(right).groupBy("a", "b").applyInArrow(work, "query_id bigint, vec_id bigint, score bigint")
+    def work(batches: Batches) -> Batches:
+        """Blocks come one after the other, their candidates before their queries."""
+        at, held, block, width = None, [], None, 0
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            keys = rows.column("b").to_numpy() * 2 + rows.column("asks").to_numpy()
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for begin, end in zip(edges, edges[1:]):
+                part = rows.slice(begin, end - begin)
+                b, asks = divmod(int(keys[begin]), 2)
+                if b != at:
+                    at, held, block, width = b, [], None, 0
+                if not asks:
+                    held.append(part)
+                    continue
+                need = max((len(v) for v in part.column("v")), default=0)
+                if held or need > width:  # the first queries of a block, or wider ones than before
+                    table = pa.concat_tables(held) if held else None
+                    if table is not None:
+                        ids, lists = table.column("id").to_numpy(), table.column("v").combine_chunks()
+                        width = max(need, max((len(v) for v in lists), default=0))
+                        block = Block(ids, _matrix(lists, width))
+                    elif block is not None:
+                        wider = np.zeros((len(block.ids), need), np.int64)
+                        wider[:, :width] = block.vectors
+                        block, width = Block(block.ids, wider), need
+                    held = []
+                yield solve(block, part, width)
+
+    met = left.union(right).repartition("b").sortWithinPartitions("b", "asks")
+    partial = met.mapInArrow(work, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # Spark keeps k rows a query before its shuffle
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -321,3 +321,37 @@ def test_whole_licence_texts(spark, duck):
     rows = [(i, t.replace("\n\n", "\n\nCopyright (c) 2021, Someone\n\n", 1)) for i, t in enumerate(bsd)]
     found = {r.doc_id: r.license_id for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {0: "BSD-3-Clause", 1: "BSD-3-Clause", 2: "BSD-2-Clause", 3: "BSD-2-Clause"}
+
+
+def test_postings_are_read_by_falling_impact():
+    """Every value not zero is one posting; on the given embeddings the proof comes before all are read."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    vectors = np.floor(256 * np.array(table.column("embedding").to_pylist(), np.float64)).astype(np.int64)
+    ids = table.column("vec_id").to_numpy()
+    block = topk.Block(ids, vectors)
+    assert len(block.value) == np.count_nonzero(vectors) and (np.diff(np.abs(block.value)) <= 0).all()
+    asked = ids % 50 == 0
+    found = block.search(ids[asked], vectors[asked], 5)
+    exact = vectors[asked] @ vectors.T
+    expected = []
+    for q, scores in zip(ids[asked].tolist(), exact):
+        order = [i for i in np.lexsort((ids, -scores)) if ids[i] != q][:5]
+        expected += [(q, int(ids[i]), int(scores[i])) for i in order]
+    assert found == expected and 0 < block.read < len(block.value)
+
+
+def test_many_blocks_and_widths(spark, rng, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 3)
+    rows = [(i, [rng.uniform(-2, 2) for _ in range(rng.choice((3, 4, 9)))]) for i in range(300)] + [(5, None), (7, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = sorted(map(tuple, topk.top_k(df.where("vec_id % 50 = 0"), df).collect()))
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows if v is not None]
+    expected = []
+    for q, a in whole:
+        if q % 50 == 0:
+            scores = sorted(((sum(x * y for x, y in zip(a, b)), -i) for i, b in whole if i != q), reverse=True)[:5]
+            expected += [(q, r, -i, s) for r, (s, i) in enumerate(scores, 1)]
+    assert got == sorted(expected)
