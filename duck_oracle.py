@@ -496,3 +496,8 @@ SELECT event_id || '-1' AS name1, logged AS time1, event_id || '-2' AS name2, lo
 FROM e""",
 }
 ORACLE["qualify_details_bucketed"] = ORACLE["qualify_details"]  # the same rows by another plan
+ORACLE["unwrap_json_levels"] = """
+SELECT event_id AS id, CAST(level AS BIGINT) AS level, event_id || '-' || level AS name, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS time,
+       CASE WHEN level = event_id % 5 + 1 THEN CASE WHEN event_id % 11 = 0 THEN '{"Name": "cut o' ELSE props END END AS data,
+       level = event_id % 5 + 1 AND event_id % 11 = 0 AS broken
+FROM events, generate_series(1, 5) g(level) WHERE level <= event_id % 5 + 1"""

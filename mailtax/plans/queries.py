@@ -29,6 +29,7 @@ from mailtax.sources.logs import (
     parse_log_blocks,
     parse_log_lines,
     rejected_records,
+    unwrap_json_levels,
     unwrap_nested_json,
     write_labelled,
 )
@@ -367,6 +368,20 @@ def nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return opened.withColumns(times)
 
 
+def payload_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of depth 1 to 5; the innermost of every eleventh is cut off."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    depth = F.col("event_id") % 5 + 1
+    text = F.col("props")
+    for level in (5, 4, 3, 2, 1):
+        name = F.concat(F.col("event_id").cast("string"), F.lit(f"-{level}"))
+        inner = F.when((depth == level) & (F.col("event_id") % 11 == 0), F.lit('{"Name": "cut o')).otherwise(text)
+        text = F.when(depth >= level, F.to_json(F.struct(name.alias("Name"), time.alias("Time"), inner.alias("Data")))).otherwise(text)
+    opened = unwrap_json_levels(e.select(F.col("event_id").alias("id"), text.alias("value")))
+    return _whole(opened.withColumn("time", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS")), "level")
+
+
 def _over_standins(job: Callable[[ln.Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: job(standin_tables(spark, sf_dir))
 
@@ -443,4 +458,5 @@ def all_queries() -> dict[str, Query]:
     found["log_record_counts"] = log_verdicts
     found["stream_log_records"] = streamed_logs
     found["unwrap_nested_json"] = nested_payloads
+    found["unwrap_json_levels"] = payload_levels
     return found

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from mailtax.functions.staging import cut
+
 # The two layouts, the levels from lowest to highest, and the lowest level kept.
 PIPE_LAYOUT = ("DateTime: ", "MessageLevel:", "LogName:")
 RECORD_START = "DateTime: "
@@ -123,6 +127,39 @@ def unwrap_nested_json(payloads: DataFrame, depth: int = 3) -> DataFrame:
     return payloads.select(*columns, text.alias("data"))
 
 
+def unwrap_json_levels(payloads: DataFrame, id_col: str = "id") -> DataFrame:
+    """Open JSON payloads (column ``value``) whose ``Data`` field is such a payload again, however deep they are.
+
+    One row per payload and level, from 1: ``id, level, name, time, data, broken``. ``data`` is the text of the last level, which is no
+    payload any more, and NULL above; a payload is an object with a ``Name``. A text that begins like an object but is none ends its
+    payload as ``broken``, with the text itself in ``data``, so nothing is lost; NULL payloads have no rows. Each level is
+    one stored pass over the payloads that go on; it ends when none does.
+    """
+    left = payloads.select(F.col(id_col).alias("id"), F.col("value").alias("text")).where("text is not null")
+    done, level = [], 0
+    while True:
+        level += 1
+        record = F.try_parse_json("text")
+        name = F.try_variant_get(record, "$.Name", "string")
+        opened = left.select(
+            "id", "text", record.isNull().alias("unparsed"), name.alias("name"),
+            F.try_variant_get(record, "$.Time", "string").try_cast("timestamp_ntz").alias("time"),
+            F.try_variant_get(record, "$.Data", "string").alias("inner"),
+        )
+        starts = F.ltrim("inner").startswith("{")
+        within = F.try_parse_json("inner")
+        bad = F.coalesce(starts & within.isNull(), F.lit(False))
+        more = F.coalesce(starts & F.try_variant_get(within, "$.Name", "string").isNotNull(), F.lit(False))
+        broken = F.when(F.col("name").isNull(), True).otherwise(bad)  # a first text that is no payload is broken, too
+        opened = cut(opened.select("id", "text", "name", "time", "inner", broken.alias("broken"), more.alias("more")))
+        data = F.when(F.col("name").isNull(), F.col("text")).when(~F.col("more"), F.col("inner"))
+        done.append(opened.select("id", F.lit(level).alias("level"), "name", "time", data.alias("data"), "broken"))
+        left = opened.where("more").select("id", F.col("inner").alias("text"))
+        if left.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, done)
+
+
 def write_logs(records: DataFrame, path: str) -> None:
     """Append records as parquet, one folder per day and level."""
     records.hint("rebalance", "day", "level").write.mode("append").partitionBy("day", "level").parquet(path)

@@ -11,6 +11,7 @@ from mailtax.sources.logs import (
     parse_log_lines,
     read_log_records,
     rejected_records,
+    unwrap_json_levels,
     unwrap_nested_json,
     write_labelled,
     write_logs,
@@ -146,3 +147,24 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     again = run()
     assert len(again) == len(first) + 1 and set(first) < set(again)
     assert run() == again
+
+
+def test_payloads_of_any_depth(spark):
+    import json
+
+    def wrap(depth, text):
+        for level in range(depth, 0, -1):
+            text = json.dumps({"Name": f"n{level}", "Time": "2024-01-01T10:00:00", "Data": text})
+        return text
+
+    rows = [(1, wrap(1, "end")), (2, wrap(9, "deep")), (3, wrap(2, '{"Name": "cut')), (4, "no payload"), (5, None), (6, wrap(1, None)),
+            (7, wrap(2, '{"a": 1}')), (8, '{"Name": "x"'), (9, wrap(1, "{")), (10, "")]
+    found = {}
+    for r in unwrap_json_levels(spark.createDataFrame(rows, "id long, value string")).orderBy("id", "level").collect():
+        found.setdefault(r["id"], []).append((r["level"], r["name"], r["data"], r["broken"]))
+    assert found[1] == [(1, "n1", "end", False)]
+    assert [x[1] for x in found[2]] == [f"n{k}" for k in range(1, 10)] and found[2][-1][2] == "deep" and not any(x[3] for x in found[2])
+    assert found[3] == [(1, "n1", None, False), (2, "n2", '{"Name": "cut', True)]
+    assert found[4] == [(1, None, "no payload", True)] and 5 not in found and found[10] == [(1, None, "", True)]
+    assert found[6] == [(1, "n1", None, False)] and found[7][-1] == (2, "n2", '{"a": 1}', False)
+    assert found[8] == [(1, None, '{"Name": "x"', True)] and found[9] == [(1, "n1", "{", True)]
