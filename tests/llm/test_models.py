@@ -64,6 +64,51 @@ def test_pairs_that_no_additive_model_can_tell(rng):
     assert np.mean([f == bool(y) for f, y in zip(found, labels[900:])]) > 0.97
 
 
+def test_logits_match_all_pairs(rng):
+    """Bias, weights and the signed product of the factors of every two terms, one by one."""
+    random = np.random.default_rng(3)
+    model = toxicity.Model(0.3, np.arange(0, 60, 2), random.normal(size=30), random.normal(size=(30, toxicity.FACTORS)))
+    texts = [np.array(sorted(rng.sample(range(60), rng.randint(4, 30)))) for _ in range(20)]
+    known = [model.places(x) for x in texts]
+    assert [list(k) for k in known] == [[t // 2 for t in x if t % 2 == 0] for x in texts]
+    got = model.logits(np.concatenate(known), np.cumsum([0] + [len(k) for k in known[:-1]]))
+    for value, places in zip(got, known):
+        pairs = [(a, b) for a in places for b in places if a < b]
+        expected = model.bias + model.weights[places].sum()
+        expected += sum(s * model.factors[a, f] * model.factors[b, f] for a, b in pairs for f, s in enumerate(toxicity.SIGNS))
+        assert abs(value - expected) < 1e-9
+
+
+def test_words_that_tell_only_in_pairs(spark, rng):
+    """40 insults and 40 groups, toxic only where one of each meets; every stage of training, and scores of unseen texts."""
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+
+    plain, insults, groups = ([word() for _ in range(n)] for n in (500, 40, 40))
+    rows = []
+    for i in range(6000):
+        kind = rng.choices(["both", "insult", "group", "none"], [0.1, 0.225, 0.225, 0.45])[0]
+        words = rng.choices(plain, [1 / (k + 5) for k in range(len(plain))], k=rng.randint(15, 60))
+        words += [rng.choice(insults)] * (kind in ("both", "insult")) + [rng.choice(groups)] * (kind in ("both", "group"))
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(kind == "both")))
+    every = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = toxicity.train(every.select("doc_id", "text"), every.where("doc_id < 4500").select("doc_id", "label"))
+    scored = toxicity.score(every.where("doc_id >= 4500"), model).collect()
+    label = {i: y for i, _, y in rows}
+    assert np.mean([r.score >= 0.5 for r in scored if label[r.doc_id]]) > 0.9
+    assert np.mean([r.score >= 0.5 for r in scored if not label[r.doc_id]]) < 0.02
+
+
+def test_no_words_are_found_where_labels_are_chance(rng):
+    words = [np.array(sorted(rng.sample(range(200), 20)), np.int64) for _ in range(600)]
+    labels = np.array([rng.random() < 0.2 for _ in words], np.int64)
+    nothing = [np.zeros(0, np.int64)] * len(words)
+    assert len(toxicity.fit_pairs(nothing, words, labels).used) == 0
+    assert len(toxicity.pair_terms([], np.zeros(0)).used) == 0
+    assert len(toxicity.pair_terms([np.array([1, 2, 3])] * 5, np.ones(5)).used) == 0
+
+
 def test_toxicity_of_held_out_documents(spark):
     """The small labelled set knows few insults: most of what it flags is right and clean rows stay."""
     documents, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
