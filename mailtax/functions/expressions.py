@@ -15,6 +15,35 @@ def uuid_from(*parts: Column | str) -> Column:
     return F.concat_ws("-", *[F.substring(text, start, length) for start, length in cuts])
 
 
+def packed_id(text: Column) -> Column:
+    """An id as bytes, one to one, half as long to shuffle: 16 for 32 lower-case hex digits, 17 for the same with hyphens."""
+    plain = F.replace(text, F.lit("-"))
+    digits = plain.rlike("^[0-9a-f]{32}") & (F.length(plain) == 32)
+    hyphens = text.rlike("^.{8}-.{4}-.{4}-.{4}-") & (F.length(text) == 36)
+    return (
+        F.when(digits & (F.length(text) == 32), F.unhex(plain))
+        .when(digits & hyphens, F.concat(F.unhex(plain), F.lit(b"-")))
+        .otherwise(F.concat(F.lit(bytes(18)), text.cast("binary")))
+    )
+
+
+def packed_number(number: Column) -> Column:
+    """A whole number as 8 bytes, which no ``packed_id`` has."""
+    return F.unhex(F.lpad(F.hex(number), 16, "0"))
+
+
+def unpacked_id(packed: Column) -> Column:
+    """The text of a ``packed_id``, NULL for a ``packed_number``."""
+    digits = F.lower(F.hex(F.substring(packed, 1, 16)))
+    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
+    size = F.length(packed)
+    return (
+        F.when(size == 16, digits)
+        .when(size == 17, F.concat_ws("-", *[F.substring(digits, start, length) for start, length in cuts]))
+        .when(size > 17, F.substring(packed, 19, 2147483647).cast("string"))
+    )
+
+
 def blank(text: Column) -> Column:
     """True for NULL, empty and all-space text."""
     return F.coalesce(F.rtrim(text) == "", F.lit(True))

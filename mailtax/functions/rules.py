@@ -56,12 +56,24 @@ SUPPORTED = {
     HOST2: (*_COUNT_ALL[HOST2], ADDITIONAL_PAGES, DUPLEX, *_FORCE_MAIL),
 }
 
+_KNOWN = tuple(sorted({module for modules in SUPPORTED.values() for module in modules}))
+
 
 def module_key(module: Column) -> Column:
     """Last two segments of a dotted module name; the rules are keyed by them."""
     return F.substring_index(module, ".", -2)
 
 
+def module_number(module: Column) -> Column:
+    """Number of a module that some rule knows, 0 for any other: shorter to shuffle than its name."""
+    return F.coalesce(F.array_position(F.array(*[F.lit(m) for m in _KNOWN]), module_key(module)), F.lit(0)).cast("int")
+
+
+def numbered_module(number: Column) -> Column:
+    """``module_key`` of a ``module_number``, NULL for 0."""
+    return F.get(F.array(*[F.lit(m) for m in _KNOWN]), number - 1)
+
+
 def type_guid(module: Column) -> Column:
     """Transaction type of a module, NULL for an unknown one."""
     pairs = [F.lit(part) for item in TYPE_GUID.items() for part in item]

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import RATE_TYPE, blank, folded, nonzero, pro_rata_rate, uuid_from
+from mailtax.functions.expressions import RATE_TYPE, blank, folded, nonzero, packed_id, pro_rata_rate, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import FIXED_RATE_TYPES, HOST1, HOST2
 from mailtax.functions.staging import cut
@@ -50,7 +50,8 @@ def batch_addresses(
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
     rated = _rated_activities(t, lines)
     places = [folded(F.col(c)).alias(c) for c in (*ADDRESS, "destination_code")]  # one spelling, as generated points have
-    points = t["delivery_points"].where(F.col("is_active")).select("transaction_guid", *places, "quantity")
+    guid = packed_id(F.col("transaction_guid"))
+    points = t["delivery_points"].where(F.col("is_active")).select(guid.alias("packed"), *places, "quantity")
     times = F.lit(1)
     if bridge == "details":
         linked = category_transactions(t) if linked is None else linked
@@ -64,7 +65,7 @@ def batch_addresses(
         reached = rated.join(own, ["invoice_line_item_key", "session_key"])
     else:
         reached = rated.join(tagged_transactions(t, tag_prefix), ["invoice_line_item_key", "session_key"])
-    grouped = reached.join(points, "transaction_guid").groupBy(
+    grouped = reached.withColumn("packed", guid).drop("transaction_guid").join(points, "packed").groupBy(
         "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
         "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
     )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import uuid_from
+from mailtax.functions.expressions import packed_id, unpacked_id, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import HOST1, HOST2, NEW_BATCH_STATUS_ID, UNKNOWN_HOST
 from mailtax.functions.staging import cut
@@ -58,16 +58,24 @@ def within(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def session_lines(t: Tables, sessions: DataFrame | None = None) -> DataFrame:
     """Invoice line items of the sessions with their session, client and catalogue columns."""
+    return with_catalogue(t, invoiced_lines(t, sessions))
+
+
+def invoiced_lines(t: Tables, sessions: DataFrame | None = None, *, customers: DataFrame | None = None) -> DataFrame:
+    """``session_lines`` without the catalogue's columns, which are many and the same for many lines: for what is shuffled or
+    stored. With ``customers`` (one row per session) each line also has its ``customer_id``, found once per invoice."""
     scope = scoped_sessions(t, sessions).select("session_key")
     invoices = t["invoices"].select("invoice_key", "session_key", "client_configuration_key")
+    invoices = invoices.join(scope, "session_key", "left_semi")
+    if customers is not None:
+        invoices = invoices.join(customers, "session_key", "left")
+    return t["invoice_line_items"].join(invoices, "invoice_key").drop("invoice_key")
+
+
+def with_catalogue(t: Tables, lines: DataFrame) -> DataFrame:
+    """Lines with the columns of the catalogue item they name."""
     catalogue = t["line_items"].drop("vendor_item_key", "line_item_name", "line_item_description")
-    return (
-        t["invoice_line_items"]
-        .join(invoices.join(scope, "session_key", "left_semi"), "invoice_key")
-        .join(catalogue, "line_item_key")
-        .join(t["sales_tax_codes"], "sales_tax_code_key")
-        .drop("invoice_key", "sales_tax_code_key")
-    )
+    return lines.join(catalogue, "line_item_key").join(t["sales_tax_codes"], "sales_tax_code_key").drop("sales_tax_code_key")
 
 
 def flagged_activities(t: Tables) -> DataFrame:
@@ -85,8 +93,9 @@ def category_transactions(t: Tables, categories: DataFrame | None = None) -> Dat
     return (
         details
         .where(F.col("transaction_guid").isNotNull() & F.col("category_key").isNotNull())
-        .groupBy("category_key", "transaction_guid")
+        .groupBy("category_key", packed_id(F.col("transaction_guid")).alias("packed"))
         .agg(F.count("*").alias("detail_count"))
+        .select("category_key", unpacked_id(F.col("packed")).alias("transaction_guid"), "detail_count")
     )
 
 
@@ -109,8 +118,9 @@ def covered_categories(t: Tables, linked: DataFrame, *, few: bool = False) -> Da
     active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid")
     if few:
         active = within(active, cut(linked.select("transaction_guid").distinct()), "transaction_guid")
-    guids = cut(active.distinct())
-    return cut(linked.join(guids, "transaction_guid", "left_semi").select("category_key").distinct())
+    guid = packed_id(F.col("transaction_guid")).alias("packed")
+    guids = active.select(guid)  # not distinct: a semi join keeps one row of each, and stored ones would be shuffled twice
+    return cut(linked.select("category_key", guid).join(guids, "packed", "left_semi").select("category_key").distinct())
 
 
 def new_status_key(t: Tables) -> Column:
@@ -126,7 +136,14 @@ def covered_lines(
 
     The jobs below are filters on it. ``linked`` are stored ``linked_transactions``.
     """
-    lines = session_lines(t, sessions)
+    return with_catalogue(t, invoiced_covered_lines(t, sessions, linked=linked))
+
+
+def invoiced_covered_lines(
+    t: Tables, sessions: DataFrame | None = None, *, linked: DataFrame | None = None, customers: DataFrame | None = None
+) -> DataFrame:
+    """``covered_lines`` without the catalogue's columns (see ``invoiced_lines``); the last join is by line."""
+    lines = invoiced_lines(t, sessions, customers=customers)
     few = is_few(t, sessions)
     linked = linked_transactions(t, sessions) if linked is None else linked
     covered = covered_categories(t, linked, few=few).withColumn("covered", F.lit(True))
@@ -145,16 +162,22 @@ def taxable_lines(lines: DataFrame, generated: DataFrame | None = None) -> DataF
     """``covered_lines`` that get a batch: a covered activity, or taxed at the customer's address.
 
     A line has one batch, so the line key also is the batch key; a rerun gives the same keys. ``generated``
-    names lines that got delivery points in this run and therefore count as covered.
+    names lines that got delivery points in this run and therefore count as covered; lines may be flagged before.
     """
     taxable = F.col("has_covered") | F.col("use_customer_tax_address")
     if generated is not None:
-        keys = generated.select("invoice_line_item_key", F.lit(True).alias("is_generated"))
-        lines = lines.join(keys, "invoice_line_item_key", "left")
+        lines = flag_generated(lines, generated)
+    if "is_generated" in lines.columns:
         taxable = taxable | F.col("is_generated").isNotNull()
     return lines.where(taxable).withColumn("sales_tax_batch_key", F.col("invoice_line_item_key"))
 
 
+def flag_generated(lines: DataFrame, generated: DataFrame) -> DataFrame:
+    """Lines with ``is_generated``: true for those named by ``generated``, NULL for the others."""
+    keys = generated.select("invoice_line_item_key", F.lit(True).alias("is_generated"))
+    return lines.join(keys, "invoice_line_item_key", "left")
+
+
 def lines_of_batches(t: Tables, batches: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
     """Lines of stored batch headers, which may have keys of their own; input of the allocation jobs."""
     keys = batches.select("invoice_line_item_key", "sales_tax_batch_key")

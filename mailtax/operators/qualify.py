@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections import ChainMap
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailtax.functions import rules
-from mailtax.functions.expressions import concat_null_as_empty, folded
+from mailtax.functions.expressions import concat_null_as_empty, folded, packed_id, packed_number, unpacked_id
 from mailtax.functions.rules import HOST1, HOST2, UNKNOWN_HOST
 from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, host_of, known_pieces, line_hosts
@@ -38,14 +38,20 @@ HOST_PIECES = "host_pieces"
 HOT_DETAILS = 100_000
 
 
-def host_records(t: Tables, ids: DataFrame | None = None) -> DataFrame:
-    """``piece_id, host1, host2``: the records of both hosts brought together, limited to ``ids`` if given."""
+def _known(t: Tables, ids: DataFrame | None = None) -> list[DataFrame]:
+    """``piece_id`` (a ``packed_id``) and the record of both hosts' pieces, limited to ``ids`` if given."""
     hosts = []
     for name in ("host1", "host2"):
-        table = known_pieces(t[f"{name}_pieces"], ids)
+        table = known_pieces(t[f"{name}_pieces"], ids).where("data_stream_detail_id is not null")
         record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
-        hosts.append(table.select(F.col("data_stream_detail_id").alias("piece_id"), record).where("piece_id is not null"))
-    return hosts[0].join(hosts[1], "piece_id", "full")
+        hosts.append(table.select(packed_id(F.col("data_stream_detail_id")).alias("piece_id"), record))
+    return hosts
+
+
+def host_records(t: Tables, ids: DataFrame | None = None) -> DataFrame:
+    """``piece_id, host1, host2``: the records of both hosts brought together, limited to ``ids`` if given."""
+    first, second = _known(t, ids)
+    return first.join(second, "piece_id", "full")
 
 
 def store_host_pieces(t: Tables, table_name: str, buckets: int) -> Tables:
@@ -60,44 +66,69 @@ def _with_records(pieces: DataFrame, records: DataFrame, hot: int) -> DataFrame:
     """``pieces`` with the bucketed ``records``. Only ``pieces`` is shuffled, so adaptive execution could not split an id that many
     details share; the records of such ids, one for every ``hot`` details at most, are joined by themselves and broadcast."""
     shared = cut(pieces.groupBy("piece_id").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("piece_id"))
+    plain = lambda rows: rows.join(records, "piece_id", "left")
     if shared.isEmpty():
-        return pieces.join(records, "piece_id", "left")
+        return plain(pieces)
+    return _shared_apart(pieces, plain, shared, records)
+
+
+def _shared_apart(
+    pieces: DataFrame, plain: Callable[[DataFrame], DataFrame], shared: DataFrame, records: DataFrame
+) -> DataFrame:
+    """``plain(pieces)``, but with the ``records`` of the ``shared`` ids broadcast to the pieces that have them."""
     few = F.broadcast(shared)
     own = cut(records.join(few, "piece_id", "left_semi"))
-    return (
-        pieces.join(few, "piece_id", "left_anti").join(records, "piece_id", "left")
-        .unionByName(pieces.join(few, "piece_id", "left_semi").join(F.broadcast(own), "piece_id", "left"))
+    return plain(pieces.join(few, "piece_id", "left_anti")).unionByName(
+        pieces.join(few, "piece_id", "left_semi").join(F.broadcast(own), "piece_id", "left")
     )
 
 
+SHARE = 0.001
+
+
+def _shared_ids(details: DataFrame, hot: int) -> list[str]:
+    """Piece ids of more than ``hot`` details, if these are more than ``SHARE`` of all: none is missed, and none is shuffled."""
+    ids = details.where("data_stream_detail_id is not null").select(F.col("data_stream_detail_id").alias("id"))
+    often = ids.freqItems(["id"], SHARE).first()[0]
+    counted = ids.where(F.col("id").isin(often)).groupBy("id").agg(F.count("*").alias("n"))
+    return [row["id"] for row in counted.where(F.col("n") > hot).select("id").collect()]
+
+
 def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False, hot: int = HOT_DETAILS) -> DataFrame:
     """Every detail of the lines with both hosts' piece records and the quantity it has on either host.
 
     This is the one wide join of the run: details meet the piece records once, on the piece id, and the host
     jobs, the reconciliation and the delivery points all read the result. Where the records were brought together at load time
-    (``store_host_pieces``), they are read from their buckets and only the details are shuffled. Else the records of both hosts
-    are brought together and stored first, so both sides of that join come straight from a shuffle and an id that many details
-    share is split over tasks. A detail without a piece id gets a join key of its own, so such details spread over
-    all tasks. ``few`` says that the lines are a small part of the data; their details are then stored, and the
-    piece tables filtered by them before they are joined.
+    (``store_host_pieces``), they are read from their buckets and only the details are shuffled. Else the details and
+    both hosts' records are shuffled once each, with the ids as bytes; the records of an id that many details share are broadcast
+    to these. A detail without a piece id gets a join
+    key of its own, so such details spread over all tasks. ``few`` says that the lines are a small part of the data; their
+    details are then stored, and the piece tables filtered by them before they are joined.
     """
     acts = t["activities"].select("invoice_line_item_key", "category_key")
-    details = t["details"].select("detail_key", "category_key", "data_stream_detail_id")
+    piece_id = F.coalesce(packed_id(F.col("data_stream_detail_id")), packed_number(F.col("detail_key")))
+    details = t["details"].select("detail_key", "category_key", piece_id.alias("piece_id"))
     pieces = (
-        lines.select("invoice_line_item_key", rules.module_key(F.col("module")).alias("module_key"))
+        lines.select("invoice_line_item_key", rules.module_number(F.col("module")).alias("module_number"))
         .join(acts, "invoice_line_item_key")
         .join(details, "category_key")
-        .withColumn(
-            "piece_id", F.coalesce("data_stream_detail_id", F.concat(F.lit("none "), F.col("detail_key")))
-        )
     )
     if HOST_PIECES in t:
         pieces = _with_records(cut(pieces), t[HOST_PIECES], hot)
     else:
         pieces = cut(pieces) if few else pieces
-        known = pieces.where("data_stream_detail_id is not null").select("data_stream_detail_id")
-        pieces = pieces.join(cut(host_records(t, cut(known.distinct()) if few else None)), "piece_id", "left")
-    key = F.col("module_key")
+        known = pieces.select(unpacked_id(F.col("piece_id")).alias("data_stream_detail_id"))
+        ids = cut(known.where("data_stream_detail_id is not null").distinct()) if few else None
+        first, second = _known(t, ids)
+        plain = lambda rows: rows.join(first, "piece_id", "left").join(second, "piece_id", "left")
+        if shared := _shared_ids(t["details"], hot):
+            keys = lines.sparkSession.createDataFrame([(x,) for x in shared], "id string")
+            keys = keys.select(packed_id(F.col("id")).alias("piece_id"))
+            pieces = _shared_apart(pieces, plain, keys, host_records(t, keys.select(unpacked_id(F.col("piece_id")).alias("data_stream_detail_id"))))
+        else:
+            pieces = plain(pieces)
+    pieces = pieces.withColumn("data_stream_detail_id", unpacked_id(F.col("piece_id")))
+    key = rules.numbered_module(F.col("module_number"))
     return pieces.select(
         "invoice_line_item_key",
         "category_key",
@@ -135,9 +166,10 @@ def line_status(
         F.max(F.col("host2").isNotNull() & F.col("quantity2").isNotNull()).alias("located2"),
     )
     host = F.col("host_system_id")
+    own = [c for c in ("customer_id",) if c in lines.columns]
     status = (
         lines.select(
-            "invoice_line_item_key", "session_key", "line_item_key", "vendor_item_key", "module", "quantity"
+            "invoice_line_item_key", "session_key", "line_item_key", "vendor_item_key", "module", "quantity", *own
         )
         .join(sums, "invoice_line_item_key", "left")
         .withColumn("host_system_id", host_of(F.col("in_host1"), F.col("in_host2")))
@@ -154,9 +186,9 @@ def line_status(
         .withColumn("transaction_type_guid", rules.type_guid(F.col("module")))
         .drop("in_host1", "in_host2", "quantity1", "quantity2", "count1", "count2", "located1", "located2")
     )
-    customers = cut(session_customers(t, lines.select("session_key") if few else None))
-    status = with_type_id(t, status).join(customers, "session_key", "left")
-    return status.withColumn("warning", _first_failure())
+    if not own:
+        status = status.join(cut(session_customers(t, lines.select("session_key") if few else None)), "session_key", "left")
+    return with_type_id(t, status).withColumn("warning", _first_failure())
 
 
 def session_customers(t: Tables, sessions: DataFrame | None = None) -> DataFrame:

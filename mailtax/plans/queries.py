@@ -17,13 +17,13 @@ from pyspark.sql import functions as F
 
 from mailtax.operators import allocate as al
 from mailtax import schemas
-from mailtax.functions.staging import cut, shared_folder
+from mailtax.functions.staging import cut, cut_in_buckets, shared_folder
 from mailtax.operators import checks
 from mailtax.operators import lines as ln
 from mailtax.operators import points as pt
 from mailtax.operators import qualify as ql
 from mailtax.operators import reports as rp
-from mailtax.plans.run import SUCCESS, generate, run_outcome, sales_tax_run, with_session
+from mailtax.plans.run import AMOUNTS, SUCCESS, generate, run_outcome, sales_tax_run, with_session
 from mailtax.sources.logs import (
     label_log_records,
     parse_log_blocks,
@@ -60,12 +60,14 @@ def _todo(t: ln.Tables) -> DataFrame:
 
 
 def _status(t: ln.Tables) -> DataFrame:
-    return ql.line_status(t, cut(_todo(t)))
+    invoiced = ln.invoiced_covered_lines(t, customers=ql.session_customers(t)).drop(*AMOUNTS)
+    by_line, rows = (ln.non_service_lines(ln.with_catalogue(t, x)) for x in cut_in_buckets(invoiced, "invoice_line_item_key"))
+    return ql.line_status(t, by_line, ql.match_pieces(t, rows))
 
 
 def _generated(t: ln.Tables) -> tuple[ln.Tables, DataFrame]:
     """The tables with this run's points, transactions and line bridge, and the lines they serve."""
-    made = generate(t)
+    made = generate(t, amounts=True)
     done = pt.accepted(made.status).where("has_address").select("invoice_line_item_key")
     new = {
         "delivery_points": pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF),
@@ -151,7 +153,7 @@ def _warnings(t: ln.Tables) -> DataFrame:
 
 
 def _mismatched(t: ln.Tables) -> DataFrame:
-    made = generate(t)
+    made = generate(t, piece_ids=True)
     rows = ql.mismatched_details(t, made.status, made.pieces)
     return _whole(rows, "host_system_id", "page_count", "paper_page_count").drop("data_stream_detail_id")
 

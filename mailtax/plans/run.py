@@ -10,7 +10,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailtax.functions.staging import cut, scratch
+from mailtax.functions.staging import cut, cut_in_buckets, scratch
 from mailtax.operators import allocate, lines, points, qualify
 from mailtax.operators.lines import Tables
 from mailtax.sources.publication import Manifest, RunIsPublished, check_run_id, publish
@@ -59,13 +59,14 @@ def sales_tax_run(
     """
     if on_zero not in ON_ZERO:
         raise ValueError(f"on_zero must be one of {ON_ZERO}, not {on_zero!r}")
-    made = generate(t, sessions)
+    made = generate(t, sessions, amounts=True)
     status, pieces = made.status, made.pieces
     new_points = cut(points.generate_delivery_points(status, pieces, as_of=as_of))
     links = points.session_line_links(status)
     generated = points.accepted(status).where("has_address").select("invoice_line_item_key")
 
-    taxed = cut(lines.taxable_lines(made.lines, generated))
+    flagged = lines.flag_generated(made.invoiced, generated)
+    taxed = cut(lines.taxable_lines(lines.with_catalogue(t, flagged)))
     with_new = ChainMap(
         {"taxable_line_items": points.taxable_line_items_of(links), "delivery_points": new_points}, t
     )
@@ -114,23 +115,38 @@ def with_session(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Generation:
-    """Stored stages of the generation: the transactions behind the activities, lines with coverage, matched
-    pieces, and the status of each line."""
+    """Stored stages of the generation: the transactions behind the activities, lines with coverage (``invoiced`` as they are
+    stored by line, without the catalogue's columns), matched pieces, and the status of each line."""
 
     linked: DataFrame
+    invoiced: DataFrame
     lines: DataFrame
     pieces: DataFrame
     status: DataFrame
 
 
-def generate(t: Tables, sessions: DataFrame | None = None) -> Generation:
-    """Match and classify the lines that lack delivery points."""
+AMOUNTS = ["group_key", "client_configuration_key", "rate", "extended_amount"]
+
+
+def generate(
+    t: Tables, sessions: DataFrame | None = None, *, amounts: bool = False, piece_ids: bool = False
+) -> Generation:
+    """Match and classify the lines that lack delivery points.
+
+    Columns that the generation does not read are neither shuffled nor stored unless they are asked for: what the allocation
+    needs of the lines (``amounts``), and the id the pieces were matched by (``piece_ids``).
+    """
     few = lines.is_few(t, sessions)
     linked = cut(lines.linked_transactions(t, sessions))
-    covered = cut(lines.covered_lines(t, sessions, linked=linked))
-    todo = lines.non_service_lines(covered)
-    pieces = cut(qualify.match_pieces(t, todo, few=few))
-    return Generation(linked, covered, pieces, cut(qualify.line_status(t, todo, pieces, few=few)))
+    customers = qualify.session_customers(t, lines.scoped_sessions(t, sessions) if few else None)
+    invoiced = lines.invoiced_covered_lines(t, sessions, linked=linked, customers=customers)
+    invoiced, rows = cut_in_buckets(invoiced if amounts else invoiced.drop(*AMOUNTS), "invoice_line_item_key")
+    todo = lines.non_service_lines(lines.with_catalogue(t, rows))
+    pieces = qualify.match_pieces(t, todo, few=few).drop("category_key")
+    pieces = cut(pieces if piece_ids else pieces.drop("data_stream_detail_id"))
+    covered = lines.with_catalogue(t, invoiced)
+    status = cut(qualify.line_status(t, lines.non_service_lines(covered), pieces, few=few))
+    return Generation(linked, invoiced, covered, pieces, status)
 
 
 def run_sales_tax(

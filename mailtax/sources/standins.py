@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from mailtax import schemas
 from mailtax.functions import rules
-from mailtax.functions.staging import cut
+from mailtax.functions.staging import cut, cut_in_buckets
 from mailtax.sources.tables import LazyTables
 
 # Number of the catalogue item = p_size % 13: the modules in this order, an unknown one, a service.
@@ -35,24 +35,37 @@ MODULES = [
     "Billing.Calculators.Service.ReturnsLineItemCalculator",
 ]
 SERVICE_ITEM = len(MODULES) - 1
+STORED_BY = {"invoice_line_items": "invoice_key"}  # lies by order as it is derived
+# One row of a stored table or a file for each of theirs, at most with the place of its supplier.
+SPELLED = {
+    "details", "return_details", "invoices", "activity_batches", "customers", "host_client_configs", "file_stream_configs",
+    "host1_pieces", "host2_pieces", "delivery_points",
+}
 
 
 _staged: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def standin_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
-    """The tables over one data folder. Each is derived and written once per application, on first use.
+    """The tables over one data folder. Joins and groupings are done and written once per application, on first use.
 
-    The jobs then scan stored tables, as they would in a billing database, and do not repeat the derivation.
+    The jobs then scan stored tables, as they would in a billing database, and do not repeat the derivation. Tables that only
+    rename or spell columns of a stored one (``SPELLED``) are read from that, not written once more.
     """
 
-    def stage(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def stage(name: str, build: Callable[[], DataFrame], store: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, name)
         if key not in _staged:
-            _staged[key] = cut(build())
+            _staged[key] = store(build())
         return _staged[key]
 
-    return LazyTables({n: partial(stage, n, b) for n, b in _builders(spark, sf_dir, stage).items()})
+    def table(name: str, build: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        if name in SPELLED:
+            return build
+        key = STORED_BY.get(name)
+        return partial(stage, name, build, cut if key is None else lambda df: cut_in_buckets(df, key)[0])
+
+    return LazyTables({n: table(n, b) for n, b in _builders(spark, sf_dir, stage).items()})
 
 
 def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[], DataFrame]], DataFrame]):
@@ -81,25 +94,28 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
         )
 
     def joined_pieces() -> DataFrame:
-        day = F.date_format("l_shipdate", "yyyy-MM-dd")
         items = raw("part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") % 13).alias("item"))
+        lines = raw("lineitem").drop("l_extendedprice", "l_tax").join(items, "l_partkey")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return lines.repartition(parts, "l_orderkey").join(orders().drop("session_key"), "l_orderkey")
+
+    def pieces() -> DataFrame:
+        """Line items with catalogue item, order and keys: one row per mail piece, joined and stored once, by order.
+
+        The keys are spelled from the stored columns, as an id of 32 digits takes more room than all these.
+        """
+        day = F.date_format("l_shipdate", "yyyy-MM-dd")
         line = (F.col("l_orderkey") * 100 + F.col("item")).cast("bigint")
         flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
         return (
-            raw("lineitem")
-            .join(items, "l_partkey")
-            .join(orders(), "l_orderkey")
+            stage("joined pieces", joined_pieces, lambda df: cut_in_buckets(df, "l_orderkey")[0])
             .withColumn("piece_id", F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day)))
             .withColumn("line", line)
             .withColumn("flag_key", flag)
             .withColumn("category", (line * 10 + flag).cast("bigint"))
-            .drop("l_partkey", "l_extendedprice", "l_tax", "l_shipdate")
+            .drop("l_partkey", "l_shipdate")
         )
 
-    def pieces() -> DataFrame:
-        """Line items with catalogue item, order and keys: one row per mail piece, joined and stored once."""
-        return stage("joined pieces", joined_pieces)
-
     def addresses() -> DataFrame:
         return (
             raw("nation")
@@ -108,9 +124,8 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
                     F.lpad(F.col("n_nationkey").cast("string"), 5, "0").alias("postal"))
         )
 
-    def mailed(status: str) -> DataFrame:
-        """Pieces of orders with this status and the address they were mailed to."""
-        supplier = raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    def suppliers() -> DataFrame:
+        """Where each supplier is."""
         kind = F.col("n_nationkey") % 10
         hidden = lambda c: F.when(kind == 0, F.lit(None)).when(kind == 5, F.lit("")).otherwise(c)
         places = addresses().select(
@@ -121,12 +136,11 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
             hidden(F.col("r_name")).alias("state"),
             hidden(F.col("postal")).alias("zip"),
         )
-        return (
-            pieces()
-            .where(F.col("o_orderstatus") == status)
-            .join(supplier, "l_suppkey")
-            .join(places, "s_nationkey")
-        )
+        return raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey").join(places, "s_nationkey")
+
+    def mailed(status: str) -> DataFrame:
+        """Pieces of orders with this status and the address they were mailed to."""
+        return pieces().where(F.col("o_orderstatus") == status).join(stage("suppliers", suppliers), "l_suppkey")
 
     def native_guid() -> Column:
         return F.md5(F.concat_ws("-", F.lit("bt"), "category", "l_linenumber"))
