@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The last two segments of the calculator module names.
@@ -56,6 +56,8 @@ SUPPORTED = {
     HOST2: (*_COUNT_ALL[HOST2], ADDITIONAL_PAGES, DUPLEX, *_FORCE_MAIL),
 }
 
+_RULED = ("country", "is_foreign", "is_force_mailed", "is_active", "page_count", "paper_page_count")
+
 _KNOWN = tuple(sorted({module for modules in SUPPORTED.values() for module in modules}))
 
 
@@ -89,13 +91,23 @@ def is_supported(host: Column, module: Column) -> Column:
     )
 
 
+def ruled_columns(table: DataFrame) -> list[Column]:
+    """What the rules read of a host's piece records; of the country only whether it is Canada."""
+    canada = F.when(_is_canada(F.col("country")), "CANADA").alias("country") if "country" in table.columns else None
+    return [canada if c == "country" else F.col(c) for c in table.columns if c in _RULED]
+
+
+def _is_canada(country: Column) -> Column:
+    return F.upper(F.rtrim(country)) == "CANADA"
+
+
 def host1_quantity(key: Column, piece: Column) -> Column:
     """Billable quantity of one detail on host 1, NULL where it does not qualify.
 
     ``piece`` is the host's piece record, NULL if it has none; rules that read it then do not qualify.
     """
     foreign = piece["is_foreign"] == F.lit(True)
-    canada = F.upper(F.rtrim(piece["country"])) == "CANADA"
+    canada = _is_canada(piece["country"])
     return (
         F.when(key.isin(*_COUNT_ALL[HOST1]), 1)
         .when((key == POSTAGE) & (piece["is_active"] == F.lit(True)), 1)

@@ -38,40 +38,35 @@ HOST_PIECES = "host_pieces"
 HOT_DETAILS = 100_000
 
 
-def _known(t: Tables, ids: DataFrame | None = None) -> list[DataFrame]:
-    """``piece_id`` (a ``packed_id``) and the record of both hosts' pieces, limited to ``ids`` if given."""
+def _known(t: Tables, ids: DataFrame | None = None, *, places: bool = True) -> list[DataFrame]:
+    """``piece_id`` (a ``packed_id``) and the record of both hosts' pieces, limited to ``ids`` if given; without ``places`` only
+    what the rules read of a record."""
     hosts = []
     for name in ("host1", "host2"):
         table = known_pieces(t[f"{name}_pieces"], ids).where("data_stream_detail_id is not null")
-        record = F.struct(*[c for c in table.columns if c != "data_stream_detail_id"]).alias(name)
+        kept = [F.col(c) for c in table.columns if c != "data_stream_detail_id"] if places else rules.ruled_columns(table)
+        record = F.struct(*kept).alias(name)
         hosts.append(table.select(packed_id(F.col("data_stream_detail_id")).alias("piece_id"), record))
     return hosts
 
 
-def host_records(t: Tables, ids: DataFrame | None = None) -> DataFrame:
+def host_records(t: Tables, ids: DataFrame | None = None, *, places: bool = True) -> DataFrame:
     """``piece_id, host1, host2``: the records of both hosts brought together, limited to ``ids`` if given."""
-    first, second = _known(t, ids)
+    first, second = _known(t, ids, places=places)
     return first.join(second, "piece_id", "full")
 
 
 def store_host_pieces(t: Tables, table_name: str, buckets: int) -> Tables:
     """Bring the hosts' records together once per load, as a catalogue table in ``buckets`` buckets of the piece id, and give the
-    tables with it. Runs over these join the records where they lie: no run shuffles or stores them again."""
-    records = host_records(t)
+    tables with it. Runs over these join the records where they lie: no run shuffles or stores them again. A row holds the
+    record of one host, so the records are shuffled once and not joined; a run joins each host's rows to its pieces."""
+    first, second = _known(t)
+    none = {h: F.lit(None).cast(df.schema[h].dataType) for h, df in (("host1", first), ("host2", second))}
+    records = first.withColumn("host2", none["host2"]).unionByName(second.withColumn("host1", none["host1"]))
     records.repartition(buckets, "piece_id").write.mode("overwrite").bucketBy(buckets, "piece_id").sortBy("piece_id").saveAsTable(table_name)
     return ChainMap({HOST_PIECES: records.sparkSession.table(table_name)}, t)
 
 
-def _with_records(pieces: DataFrame, records: DataFrame, hot: int) -> DataFrame:
-    """``pieces`` with the bucketed ``records``. Only ``pieces`` is shuffled, so adaptive execution could not split an id that many
-    details share; the records of such ids, one for every ``hot`` details at most, are joined by themselves and broadcast."""
-    shared = cut(pieces.groupBy("piece_id").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("piece_id"))
-    plain = lambda rows: rows.join(records, "piece_id", "left")
-    if shared.isEmpty():
-        return plain(pieces)
-    return _shared_apart(pieces, plain, shared, records)
-
-
 def _shared_apart(
     pieces: DataFrame, plain: Callable[[DataFrame], DataFrame], shared: DataFrame, records: DataFrame
 ) -> DataFrame:
@@ -94,7 +89,9 @@ def _shared_ids(details: DataFrame, hot: int) -> list[str]:
     return [row["id"] for row in counted.where(F.col("n") > hot).select("id").collect()]
 
 
-def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False, hot: int = HOT_DETAILS) -> DataFrame:
+def match_pieces(
+    t: Tables, lines: DataFrame, *, few: bool = False, hot: int = HOT_DETAILS, places: bool = True
+) -> DataFrame:
     """Every detail of the lines with both hosts' piece records and the quantity it has on either host.
 
     This is the one wide join of the run: details meet the piece records once, on the piece id, and the host
@@ -103,7 +100,8 @@ def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False, hot: int = H
     both hosts' records are shuffled once each, with the ids as bytes; the records of an id that many details share are broadcast
     to these. A detail without a piece id gets a join
     key of its own, so such details spread over all tasks. ``few`` says that the lines are a small part of the data; their
-    details are then stored, and the piece tables filtered by them before they are joined.
+    details are then stored, and the piece tables filtered by them before they are joined. Without ``places`` the records
+    hold only what the rules read, for jobs that tell no address.
     """
     acts = t["activities"].select("invoice_line_item_key", "category_key")
     piece_id = F.coalesce(packed_id(F.col("data_stream_detail_id")), packed_number(F.col("detail_key")))
@@ -114,19 +112,24 @@ def match_pieces(t: Tables, lines: DataFrame, *, few: bool = False, hot: int = H
         .join(details, "category_key")
     )
     if HOST_PIECES in t:
-        pieces = _with_records(cut(pieces), t[HOST_PIECES], hot)
+        stored = t[HOST_PIECES]
+        first, second = (stored.where(F.col(h).isNotNull()).select("piece_id", h) for h in ("host1", "host2"))
     else:
         pieces = cut(pieces) if few else pieces
         known = pieces.select(unpacked_id(F.col("piece_id")).alias("data_stream_detail_id"))
         ids = cut(known.where("data_stream_detail_id is not null").distinct()) if few else None
-        first, second = _known(t, ids)
-        plain = lambda rows: rows.join(first, "piece_id", "left").join(second, "piece_id", "left")
-        if shared := _shared_ids(t["details"], hot):
-            keys = lines.sparkSession.createDataFrame([(x,) for x in shared], "id string")
-            keys = keys.select(packed_id(F.col("id")).alias("piece_id"))
-            pieces = _shared_apart(pieces, plain, keys, host_records(t, keys.select(unpacked_id(F.col("piece_id")).alias("data_stream_detail_id"))))
+        first, second = _known(t, ids, places=places)
+    plain = lambda rows: rows.join(first, "piece_id", "left").join(second, "piece_id", "left")
+    if shared := _shared_ids(t["details"], hot):
+        keys = lines.sparkSession.createDataFrame([(x,) for x in shared], "id string").select(packed_id(F.col("id")).alias("piece_id"))
+        if HOST_PIECES in t:
+            own = (df.join(F.broadcast(keys), "piece_id", "left_semi") for df in (first, second))
+            records = next(own).join(next(own), "piece_id", "full")
         else:
-            pieces = plain(pieces)
+            records = host_records(t, keys.select(unpacked_id(F.col("piece_id")).alias("data_stream_detail_id")), places=places)
+        pieces = _shared_apart(pieces, plain, keys, records)
+    else:
+        pieces = plain(pieces)
     pieces = pieces.withColumn("data_stream_detail_id", unpacked_id(F.col("piece_id")))
     key = rules.numbered_module(F.col("module_number"))
     return pieces.select(
@@ -154,7 +157,7 @@ def line_status(
     and its details are not joined back to it. ``calculated_quantity`` is NULL where nothing qualified, which
     never matches.
     """
-    pieces = match_pieces(t, lines, few=few) if pieces is None else pieces
+    pieces = match_pieces(t, lines, few=few, places=False) if pieces is None else pieces
     sums = pieces.groupBy("invoice_line_item_key").agg(
         F.max(F.col("host1").isNotNull()).alias("in_host1"),
         F.max(F.col("host2").isNotNull()).alias("in_host2"),
@@ -262,11 +265,17 @@ def qualify_details(lines: DataFrame, pieces: DataFrame) -> DataFrame:
         "invoice_line_item_key", F.col("host1").isNotNull().alias("in_host1"), F.col("host2").isNotNull().alias("in_host2")
     )
     hosts = cut(line_hosts(lines, flags).where(F.col("host_system_id") != UNKNOWN_HOST))
+    piece_id = packed_id(F.col("data_stream_detail_id")).alias("piece_id")
+    counted = pieces.where(F.col("quantity1").isNotNull() | F.col("quantity2").isNotNull())
     return (
-        pieces.join(hosts, "invoice_line_item_key")
+        counted.select("invoice_line_item_key", "detail_key", piece_id, "quantity1", "quantity2")
+        .join(hosts, "invoice_line_item_key")
         .withColumn("quantity", by_host(F.col("host_system_id"), F.col("quantity1"), F.col("quantity2")))
         .where(F.col("quantity").isNotNull())
-        .select("invoice_line_item_key", "host_system_id", "detail_key", "data_stream_detail_id", "quantity")
+        .select(
+            "invoice_line_item_key", "host_system_id", "detail_key",
+            unpacked_id(F.col("piece_id")).alias("data_stream_detail_id"), "quantity",
+        )
     )
 
 

@@ -62,12 +62,12 @@ def _todo(t: ln.Tables) -> DataFrame:
 def _status(t: ln.Tables) -> DataFrame:
     invoiced = ln.invoiced_covered_lines(t, customers=ql.session_customers(t)).drop(*AMOUNTS)
     by_line, rows = (ln.non_service_lines(ln.with_catalogue(t, x)) for x in cut_in_buckets(invoiced, "invoice_line_item_key"))
-    return ql.line_status(t, by_line, ql.match_pieces(t, rows))
+    return ql.line_status(t, by_line, ql.match_pieces(t, rows, places=False))
 
 
 def _generated(t: ln.Tables) -> tuple[ln.Tables, DataFrame]:
     """The tables with this run's points, transactions and line bridge, and the lines they serve."""
-    made = generate(t, amounts=True)
+    made = generate(t, amounts=True, detail_keys=False)
     done = pt.accepted(made.status).where("has_address").select("invoice_line_item_key")
     new = {
         "delivery_points": pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF),
@@ -112,7 +112,7 @@ def _bridged(t: ln.Tables, bridge: str) -> DataFrame:
 
 
 def _points(t: ln.Tables) -> DataFrame:
-    made = generate(t)
+    made = generate(t, detail_keys=False)
     return pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF).select(
         "transaction_id", "transaction_guid", "city", "state_region", "postal_code", "country_code",
         "destination_code", "quantity", "user_added", "is_active",
@@ -120,7 +120,7 @@ def _points(t: ln.Tables) -> DataFrame:
 
 
 def _preview(t: ln.Tables) -> DataFrame:
-    made = generate(t)
+    made = generate(t, detail_keys=False)
     return _whole(pt.delivery_point_preview(made.status, made.pieces), "host_system_id")
 
 
@@ -137,7 +137,7 @@ def _transactions(t: ln.Tables) -> DataFrame:
 
 
 def _links(t: ln.Tables, last_wins: bool = False) -> DataFrame:
-    made = generate(t)
+    made = generate(t, places=False)
     links = pt.link_details_to_transactions(made.status, made.pieces, last_wins=last_wins)
     return _whole(links.drop("category_detail_id"), "host_system_id")
 
@@ -159,16 +159,16 @@ def _mismatched(t: ln.Tables) -> DataFrame:
 
 
 def _qualified(t: ln.Tables) -> DataFrame:
-    todo = cut(_todo(t))
-    return _whole(ql.qualify_details(todo, cut(ql.match_pieces(t, todo))), "host_system_id")
+    todo = cut(_todo(t).select("invoice_line_item_key", "module"))
+    return _whole(ql.qualify_details(todo, cut(ql.match_pieces(t, todo, places=False))), "host_system_id")
 
 
 def _qualified_in_buckets(t: ln.Tables) -> DataFrame:
     """As ``_qualified``, over records that were bucketed at load time."""
     name = f"host_pieces_{uuid.uuid4().hex}"
-    todo = cut(_todo(t))
+    todo = cut(_todo(t).select("invoice_line_item_key", "module"))
     bucketed = ql.store_host_pieces(t, name, 8)
-    pieces = cut(ql.match_pieces(bucketed, todo))
+    pieces = cut(ql.match_pieces(bucketed, todo, places=False))
     todo.sparkSession.sql(f"DROP TABLE {name}")
     return _whole(ql.qualify_details(todo, pieces), "host_system_id")
 
@@ -179,7 +179,7 @@ def _host(t: ln.Tables) -> DataFrame:
 
 def _checks(t: ln.Tables) -> DataFrame:
     """All declared constraints, and some keys that the data violate."""
-    made = generate(t)
+    made = generate(t, places=False)
     links = {
         "category_detail_links": pt.link_details_to_transactions(made.status, made.pieces),
         "session_line_links": pt.session_line_links(made.status),

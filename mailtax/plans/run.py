@@ -129,12 +129,19 @@ AMOUNTS = ["group_key", "client_configuration_key", "rate", "extended_amount"]
 
 
 def generate(
-    t: Tables, sessions: DataFrame | None = None, *, amounts: bool = False, piece_ids: bool = False
+    t: Tables,
+    sessions: DataFrame | None = None,
+    *,
+    amounts: bool = False,
+    piece_ids: bool = False,
+    places: bool = True,
+    detail_keys: bool = True,
 ) -> Generation:
     """Match and classify the lines that lack delivery points.
 
     Columns that the generation does not read are neither shuffled nor stored unless they are asked for: what the allocation
-    needs of the lines (``amounts``), and the id the pieces were matched by (``piece_ids``).
+    needs of the lines (``amounts``), and the id the pieces were matched by (``piece_ids``). Jobs that tell no address leave out
+    the ``places`` of the records, those that tell no detail the ``detail_keys``.
     """
     few = lines.is_few(t, sessions)
     linked = cut(lines.linked_transactions(t, sessions))
@@ -142,8 +149,9 @@ def generate(
     invoiced = lines.invoiced_covered_lines(t, sessions, linked=linked, customers=customers)
     invoiced, rows = cut_in_buckets(invoiced if amounts else invoiced.drop(*AMOUNTS), "invoice_line_item_key")
     todo = lines.non_service_lines(lines.with_catalogue(t, rows))
-    pieces = qualify.match_pieces(t, todo, few=few).drop("category_key")
-    pieces = cut(pieces if piece_ids else pieces.drop("data_stream_detail_id"))
+    pieces = qualify.match_pieces(t, todo, few=few, places=places).drop("category_key")
+    kept = {"data_stream_detail_id": piece_ids, "detail_key": detail_keys}
+    pieces = cut(pieces.drop(*[c for c, keep in kept.items() if not keep]))
     covered = lines.with_catalogue(t, invoiced)
     status = cut(qualify.line_status(t, lines.non_service_lines(covered), pieces, few=few))
     return Generation(linked, invoiced, covered, pieces, status)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailtax.functions.expressions import packed_id, packed_number, unpacked_id
-from mailtax.functions.rules import LETTER_SHOP, POSTAGE, module_number, numbered_module
+from mailtax.functions.rules import INTERNATIONAL_POSTAGE_CANADA, LETTER_SHOP, POSTAGE, module_number, numbered_module
 from mailtax.functions.staging import cut, cut_in_buckets
 from mailtax.operators import lines as ln
 from mailtax.operators import qualify as ql
+from mailtax.plans.queries import JOBS
 from mailtax.plans.run import generate
 from mailtax.sources.standins import standin_tables
 
@@ -110,3 +111,61 @@ def test_records_of_an_id_that_many_details_share(spark, billing):
     columns = ["detail_key", "data_stream_detail_id", "host1.city", "host2.city", "quantity1", "quantity2"]
     apart, together = (sorted(map(str, ql.match_pieces(t, todo, hot=h).select(columns).collect())) for h in (39, 40))
     assert apart == together and len(apart) == 40 * 2 + 20
+
+
+def _world(billing):
+    """Two lines; host 1 knows one id twice, both hosts know another; a foreign piece to Canada in odd spelling."""
+    modules = {1: LETTER_SHOP, 2: INTERNATIONAL_POSTAGE_CANADA}
+    return billing(
+        line_items=[{"line_item_key": k, "module": "a." + m, "sales_tax_code_key": 1, "use_customer_tax_address": False,
+                     "is_exportable": True} for k, m in modules.items()],
+        invoice_line_items=[{"invoice_line_item_key": k + 2, "invoice_key": 10, "line_item_key": k, "quantity": 4} for k in modules],
+        activities=[{"invoice_line_item_key": k + 2, "category_key": k, "include_in_sales_tax_batch": True} for k in modules],
+        details=[{"detail_key": 10 * k + i, "category_key": k, "data_stream_detail_id": x}
+                 for k in modules for i, x in enumerate(["a", "b", "c", "0123456789abcdef0123456789abcdef", None])],
+        host1_pieces=[{"data_stream_detail_id": "a", "city": "A", "country": "canada ", "is_foreign": True},
+                      {"data_stream_detail_id": "a", "city": "B", "country": "CANADA", "is_foreign": False},
+                      {"data_stream_detail_id": "b", "city": "C", "country": "Cuba", "is_foreign": True}],
+        host2_pieces=[{"data_stream_detail_id": "b", "city": "D"},
+                      {"data_stream_detail_id": "0123456789abcdef0123456789abcdef", "city": "E", "page_count": 3, "paper_page_count": 2}],
+    )
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_jobs_that_tell_no_address_shuffle_none(spark, billing):
+    t = standin_tables(spark, SF_DIR)
+    assert "city" not in plan_of(JOBS["reconcile_quantity"](t)) and "city" in plan_of(ql.match_pieces(t, cut(ln.non_service_lines(ln.covered_lines(t)))))
+    t = _world(billing)
+    todo = cut(ln.non_service_lines(ln.covered_lines(t)))
+    whole, short = (ql.match_pieces(t, todo, places=p) for p in (True, False))
+    assert short.schema["host1"].dataType.names == ["country", "is_foreign", "is_force_mailed", "is_active"]
+    columns = ["invoice_line_item_key", "detail_key", "data_stream_detail_id", "quantity1", "quantity2"]
+    flags = [F.col("host1").isNull(), F.col("host2").isNull()]
+    assert _rows(whole.select(*columns, *flags)) == _rows(short.select(*columns, *flags))
+    status = [ql.line_status(t, todo, p) for p in (whole, short)]
+    assert _rows(status[0]) == _rows(status[1]) and status[1].agg(F.sum("calculated_quantity")).first()[0] == 6 + 1
+
+
+def test_stored_records_are_one_row_for_each_of_the_hosts(spark, billing):
+    t = _world(billing)
+    todo = cut(ln.non_service_lines(ln.covered_lines(t)))
+    bucketed = ql.store_host_pieces(t, "host_pieces_of_shuffles", 4)
+    try:
+        stored = bucketed[ql.HOST_PIECES]
+        assert stored.count() == 3 + 2 and stored.where("host1 is not null and host2 is not null").isEmpty()
+        columns = ["detail_key", "data_stream_detail_id", "host1.city", "host2.city", "quantity1", "quantity2"]
+        for hot in (1, 100):  # with and without ids whose records are broadcast
+            assert _rows(ql.match_pieces(bucketed, todo, hot=hot).select(columns)) == _rows(ql.match_pieces(t, todo).select(columns))
+    finally:
+        spark.sql("DROP TABLE host_pieces_of_shuffles")
+
+
+def test_generation_stores_what_its_job_tells(spark):
+    t = standin_tables(spark, SF_DIR)
+    assert "detail_key" not in generate(t, detail_keys=False).pieces.columns
+    made = generate(t, places=False)
+    assert "city" not in made.pieces.schema["host1"].dataType.names and "detail_key" in made.pieces.columns
+    assert _rows(made.status) == _rows(generate(t).status)
