@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailtax import schemas
+from mailtax.functions.expressions import packed_id
 from mailtax.operators.lines import Tables
 
 
@@ -43,16 +44,24 @@ def _report(df: DataFrame, table: str, check: str, key: str) -> DataFrame:
     )
 
 
+def _short(df: DataFrame, key: str) -> Column:
+    """The key as it is shuffled: ids that are texts as bytes."""
+    return (packed_id(F.col(key)) if dict(df.dtypes)[key] == "string" else F.col(key)).alias("key")
+
+
 def _duplicates(df: DataFrame, table: str, key: str) -> DataFrame:
-    extra = df.groupBy(key).agg((F.count("*") - 1).alias("extra"))
+    extra = df.groupBy(_short(df, key)).agg((F.count("*") - 1).alias("extra"))
     return _report(extra.agg(F.sum("extra").alias("violations")), table, "primary_key", key)
 
 
 def _orphans(t: Tables, table: str, key: str, parent: str, parent_key: str) -> DataFrame:
-    used = t[table].where(F.col(key).isNotNull()).groupBy(F.col(key).alias(parent_key)).agg(
-        F.count("*").alias("row_count")
-    )
-    orphans = used.join(t[parent].select(parent_key), parent_key, "left_anti")
+    rows, owners = t[table], t[parent]
+    if dict(rows.dtypes)[key] == dict(owners.dtypes)[parent_key]:
+        child, known = _short(rows, key), _short(owners, parent_key)
+    else:  # compared as Spark compares the two types
+        child, known = F.col(key).alias("key"), F.col(parent_key).alias("key")
+    used = rows.where(F.col(key).isNotNull()).groupBy(child).agg(F.count("*").alias("row_count"))
+    orphans = used.join(owners.select(known), "key", "left_anti")
     return _report(
         orphans.agg(F.sum("row_count").alias("violations")), table, "foreign_key", f"{key} -> {parent}.{parent_key}"
     )

@@ -9,6 +9,7 @@ from mailtax.functions.rules import INTERNATIONAL_POSTAGE_CANADA, LETTER_SHOP, P
 from mailtax.functions.staging import cut, cut_in_buckets
 from mailtax.operators import lines as ln
 from mailtax.operators import qualify as ql
+from mailtax.operators.checks import referential_checks
 from mailtax.plans.queries import JOBS
 from mailtax.plans.run import generate
 from mailtax.sources.standins import standin_tables
@@ -169,3 +170,13 @@ def test_generation_stores_what_its_job_tells(spark):
     made = generate(t, places=False)
     assert "city" not in made.pieces.schema["host1"].dataType.names and "detail_key" in made.pieces.columns
     assert _rows(made.status) == _rows(generate(t).status)
+
+
+def test_checks_shuffle_ids_as_bytes(billing):
+    t = {name: cut(rows) if name in ("details", "host1_pieces") else rows for name, rows in _world(billing).items()}
+    found = referential_checks(
+        t, primary_keys={"details": "data_stream_detail_id"}, not_null={}, defaults={},
+        foreign_keys=[("details", "data_stream_detail_id", "host1_pieces", "data_stream_detail_id"), ("details", "category_key", "activities", "category_key")],
+    )
+    assert "unhex" in plan_of(found)
+    assert [r["violations"] for r in found.collect()] == [5, 4, 0]
