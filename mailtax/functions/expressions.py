@@ -44,6 +44,20 @@ def unpacked_id(packed: Column) -> Column:
     )
 
 
+def packed_fields(fields: list[tuple[Column, int]]) -> Column:
+    """Whole numbers, each with its bits (63 at most together), as one number; NULL if one is NULL or takes more bits."""
+    fits, packed = F.lit(True), F.lit(0).cast("bigint")
+    for value, bits in fields:
+        fits = fits & value.between(0, 2**bits - 1)
+        packed = F.shiftleft(packed, bits).bitwiseOR(value.cast("bigint"))
+    return F.when(fits, packed)
+
+
+def unpacked_fields(packed: Column, bits: list[int]) -> list[Column]:
+    """The numbers of ``packed_fields``."""
+    return [F.shiftright(packed, sum(bits[i + 1:])).bitwiseAND(F.lit(2**n - 1).cast("bigint")) for i, n in enumerate(bits)]
+
+
 def blank(text: Column) -> Column:
     """True for NULL, empty and all-space text."""
     return F.coalesce(F.rtrim(text) == "", F.lit(True))

@@ -149,13 +149,14 @@ def by_host(host: Column, value1: Column, value2: Column) -> Column:
 
 
 def line_status(
-    t: Tables, lines: DataFrame, pieces: DataFrame | None = None, *, few: bool = False
+    t: Tables, lines: DataFrame, pieces: DataFrame | None = None, *, few: bool = False, warned: bool = True
 ) -> DataFrame:
     """One row per line: host, transaction type, customer, quantities and the first rule it fails.
 
     Sums are taken under both hosts' rules while the host is found, so a line of any size is aggregated once
     and its details are not joined back to it. ``calculated_quantity`` is NULL where nothing qualified, which
-    never matches.
+    never matches. Reports of the quantities alone do without the rules (``warned``) and thus without customers; of the session
+    and the items, columns that the lines do not hold are left out.
     """
     pieces = match_pieces(t, lines, few=few, places=False) if pieces is None else pieces
     sums = pieces.groupBy("invoice_line_item_key").agg(
@@ -169,11 +170,9 @@ def line_status(
         F.max(F.col("host2").isNotNull() & F.col("quantity2").isNotNull()).alias("located2"),
     )
     host = F.col("host_system_id")
-    own = [c for c in ("customer_id",) if c in lines.columns]
+    own = [c for c in ("session_key", "line_item_key", "vendor_item_key", "customer_id") if c in lines.columns]
     status = (
-        lines.select(
-            "invoice_line_item_key", "session_key", "line_item_key", "vendor_item_key", "module", "quantity", *own
-        )
+        lines.select("invoice_line_item_key", *own, "module", "quantity")
         .join(sums, "invoice_line_item_key", "left")
         .withColumn("host_system_id", host_of(F.col("in_host1"), F.col("in_host2")))
         .withColumn("calculated_quantity", by_host(host, F.col("quantity1"), F.col("quantity2")))
@@ -189,7 +188,9 @@ def line_status(
         .withColumn("transaction_type_guid", rules.type_guid(F.col("module")))
         .drop("in_host1", "in_host2", "quantity1", "quantity2", "count1", "count2", "located1", "located2")
     )
-    if not own:
+    if not warned:
+        return with_type_id(t, status)
+    if "customer_id" not in own:
         status = status.join(cut(session_customers(t, lines.select("session_key") if few else None)), "session_key", "left")
     return with_type_id(t, status).withColumn("warning", _first_failure())
 

@@ -59,10 +59,21 @@ def _todo(t: ln.Tables) -> DataFrame:
     return ln.non_service_lines(ln.covered_lines(t))
 
 
-def _status(t: ln.Tables) -> DataFrame:
-    invoiced = ln.invoiced_covered_lines(t, customers=ql.session_customers(t)).drop(*AMOUNTS)
+def _status(t: ln.Tables, *, warned: bool = True, vendor_items: bool = False) -> DataFrame:
+    """The line status with what a job tells of it: the rules a line fails, or its vendor item."""
+    customers = ql.session_customers(t) if warned else None
+    untold = [*AMOUNTS, *([] if warned else ["session_key"]), *([] if vendor_items else ["vendor_item_key"])]
+    invoiced = ln.invoiced_covered_lines(t, customers=customers).drop(*untold)
     by_line, rows = (ln.non_service_lines(ln.with_catalogue(t, x)) for x in cut_in_buckets(invoiced, "invoice_line_item_key"))
-    return ql.line_status(t, by_line, ql.match_pieces(t, rows, places=False))
+    return ql.line_status(t, by_line, ql.match_pieces(t, rows, places=False), warned=warned)
+
+
+def _quantities(t: ln.Tables) -> DataFrame:
+    return _status(t, warned=False)
+
+
+def _summary(t: ln.Tables, **options: bool) -> DataFrame:
+    return ql.qualification_summary(t, _status(t, warned=False, vendor_items=True), **options)
 
 
 def _generated(t: ln.Tables) -> tuple[ln.Tables, DataFrame]:
@@ -412,12 +423,10 @@ JOBS: dict[str, Callable[[ln.Tables], DataFrame]] = {
     "calculator_transaction_type": lambda t: ql.calculator_transaction_type(t, ln.session_lines(t)),
     "qualify_details": _qualified,
     "qualify_details_bucketed": _qualified_in_buckets,
-    "reconcile_quantity": lambda t: ql.reconcile_quantity(_status(t)),
-    "qualification_summary": lambda t: ql.qualification_summary(t, _status(t)),
-    "qualification_summary_mismatched": lambda t: ql.qualification_summary(
-        t, _status(t), only_mismatched=True
-    ),
-    "qualification_log": lambda t: ql.qualification_log(_status(t)),
+    "reconcile_quantity": lambda t: ql.reconcile_quantity(_quantities(t)),
+    "qualification_summary": _summary,
+    "qualification_summary_mismatched": lambda t: _summary(t, only_mismatched=True),
+    "qualification_log": lambda t: ql.qualification_log(_quantities(t)),
     "mismatched_details": _mismatched,
     "delivery_point_preview": _preview,
     "generate_delivery_points": _points,

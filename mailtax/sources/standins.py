@@ -17,9 +17,11 @@ from functools import cache, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mailtax import schemas
 from mailtax.functions import rules
+from mailtax.functions.expressions import packed_fields, unpacked_fields
 from mailtax.functions.staging import cut, cut_in_buckets
 from mailtax.sources.tables import LazyTables
 
@@ -43,6 +45,42 @@ SPELLED = {
 }
 
 
+# Bits of a line item's small values as they are shuffled; a row with one that is NULL or larger is shuffled as it is.
+LINE_BITS = {"l_suppkey": 26, "l_linenumber": 4, "l_quantity": 7, "l_returnflag": 5, "l_linestatus": 5, "discounted": 1, "l_shipdate": 15}
+
+
+def packed_lines(rows: DataFrame) -> DataFrame:
+    """Line items with their small values as one number ``small``, or in ``whole`` as they are where that number cannot hold them."""
+
+    def letter(name: str) -> Column:
+        return F.when(F.col(name).rlike("^[A-Z]$") & (F.length(name) == 1), F.ascii(name) - 65)
+
+    quantity = F.when(F.col("l_quantity").between(0, 127), F.col("l_quantity").cast("bigint"))
+    numbers = {
+        "l_quantity": F.when(quantity == F.col("l_quantity"), quantity),
+        "l_returnflag": letter("l_returnflag"),
+        "l_linestatus": letter("l_linestatus"),
+        "discounted": F.col("discounted").cast("int"),
+        "l_shipdate": F.unix_date("l_shipdate"),
+    }
+    small = packed_fields([(numbers.get(name, F.col(name)), bits) for name, bits in LINE_BITS.items()])
+    whole = F.when(F.col("small").isNull(), F.struct(*LINE_BITS))
+    return rows.withColumn("small", small).withColumn("whole", whole).drop(*LINE_BITS)
+
+
+def unpacked_lines(lines: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of ``packed_lines`` as they were, with what was joined to them."""
+    numbers = dict(zip(LINE_BITS, unpacked_fields(F.col("small"), list(LINE_BITS.values())), strict=True))
+    for name in ("l_returnflag", "l_linestatus"):
+        numbers[name] = F.char(numbers[name] + 65)
+    numbers["l_shipdate"] = F.date_from_unix_date(numbers["l_shipdate"].cast("int"))
+    values = {
+        name: F.when(F.col("small").isNull(), F.col("whole")[name]).otherwise(numbers[name].cast(schema[name].dataType))
+        for name in LINE_BITS
+    }
+    return lines.withColumns(values).drop("small", "whole")
+
+
 _staged: dict[tuple[str, str, str], DataFrame] = {}
 
 
@@ -95,13 +133,14 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
 
     def joined_pieces() -> DataFrame:
         items = raw("part").select(F.col("p_partkey").alias("l_partkey"), (F.col("p_size") % 13).alias("item"))
-        lines = raw("lineitem").select(
+        rows = raw("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
             (F.col("l_discount") >= 0.05).alias("discounted"),  # as little of each row as the tables tell apart is shuffled
             F.col("l_shipdate").cast("date").alias("l_shipdate"),
-        ).join(items, "l_partkey")
+        )
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        return lines.repartition(parts, "l_orderkey").join(orders().drop("session_key"), "l_orderkey")
+        lines = packed_lines(rows).join(items, "l_partkey").repartition(parts, "l_orderkey")
+        return unpacked_lines(lines, rows.schema).join(orders().drop("session_key"), "l_orderkey")
 
     def pieces() -> DataFrame:
         """Line items with catalogue item, order and keys: one row per mail piece, joined and stored once, by order.
