@@ -78,7 +78,7 @@ def _summary(t: ln.Tables, **options: bool) -> DataFrame:
 
 def _generated(t: ln.Tables) -> tuple[ln.Tables, DataFrame]:
     """The tables with this run's points, transactions and line bridge, and the lines they serve."""
-    made = generate(t, amounts=True, detail_keys=False)
+    made = generate(t, amounts=True, detail_keys=False, vendor_items=False)
     done = pt.accepted(made.status).where("has_address").select("invoice_line_item_key")
     new = {
         "delivery_points": pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF),
@@ -123,7 +123,7 @@ def _bridged(t: ln.Tables, bridge: str) -> DataFrame:
 
 
 def _points(t: ln.Tables) -> DataFrame:
-    made = generate(t, detail_keys=False)
+    made = generate(t, detail_keys=False, vendor_items=False)
     return pt.generate_delivery_points(made.status, made.pieces, as_of=AS_OF).select(
         "transaction_id", "transaction_guid", "city", "state_region", "postal_code", "country_code",
         "destination_code", "quantity", "user_added", "is_active",
@@ -131,7 +131,7 @@ def _points(t: ln.Tables) -> DataFrame:
 
 
 def _preview(t: ln.Tables) -> DataFrame:
-    made = generate(t, detail_keys=False)
+    made = generate(t, detail_keys=False, vendor_items=False)
     return _whole(pt.delivery_point_preview(made.status, made.pieces), "host_system_id")
 
 
@@ -148,7 +148,7 @@ def _transactions(t: ln.Tables) -> DataFrame:
 
 
 def _links(t: ln.Tables, last_wins: bool = False) -> DataFrame:
-    made = generate(t, places=False)
+    made = generate(t, places=False, vendor_items=False)
     links = pt.link_details_to_transactions(made.status, made.pieces, last_wins=last_wins)
     return _whole(links.drop("category_detail_id"), "host_system_id")
 
@@ -164,7 +164,7 @@ def _warnings(t: ln.Tables) -> DataFrame:
 
 
 def _mismatched(t: ln.Tables) -> DataFrame:
-    made = generate(t, piece_ids=True)
+    made = generate(t, piece_ids=True, vendor_items=False)
     rows = ql.mismatched_details(t, made.status, made.pieces)
     return _whole(rows, "host_system_id", "page_count", "paper_page_count").drop("data_stream_detail_id")
 
@@ -190,7 +190,7 @@ def _host(t: ln.Tables) -> DataFrame:
 
 def _checks(t: ln.Tables) -> DataFrame:
     """All declared constraints, and some keys that the data violate."""
-    made = generate(t, places=False)
+    made = generate(t, places=False, vendor_items=False)
     links = {
         "category_detail_links": pt.link_details_to_transactions(made.status, made.pieces),
         "session_line_links": pt.session_line_links(made.status),

@@ -59,7 +59,7 @@ def sales_tax_run(
     """
     if on_zero not in ON_ZERO:
         raise ValueError(f"on_zero must be one of {ON_ZERO}, not {on_zero!r}")
-    made = generate(t, sessions, amounts=True)
+    made = generate(t, sessions, amounts=True, vendor_items=False)
     status, pieces = made.status, made.pieces
     new_points = cut(points.generate_delivery_points(status, pieces, as_of=as_of))
     links = points.session_line_links(status)
@@ -115,8 +115,9 @@ def with_session(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Generation:
-    """Stored stages of the generation: the transactions behind the activities, lines with coverage (``invoiced`` as they are
-    stored by line, without the catalogue's columns), matched pieces, and the status of each line."""
+    """Stored stages of the generation: the transactions behind the activities (stored where an allocation or a small scope reads
+    them again), lines with coverage (``invoiced`` as they are stored by line, without the catalogue's columns), matched pieces, and
+    the status of each line."""
 
     linked: DataFrame
     invoiced: DataFrame
@@ -136,18 +137,21 @@ def generate(
     piece_ids: bool = False,
     places: bool = True,
     detail_keys: bool = True,
+    vendor_items: bool = True,
 ) -> Generation:
     """Match and classify the lines that lack delivery points.
 
     Columns that the generation does not read are neither shuffled nor stored unless they are asked for: what the allocation
     needs of the lines (``amounts``), and the id the pieces were matched by (``piece_ids``). Jobs that tell no address leave out
-    the ``places`` of the records, those that tell no detail the ``detail_keys``.
+    the ``places`` of the records, those that tell no detail the ``detail_keys``, those that tell no vendor item the ``vendor_items``.
     """
     few = lines.is_few(t, sessions)
-    linked = cut(lines.linked_transactions(t, sessions))
+    linked = lines.linked_transactions(t, sessions)
+    linked = cut(linked) if few or amounts else linked
     customers = qualify.session_customers(t, lines.scoped_sessions(t, sessions) if few else None)
     invoiced = lines.invoiced_covered_lines(t, sessions, linked=linked, customers=customers)
-    invoiced, rows = cut_in_buckets(invoiced if amounts else invoiced.drop(*AMOUNTS), "invoice_line_item_key")
+    untold = [*([] if amounts else AMOUNTS), *([] if vendor_items else ["vendor_item_key"])]
+    invoiced, rows = cut_in_buckets(invoiced.drop(*untold), "invoice_line_item_key")
     todo = lines.non_service_lines(lines.with_catalogue(t, rows))
     pieces = qualify.match_pieces(t, todo, few=few, places=places).drop("category_key")
     kept = {"data_stream_detail_id": piece_ids, "detail_key": detail_keys}

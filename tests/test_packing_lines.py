@@ -40,3 +40,28 @@ def test_fields_are_packed_one_to_one(spark):
     packed = df.select("*", packed_fields([(F.col(c), n) for c, n in zip("abc", bits, strict=True)]).alias("p"))
     back = packed.select(*unpacked_fields(F.col("p"), bits)).collect()
     assert [tuple(r) for r in back] == rows and packed.select("p").distinct().count() == len(set(rows))
+
+
+def test_jobs_store_what_they_tell(spark, billing):
+    """Quantities need no customer, and the columns of a status are the lines' own."""
+    from mailtax.operators import lines as ln
+    from mailtax.operators import qualify as ql
+    from mailtax.plans.run import generate
+
+    t = billing(
+        line_items=[{"line_item_key": 1, "module": "a.LetterShop.LetterShopLineItemCalculator", "sales_tax_code_key": 1,
+                     "use_customer_tax_address": False, "is_exportable": True}],
+        invoice_line_items=[{"invoice_line_item_key": 3, "invoice_key": 10, "line_item_key": 1, "vendor_item_key": 8, "quantity": 2}],
+        activities=[{"invoice_line_item_key": 3, "category_key": 5, "include_in_sales_tax_batch": True}],
+        details=[{"detail_key": i, "category_key": 5, "data_stream_detail_id": f"p{i}"} for i in range(2)],
+        host1_pieces=[{"data_stream_detail_id": "p0", "city": "A"}],
+    )
+    todo = ln.non_service_lines(ln.covered_lines(t))
+    pieces = ql.match_pieces(t, todo)
+    whole, short = ql.line_status(t, todo, pieces), ql.line_status(t, todo.drop("session_key"), pieces, warned=False)
+    assert set(whole.columns) - set(short.columns) == {"session_key", "customer_id", "warning"}
+    assert short.collect() == whole.select(short.columns).collect()
+    assert ql.qualification_summary(t, short).collect() == ql.qualification_summary(t, whole).collect()
+    made = generate(t, vendor_items=False)
+    assert "vendor_item_key" not in made.invoiced.columns and "vendor_item_key" in generate(t).status.columns
+    assert made.status.first()["warning"] == whole.first()["warning"]
