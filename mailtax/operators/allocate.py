@@ -50,22 +50,23 @@ def batch_addresses(
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
     rated = _rated_activities(t, lines)
     places = [folded(F.col(c)).alias(c) for c in (*ADDRESS, "destination_code")]  # one spelling, as generated points have
-    guid = packed_id(F.col("transaction_guid"))
-    points = t["delivery_points"].where(F.col("is_active")).select(guid.alias("packed"), *places, "quantity")
+    guid = packed_id(F.col("transaction_guid")).alias("packed")  # before the joins: they shuffle it
+    points = t["delivery_points"].where(F.col("is_active")).select(guid, *places, "quantity")
     times = F.lit(1)
     if bridge == "details":
         linked = category_transactions(t) if linked is None else linked
-        reached = rated.join(linked, "category_key")
+        reached = rated.join(linked.select("category_key", guid, "detail_count"), "category_key")
         times = F.col("detail_count")
     elif bridge == "taxable_line_item":
         own = t["taxable_line_items"].where(
             F.col("host_system_id").isin(HOST1, HOST2) & (F.col("ignore") == F.lit(False))
         )
-        own = own.select("invoice_line_item_key", "session_key", "transaction_guid")
+        own = own.select("invoice_line_item_key", "session_key", guid)
         reached = rated.join(own, ["invoice_line_item_key", "session_key"])
     else:
-        reached = rated.join(tagged_transactions(t, tag_prefix), ["invoice_line_item_key", "session_key"])
-    grouped = reached.withColumn("packed", guid).drop("transaction_guid").join(points, "packed").groupBy(
+        tagged = tagged_transactions(t, tag_prefix).select("invoice_line_item_key", "session_key", guid)
+        reached = rated.join(tagged, ["invoice_line_item_key", "session_key"])
+    grouped = reached.join(points, "packed").groupBy(
         "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",
         "extended_amount", "unit_price", "is_exportable", "client_configuration_key",
     )

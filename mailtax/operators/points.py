@@ -74,28 +74,33 @@ def generate_delivery_points(
     The count is taken under each host's rules before the lines are joined, so only address rows meet the
     line table. The foreign flag itself is a key: a NULL and a false flag give two domestic points.
     """
-    addresses = _address_counts(pieces)
-    lines = accepted(status).select(
-        "invoice_line_item_key", "host_system_id", "session_key",
-        transaction_guid().alias("transaction_guid"), provenance_tag(tag_prefix).alias("tag"),
-    )
-    key = ["transaction_guid", "city", "state_region", "postal_code", "foreign_flag"]
-    spelled = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in key]
+    return delivery_points_of(point_counts(status, pieces), as_of=as_of, tag_prefix=tag_prefix)
+
+
+def point_counts(status: DataFrame, pieces: DataFrame) -> DataFrame:
+    """What ``delivery_points_of`` makes points of: the counts per address of the accepted lines, with host and session. Ids and
+    tags take more room than all these and follow from them, so they are spelled after what is shuffled and stored."""
+    lines = accepted(status).select("invoice_line_item_key", "host_system_id", "session_key")
+    return _address_counts(pieces).join(lines, ["invoice_line_item_key", "host_system_id"])
+
+
+def delivery_points_of(counts: DataFrame, *, as_of: datetime, tag_prefix: str = TAG_PREFIX) -> DataFrame:
+    key = [transaction_guid(), *map(F.col, ("city", "state_region", "postal_code", "foreign_flag"))]
+    spelled = [F.coalesce(c.cast("string"), F.lit("\0")) for c in key]
     values = {
         "delivery_point_id": uuid_from(F.lit("point"), *spelled),
         "transaction_id": -F.col("invoice_line_item_key"),
-        "transaction_guid": F.col("transaction_guid"),
+        "transaction_guid": transaction_guid(),
         "city": F.col("city"),
         "state_region": F.col("state_region"),
         "postal_code": F.col("postal_code"),
         "destination_code": F.when(F.col("foreign_flag"), "F").otherwise("D"),
         "quantity": F.col("quantity"),
-        "user_added": F.col("tag"),
+        "user_added": provenance_tag(tag_prefix),
         "date_added": F.lit(as_of).cast("timestamp_ntz"),
         "is_active": F.lit(True),
     }
-    joined = addresses.join(lines, ["invoice_line_item_key", "host_system_id"])
-    return _shaped(joined, "delivery_points", values)
+    return _shaped(counts, "delivery_points", values)
 
 
 def _address_counts(pieces: DataFrame) -> DataFrame:

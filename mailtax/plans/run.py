@@ -61,7 +61,8 @@ def sales_tax_run(
         raise ValueError(f"on_zero must be one of {ON_ZERO}, not {on_zero!r}")
     made = generate(t, sessions, amounts=True, vendor_items=False)
     status, pieces = made.status, made.pieces
-    new_points = cut(points.generate_delivery_points(status, pieces, as_of=as_of))
+    counts = cut(points.point_counts(status, pieces))
+    new_points = points.delivery_points_of(counts, as_of=as_of)
     links = points.session_line_links(status)
     generated = points.accepted(status).where("has_address").select("invoice_line_item_key")
 
@@ -79,8 +80,8 @@ def sales_tax_run(
     failures = allocate.failed_sessions(spread)
     failures = cut(failures if on_zero == "session" else failures.limit(0))
     if not failures.isEmpty():
-        status, taxed, new_points = (without(failures, df) for df in (status, taxed, with_session(new_points)))
-        new_points = new_points.drop("session_key")
+        status, taxed, counts = (without(failures, df) for df in (status, taxed, counts))
+        new_points = points.delivery_points_of(counts, as_of=as_of)
         spread = allocate.Spread(without(failures, spread.rows), without(failures, spread.totals, "session"))
     warnings = cut(allocate.zero_quantity_warnings(spread, as_of=as_of, user=user))
     left_out = warnings.select(F.col("sales_tax_batch_key").alias("invoice_line_item_key"))

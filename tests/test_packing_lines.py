@@ -65,3 +65,25 @@ def test_jobs_store_what_they_tell(spark, billing):
     made = generate(t, vendor_items=False)
     assert "vendor_item_key" not in made.invoiced.columns and "vendor_item_key" in generate(t).status.columns
     assert made.status.first()["warning"] == whole.first()["warning"]
+
+
+def test_points_are_spelled_after_they_are_counted(spark, billing):
+    from datetime import datetime
+
+    from mailtax.operators import points as pt
+
+    status = spark.createDataFrame([(3, 1, 7, None), (4, 2, 7, None)],
+                                   "invoice_line_item_key bigint, host_system_id int, session_key bigint, warning string")
+    pieces = spark.createDataFrame(
+        [(3, ("a", "s ", None, None), None, 1, None), (3, ("A ", "S", None, None), None, 1, None), (4, None, ("b", "s", "1 ", True), None, 1)],
+        """invoice_line_item_key bigint, host1 struct<city: string, state: string, zip: string, is_foreign: boolean>,
+           host2 struct<city: string, state: string, zip: string, is_foreign: boolean>, quantity1 bigint, quantity2 bigint""",
+    )
+    counts = pt.point_counts(status, pieces)
+    assert not {"transaction_guid", "tag", "user_added"} & set(counts.columns)
+    points = {r["transaction_id"]: r for r in pt.delivery_points_of(counts, as_of=datetime(2024, 1, 31)).collect()}
+    assert (points[-3]["city"], points[-3]["postal_code"], points[-3]["quantity"]) == ("A", None, 2)
+    assert points[-4]["destination_code"] == "F" and points[-4]["user_added"].startswith("btdp-gen|7|2|4|" + points[-4]["transaction_guid"])
+    assert points[-3]["delivery_point_id"] != points[-4]["delivery_point_id"]
+    whole = pt.generate_delivery_points(status, pieces, as_of=datetime(2024, 1, 31))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, points.values()))
