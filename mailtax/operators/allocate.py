@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import RATE_TYPE, blank, folded, nonzero, packed_id, pro_rata_rate, uuid_from
+from mailtax.functions.expressions import RATE_TYPE, blank, folded, nonzero, packed_key, pro_rata_rate, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import FIXED_RATE_TYPES, HOST1, HOST2
 from mailtax.functions.staging import cut
@@ -50,8 +50,9 @@ def batch_addresses(
         raise ValueError(f"bridge must be one of {BRIDGES}, not {bridge!r}")
     rated = _rated_activities(t, lines)
     places = [folded(F.col(c)).alias(c) for c in (*ADDRESS, "destination_code")]  # one spelling, as generated points have
-    guid = packed_id(F.col("transaction_guid")).alias("packed")  # before the joins: they shuffle it
-    points = t["delivery_points"].where(F.col("is_active")).select(guid, *places, "quantity")
+    guid = packed_key(F.col("transaction_guid")).alias("packed")  # before the joins: they shuffle it
+    known = F.col("transaction_guid").isNotNull()
+    points = t["delivery_points"].where(F.col("is_active") & known).select(guid, *places, "quantity")
     times = F.lit(1)
     if bridge == "details":
         linked = category_transactions(t) if linked is None else linked
@@ -61,10 +62,10 @@ def batch_addresses(
         own = t["taxable_line_items"].where(
             F.col("host_system_id").isin(HOST1, HOST2) & (F.col("ignore") == F.lit(False))
         )
-        own = own.select("invoice_line_item_key", "session_key", guid)
+        own = own.where(known).select("invoice_line_item_key", "session_key", guid)
         reached = rated.join(own, ["invoice_line_item_key", "session_key"])
     else:
-        tagged = tagged_transactions(t, tag_prefix).select("invoice_line_item_key", "session_key", guid)
+        tagged = tagged_transactions(t, tag_prefix).where(known).select("invoice_line_item_key", "session_key", guid)
         reached = rated.join(tagged, ["invoice_line_item_key", "session_key"])
     grouped = reached.join(points, "packed").groupBy(
         "sales_tax_batch_key", "session_key", *ADDRESS, "destination_code", "rate_type_key",

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import packed_id, unpacked_id, uuid_from
+from mailtax.functions.expressions import packed_id, packed_key, unpacked_id, uuid_from
 from mailtax.functions.numbering import number_within
 from mailtax.functions.rules import HOST1, HOST2, NEW_BATCH_STATUS_ID, UNKNOWN_HOST
 from mailtax.functions.staging import cut
@@ -118,8 +118,9 @@ def covered_categories(t: Tables, linked: DataFrame, *, few: bool = False) -> Da
     active = t["delivery_points"].where(F.col("is_active")).select("transaction_guid")
     if few:
         active = within(active, cut(linked.select("transaction_guid").distinct()), "transaction_guid")
-    guid = packed_id(F.col("transaction_guid")).alias("packed")
-    guids = active.select(guid)  # not distinct: a semi join keeps one row of each, and stored ones would be shuffled twice
+    guid = packed_key(F.col("transaction_guid")).alias("packed")
+    # Not distinct: a semi join keeps one row of each, and stored ones would be shuffled twice.
+    guids = active.where(F.col("transaction_guid").isNotNull()).select(guid)
     return cut(linked.select("category_key", guid).join(guids, "packed", "left_semi").select("category_key").distinct())
 
 

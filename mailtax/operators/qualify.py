@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailtax.functions import rules
-from mailtax.functions.expressions import concat_null_as_empty, folded, packed_id, packed_number, unpacked_id
+from mailtax.functions.expressions import concat_null_as_empty, folded, packed_id, packed_key, packed_number, unpacked_id
 from mailtax.functions.rules import HOST1, HOST2, UNKNOWN_HOST
 from mailtax.functions.staging import cut
 from mailtax.operators.lines import Tables, host_of, known_pieces, line_hosts
@@ -46,7 +46,7 @@ def _known(t: Tables, ids: DataFrame | None = None, *, places: bool = True) -> l
         table = known_pieces(t[f"{name}_pieces"], ids).where("data_stream_detail_id is not null")
         kept = [F.col(c) for c in table.columns if c != "data_stream_detail_id"] if places else rules.ruled_columns(table)
         record = F.struct(*kept).alias(name)
-        hosts.append(table.select(packed_id(F.col("data_stream_detail_id")).alias("piece_id"), record))
+        hosts.append(table.select(packed_key(F.col("data_stream_detail_id")).alias("piece_id"), record))
     return hosts
 
 

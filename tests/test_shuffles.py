@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from hashlib import md5
+from uuid import UUID
+
+import pytest
 from pyspark.sql import functions as F
 
-from mailtax.functions.expressions import packed_id, packed_number, unpacked_id
+from mailtax.functions.expressions import packed_id, packed_key, packed_number, unpacked_id, uuid_from
 from mailtax.functions.rules import INTERNATIONAL_POSTAGE_CANADA, LETTER_SHOP, POSTAGE, module_number, numbered_module
 from mailtax.functions.staging import cut, cut_in_buckets
+from mailtax.operators import allocate as al
 from mailtax.operators import lines as ln
 from mailtax.operators import qualify as ql
 from mailtax.operators.checks import referential_checks
-from mailtax.plans.queries import JOBS
+from mailtax.plans.queries import JOBS, _generated
 from mailtax.plans.run import generate
 from mailtax.sources.standins import standin_tables
 
@@ -180,3 +186,57 @@ def test_checks_shuffle_ids_as_bytes(billing):
     )
     assert "unhex" in plan_of(found)
     assert [r["violations"] for r in found.collect()] == [5, 4, 0]
+
+
+def test_an_id_names_its_digest_once(spark):
+    rows = spark.createDataFrame([("a", 1), (None, 2)], "x string, k int").select("k", uuid_from(F.lit("p"), "x", "k").alias("id"))
+    assert plan_of(rows).count("md5(") == 1
+    assert [r["id"] for r in rows.sort("k").collect()] == [str(UUID(md5(b).hexdigest())) for b in (b"p|a|1", b"p||2")]
+
+
+def test_keys_of_ids_are_never_null(spark):
+    texts = spark.createDataFrame([("0123456789abcdef" * 2,), ("",), (None,)], "id string")
+    key = texts.select("id", packed_id(F.col("id")).alias("p"), packed_key(F.col("id")).alias("key"))
+    assert not key.schema["key"].nullable
+    for row in key.collect():
+        assert bytes(row["key"]) == (b"" if row["id"] is None else bytes(row["p"])) and bool(row["key"]) == (row["id"] is not None)
+
+
+@pytest.mark.parametrize("bridge", al.BRIDGES)
+def test_no_filter_spells_and_packs_an_id(spark, bridge):
+    """A filter on a key that may be NULL would repeat the whole id as often as the key names it."""
+    after, lines = _generated(standin_tables(spark, SF_DIR))
+    filters = [x for x in plan_of(al.batch_addresses(after, lines, bridge=bridge)).splitlines() if "Filter (" in x]
+    assert filters and not any("unhex" in x for x in filters)
+
+
+def test_no_filter_packs_the_ids_of_records(spark):
+    t = standin_tables(spark, SF_DIR)
+    lines = ln.covered_lines(t)
+    filters = [x for x in plan_of(ql.match_pieces(t, lines, places=False)).splitlines() if "Filter (" in x]
+    assert filters and not any("unhex" in x for x in filters)
+
+
+@pytest.mark.parametrize("bridge", ["taxable_line_item", "details"])
+def test_rows_without_a_transaction_meet_no_point(spark, billing, bridge):
+    guids = [None, "", "g"]
+    t = billing(
+        activities=[{"invoice_line_item_key": 1, "category_key": 1, "rate_model_key": 1, "rate_key": 1, "include_in_sales_tax_batch": True}],
+        rate_models=[{"rate_model_key": 1, "price": Decimal("1")}],
+        rates=[{"rate_key": 1, "rate_type_key": 1}],
+        details=[{"detail_key": i, "category_key": 1, "transaction_guid": g} for i, g in enumerate(guids)],
+        taxable_line_items=[
+            {"invoice_line_item_key": 1, "session_key": 1, "transaction_guid": g, "host_system_id": 1, "ignore": False} for g in guids
+        ],
+        delivery_points=[
+            {"delivery_point_id": f"p{i}", "transaction_guid": g, "city": f"C{i}", "quantity": 1, "is_active": True}
+            for i, g in enumerate([*guids, None])
+        ],
+    )
+    lines = spark.createDataFrame(
+        [(1, 1, 1, Decimal("5"), True, 9, False)],
+        "sales_tax_batch_key bigint, invoice_line_item_key bigint, session_key bigint, extended_amount decimal(19,4), "
+        "is_exportable boolean, client_configuration_key bigint, use_customer_tax_address boolean",
+    )
+    assert sorted(r["city"] for r in al.batch_addresses(t, lines, bridge=bridge).collect()) == ["C1", "C2"]
+    assert [r[0] for r in ln.covered_categories(t, ln.category_transactions(t)).collect()] == [1]
