@@ -147,7 +147,9 @@ def _builders(spark: SparkSession, sf_dir: str, stage: Callable[[str, Callable[[
 
         The keys are spelled from the stored columns, as an id of 32 digits takes more room than all these.
         """
-        day = F.date_format("l_shipdate", "yyyy-MM-dd")
+        day = F.col("l_shipdate")
+        common = day.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date"))  # written alike, and faster, by a cast
+        day = F.when(common, day.cast("string")).otherwise(F.date_format(day, "yyyy-MM-dd"))
         line = (F.col("l_orderkey") * 100 + F.col("item")).cast("bigint")
         flag = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
         return (
