@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from decimal import Decimal
 from hashlib import md5
 from uuid import UUID
@@ -9,6 +10,7 @@ from uuid import UUID
 import pytest
 from pyspark.sql import functions as F
 
+from mailtax.functions import staging
 from mailtax.functions.expressions import packed_id, packed_key, packed_number, unpacked_id, uuid_from
 from mailtax.functions.rules import INTERNATIONAL_POSTAGE_CANADA, LETTER_SHOP, POSTAGE, module_number, numbered_module
 from mailtax.functions.staging import cut, cut_in_buckets
@@ -240,3 +242,21 @@ def test_rows_without_a_transaction_meet_no_point(spark, billing, bridge):
     )
     assert sorted(r["city"] for r in al.batch_addresses(t, lines, bridge=bridge).collect()) == ["C1", "C2"]
     assert [r[0] for r in ln.covered_categories(t, ln.category_transactions(t)).collect()] == [1]
+
+
+def test_a_long_job_leaves_no_shuffle_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(staging, "LONG", 0)
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {x for x in manager.getAllFiles().mkString("\n").splitlines() if "/shuffle_" in x}
+
+    before = shuffled()
+    spark.range(1000).repartition(7, "id").write.parquet(f"{tmp_path}/plain")
+    assert shuffled() - before, "a job leaves its files until the driver collects garbage"
+    stored, (by_key, _) = cut(spark.range(1000).repartition(7, "id")), cut_in_buckets(spark.range(1000), "id")
+    end = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert stored.count() == by_key.count() == 1000
